@@ -28,9 +28,11 @@ def money_sum(c) -> Column:
     return F.sum(money(c)).cast("double")
 
 
-def money_avg(c, scale: int = 2) -> Column:
-    """AVG over exact decimals rounded to ``scale`` digits, as double."""
-    return F.round(F.avg(money(c)), scale).cast("double")
+def money_avg(c) -> Column:
+    """AVG as exact decimal sum / count, one double division (no rounding, so
+    every engine returns the same bits)."""
+    n = F.count(_c(c))
+    return F.when(n > 0, F.sum(money(c)).cast("double") / n.cast("double"))
 
 
 def date_key(d) -> Column:

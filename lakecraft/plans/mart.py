@@ -8,7 +8,7 @@ by the natural key), computed with the parallel global row number.
 
 from __future__ import annotations
 
-from types import SimpleNamespace
+from functools import cached_property
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -25,20 +25,41 @@ CUSTOMER_ATTRS = ["full_name", "segment", "nation_id"]
 PRODUCT_ATTRS = ["product_name", "category", "price"]
 
 
-def build_mart(spark, d, with_fact_id: bool = False):
-    """Lazily built mart DataFrames (surrogate keys run their range jobs)."""
-    customers, products = T.customers(spark, d), T.products(spark, d)
-    orders, items = T.orders(spark, d), T.order_items(spark, d)
-    dc = WH.with_surrogate_key(WH.scd2_initial(customers, "customer_id", CUSTOMER_ATTRS, AS_OF),
-                               ["customer_id", "valid_from"], "customer_sk")
-    dp = WH.with_surrogate_key(WH.scd2_initial(products, "product_id", PRODUCT_ATTRS, AS_OF),
-                               ["product_id", "valid_from"], "product_sk")
-    dd = WH.dim_date(orders, "order_date", AS_OF)
-    fact = WH.fact_sales(items, orders, dc, dp)
-    if with_fact_id:
-        fact = WH.with_surrogate_key(fact, ["order_id", "line_number"], "fact_sales_id")
-    return SimpleNamespace(dim_customer=dc, dim_product=dp, dim_date=dd, fact=fact,
-                           orders=orders, items=items, customers=customers, products=products)
+class Mart:
+    """Lazily built mart DataFrames: a query pays only for the parts it uses
+    (each surrogate key runs one range-partition job when first touched)."""
+
+    def __init__(self, spark, d, with_fact_id: bool = False):
+        self.customers, self.products = T.customers(spark, d), T.products(spark, d)
+        self.orders, self.items = T.orders(spark, d), T.order_items(spark, d)
+        self.with_fact_id = with_fact_id
+
+    @cached_property
+    def dim_customer(self):
+        return WH.with_surrogate_key(
+            WH.scd2_initial(self.customers, "customer_id", CUSTOMER_ATTRS, AS_OF),
+            ["customer_id", "valid_from"], "customer_sk")
+
+    @cached_property
+    def dim_product(self):
+        return WH.with_surrogate_key(
+            WH.scd2_initial(self.products, "product_id", PRODUCT_ATTRS, AS_OF),
+            ["product_id", "valid_from"], "product_sk")
+
+    @cached_property
+    def dim_date(self):
+        return WH.dim_date(self.orders, "order_date", AS_OF)
+
+    @cached_property
+    def fact(self):
+        fact = WH.fact_sales(self.items, self.orders, self.dim_customer, self.dim_product)
+        if self.with_fact_id:
+            fact = WH.with_surrogate_key(fact, ["order_id", "line_number"], "fact_sales_id")
+        return fact
+
+
+def build_mart(spark, d, with_fact_id: bool = False) -> Mart:
+    return Mart(spark, d, with_fact_id)
 
 
 MART_CTES = f"""
