@@ -181,3 +181,45 @@ def latest_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> D
     return df.groupBy(*key).agg(packed).select(*key, *[F.col(f"_m.{c}").alias(c)
                                                       for c in list(order) + rest]) \
         .select(*df.columns)
+
+
+def lead_in_group(df: DataFrame, group: Sequence[str], order: Sequence, values: dict[str, str],
+                  num_partitions: int | None = None) -> DataFrame:
+    """``LEAD(col) OVER (PARTITION BY group ORDER BY order)`` for each
+    ``out -> col`` in ``values``, parallel for hot groups.
+
+    Within a range partition the next row is ``lead``; the last row of a
+    partition takes the first row of the group's next partition (from a table
+    with one row per partition and group).
+    """
+    group = list(group)
+    seg = range_segments(df, order, group=group, num_partitions=num_partitions)
+    sk = ["_pid"] + group
+    in_seg = Window.partitionBy(*sk).orderBy("_idx")
+    packed = F.struct(*[F.col(c).alias(c) for c in values.values()])
+    firsts = seg.groupBy(*sk).agg(F.min_by(packed, F.col("_idx")).alias("_first"))
+    nxt = firsts.select(*sk, F.lead("_first").over(Window.partitionBy(*group).orderBy("_pid")).alias("_next"))
+    rows = seg.join(nxt, sk)
+    is_last = F.lead("_idx").over(in_seg).isNull()
+    for out, c in values.items():
+        rows = rows.withColumn(out, F.when(is_last, F.col(f"_next.{c}")).otherwise(F.lead(c).over(in_seg)))
+    return rows.drop("_pid", "_idx", "_next")
+
+
+def carry_forward(df: DataFrame, group: Sequence[str], order: Sequence, carried: str, out: str,
+                  num_partitions: int | None = None) -> DataFrame:
+    """``LAST(carried, ignorenulls) OVER (PARTITION BY group ORDER BY order ROWS
+    UNBOUNDED PRECEDING)``: the latest non-null value at or before each row,
+    parallel for hot groups (segment-local last value, else the last non-null
+    value of the group's earlier partitions)."""
+    group = list(group)
+    seg = range_segments(df, order, group=group, num_partitions=num_partitions)
+    sk = ["_pid"] + group
+    upto = Window.partitionBy(*sk).orderBy("_idx").rowsBetween(Window.unboundedPreceding, 0)
+    seg_last = seg.groupBy(*sk).agg(
+        F.max_by(F.col(carried), F.when(F.col(carried).isNotNull(), F.col("_idx"))).alias("_l"))
+    before = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    prior = seg_last.select(*sk, F.last("_l", ignorenulls=True).over(before).alias("_prior"))
+    rows = seg.join(prior, sk)
+    return rows.withColumn(out, F.coalesce(F.last(carried, ignorenulls=True).over(upto), F.col("_prior"))) \
+        .drop("_pid", "_idx", "_prior")
