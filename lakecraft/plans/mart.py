@@ -18,6 +18,7 @@ from lakecraft.operators import warehouse as WH
 from lakecraft.operators.windows import latest_per_key
 from lakecraft.plans.params import AS_OF, AS_OF_SQL
 from lakecraft.plans.registry import register
+from lakecraft.session import checkpoint_dir
 from lakecraft.sources import tables as T
 from lakecraft.sources.tables import with_retail
 
@@ -26,25 +27,31 @@ PRODUCT_ATTRS = ["product_name", "category", "price"]
 
 
 class Mart:
-    """Lazily built mart DataFrames: a query pays only for the parts it uses
-    (each surrogate key runs one range-partition job when first touched)."""
+    """The star schema derived from the base tables.
 
-    def __init__(self, spark, d, with_fact_id: bool = False):
+    Like the reference's stored mart tables, the dimensions and the fact table
+    are materialized once (reliable checkpoint in the shared checkpoint folder)
+    and then read by every mart query of the session; :meth:`refresh` rebuilds
+    them after the sources change. Parts are built on first use only.
+    """
+
+    def __init__(self, spark, d):
         self.customers, self.products = T.customers(spark, d), T.products(spark, d)
         self.orders, self.items = T.orders(spark, d), T.order_items(spark, d)
-        self.with_fact_id = with_fact_id
 
     @cached_property
     def dim_customer(self):
-        return WH.with_surrogate_key(
+        dim = WH.with_surrogate_key(
             WH.scd2_initial(self.customers, "customer_id", CUSTOMER_ATTRS, AS_OF),
             ["customer_id", "valid_from"], "customer_sk")
+        return dim.checkpoint(eager=True)
 
     @cached_property
     def dim_product(self):
-        return WH.with_surrogate_key(
+        dim = WH.with_surrogate_key(
             WH.scd2_initial(self.products, "product_id", PRODUCT_ATTRS, AS_OF),
             ["product_id", "valid_from"], "product_sk")
+        return dim.checkpoint(eager=True)
 
     @cached_property
     def dim_date(self):
@@ -53,13 +60,29 @@ class Mart:
     @cached_property
     def fact(self):
         fact = WH.fact_sales(self.items, self.orders, self.dim_customer, self.dim_product)
-        if self.with_fact_id:
-            fact = WH.with_surrogate_key(fact, ["order_id", "line_number"], "fact_sales_id")
-        return fact
+        return fact.checkpoint(eager=True)
+
+    @cached_property
+    def fact_with_id(self):
+        return WH.with_surrogate_key(self.fact, ["order_id", "line_number"], "fact_sales_id")
+
+
+_MARTS: dict = {}
+
+
+def build_mart(spark, d) -> Mart:
+    """The session's mart over the tables in ``d`` (built on first use)."""
+    checkpoint_dir(spark)
+    key = (spark.sparkContext.applicationId, d.rstrip("/"))
+    if key not in _MARTS:
+        _MARTS[key] = Mart(spark, d)
+    return _MARTS[key]
 
 
-def build_mart(spark, d, with_fact_id: bool = False) -> Mart:
-    return Mart(spark, d, with_fact_id)
+def refresh_mart(spark, d) -> Mart:
+    """Drop the materialized mart of ``d`` so the next use rebuilds it."""
+    _MARTS.pop((spark.sparkContext.applicationId, d.rstrip("/")), None)
+    return build_mart(spark, d)
 
 
 MART_CTES = f"""
@@ -125,7 +148,7 @@ def q_dim_product(spark, d):
 @register("fact_sales", mart_sql(
     "SELECT row_number() OVER (ORDER BY order_id, line_number) AS fact_sales_id, * FROM fact_sales"))
 def q_fact_sales(spark, d):
-    return build_mart(spark, d, with_fact_id=True).fact
+    return build_mart(spark, d).fact_with_id
 
 
 # ---------------------------------------------------------------- business cases
