@@ -1,0 +1,250 @@
+"""Versioned Parquet tables (snapshot semantics without a table-format jar).
+
+Layout under ``path``::
+
+    data/commit=<v>/<partition cols>/part-*.parquet   files written by version v
+    _log/version=<v>/part-*.parquet                    live-file list of version v
+
+A version is the set of live data files. Each commit writes its new files into
+a fresh ``commit=<v>`` directory and then its complete live-file list into the
+log - the log write is the commit, so a failed job leaves no visible change.
+Reads resolve the live files of the requested version (or of the newest
+version committed at or before a timestamp) and scan exactly those files; the
+file list is metadata, proportional to the number of files, not to rows.
+
+Operations: append, overwrite, replace_partitions (incremental refresh),
+history, read (time travel), rollback, expire, orphan files, compact.
+Single writer per table is assumed (no concurrent-commit protocol).
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import math
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lakecraft.sources.files import file_inventory, list_files
+from lakecraft.sources.sinks import with_partition_transform
+
+LOG_COLS = ["version", "parent_id", "operation", "committed_at", "file_path", "partition", "record_count",
+            "file_size"]
+
+
+def _fs_delete(paths: Sequence[str]) -> int:
+    """Delete files/directories through pyarrow's filesystem layer (local, HDFS,
+    S3 ... by URI scheme)."""
+    import pyarrow.fs as pafs
+    n = 0
+    for p in paths:
+        fs, rel = pafs.FileSystem.from_uri(p if "://" in p else f"file://{p}")
+        info = fs.get_file_info(rel)
+        if info.type == pafs.FileType.Directory:
+            fs.delete_dir(rel)
+            n += 1
+        elif info.type == pafs.FileType.File:
+            fs.delete_file(rel)
+            n += 1
+    return n
+
+
+class VersionedTable:
+    def __init__(self, spark: SparkSession, path: str, partition_by: Sequence[str] = (),
+                 transforms: Sequence[tuple[str, str, str]] = ()):
+        """``partition_by`` names partition columns of the written data; with
+        ``transforms`` (``(out, transform, source)``, e.g. ``("ts_day", "day",
+        "ts")``) they are derived from other columns (hidden partitioning)."""
+        self.spark = spark
+        self.path = path.rstrip("/")
+        self.data = f"{self.path}/data"
+        self.logdir = f"{self.path}/_log"
+        self.transforms = list(transforms)
+        self.partition_by = list(partition_by) or [t[0] for t in self.transforms]
+
+    # ------------------------------------------------------------------ log
+    def log(self) -> DataFrame | None:
+        try:
+            return self.spark.read.parquet(self.logdir)
+        except Exception:
+            return None
+
+    def current_version(self) -> int | None:
+        log = self.log()
+        return None if log is None else log.agg(F.max("version")).first()[0]
+
+    def history(self) -> DataFrame:
+        """One row per version, newest first."""
+        log = self.log()
+        if log is None:
+            return self.spark.createDataFrame(
+                [], "version long, parent_id long, operation string, committed_at timestamp, "
+                    "files long, records long")
+        return (log.groupBy("version", "parent_id", "operation", "committed_at")
+                .agg(F.count("file_path").alias("files"), F.coalesce(F.sum("record_count"), F.lit(0))
+                     .cast("long").alias("records"))
+                .orderBy(F.col("version").desc()))
+
+    def resolve(self, version: int | None = None, as_of: dt.datetime | None = None) -> int:
+        log = self.log()
+        if log is None:
+            raise ValueError("table has no versions")
+        versions = log.select("version", "committed_at").distinct()
+        if version is not None:
+            if versions.where(F.col("version") == version).limit(1).count() == 0:
+                raise ValueError(f"version {version} does not exist (expired or never written)")
+            return version
+        if as_of is not None:
+            v = versions.where(F.col("committed_at") <= F.lit(as_of)).agg(F.max("version")).first()[0]
+            if v is None:
+                raise ValueError(f"no version committed at or before {as_of}")
+            return v
+        return self.current_version()
+
+    def files(self, version: int | None = None, as_of: dt.datetime | None = None) -> DataFrame:
+        v = self.resolve(version, as_of)
+        return self.log().where((F.col("version") == v) & F.col("file_path").isNotNull())
+
+    # ------------------------------------------------------------------ read
+    def read(self, version: int | None = None, as_of: dt.datetime | None = None) -> DataFrame:
+        """Rows of a version (default: current). Partition filters on the
+        result prune files through the partition columns."""
+        paths = [r.file_path for r in self.files(version, as_of).select("file_path").collect()]
+        if not paths:
+            return self._empty()
+        return self.spark.read.option("basePath", self.data).parquet(*paths).drop("commit")
+
+    def _empty(self) -> DataFrame:
+        log = self.log()
+        schema = None if log is None else log.where(F.col("file_path").isNotNull()).select("file_path").first()
+        if schema is None:
+            raise ValueError("table has no data files")
+        return self.spark.read.option("basePath", self.data).parquet(schema[0]).drop("commit").limit(0)
+
+    # ------------------------------------------------------------------ commits
+    def _write_files(self, df: DataFrame, v: int, num_files: int | None = None) -> DataFrame:
+        staged = with_partition_transform(df, self.transforms) if self.transforms else df
+        target = f"{self.data}/commit={v}"
+        if self.partition_by:
+            staged = staged.repartition(num_files, *self.partition_by) if num_files else \
+                staged.repartition(*self.partition_by)
+            staged.write.mode("overwrite").partitionBy(*self.partition_by).parquet(target)
+        else:
+            (staged.repartition(num_files) if num_files else staged).write.mode("overwrite").parquet(target)
+        return self._inventory(target)
+
+    def _inventory(self, target: str) -> DataFrame:
+        inv = file_inventory(self.spark.read.parquet(target))
+        part = F.regexp_extract("file_path", r"/commit=\d+/(.*)/[^/]+$", 1)
+        return inv.select("file_path", part.alias("partition"), "record_count",
+                          F.col("file_size_in_bytes").alias("file_size"))
+
+    def _commit(self, live: DataFrame, operation: str, parent: int | None, committed_at=None) -> int:
+        v = (parent or 0) + 1
+        ts = F.lit(committed_at).cast("timestamp") if committed_at is not None else F.current_timestamp()
+        rows = live.select(F.lit(v).cast("long").alias("version"), F.lit(parent).cast("long").alias("parent_id"),
+                           F.lit(operation).alias("operation"), ts.alias("committed_at"),
+                           "file_path", "partition", "record_count", "file_size")
+        marker = self.spark.createDataFrame([(None, None, 0, 0)],
+                                            "file_path string, partition string, record_count long, file_size long")
+        rows = rows.unionByName(marker.select(
+            F.lit(v).cast("long").alias("version"), F.lit(parent).cast("long").alias("parent_id"),
+            F.lit(operation).alias("operation"), ts.alias("committed_at"), "file_path", "partition",
+            F.lit(None).cast("long").alias("record_count"), F.lit(None).cast("long").alias("file_size")))
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{self.logdir}/version={v}")
+        return v
+
+    def _live(self, v: int | None) -> DataFrame:
+        empty = self.spark.createDataFrame([], "file_path string, partition string, record_count long, file_size long")
+        if v is None:
+            return empty
+        return self.files(v).select("file_path", "partition", "record_count", "file_size")
+
+    def append(self, df: DataFrame, committed_at=None) -> int:
+        """Add ``df`` as a new version (previous files stay live)."""
+        cur = self.current_version()
+        new = self._write_files(df, (cur or 0) + 1)
+        return self._commit(self._live(cur).unionByName(new), "append", cur, committed_at)
+
+    def overwrite(self, df: DataFrame, committed_at=None) -> int:
+        """Replace the whole content (full refresh of a summary table)."""
+        cur = self.current_version()
+        new = self._write_files(df, (cur or 0) + 1)
+        return self._commit(new, "overwrite", cur, committed_at)
+
+    def replace_partitions(self, df: DataFrame, committed_at=None) -> int:
+        """Replace only the partitions present in ``df`` (incremental refresh)."""
+        cur = self.current_version()
+        new = self._write_files(df, (cur or 0) + 1)
+        kept = self._live(cur).join(new.select("partition").distinct(), "partition", "left_anti")
+        return self._commit(kept.unionByName(new), "replace", cur, committed_at)
+
+    def rollback(self, version: int, committed_at=None) -> int:
+        """New version whose content is that of ``version``."""
+        cur = self.current_version()
+        return self._commit(self._live(self.resolve(version)), "rollback", cur, committed_at)
+
+    # ------------------------------------------------------------------ maintenance
+    def expire(self, older_than: dt.datetime, delete_files: bool = True) -> list[int]:
+        """Drop versions committed before ``older_than`` (the current version is
+        always kept); data files no remaining version references are deleted."""
+        log = self.log()
+        cur = self.current_version()
+        gone = [r.version for r in log.where((F.col("committed_at") < F.lit(older_than))
+                                             & (F.col("version") != cur)).select("version").distinct().collect()]
+        if not gone:
+            return []
+        keep_files = log.where(~F.col("version").isin(gone)).select("file_path")
+        dead = (log.where(F.col("version").isin(gone) & F.col("file_path").isNotNull())
+                .select("file_path").distinct().join(keep_files, "file_path", "left_anti"))
+        dead_paths = [r.file_path for r in dead.collect()] if delete_files else []
+        _fs_delete([f"{self.logdir}/version={v}" for v in gone])
+        _fs_delete(dead_paths)
+        return sorted(gone)
+
+    def orphans(self, older_than: dt.datetime | None = None) -> DataFrame:
+        """Files under ``data/`` that no version references (failed writes,
+        expired leftovers), optionally only those modified before a cutoff."""
+        on_disk = list_files(self.spark, self.data)
+        referenced = self.log().where(F.col("file_path").isNotNull()).select(F.col("file_path").alias("path"))
+        out = on_disk.join(referenced.distinct(), "path", "left_anti")
+        if older_than is not None:
+            out = out.where(F.col("modified") < F.lit(older_than))
+        return out
+
+    def remove_orphans(self, older_than: dt.datetime) -> int:
+        return _fs_delete([r.path for r in self.orphans(older_than).select("path").collect()])
+
+    def compact(self, target_bytes: int = 128 * 1024 * 1024, where: str | None = None,
+                committed_at=None) -> int | None:
+        """Rewrite partitions that hold more files than ``ceil(bytes/target)``
+        into that many files; ``where`` (SQL on partition columns) limits the
+        partitions considered. Returns the new version, or None if nothing to do.
+        Rows are unchanged; only the file layout is."""
+        cur = self.current_version()
+        live = self._live(cur)
+        per_part = (live.groupBy("partition").agg(F.count(F.lit(1)).alias("n"), F.sum("file_size").alias("bytes"))
+                    .withColumn("want", F.greatest(F.lit(1), F.ceil(F.col("bytes") / F.lit(target_bytes))))
+                    .where(F.col("n") > F.col("want")))
+        if where:
+            probe = self.read(cur).where(where)
+            hit = file_inventory(probe).select(F.regexp_extract("file_path", r"/commit=\d+/(.*)/[^/]+$", 1)
+                                               .alias("partition")).distinct()
+            per_part = per_part.join(hit, "partition", "left_semi")
+        chosen = per_part.select("partition", "want")
+        victims = live.join(chosen, "partition", "left_semi")
+        paths = [r.file_path for r in victims.select("file_path").collect()]
+        if not paths:
+            return None
+        n_files = int(sum(r.want for r in chosen.collect()))
+        rows = self.spark.read.option("basePath", self.data).parquet(*paths).drop("commit")
+        if self.transforms:
+            rows = rows.drop(*[t[0] for t in self.transforms if t[0] != t[2]])
+        new = self._write_files(rows, (cur or 0) + 1, num_files=max(1, n_files))
+        kept = live.join(victims.select("file_path"), "file_path", "left_anti")
+        return self._commit(kept.unionByName(new), "replace", cur, committed_at)
+
+
+def files_needed(total_bytes: int, target_bytes: int) -> int:
+    return max(1, math.ceil(total_bytes / target_bytes))

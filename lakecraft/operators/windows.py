@@ -102,14 +102,16 @@ def prefix_sums(df: DataFrame, values: dict[str, Column], order: Sequence,
     totals = seg.groupBy(*seg_keys).agg(*[F.sum(t).alias(f"{t}_t") for t in tmp.values()])
     before = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*seg_keys, *[
-        F.coalesce(F.sum(f"{t}_t").over(before), F.lit(0)).alias(f"{t}_off") for t in tmp.values()])
+        F.sum(f"{t}_t").over(before).alias(f"{t}_off") for t in tmp.values()])
     within = Window.partitionBy(*seg_keys).orderBy("_idx").rowsBetween(Window.unboundedPreceding, 0)
     running = seg.select("*", *[F.sum(t).over(within).alias(f"{t}_in") for t in tmp.values()])
     if not group:
         offsets = F.broadcast(offsets)          # one row per range partition
     joined = running.join(offsets, seg_keys)
     for out, t in tmp.items():
-        joined = joined.withColumn(out, F.col(f"{t}_off") + F.col(f"{t}_in"))
+        # SQL SUM is null only while no non-null value has been seen
+        off, inner = F.col(f"{t}_off"), F.col(f"{t}_in")
+        joined = joined.withColumn(out, F.coalesce(off + inner, inner, off))
     drop = ["_pid", "_idx"] + [c for t in tmp.values() for c in (t, f"{t}_off", f"{t}_in")]
     return joined.drop(*drop)
 
