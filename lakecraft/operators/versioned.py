@@ -39,6 +39,8 @@ def _fs_delete(paths: Sequence[str]) -> int:
     import pyarrow.fs as pafs
     n = 0
     for p in paths:
+        if p.startswith("file:") and not p.startswith("file://"):
+            p = "file://" + p[len("file:"):]          # Hadoop writes file:/x, a URI is file:///x
         fs, rel = pafs.FileSystem.from_uri(p if "://" in p else f"file://{p}")
         info = fs.get_file_info(rel)
         if info.type == pafs.FileType.Directory:

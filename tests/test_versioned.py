@@ -1,0 +1,82 @@
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from lakecraft.operators.events import month_rollup
+from lakecraft.operators.versioned import VersionedTable
+
+TS = dt.datetime
+
+
+def _sales(spark, rows):
+    return spark.createDataFrame(rows, "event_id long, event_time timestamp, category string, amount double")
+
+
+def test_sales_events_versions_and_rollup(spark, tmp):
+    t = VersionedTable(spark, f"{tmp}/sales_events",
+                       transforms=[("event_month", "month", "event_time"), ("category", "identity", "category")])
+    v1 = t.append(_sales(spark, [(1, TS(2024, 1, 15, 10), "A", 100.0), (2, TS(2024, 1, 16, 11), "B", 200.0),
+                                 (3, TS(2024, 2, 10, 12), "A", 150.0)]), committed_at=TS(2024, 3, 1))
+    v2 = t.append(_sales(spark, [(4, TS(2024, 2, 20, 9), "B", 250.0), (5, TS(2024, 3, 1, 14), "A", 300.0)]),
+                  committed_at=TS(2024, 3, 2))
+    assert (v1, v2) == (1, 2)
+    assert t.read(1).count() == 3 and t.read(2).count() == 5 and t.read().count() == 5
+    assert t.read(as_of=TS(2024, 3, 1, 12)).count() == 3
+    hist = t.history().collect()
+    assert [h.version for h in hist] == [2, 1] and hist[0].parent_id == 1
+    roll = sorted((r.month, r.category, r.value_sum) for r in
+                  month_rollup(t.read(), "event_time", "category", "amount").collect())
+    assert roll == [("2024-01", "A", 100.0), ("2024-01", "B", 200.0), ("2024-02", "A", 150.0),
+                    ("2024-02", "B", 250.0), ("2024-03", "A", 300.0)]
+    # partition pruning on the derived month column
+    plan = t.read().where(F.col("event_month") == "2024-01")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan or "event_month" in plan
+    # rollback and expiry
+    v3 = t.rollback(1, committed_at=TS(2024, 3, 3))
+    assert t.read(v3).count() == 3
+    gone = t.expire(TS(2024, 3, 2, 12))
+    assert gone == [1, 2]
+    assert t.read().count() == 3
+    try:
+        t.read(1)
+        raise AssertionError("expired version must be refused")
+    except ValueError:
+        pass
+    assert t.orphans().count() == 0          # expiry deleted the files only version 2 used
+    # a failed write leaves files no version references
+    spark.createDataFrame([(9,)], "x int").coalesce(1).write.parquet(f"{t.data}/commit=99")
+    assert t.orphans().count() == 1
+    assert t.orphans(older_than=TS(2000, 1, 1)).count() == 0
+    assert t.remove_orphans(TS(2100, 1, 1)) == 1 and t.orphans().count() == 0
+    assert t.read().count() == 3
+
+
+def test_compaction(spark, tmp):
+    rows = [(1, TS(2024, 6, 1, 8), 10.0), (2, TS(2024, 6, 1, 9), 20.0), (3, TS(2024, 6, 1, 10), 30.0),
+            (4, TS(2024, 6, 2, 8), 40.0), (5, TS(2024, 6, 2, 9), 50.0)]
+
+    def build(name):
+        t = VersionedTable(spark, f"{tmp}/{name}", transforms=[("ts_day", "day", "ts")])
+        for r in rows:
+            t.append(spark.createDataFrame([r], "id long, ts timestamp, value double"))
+        return t
+
+    t = build("events_large")
+    assert t.files().count() == 5
+    before = sorted(tuple(r) for r in t.read().select("id", "ts", "value").collect())
+    t.compact()
+    assert t.files().count() == 2
+    assert sorted(tuple(r) for r in t.read().select("id", "ts", "value").collect()) == before
+    t2 = build("events_large_pred")
+    t2.compact(where="ts_day = DATE '2024-06-01'")
+    assert t2.files().count() == 3
+    assert t2.compact(where="ts_day = DATE '2024-06-01'") is None     # nothing left to do
+
+
+def test_overwrite_and_replace_partitions(spark, tmp):
+    t = VersionedTable(spark, f"{tmp}/mv", partition_by=["d"])
+    t.overwrite(spark.createDataFrame([("x", 1), ("y", 2)], "d string, n int"))
+    t.replace_partitions(spark.createDataFrame([("y", 5)], "d string, n int"))
+    assert sorted((r.d, r.n) for r in t.read().collect()) == [("x", 1), ("y", 5)]
+    t.overwrite(spark.createDataFrame([("z", 9)], "d string, n int"))
+    assert [(r.d, r.n) for r in t.read().collect()] == [("z", 9)]
