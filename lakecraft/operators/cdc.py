@@ -60,7 +60,10 @@ def history(changes: DataFrame, key: str, attrs: Sequence[str],
     null while open); deletes end a version and start none. Duplicate
     deliveries of the same change are collapsed first."""
     keyed = changes.select(row_key(key).alias(key), *order, "op",
-                           *[F.col(f"after.{a}").alias(a) for a in attrs]).dropDuplicates([key, *order])
+                           *[F.col(f"after.{a}").alias(a) for a in attrs])
+    # a redelivered change has the same content but a new offset: collapse by content
+    keyed = latest_per_key(keyed, [key, order[0], "op", *attrs], list(order[1:])) if len(order) > 1 \
+        else keyed.dropDuplicates([key, order[0], "op", *attrs])
     nxt = lead_in_group(keyed, [key], [F.col(c) for c in order], {"_next_ts": order[0]})
     return nxt.where(F.col("op") != "d").select(
         key, *attrs, F.timestamp_millis("ts_ms").cast("timestamp_ntz").alias("valid_from"),
