@@ -146,6 +146,21 @@ def gold_metrics(orders):
                  money_avg("total_amount").alias("avg_order_value")))
 
 
+@register("medallion_gold", with_retail(
+    f"SELECT order_date, {M('total_amount')} AS daily_revenue, COUNT(DISTINCT order_id) AS total_orders, "
+    "COUNT(DISTINCT customer_id) AS unique_customers, "
+    "CASE WHEN COUNT(total_amount) > 0 THEN CAST(SUM(CAST(total_amount AS DECIMAL(12,2))) AS DOUBLE) "
+    "/ CAST(COUNT(total_amount) AS DOUBLE) END AS avg_order_value FROM silver GROUP BY order_date",
+    "silver AS (SELECT DISTINCT order_id, customer_id, order_date, total_amount, trim(status) AS status, "
+    "created_at FROM app_orders WHERE order_id IS NOT NULL)"))
+def medallion_gold(spark, d):
+    """Bronze -> silver -> gold on the orders table: the generic silver pass
+    (trim, key present, numeric casts, exact duplicates removed), then the gold
+    daily metrics."""
+    from lakecraft.operators.cleaning import clean_silver
+    return gold_metrics(clean_silver(T.orders(spark, d)))
+
+
 @register("order_totals", with_retail(
     f"SELECT o.order_id, {M('oi.subtotal')} AS total_amount FROM app_orders o "
     "LEFT JOIN app_items oi ON oi.order_id = o.order_id GROUP BY o.order_id"))
