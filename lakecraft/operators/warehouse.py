@@ -198,3 +198,13 @@ def validity_lookup(facts: DataFrame, dim: DataFrame, key: str, fact_date: str,
     v = dim.select(F.col(key).alias("_k"), "valid_from", "valid_to", *keep)
     return facts.join(v, (facts[key] == v["_k"]) & (v["valid_from"] <= facts[fact_date])
                       & (facts[fact_date] < v["valid_to"]), "left").drop("_k", "valid_from", "valid_to")
+
+
+def apply_defaults(df: DataFrame, defaults: dict) -> DataFrame:
+    """Column defaults on load (``status`` -> 'created', ``created_at`` -> now):
+    ``coalesce(col, default)``; a missing column is added with the default."""
+    out = df
+    for c, v in defaults.items():
+        dv = v if isinstance(v, Column) else F.lit(v)
+        out = out.withColumn(c, F.coalesce(F.col(c), dv) if c in df.columns else dv)
+    return out

@@ -127,3 +127,15 @@ def console(df: DataFrame, checkpoint: str | None = None):
     if checkpoint:
         w = w.option("checkpointLocation", checkpoint)
     return w.start()
+
+
+def copy_query(raw: DataFrame, path: str, checkpoint: str, schema: T.StructType = EVENT_SCHEMA,
+               where: str | None = None, trigger: dict | None = None):
+    """Typed JSON sink table fed by ``INSERT INTO sink SELECT * FROM source``:
+    parse messages with a declared schema, optional stateless filter, write
+    typed JSON files (exactly once through the file-sink log)."""
+    rows = raw.select(F.from_json(F.col("value").cast("string"), schema).alias("r")).select("r.*")
+    if where:
+        rows = rows.where(where)
+    return (rows.writeStream.format("json").option("path", path).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True})).start())
