@@ -9,8 +9,8 @@ operators here give the same results with range partitioning on the full
 1. ``repartitionByRange`` on (group, order) keys - a hot group is spread over
    many partitions because the composite key is unique;
 2. each range partition is sorted and tagged with its partition id and local
-   row index, then written to the reliable checkpoint folder so the tags are
-   stable if an executor is lost and a stage is recomputed;
+   row index, then written as a Parquet table in the shared checkpoint folder
+   so the tags are stable if an executor is lost and a stage is recomputed;
 3. per (partition, group) totals - a table with at most
    ``#partitions + #groups`` rows - give the offset of each segment;
 4. the answer is ``segment offset + within-segment value``.
@@ -26,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakecraft.session import checkpoint_dir
+from lakecraft.session import materialize
 
 _LOCAL_MASK = (1 << 33) - 1   # monotonically_increasing_id: partition << 33 | row
 
@@ -51,8 +51,8 @@ def range_segments(df: DataFrame, order: Sequence, group: Sequence = (),
     ``_pid`` (range partition) and ``_idx`` (0-based row index in it).
 
     ``order`` must make rows unique within ``group`` (add the primary key as
-    the last sort column). With ``stable`` the tagged frame is checkpointed to
-    the session's reliable checkpoint directory.
+    the last sort column). With ``stable`` the tagged frame is written to the
+    shared checkpoint folder and read back (lineage cut, ids fixed).
     """
     keys = _cols(list(group)) + _cols(list(order))
     n = _num_partitions(df, num_partitions)
@@ -61,8 +61,7 @@ def range_segments(df: DataFrame, order: Sequence, group: Sequence = (),
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_idx", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOCAL_MASK))))
     if stable:
-        checkpoint_dir(df.sparkSession)
-        tagged = tagged.checkpoint(eager=True)
+        tagged = materialize(tagged, "segments")
     return tagged
 
 

@@ -18,7 +18,7 @@ from lakecraft.operators import warehouse as WH
 from lakecraft.operators.windows import latest_per_key
 from lakecraft.plans.params import AS_OF, AS_OF_SQL
 from lakecraft.plans.registry import register
-from lakecraft.session import checkpoint_dir
+from lakecraft.session import checkpoint_dir, materialize
 from lakecraft.sources import tables as T
 from lakecraft.sources.tables import with_retail
 
@@ -30,7 +30,7 @@ class Mart:
     """The star schema derived from the base tables.
 
     Like the reference's stored mart tables, the dimensions and the fact table
-    are materialized once (reliable checkpoint in the shared checkpoint folder)
+    are materialized once (Parquet tables in the shared checkpoint folder)
     and then read by every mart query of the session; :meth:`refresh` rebuilds
     them after the sources change. Parts are built on first use only.
     """
@@ -44,14 +44,14 @@ class Mart:
         dim = WH.with_surrogate_key(
             WH.scd2_initial(self.customers, "customer_id", CUSTOMER_ATTRS, AS_OF),
             ["customer_id", "valid_from"], "customer_sk")
-        return dim.checkpoint(eager=True)
+        return materialize(dim, "dim")
 
     @cached_property
     def dim_product(self):
         dim = WH.with_surrogate_key(
             WH.scd2_initial(self.products, "product_id", PRODUCT_ATTRS, AS_OF),
             ["product_id", "valid_from"], "product_sk")
-        return dim.checkpoint(eager=True)
+        return materialize(dim, "dim")
 
     @cached_property
     def dim_date(self):
@@ -60,7 +60,7 @@ class Mart:
     @cached_property
     def fact(self):
         fact = WH.fact_sales(self.items, self.orders, self.dim_customer, self.dim_product)
-        return fact.checkpoint(eager=True)
+        return materialize(fact, "fact_sales")
 
     @cached_property
     def fact_with_id(self):

@@ -64,3 +64,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for intermediate tables inside the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def materialize(df, name: str = "table"):
+    """Cut lineage by writing ``df`` as a Parquet table in the shared checkpoint
+    folder and reading it back.
+
+    Compared with ``Dataset.checkpoint()`` this is one write job (no second
+    pass to save the RDD), and later scans get column pruning and real file
+    statistics, which AQE uses for join planning. Files survive executor loss.
+    """
+    import uuid
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -18,7 +18,6 @@ from pyspark.sql import types as T
 
 from lakecraft.operators.cdc import decode_envelope, row_key
 from lakecraft.operators.windows import latest_per_key
-from lakecraft.session import checkpoint_dir
 
 
 def raw_to_bronze(raw: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
@@ -88,9 +87,7 @@ def apply_batch(changes: DataFrame, batch_id: int, path: str, key: str, row: T.S
     keep = (current.join(touched, "_bucket", "left_semi")
             .join(latest.select(F.col("_key").alias(key)), key, "left_anti"))
     upserts = latest.where(F.col("op") != "d").select("after.*", "_bucket")
-    checkpoint_dir(spark)
     staged = keep.unionByName(upserts.select(*keep.columns)).withColumn("v", F.lit(v).cast("long"))
-    staged = staged.checkpoint(eager=True)
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("_bucket", "v").parquet(f"{path}/data"))
     touched.select("_bucket", F.lit(v).cast("long").alias("v"), F.lit(source).alias("source"),
