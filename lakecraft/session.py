@@ -78,4 +78,4 @@ def materialize(df, name: str = "table"):
     spark = df.sparkSession
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)      # known schema: no footer-reading job
