@@ -17,6 +17,7 @@ from lakecraft.operators import cdc as C
 from lakecraft.plans.registry import register
 from lakecraft.sources import tables as T
 from lakecraft.sources.tables import with_retail
+from lakecraft.session import shared_table
 
 ROW_COLS = ["order_id", "customer_id", "status", "total_amount"]
 DIFF_AT = dt.datetime(2000, 1, 1)            # the "old" snapshot time of cdc_diff
@@ -24,6 +25,11 @@ DIFF_AT_MS = int(DIFF_AT.replace(tzinfo=dt.timezone.utc).timestamp() * 1000)
 
 
 def order_change_feed(spark, d):
+    """The change topic as landed in bronze: built once per session and folder."""
+    return shared_table(spark, ("order_changes", d.rstrip("/")), lambda: build_order_change_feed(spark, d))
+
+
+def build_order_change_feed(spark, d):
     o = T.orders(spark, d)
     shipped = T.order_items(spark, d).groupBy("order_id").agg(F.max("created_at").alias("shipped_at"))
     j = o.join(shipped, "order_id", "left")
@@ -113,3 +119,13 @@ def fact_asof_dim(spark, d):
     j = i.join(h, (i["order_id"] == h["_k"]) & (h["valid_from"] <= i["created_at"]) & (i["created_at"] < h["_to"]),
                "left")
     return j.select("order_id", "line_number", "created_at", F.col("status").alias("status_at_ship"))
+
+
+@register("cdc_feed", with_retail("SELECT op, ts_ms, seq, order_id, customer_id, status, total_amount FROM feed",
+                                  FEED_CTES))
+def cdc_feed(spark, d):
+    """The derived change feed, flattened (key from the after or before image)."""
+    f = order_change_feed(spark, d)
+    return f.select("op", "ts_ms", "seq", C.row_key("order_id").alias("order_id"),
+                    F.col("after.customer_id").alias("customer_id"), F.col("after.status").alias("status"),
+                    F.col("after.total_amount").alias("total_amount"))

@@ -12,6 +12,7 @@ from lakecraft.operators.windows import prefix_sums
 from lakecraft.plans.registry import register
 from lakecraft.sources import tables as T
 from lakecraft.sources.tables import with_retail
+from lakecraft.session import shared_table
 
 TRAINING_TTL = dt.timedelta(days=30)        # look-back of the training-set join
 SERVING_TTL = dt.timedelta(days=30)
@@ -24,6 +25,12 @@ CUSTOMER_FEATURES = FS.FeatureView(
 
 
 def customer_features(spark, d):
+    """The offline feature table (a stored Parquet source of the feature view):
+    built once per session and folder."""
+    return shared_table(spark, ("customer_features", d.rstrip("/")), lambda: build_customer_features(spark, d))
+
+
+def build_customer_features(spark, d):
     """Per customer, cumulative spend and order count, stamped at the end of
     each day with orders (the value becomes known when the day closes).
     Orders are first aggregated per (customer, day), then a segmented running
@@ -49,7 +56,7 @@ cf AS (SELECT customer_id, CAST(order_date + INTERVAL 1 DAY AS TIMESTAMP) AS eve
 
 @register("customer_features", with_retail("SELECT * FROM cf", CF_CTES))
 def q_customer_features(spark, d):
-    return customer_features(spark, d)
+    return build_customer_features(spark, d)
 
 
 @register("feature_asof", with_retail(

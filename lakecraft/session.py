@@ -79,3 +79,21 @@ def materialize(df, name: str = "table"):
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)      # known schema: no footer-reading job
+
+
+_SHARED: dict = {}
+
+
+def shared_table(spark: SparkSession, key: tuple, build):
+    """Derived input tables (mart, change feed, feature table) built once per
+    application and source folder, stored with :func:`materialize`; later
+    queries of the session read the stored table."""
+    k = (spark.sparkContext.applicationId,) + tuple(key)
+    if k not in _SHARED:
+        _SHARED[k] = materialize(build(), "_".join(str(x) for x in key[:1]))
+    return _SHARED[k]
+
+
+def drop_shared(spark: SparkSession, key: tuple) -> None:
+    """Forget a shared table so the next use rebuilds it (sources changed)."""
+    _SHARED.pop((spark.sparkContext.applicationId,) + tuple(key), None)
