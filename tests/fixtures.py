@@ -17,7 +17,7 @@ ORDERS = [(1, 1, D(2025, 1, 26), "completed"), (2, 2, D(2025, 1, 29), "completed
           (3, 3, D(2025, 1, 21), "completed"), (4, 1, D(2025, 1, 30), "created"),
           (5, 5, D(2025, 1, 31), "created")]
 ITEMS = [(1, 1, 1, 1, 23000000.0), (2, 1, 4, 1, 5500000.0), (3, 2, 3, 1, 32000000.0),
-         (4, 3, 2, 1, 21000000.0), (5, 3, 5, 1, 5000000.0), (6, 4, 5, 1, 9000000.0),
+         (4, 3, 2, 1, 21000000.0), (5, 3, 6, 2, 5000000.0), (6, 4, 5, 1, 9000000.0),
          (7, 5, 6, 1, 2500000.0)]
 
 PRODUCTS_CSV = """product_name,category,price
