@@ -46,8 +46,9 @@ def sessionize(events: DataFrame, gap_seconds: int, key: str = "user_id", ts: st
     span several range partitions. Within a partition the previous event comes
     from ``lag``; the first row of a partition takes the last timestamp of the
     key's previous partition (a table with one row per partition and key). A
-    session starts where the gap to the previous event is at least
-    ``gap_seconds``; session numbers are running counts of starts, computed the
+    session starts where the gap to the previous event exceeds ``gap_seconds``
+    (an event exactly one gap later stays in the session, as with
+    ``session_window``); session numbers are running counts of starts, computed the
     same segmented way. Sessions are then a partially aggregated group-by.
     Output matches ``session_window``: [first event, last event + gap).
     """
@@ -59,7 +60,7 @@ def sessionize(events: DataFrame, gap_seconds: int, key: str = "user_id", ts: st
     rows = seg.join(prev_seg, sk).select(
         "*", F.coalesce(F.lag(ts).over(in_seg), F.col("_prev_last")).alias("_prev"))
     gap = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(gap_seconds))
-    rows = rows.withColumn("_start", F.when(F.col("_prev").isNull() | (F.col(ts) >= F.col("_prev") + gap), 1)
+    rows = rows.withColumn("_start", F.when(F.col("_prev").isNull() | (F.col(ts) > F.col("_prev") + gap), 1)
                            .otherwise(0))
     # running count of session starts: within-segment running sum + starts of earlier segments
     starts = rows.groupBy(*sk).agg(F.sum("_start").alias("_s"))

@@ -37,7 +37,7 @@ def ev_sliding(spark, d):
 
 SESSION_SQL = """
 WITH e AS (SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM events),
-f AS (SELECT *, CASE WHEN prev IS NULL OR ts >= prev + INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS st FROM e),
+f AS (SELECT *, CASE WHEN prev IS NULL OR ts > prev + INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS st FROM e),
 g AS (SELECT *, SUM(st) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sn FROM f)
 SELECT user_id, MIN(ts) AS window_start, MAX(ts) + INTERVAL 30 MINUTE AS window_end, COUNT(*) AS n_events
 FROM g GROUP BY user_id, sn
