@@ -35,6 +35,26 @@ def money_avg(c) -> Column:
     return F.when(n > 0, F.sum(money(c)).cast("double") / n.cast("double"))
 
 
+def ntz(value) -> Column:
+    """Zone-less timestamp literal from a ``datetime``/``date`` (parsed from
+    text, so the session time zone plays no part)."""
+    return F.lit(str(value)).cast("timestamp_ntz")
+
+
+_EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
+
+
+def epoch_millis(c) -> Column:
+    """Milliseconds since 1970-01-01 of a zone-less timestamp (taken as UTC)."""
+    return F.expr(f"timestampdiff(MILLISECOND, {_EPOCH}, {c})") if isinstance(c, str) else \
+        F.timestamp_diff("MILLISECOND", F.expr(_EPOCH), c)
+
+
+def from_epoch_millis(c) -> Column:
+    """Zone-less timestamp of epoch milliseconds (inverse of :func:`epoch_millis`)."""
+    return F.timestamp_add("MILLISECOND", _c(c), F.expr(_EPOCH))
+
+
 def date_key(d) -> Column:
     """``TO_CHAR(d,'YYYYMMDD')::INT``."""
     return F.date_format(_c(d), "yyyyMMdd").cast("int")

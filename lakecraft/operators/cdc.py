@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakecraft.functions.scalars import from_epoch_millis
 from lakecraft.operators.windows import latest_per_key, lead_in_group
 
 
@@ -66,8 +67,8 @@ def history(changes: DataFrame, key: str, attrs: Sequence[str],
         else keyed.dropDuplicates([key, order[0], "op", *attrs])
     nxt = lead_in_group(keyed, [key], [F.col(c) for c in order], {"_next_ts": order[0]})
     return nxt.where(F.col("op") != "d").select(
-        key, *attrs, F.timestamp_millis("ts_ms").cast("timestamp_ntz").alias("valid_from"),
-        F.timestamp_millis("_next_ts").cast("timestamp_ntz").alias("valid_to"))
+        key, *attrs, from_epoch_millis("ts_ms").alias("valid_from"),
+        from_epoch_millis("_next_ts").alias("valid_to"))
 
 
 def apply_changes(target: DataFrame, changes: DataFrame, key: str,

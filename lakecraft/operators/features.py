@@ -20,6 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakecraft.functions.scalars import ntz
 from lakecraft.operators.windows import carry_forward, latest_per_key
 
 
@@ -84,9 +85,9 @@ def materialize_latest(features: DataFrame, key: str, ts: str, start=None, end=N
     into the serving table."""
     f = features
     if start is not None:
-        f = f.where(F.col(ts) > F.lit(start))
+        f = f.where(F.col(ts) > ntz(start))
     if end is not None:
-        f = f.where(F.col(ts) <= F.lit(end))
+        f = f.where(F.col(ts) <= ntz(end))
     rest = [c for c in f.columns if c not in (key, ts)]
     return latest_per_key(f, [key], [ts, *rest])
 
@@ -99,7 +100,7 @@ def lookup(entities: DataFrame, serving: DataFrame, key: str, ts: str, feature_c
     j = entities.join(s, key, "left")
     fresh = F.col(ts).isNotNull()
     if ttl is not None:
-        fresh = fresh & (F.col(ts) >= F.lit(now) - F.make_dt_interval(
+        fresh = fresh & (F.col(ts) >= ntz(now) - F.make_dt_interval(
             F.lit(0), F.lit(0), F.lit(0), F.lit(_ttl_seconds(ttl))))
     return j.select(*entities.columns, *[F.when(fresh, F.col(c)).alias(c) for c in feature_cols],
                     F.when(fresh, F.col(ts)).alias(ts))

@@ -13,6 +13,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from lakecraft.functions.scalars import epoch_millis, ntz
 from lakecraft.operators import cdc as C
 from lakecraft.plans.registry import register
 from lakecraft.sources import tables as T
@@ -38,7 +39,7 @@ def build_order_change_feed(spark, d):
         return F.struct(F.col("order_id"), F.col("customer_id"), status.alias("status"), F.col("total_amount"))
 
     row_type = o.select(image(F.col("status")).alias("r")).schema["r"].dataType
-    ms = lambda c: F.unix_millis(c.cast("timestamp"))
+    ms = epoch_millis
     creates = o.select(F.lit("c").alias("op"), ms(F.col("created_at")).alias("ts_ms"), F.lit(0).alias("seq"),
                        F.lit(None).cast(row_type).alias("before"), image(F.lit("O")).alias("after"))
     updates = j.where(F.col("shipped_at").isNotNull()).select(
@@ -114,7 +115,7 @@ def fact_asof_dim(spark, d):
     plus a half-open validity range; open versions end at +infinity)."""
     hist = C.history(order_change_feed(spark, d), "order_id", ["status"])
     h = hist.select(F.col("order_id").alias("_k"), "status", "valid_from",
-                    F.coalesce("valid_to", F.lit(dt.datetime(9999, 12, 31)).cast("timestamp_ntz")).alias("_to"))
+                    F.coalesce("valid_to", ntz(dt.datetime(9999, 12, 31))).alias("_to"))
     i = T.order_items(spark, d).select("order_id", "line_number", "created_at")
     j = i.join(h, (i["order_id"] == h["_k"]) & (h["valid_from"] <= i["created_at"]) & (i["created_at"] < h["_to"]),
                "left")

@@ -7,7 +7,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from lakecraft.functions.scalars import days_before, money, money_avg, money_sum
+from lakecraft.functions.scalars import days_before, money, money_avg, money_sum, ntz
 from lakecraft.operators import quality as Q
 from lakecraft.plans.params import AS_OF, AS_OF_SQL, CATEGORY
 from lakecraft.plans.registry import register
@@ -74,7 +74,7 @@ def orders_last_30d(spark, d):
 @register("orders_recent", with_retail(
     f"SELECT * FROM app_orders WHERE created_at > CAST({AS_OF_SQL} AS TIMESTAMP) - INTERVAL 1 DAY"))
 def orders_recent(spark, d):
-    cutoff = F.lit(dt.datetime.combine(AS_OF, dt.time())).cast("timestamp_ntz") - F.expr("INTERVAL 1 DAY")
+    cutoff = ntz(dt.datetime.combine(AS_OF, dt.time())) - F.expr("INTERVAL 1 DAY")
     return T.orders(spark, d).where(F.col("created_at") > cutoff)
 
 

@@ -63,8 +63,9 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Event log with a session-zone ``timestamp`` (watermarks refuse NTZ)."""
-    return table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    """Event log; ``ts`` stays a zone-less timestamp so batch windows do not
+    depend on the session time zone (streams cast it for watermarks)."""
+    return table(spark, sf_dir, "events")
 
 
 # The same views in SQL, prepended to oracle queries (DuckDB has the base
