@@ -104,3 +104,13 @@ def lookup(entities: DataFrame, serving: DataFrame, key: str, ts: str, feature_c
             F.lit(0), F.lit(0), F.lit(0), F.lit(_ttl_seconds(ttl))))
     return j.select(*entities.columns, *[F.when(fresh, F.col(c)).alias(c) for c in feature_cols],
                     F.when(fresh, F.col(ts)).alias(ts))
+
+
+def materialize_incremental(serving: DataFrame | None, features: DataFrame, key: str, ts: str,
+                            last_end, end) -> DataFrame:
+    """One incremental materialization run: the latest rows in ``(last_end,
+    end]`` replace the entities' serving rows (upsert); entities without new
+    rows keep theirs. Equal to a full run over ``(-inf, end]``."""
+    from lakecraft.operators.warehouse import upsert
+    fresh = materialize_latest(features, key, ts, last_end, end)
+    return fresh if serving is None else upsert(serving, fresh, [key])

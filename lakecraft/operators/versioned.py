@@ -20,7 +20,6 @@ Single writer per table is assumed (no concurrent-commit protocol).
 from __future__ import annotations
 
 import datetime as dt
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +28,7 @@ from pyspark.sql import functions as F
 from lakecraft.sources.files import file_inventory, list_files
 from lakecraft.sources.sinks import with_partition_transform
 
+# one log row per live data file of a version (plus a marker row so empty versions exist)
 LOG_COLS = ["version", "parent_id", "operation", "committed_at", "file_path", "partition", "record_count",
             "file_size"]
 
@@ -246,7 +246,3 @@ class VersionedTable:
         new = self._write_files(rows, (cur or 0) + 1, num_files=max(1, n_files))
         kept = live.join(victims.select("file_path"), "file_path", "left_anti")
         return self._commit(kept.unionByName(new), "replace", cur, committed_at)
-
-
-def files_needed(total_bytes: int, target_bytes: int) -> int:
-    return max(1, math.ceil(total_bytes / target_bytes))

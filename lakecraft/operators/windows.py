@@ -35,10 +35,6 @@ def _cols(cs) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cs]
 
 
-def _names(cs) -> list[str]:
-    return [c for c in cs if isinstance(c, str)]
-
-
 def _num_partitions(df: DataFrame, n: int | None) -> int:
     if n:
         return n

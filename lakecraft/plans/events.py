@@ -3,8 +3,6 @@ batch twins of the streaming window jobs."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from lakecraft.operators import events as E
 from lakecraft.plans.registry import register
 from lakecraft.sources import tables as T

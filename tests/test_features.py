@@ -35,3 +35,15 @@ def test_materialize_and_lookup(spark):
     got = FS.lookup(ents, latest, "customer_id", "event_timestamp", ["total_amount"], TS(2025, 1, 4),
                     dt.timedelta(days=2))
     assert sorted((r.customer_id, r.total_amount) for r in got.collect()) == [(1, 2.0), (2, None), (3, None)]
+
+
+def test_incremental_materialization_equals_full(spark):
+    from lakecraft.plans.features import build_customer_features
+    from tests.conftest import SF_SMALL
+    f = build_customer_features(spark, SF_SMALL)
+    t1, t2 = TS(1999, 1, 1), TS(2001, 8, 2)
+    s1 = FS.materialize_incremental(None, f, "customer_id", "event_timestamp", None, t1)
+    s2 = FS.materialize_incremental(s1, f, "customer_id", "event_timestamp", t1, t2)
+    full = FS.materialize_latest(f, "customer_id", "event_timestamp", None, t2)
+    key = lambda d: sorted(tuple(r) for r in d.select(*full.columns).collect())
+    assert key(s2) == key(full)
