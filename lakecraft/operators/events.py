@@ -44,8 +44,9 @@ def sessionize(events: DataFrame, gap_seconds: int, key: str = "user_id", ts: st
 
     Rows are range-partitioned on (key, ts, tiebreak), so one key's events may
     span several range partitions. Within a partition the previous event comes
-    from ``lag``; the first row of a partition takes the last timestamp of the
-    key's previous partition (a table with one row per partition and key). A
+    from ``lag``; only a partition's first key can continue from the previous
+    partition, so the carried values (last timestamp, session count) form a
+    table with one row per partition, which is broadcast. A
     session starts where the gap to the previous event exceeds ``gap_seconds``
     (an event exactly one gap later stays in the session, as with
     ``session_window``); session numbers are running counts of starts, computed the
@@ -53,21 +54,28 @@ def sessionize(events: DataFrame, gap_seconds: int, key: str = "user_id", ts: st
     Output matches ``session_window``: [first event, last event + gap).
     """
     seg = range_segments(events.select(key, ts, tiebreak), [F.col(ts), F.col(tiebreak)], group=[key])
-    sk = ["_pid", key]
-    in_seg = Window.partitionBy(*sk).orderBy("_idx")
-    last = seg.groupBy(*sk).agg(F.max(ts).alias("_last"), F.count(F.lit(1)).alias("_n"))
-    prev_seg = last.select(*sk, F.lag("_last").over(Window.partitionBy(key).orderBy("_pid")).alias("_prev_last"))
-    rows = seg.join(prev_seg, sk).select(
-        "*", F.coalesce(F.lag(ts).over(in_seg), F.col("_prev_last")).alias("_prev"))
+    g = F.col(key)
+    w = Window.orderBy("_pid")                       # over one row per range partition
+    in_seg = Window.partitionBy("_pid", key).orderBy("_idx")
+    tab = seg.groupBy("_pid").agg(F.min_by(g, F.col("_idx")).alias("_gf"), F.max_by(g, F.col("_idx")).alias("_gl"),
+                                  F.max_by(F.col(ts), F.col("_idx")).alias("_lts"))
+    cont = F.lag("_gl").over(w).eqNullSafe(F.col("_gf"))
+    prev_tab = tab.select("_pid", "_gf", "_gl", F.when(cont, F.lag("_lts").over(w)).alias("_pl"))
+    rows = seg.join(F.broadcast(prev_tab), "_pid", "left").select(
+        "*", F.coalesce(F.lag(ts).over(in_seg), F.when(g.eqNullSafe(F.col("_gf")), F.col("_pl"))).alias("_prev"))
     gap = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(gap_seconds))
     rows = rows.withColumn("_start", F.when(F.col("_prev").isNull() | (F.col(ts) > F.col("_prev") + gap), 1)
                            .otherwise(0))
-    # running count of session starts: within-segment running sum + starts of earlier segments
-    starts = rows.groupBy(*sk).agg(F.sum("_start").alias("_s"))
-    offs = starts.select(*sk, F.coalesce(F.sum("_s").over(
-        Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    numbered = rows.select("*", F.sum("_start").over(in_seg.rowsBetween(Window.unboundedPreceding, 0)).alias("_in")) \
-        .join(offs, sk).withColumn("session_no", F.col("_off") + F.col("_in"))
+    # session numbers: within-partition running count of starts plus the starts
+    # the key had in earlier range partitions (carried only into a partition's first key)
+    last_starts = rows.where(g.eqNullSafe(F.col("_gl"))).groupBy("_pid").agg(F.sum("_start").alias("_s"))
+    run = Window.partitionBy("_gl").orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0)
+    cum = prev_tab.join(F.broadcast(last_starts), "_pid", "left").select("_pid", "_gf", "_gl", F.sum("_s").over(run).alias("_c"))
+    offs = cum.select("_pid", F.when(F.lag("_gl").over(w).eqNullSafe(F.col("_gf")), F.lag("_c").over(w)).alias("_off"))
+    numbered = (rows.select("*", F.sum("_start").over(in_seg.rowsBetween(Window.unboundedPreceding, 0)).alias("_in"))
+                .join(F.broadcast(offs), "_pid", "left")
+                .withColumn("session_no", F.when(g.eqNullSafe(F.col("_gf")), F.coalesce("_off", F.lit(0)))
+                            .otherwise(0) + F.col("_in")))
     sessions = numbered.groupBy(key, "session_no").agg(
         F.min(ts).alias("_lo"), F.max(ts).alias("_hi"), F.count(F.lit(1)).alias("n_events"))
     return sessions.select(key, F.col("_lo").cast("timestamp_ntz").alias("window_start"),

@@ -78,13 +78,30 @@ def global_row_number(df: DataFrame, order: Sequence, out: str = "rn",
             .drop("_pid", "_idx", "_off"))
 
 
+def _gkey(group: Sequence[str]) -> Column:
+    """The group as one comparable value (a constant for a global window)."""
+    return F.struct(*[F.col(c) for c in group]) if group else F.lit(0)
+
+
+def _prev_segment(tab: DataFrame, cols: Sequence[str]) -> list[Column]:
+    """For each segment (one row per range partition): the given columns of the
+    previous segment, but only when that segment ends with the group this one
+    starts with (only then does the group continue across the boundary)."""
+    w = Window.orderBy("_pid")
+    same = F.lag("_gl").over(w).eqNullSafe(F.col("_gf"))
+    return [F.when(same, F.lag(c).over(w)).alias(f"_prev{c}") for c in cols]
+
+
 def prefix_sums(df: DataFrame, values: dict[str, Column], order: Sequence,
                 group: Sequence[str] = (), num_partitions: int | None = None) -> DataFrame:
     """Running sums ``SUM(v) OVER (PARTITION BY group ORDER BY order ROWS
     UNBOUNDED PRECEDING)`` for each ``out -> value expression`` in ``values``.
 
     ``order`` must be unique within ``group``; a hot group is split over several
-    range partitions, so no group is bound to one task.
+    range partitions, so no group is bound to one task. Since rows are sorted
+    on (group, order), only the first group of a range partition can continue
+    from earlier partitions: the carried offsets form a table with one row per
+    partition, which is broadcast.
     """
     group = list(group)
     staged = df
@@ -93,21 +110,25 @@ def prefix_sums(df: DataFrame, values: dict[str, Column], order: Sequence,
         tmp[out] = f"_v{i}"
         staged = staged.withColumn(f"_v{i}", expr)
     seg = range_segments(staged, order, group=group, num_partitions=num_partitions)
-    seg_keys = ["_pid"] + group
-    totals = seg.groupBy(*seg_keys).agg(*[F.sum(t).alias(f"{t}_t") for t in tmp.values()])
-    before = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*seg_keys, *[
-        F.sum(f"{t}_t").over(before).alias(f"{t}_off") for t in tmp.values()])
-    within = Window.partitionBy(*seg_keys).orderBy("_idx").rowsBetween(Window.unboundedPreceding, 0)
+    g = _gkey(group)
+    edges = seg.groupBy("_pid").agg(F.min_by(g, F.col("_idx")).alias("_gf"),
+                                    F.max_by(g, F.col("_idx")).alias("_gl"))
+    # totals of each partition's last group (the only one that can continue)
+    last_tot = (seg.join(F.broadcast(edges.select("_pid", "_gl")), "_pid").where(g.eqNullSafe(F.col("_gl")))
+                .groupBy("_pid").agg(*[F.sum(t).alias(f"{t}_t") for t in tmp.values()]))
+    run = Window.partitionBy("_gl").orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0)
+    tab = edges.join(F.broadcast(last_tot), "_pid", "left").select(
+        "_pid", "_gf", "_gl", *[F.sum(f"{t}_t").over(run).alias(f"{t}_c") for t in tmp.values()])
+    offsets = tab.select("_pid", "_gf", *_prev_segment(tab, [f"{t}_c" for t in tmp.values()]))
+    within = Window.partitionBy("_pid", *group).orderBy("_idx").rowsBetween(Window.unboundedPreceding, 0)
     running = seg.select("*", *[F.sum(t).over(within).alias(f"{t}_in") for t in tmp.values()])
-    if not group:
-        offsets = F.broadcast(offsets)          # one row per range partition
-    joined = running.join(offsets, seg_keys)
+    joined = running.join(F.broadcast(offsets), "_pid", "left")   # one row per range partition
     for out, t in tmp.items():
         # SQL SUM is null only while no non-null value has been seen
-        off, inner = F.col(f"{t}_off"), F.col(f"{t}_in")
+        off = F.when(g.eqNullSafe(F.col("_gf")), F.col(f"_prev{t}_c"))
+        inner = F.col(f"{t}_in")
         joined = joined.withColumn(out, F.coalesce(off + inner, inner, off))
-    drop = ["_pid", "_idx"] + [c for t in tmp.values() for c in (t, f"{t}_off", f"{t}_in")]
+    drop = ["_pid", "_idx", "_gf"] + [c for t in tmp.values() for c in (t, f"_prev{t}_c", f"{t}_in")]
     return joined.drop(*drop)
 
 
@@ -186,21 +207,26 @@ def lead_in_group(df: DataFrame, group: Sequence[str], order: Sequence, values:
     ``out -> col`` in ``values``, parallel for hot groups.
 
     Within a range partition the next row is ``lead``; the last row of a
-    partition takes the first row of the group's next partition (from a table
-    with one row per partition and group).
+    partition's last group takes the next partition's first row when that
+    partition starts with the same group (a table with one row per partition,
+    broadcast).
     """
     group = list(group)
     seg = range_segments(df, order, group=group, num_partitions=num_partitions)
-    sk = ["_pid"] + group
-    in_seg = Window.partitionBy(*sk).orderBy("_idx")
+    g = _gkey(group)
     packed = F.struct(*[F.col(c).alias(c) for c in values.values()])
-    firsts = seg.groupBy(*sk).agg(F.min_by(packed, F.col("_idx")).alias("_first"))
-    nxt = firsts.select(*sk, F.lead("_first").over(Window.partitionBy(*group).orderBy("_pid")).alias("_next"))
-    rows = seg.join(nxt, sk)
+    tab = seg.groupBy("_pid").agg(F.min_by(g, F.col("_idx")).alias("_gf"), F.max_by(g, F.col("_idx")).alias("_gl"),
+                                  F.min_by(packed, F.col("_idx")).alias("_first"))
+    w = Window.orderBy("_pid")
+    nxt = tab.select("_pid", "_gl", F.when(F.lead("_gf").over(w).eqNullSafe(F.col("_gl")),
+                                           F.lead("_first").over(w)).alias("_next"))
+    in_seg = Window.partitionBy("_pid", *group).orderBy("_idx")
+    rows = seg.join(F.broadcast(nxt), "_pid", "left")
     is_last = F.lead("_idx").over(in_seg).isNull()
     for out, c in values.items():
-        rows = rows.withColumn(out, F.when(is_last, F.col(f"_next.{c}")).otherwise(F.lead(c).over(in_seg)))
-    return rows.drop("_pid", "_idx", "_next")
+        cont = F.when(g.eqNullSafe(F.col("_gl")), F.col(f"_next.{c}"))
+        rows = rows.withColumn(out, F.when(is_last, cont).otherwise(F.lead(c).over(in_seg)))
+    return rows.drop("_pid", "_idx", "_gl", "_next")
 
 
 def carry_forward(df: DataFrame, group: Sequence[str], order: Sequence, carried: str, out: str,
@@ -208,15 +234,22 @@ def carry_forward(df: DataFrame, group: Sequence[str], order: Sequence, carried:
     """``LAST(carried, ignorenulls) OVER (PARTITION BY group ORDER BY order ROWS
     UNBOUNDED PRECEDING)``: the latest non-null value at or before each row,
     parallel for hot groups (segment-local last value, else the last non-null
-    value of the group's earlier partitions)."""
+    value the group had in earlier range partitions - a table with one row per
+    partition, broadcast)."""
     group = list(group)
     seg = range_segments(df, order, group=group, num_partitions=num_partitions)
-    sk = ["_pid"] + group
-    upto = Window.partitionBy(*sk).orderBy("_idx").rowsBetween(Window.unboundedPreceding, 0)
-    seg_last = seg.groupBy(*sk).agg(
-        F.max_by(F.col(carried), F.when(F.col(carried).isNotNull(), F.col("_idx"))).alias("_l"))
-    before = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    prior = seg_last.select(*sk, F.last("_l", ignorenulls=True).over(before).alias("_prior"))
-    rows = seg.join(prior, sk)
-    return rows.withColumn(out, F.coalesce(F.last(carried, ignorenulls=True).over(upto), F.col("_prior"))) \
-        .drop("_pid", "_idx", "_prior")
+    g = _gkey(group)
+    edges = seg.groupBy("_pid").agg(F.min_by(g, F.col("_idx")).alias("_gf"),
+                                    F.max_by(g, F.col("_idx")).alias("_gl"))
+    last_val = (seg.join(F.broadcast(edges.select("_pid", "_gl")), "_pid").where(g.eqNullSafe(F.col("_gl")))
+                .groupBy("_pid").agg(F.max_by(F.col(carried), F.when(F.col(carried).isNotNull(), F.col("_idx")))
+                                     .alias("_lv")))
+    run = Window.partitionBy("_gl").orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0)
+    tab = edges.join(F.broadcast(last_val), "_pid", "left").select(
+        "_pid", "_gf", "_gl", F.last("_lv", ignorenulls=True).over(run).alias("_lc"))
+    prior = tab.select("_pid", "_gf", *_prev_segment(tab, ["_lc"]))
+    upto = Window.partitionBy("_pid", *group).orderBy("_idx").rowsBetween(Window.unboundedPreceding, 0)
+    rows = seg.join(F.broadcast(prior), "_pid", "left")
+    before = F.when(g.eqNullSafe(F.col("_gf")), F.col("_prev_lc"))
+    return rows.withColumn(out, F.coalesce(F.last(carried, ignorenulls=True).over(upto), before)) \
+        .drop("_pid", "_idx", "_gf", "_prev_lc")
