@@ -109,18 +109,26 @@ def scd2_apply(dim: DataFrame, incoming: DataFrame, key: str, tracked: Sequence[
     kept = j.where(has_cur & ~changed).select(*from_cur())
     closed = j.where(changed & (F.col("c.valid_from") < eff)).select(
         *from_cur(valid_to=eff, is_current=F.lit(False)))
-    opened_src = j.where((changed | (has_inc & ~has_cur))).select(
-        F.col(f"i.{key}").alias(key), *[F.col(f"i.{c}").alias(c) for c in tracked],
-        *[F.col(f"c.{c}").alias(c) for c in cols if c not in (key, *tracked, sk, "valid_from",
-                                                                "valid_to", "is_current")],
-        eff.alias("valid_from"), F.lit(OPEN_END_DATE).alias("valid_to"),
-        F.lit(True).alias("is_current"))
+    same_day = changed & (F.col("c.valid_from") >= eff)
+
+    def open_rows(cond, keep_sk):
+        return j.where(cond).select(
+            F.col(f"i.{key}").alias(key), *[F.col(f"i.{c}").alias(c) for c in tracked],
+            *[F.col(f"c.{c}").alias(c) for c in cols if c not in (key, *tracked, "valid_from",
+                                                                    "valid_to", "is_current")
+              and (keep_sk or c != sk)],
+            eff.alias("valid_from"), F.lit(OPEN_END_DATE).alias("valid_to"), F.lit(True).alias("is_current"))
+
+    # a second change on the same effective date replaces the open version in place (keeps its key)
+    replaced = open_rows(same_day, keep_sk=True)
+    opened_src = open_rows((changed & ~same_day) | (has_inc & ~has_cur), keep_sk=False)
     if sk:
         start = dim.select(F.coalesce(F.max(sk), F.lit(0))).scalar()   # scalar subquery
         opened = with_surrogate_key(opened_src, [key], sk, start=start)
     else:
         opened = opened_src
-    return hist.unionByName(kept).unionByName(closed).unionByName(opened.select(*cols))
+    return (hist.unionByName(kept).unionByName(closed).unionByName(replaced.select(*cols))
+            .unionByName(opened.select(*cols)))
 
 
 def scd1_apply(dim: DataFrame, incoming: DataFrame, key: str, attrs: Sequence[str]) -> DataFrame:

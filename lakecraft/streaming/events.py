@@ -139,3 +139,16 @@ def copy_query(raw: DataFrame, path: str, checkpoint: str, schema: T.StructType
         rows = rows.where(where)
     return (rows.writeStream.format("json").option("path", path).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start())
+
+
+def kafka_sink(df: DataFrame, servers: str, topic: str, checkpoint: str | None = None, key: str | None = None):
+    """Publish rows as JSON messages (needs the Kafka connector on the
+    classpath): batch frames are written once, streaming frames start a
+    checkpointed query."""
+    from lakecraft.sources.sinks import to_json_messages
+    msgs = to_json_messages(df, key)
+    if df.isStreaming:
+        return (msgs.writeStream.format("kafka").option("kafka.bootstrap.servers", servers)
+                .option("topic", topic).option("checkpointLocation", checkpoint).start())
+    msgs.write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).save()
+    return None

@@ -81,3 +81,15 @@ def test_validity_lookup(spark):
     facts = spark.createDataFrame([(1, D(2024, 1, 31)), (1, D(2024, 2, 1))], "id long, d date")
     out = WH.validity_lookup(facts, dim, "id", "d", ["name"])
     assert rows(out, "d", "name") == [(D(2024, 1, 31), "old"), (D(2024, 2, 1), "new")]
+
+
+def test_scd2_same_day_change_replaces_in_place(spark):
+    dim = _dim(spark)
+    b1 = spark.createDataFrame([(1, "a2@x")], "id long, email string")
+    d1 = WH.scd2_apply(dim, b1, "id", ["email"], D(2024, 2, 1), sk="sk")
+    b2 = spark.createDataFrame([(1, "a3@x")], "id long, email string")
+    d2 = WH.scd2_apply(d1, b2, "id", ["email"], D(2024, 2, 1), sk="sk")
+    got = rows(d2.where("id = 1"), "sk", "email", "valid_from", "valid_to", "is_current")
+    sk_open = [r.sk for r in d1.where("id = 1 AND is_current").collect()][0]
+    assert got == sorted([(1, "a@x", D(2024, 1, 1), D(2024, 2, 1), False),
+                          (sk_open, "a3@x", D(2024, 2, 1), D(9999, 12, 31), True)])
