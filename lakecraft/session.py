@@ -46,8 +46,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint directory, setting one only when unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder (HDFS/S3/...)
-    and is used as is. Only when nothing is configured (local tests) a fresh
-    local directory is created.
+    and is used as is (missing it is an error there). Only in local mode with
+    nothing configured (tests) a fresh local directory is created.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -55,6 +55,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
+        if not sc.master.startswith("local"):
+            # a machine-local folder would not survive executor loss on a cluster
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for this cluster")
         conf = tempfile.mkdtemp(prefix="lakecraft-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
