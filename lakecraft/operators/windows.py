@@ -36,6 +36,9 @@ def _cols(cs) -> list[Column]:
 
 
 def _num_partitions(df: DataFrame, n: int | None) -> int:
+    """Range-partition count: explicit, else ``spark.sql.shuffle.partitions``
+    (sized by the deployment for its data volume). An explicit count is not
+    coalesced by AQE, which keeps the within-segment windows parallel."""
     if n:
         return n
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
