@@ -105,3 +105,17 @@ def apply_query(raw: DataFrame, path: str, key: str, row: T.StructType, checkpoi
 
     return (decoded.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start())
+
+
+def vacuum(spark: SparkSession, path: str) -> int:
+    """Delete bucket versions that a later committed version superseded (the
+    commit log keeps its rows, so replay detection is unaffected). Returns the
+    number of directories removed."""
+    from lakecraft.operators.versioned import _fs_delete
+    commits = _commits(spark, path)
+    if commits is None:
+        return 0
+    latest = commits.groupBy("_bucket").agg(F.max("v").alias("_latest"))
+    old = commits.join(latest, "_bucket").where(F.col("v") < F.col("_latest")).select("_bucket", "v").distinct()
+    dirs = [f"{path}/data/_bucket={r._bucket}/v={r.v}" for r in old.collect()]   # one row per superseded version
+    return _fs_delete(dirs)

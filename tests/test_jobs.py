@@ -51,3 +51,15 @@ def test_incremental_summary_equals_full(spark, tmp):
 def test_format_bench(spark, tmp):
     r = J.format_bench(spark, 20000, tmp)
     assert r["rows"] == 20000 and r["parquet_mb"] < r["csv_mb"]
+
+
+def test_run_mart(spark, tmp):
+    from lakecraft.operators.versioned import VersionedTable
+    m = J.run_mart(spark, SF_SMALL, f"{tmp}/mart_out")
+    assert m.ok(), m.failures
+    assert m.steps["dim_customer"] == T.customers(spark, SF_SMALL).count()
+    assert m.steps["fact"] > 0 and m.steps["dim_date"] > 365
+    cat = VersionedTable(spark, f"{tmp}/mart_out/summaries/mv_revenue_by_category").read()
+    assert cat.count() == T.products(spark, SF_SMALL).select("category").distinct().count()
+    again = J.run_mart(spark, SF_SMALL, f"{tmp}/mart_out")          # refresh = new summary versions
+    assert again.steps["mv_daily_revenue"] == 2
