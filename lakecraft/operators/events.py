@@ -30,8 +30,61 @@ def windowed_counts(events: DataFrame, size: str, slide: str | None = None,
     return agg.select(*_window_cols(), key, "n_events", "value_sum")
 
 
-def session_counts_native(events: DataFrame, gap: str, key: str = "user_id", ts: str = "ts") -> DataFrame:
-    """Spark's ``session_window`` (used on streams, where state is per key)."""
+def session_counts_native(events: DataFrame, gap: str, key: str = "user_id", ts: str = "ts",
+                          tiebreak: str = "event_id") -> DataFrame:
+    """Spark's own ``session_window``, run per range segment and stitched.
+
+    Grouping by ``key`` alone would give a key's whole history to one task. Here
+    rows are range-partitioned on (key, ts, tiebreak) first and the native
+    session operator runs per (key, partition). Only a partition's first key
+    can continue a session of the previous partition (and only its last key
+    into the next), so the stitching is decided on a table with one row per
+    partition: the first session of a partition joins the previous partition's
+    last session when it starts no later than that session's end; chains
+    through partitions holding a single session follow by a running window
+    over that small table. Local sessions then merge in one aggregate.
+    """
+    seg = range_segments(events.select(key, ts, tiebreak), [F.col(ts), F.col(tiebreak)], group=[key])
+    g = F.col(key)
+    edges = seg.groupBy("_pid").agg(F.min_by(g, F.col("_idx")).alias("_gf"), F.max_by(g, F.col("_idx")).alias("_gl"))
+    local = (seg.groupBy(key, "_pid", F.session_window(ts, gap).alias("w"))
+             .agg(F.count(F.lit(1)).alias("_n"))
+             .select(key, "_pid", F.col("w.start").alias("_s"), F.col("w.end").alias("_e"), "_n")
+             .join(F.broadcast(edges), "_pid"))
+    is_f, is_l = g.eqNullSafe(F.col("_gf")), g.eqNullSafe(F.col("_gl"))
+    tab = local.groupBy("_pid", "_gf", "_gl").agg(
+        F.min(F.when(is_f, F.col("_s"))).alias("_fs"), F.max(F.when(is_l, F.col("_s"))).alias("_ls"),
+        F.max(F.when(is_l, F.col("_e"))).alias("_le"), F.count_if(is_f).alias("_nf"))
+    w = Window.orderBy("_pid")                                   # one row per range partition
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    single = F.col("_gf").eqNullSafe(F.col("_gl")) & (F.col("_nf") == 1)
+    link = F.coalesce(F.lag("_gl").over(w).eqNullSafe(F.col("_gf")) & (F.col("_fs") <= F.lag("_le").over(w)),
+                      F.lit(False))
+    tab = tab.select("*", link.alias("_link"), single.alias("_single"))
+    brk = ~(F.col("_link") & F.coalesce(F.lag("_single").over(w), F.lit(False)))
+    tab = tab.select("*", F.last(F.when(brk, F.col("_pid")), ignorenulls=True).over(upto).alias("_q"),
+                     F.last(F.when(brk, F.col("_link")), ignorenulls=True).over(upto).alias("_qlink"))
+    id_f = F.when(F.col("_qlink"), F.struct((F.col("_q") - 1).alias("p"), F.lit(1).alias("t"))) \
+        .otherwise(F.struct(F.col("_q").alias("p"), F.lit(0).alias("t")))
+    ids = tab.select("_pid", "_fs", "_ls", id_f.alias("_idf"),
+                     F.when(F.col("_single"), id_f).otherwise(
+                         F.struct(F.col("_pid").alias("p"), F.lit(1).alias("t"))).alias("_idl"))
+    own = F.struct(F.col("_pid").alias("p"), F.lit(2).alias("t"))
+    tagged = local.drop("_gf", "_gl").join(F.broadcast(ids.join(F.broadcast(edges), "_pid")), "_pid")
+    sid = (F.when(is_f & (F.col("_s") == F.col("_fs")), F.struct(F.col("_idf.p"), F.col("_idf.t"), F.lit(None).cast(
+        "timestamp_ntz").alias("s")))
+           .when(is_l & (F.col("_s") == F.col("_ls")), F.struct(F.col("_idl.p"), F.col("_idl.t"),
+                                                                F.lit(None).cast("timestamp_ntz").alias("s")))
+           .otherwise(F.struct(own.p, own.t, F.col("_s").cast("timestamp_ntz").alias("s"))))
+    merged = tagged.groupBy(key, sid.alias("_sid")).agg(F.min("_s").alias("_lo"), F.max("_e").alias("_hi"),
+                                                        F.sum("_n").alias("n_events"))
+    return merged.select(key, F.col("_lo").cast("timestamp_ntz").alias("window_start"),
+                         F.col("_hi").cast("timestamp_ntz").alias("window_end"), "n_events")
+
+
+def session_counts_by_key(events: DataFrame, gap: str, key: str = "user_id", ts: str = "ts") -> DataFrame:
+    """``session_window`` grouped by key only (the streaming form, where state
+    is kept per key)."""
     agg = events.groupBy(F.session_window(ts, gap).alias("window"), key).agg(
         F.count(F.lit(1)).alias("n_events"))
     return agg.select(key, *_window_cols(), "n_events")

@@ -36,6 +36,8 @@ def test_sessionize_matches_brute_force(spark, clicks, monkeypatch):
     assert key(got) == key(exp)
     native = E.session_counts_native(df, "30 minutes").toPandas()
     assert key(native) == key(got)
+    by_key = E.session_counts_by_key(df, "30 minutes").toPandas()
+    assert key(by_key) == key(got)
 
 
 def test_as_of_join_hot_entity(spark, clicks, monkeypatch):
