@@ -150,7 +150,7 @@ def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
 
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
     """Child rows whose key has no parent row (foreign-key violations)."""
-    p = parent.select(F.col(parent_key).alias("_pk")).distinct()
+    p = parent.select(F.col(parent_key).alias("_pk")).distinct()     # collapsed map-side
     return child.join(p, child[child_key] == p["_pk"], "left_anti")
 
 

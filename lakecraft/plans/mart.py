@@ -229,7 +229,8 @@ def b05_returning_gap(spark, d):
     gap = o.where((F.col("order_date") > days_before(AS_OF, 20))
                   & (F.col("order_date") <= days_before(AS_OF, 10)))
     return (T.customers(spark, d).select("customer_id", "full_name")
-            .join(recent, "customer_id", "left_semi").join(gap, "customer_id", "left_anti"))
+            .join(recent.select("customer_id").distinct(), "customer_id", "left_semi")
+            .join(gap.select("customer_id").distinct(), "customer_id", "left_anti"))
 
 
 @register("b06_dedup_latest", mart_sql("SELECT * FROM items_dedup"))
