@@ -44,7 +44,9 @@ def run_products(spark: SparkSession, src_csv: str, bronze: str, silver: str, in
         "landed", lambda d: d.write.mode("append").partitionBy("ingest_date").parquet(bronze))
     landed = spark.read.parquet(bronze)
     if ingest_ts is not None:
-        landed = landed.where(F.col("_ingest_ts") == F.lit(ingest_ts).cast("timestamp"))
+        ts = F.lit(ingest_ts).cast("timestamp")
+        # the partition column prunes other days' files; the timestamp picks this batch
+        landed = landed.where((F.col("ingest_date") == F.to_date(ts)) & (F.col("_ingest_ts") == ts))
     cleaned = CL.clean_products(landed.select("product_name", "category", "price"))
     m.steps["cleaned"] = _write_observed(cleaned, "cleaned", lambda d: d.write.mode("overwrite").parquet(silver))
     return m

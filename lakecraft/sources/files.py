@@ -48,10 +48,11 @@ def read_csv_declared(spark: SparkSession, path: str, schema: T.StructType | str
 
 def extract_jdbc(spark: SparkSession, url: str, table: str, predicate: str | None = None,
                  partition_column: str | None = None, lower: int | None = None, upper: int | None = None,
-                 num_partitions: int = 1, properties: dict | None = None) -> DataFrame:
+                 num_partitions: int = 1, properties: dict | None = None, limit: int | None = None) -> DataFrame:
     """Parallel JDBC extract. ``predicate`` is a Spark filter that is pushed to
     the database; with a numeric ``partition_column`` the read is split into
-    ``num_partitions`` range queries."""
+    ``num_partitions`` range queries. ``limit`` gives a bounded preview
+    extract (pushed down as a LIMIT)."""
     r = spark.read.format("jdbc").option("url", url).option("dbtable", table)
     for k, v in (properties or {}).items():
         r = r.option(k, v)
@@ -59,7 +60,8 @@ def extract_jdbc(spark: SparkSession, url: str, table: str, predicate: str | Non
         r = (r.option("partitionColumn", partition_column).option("lowerBound", lower)
              .option("upperBound", upper).option("numPartitions", num_partitions))
     df = r.load()
-    return df.where(predicate) if predicate else df
+    df = df.where(predicate) if predicate else df
+    return df.limit(limit) if limit else df
 
 
 def file_inventory(df: DataFrame) -> DataFrame:
