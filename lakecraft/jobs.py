@@ -73,7 +73,7 @@ def run_orders(spark: SparkSession, orders: DataFrame, out: str, as_of: dt.date,
     obs_in = Observation("orders_in")
     recent = orders.where(F.col("order_date") >= F.date_sub(F.lit(as_of), days)) \
         .observe(obs_in, F.count(F.lit(1)).alias("rows"))
-    cleaned = CL.clean_orders(recent, dedup=True)
+    cleaned = CL.clean_orders(recent, dedup=True).withColumn("order_date", F.to_date("order_date"))
     m.steps["loaded"] = _write_observed(cleaned, "orders_out", lambda d: d.write.mode("overwrite")
                                         .option("partitionOverwriteMode", "dynamic")
                                         .partitionBy("order_date").parquet(out))

@@ -52,6 +52,13 @@ def _fs_delete(paths: Sequence[str]) -> int:
     return n
 
 
+def _fs_path(uri: str) -> str:
+    """``_metadata.file_path`` is a URI (partition values such as timestamps are
+    percent-encoded once more); the reader wants the file-system path."""
+    from urllib.parse import unquote
+    return unquote(uri)
+
+
 class VersionedTable:
     def __init__(self, spark: SparkSession, path: str, partition_by: Sequence[str] = (),
                  transforms: Sequence[tuple[str, str, str]] = ()):
@@ -112,7 +119,7 @@ class VersionedTable:
     def read(self, version: int | None = None, as_of: dt.datetime | None = None) -> DataFrame:
         """Rows of a version (default: current). Partition filters on the
         result prune files through the partition columns."""
-        paths = [r.file_path for r in self.files(version, as_of).select("file_path").collect()]
+        paths = [_fs_path(r.file_path) for r in self.files(version, as_of).select("file_path").collect()]
         if not paths:
             return self._empty()
         return self.spark.read.option("basePath", self.data).parquet(*paths).drop("commit")
@@ -122,7 +129,7 @@ class VersionedTable:
         schema = None if log is None else log.where(F.col("file_path").isNotNull()).select("file_path").first()
         if schema is None:
             raise ValueError("table has no data files")
-        return self.spark.read.option("basePath", self.data).parquet(schema[0]).drop("commit").limit(0)
+        return self.spark.read.option("basePath", self.data).parquet(_fs_path(schema[0])).drop("commit").limit(0)
 
     # ------------------------------------------------------------------ commits
     def _write_files(self, df: DataFrame, v: int, num_files: int | None = None) -> DataFrame:
@@ -236,7 +243,7 @@ class VersionedTable:
             per_part = per_part.join(hit, "partition", "left_semi")
         chosen = per_part.select("partition", "want")
         victims = live.join(chosen, "partition", "left_semi")
-        paths = [r.file_path for r in victims.select("file_path").collect()]
+        paths = [_fs_path(r.file_path) for r in victims.select("file_path").collect()]
         if not paths:
             return None
         n_files = int(sum(r.want for r in chosen.collect()))

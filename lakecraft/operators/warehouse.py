@@ -32,7 +32,7 @@ def dim_date(facts: DataFrame, date_col: str, as_of: dt.date, pad_months: int =
         F.expr("INTERVAL 1 DAY"))).alias("d"))
     return days.select(
         date_key("d").alias("date_key"),
-        F.col("d").alias("date_actual"),
+        F.col("d").cast("timestamp_ntz").alias("date_actual"),      # midnight, like the source dates
         F.year("d").alias("year"),
         F.month("d").alias("month"),
         iso_dow("d").alias("day_of_week"),

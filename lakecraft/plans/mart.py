@@ -87,7 +87,7 @@ def refresh_mart(spark, d) -> Mart:
 
 MART_CTES = f"""
 dim_date AS (
-  SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, CAST(d AS DATE) AS date_actual,
+  SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, CAST(d AS TIMESTAMP) AS date_actual,
          CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month,
          CAST(isodow(d) AS INTEGER) AS day_of_week, CAST(day(d) AS INTEGER) AS day_of_month,
          CAST(quarter(d) AS INTEGER) AS quarter, CAST(strftime(d, '%Y%m') AS INTEGER) AS year_month

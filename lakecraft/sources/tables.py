@@ -1,7 +1,8 @@
 """Base-table readers and the retail views over them.
 
 The analytical queries are written against the retail data model (customers,
-products, orders, order items). On the shipped test data those are views over
+products, orders, order items). Order dates keep the source type, a zone-less
+midnight timestamp, so every engine and client renders them identically. On the shipped test data those are views over
 the TPC-H-like tables; each view is a pure projection, so Catalyst prunes the
 scan to the columns a query touches and pushes filters into the Parquet reader.
 """
@@ -44,7 +45,7 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
-        F.col("o_orderdate").cast("date").alias("order_date"),
+        F.col("o_orderdate").alias("order_date"),          # midnight, zone-less (source type)
         F.col("o_totalprice").alias("total_amount"),
         F.col("o_orderstatus").alias("status"),
         F.col("o_orderdate").alias("created_at"),
@@ -80,7 +81,7 @@ app_products AS (
          p_brand AS brand, p_retailprice AS price
   FROM part),
 app_orders AS (
-  SELECT o_orderkey AS order_id, o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS order_date,
+  SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderdate AS order_date,
          o_totalprice AS total_amount, o_orderstatus AS status, o_orderdate AS created_at
   FROM orders),
 app_items AS (
