@@ -93,3 +93,25 @@ def test_clean_orders(spark):
     df = spark.createDataFrame([("1", "1"), ("", "2"), ("3", None), ("1", "1")], "order_id string, customer_id string")
     assert CL.clean_orders(df).count() == 2
     assert CL.clean_orders(df, dedup=True).count() == 1
+
+
+def test_profile_and_overall_success(spark):
+    from tests.conftest import SF_SMALL
+    from lakecraft.sources import tables as T
+    o = T.orders(spark, SF_SMALL)
+    prof = {r.column: r for r in Q.profile(o, ["order_id", "status"], approx_distinct=True).collect()}
+    n = o.count()
+    assert prof["order_id"].n_rows == n and prof["order_id"].n_null == 0
+    assert abs(prof["order_id"].approx_distinct - n) <= 0.15 * n    # HLL, rsd 0.05: 3 sigma
+    assert prof["status"].approx_distinct == 3
+    rep = Q.run_suite(o, [Q.NotNull("order_id"), Q.InSet("status", ["F", "O"])])
+    assert rep.agg(Q.suite_success(rep)).first()[0] is False
+    assert Q.required_columns(o, ["order_id", "nope"]) == ["nope"]
+
+
+def test_validate_load(spark, tmp):
+    from lakecraft.jobs import validate_load
+    assert validate_load(spark, f"{tmp}/missing")["ok"] is False
+    spark.createDataFrame([(1,)], "a int").write.parquet(f"{tmp}/out")
+    assert validate_load(spark, f"{tmp}/out", expected_rows=1, required=("a",))["ok"]
+    assert validate_load(spark, f"{tmp}/out", expected_rows=2)["ok"] is False
