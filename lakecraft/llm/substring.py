@@ -31,13 +31,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakecraft.llm.tools import documents, row_keys, without
-from lakecraft.llm.words import (U64, Words, column_bytes, mix64, runs, slices, sliding_min, window_hash)
+from lakecraft.llm.tools import documents, row_keys
+from lakecraft.llm.words import U64, Words, column_bytes, mix64, slices, sliding_min, window_hash
 
 WINDOW = 35
-MER = 4
+MER = 3
 BUCKET_BYTES = 1 << 20
-FLUSH_BYTES = 8 << 20
+FLUSH_BYTES = 20 << 20
 #: Steering sample: at most about so many rows; runs this frequent in it rank last.
 SAMPLE_ROWS = 20_000
 COMMON = 24
@@ -116,7 +116,7 @@ class _Flush:
 
     def take(self):
         """Record batches (bucket, blob); places found here have negative bucket numbers."""
-        pack = zstandard.ZstdCompressor(level=3).compress
+        pack = zstandard.ZstdCompressor(level=6).compress
         out_b, out = [], []
         if self.at:
             texts = list(self.seen)
@@ -173,39 +173,40 @@ def _count(window: int):
             text.append(x[8 + 33 * n:])
         k1, k2, at, lens = (np.concatenate(x) for x in (k1, k2, at, lens))
         multi = np.concatenate(multi).astype(bool)
-        raw = b"".join(text)
-        words = Words(np.frombuffer(raw, np.uint8), np.concatenate([[0], np.cumsum(lens)]))
-        n = len(words.row) - window + 1
-        here = np.flatnonzero(words.row[:n] == words.row[window - 1:])
-        h1 = window_hash(words.hash, window, 0x9E3779B97F4A7C15)[here]
-        h2 = window_hash(mix64(words.hash + U64(7)), window, 0xC2B2AE3D27D4EB4F)[here]
+        raw, ends = b"".join(text), np.concatenate([[0], np.cumsum(lens)])
+        data = np.frombuffer(raw, np.uint8)
+        parts = []                         # per window: two hashes, byte range, super-k-mer, place in it
+        for i, j in slices(ends):
+            words = Words(data[ends[i]:ends[j]], ends[i:j + 1] - ends[i])
+            n = len(words.row) - window + 1
+            here = np.flatnonzero(words.row[:n] == words.row[window - 1:])
+            parts.append((window_hash(words.hash, window, 0x9E3779B97F4A7C15)[here],
+                          window_hash(mix64(words.hash + U64(7)), window, 0xC2B2AE3D27D4EB4F)[here],
+                          words.start[here] + ends[i], words.end[here + window - 1] + ends[i],
+                          words.row[here] + i, here - words.first()[words.row[here]]))
+        h1, h2, a, b, row, off = (np.concatenate(x) for x in zip(*parts))
         order = np.lexsort((h2, h1))
-        s1, s2 = h1[order], h2[order]
         same = np.zeros(len(order), bool)
-        same[1:] = (s1[1:] == s1[:-1]) & (s2[1:] == s2[:-1])
-        a, b = words.start[here][order], words.end[here + window - 1][order]
-        left, right = np.flatnonzero(same) - 1, np.flatnonzero(same)
+        same[1:] = (h1[order[1:]] == h1[order[:-1]]) & (h2[order[1:]] == h2[order[:-1]])
+        left, right = order[np.flatnonzero(same) - 1], order[same]
         if any(raw[p:q] != raw[r:s] for p, q, r, s in zip(a[left].tolist(), b[left].tolist(), a[right].tolist(), b[right].tolist())):
             by: dict[bytes, int] = {}      # two hashes of 64 bits collided: group by the words themselves
             ids = np.array([by.setdefault(raw[p:q], len(by)) for p, q in zip(a.tolist(), b.tolist())])
-            order = order[np.argsort(ids, kind="stable")]
-            ids = np.sort(ids, kind="stable")
-            same = np.concatenate([[False], ids[1:] == ids[:-1]])
+            order = np.argsort(ids, kind="stable")
+            same = np.concatenate([[False], ids[order[1:]] == ids[order[:-1]]])
         group = np.cumsum(~same) - 1
         size = np.bincount(group, minlength=1)
         any_multi = np.zeros(len(size), bool)
-        any_multi[group[multi[words.row[here][order]]]] = True
-        again = np.zeros(len(words.row) + 1, bool)
-        again[here[order[((size > 1) | any_multi)[group]]]] = True
-        # runs of repeated windows; one never reaches into the next super-k-mer,
-        # whose first window is at least ``window`` words behind the last one here
-        first = words.first()
-        start, stop = runs(again[:-1])
-        row = words.row[start]
-        ok = ~multi[row]                   # those were flagged by their map task
-        row, start, stop = row[ok], start[ok], stop[ok]
-        off = at[row] - first[row]
-        return _places(k1[row], k2[row], start + off, stop - 1 + window + off)
+        any_multi[group[multi[row[order]]]] = True
+        again = np.zeros(len(row), bool)
+        again[order] = ((size > 1) | any_multi)[group]
+        again &= ~multi[row]               # places of those were flagged by their map task
+        # runs of repeated windows; windows lie in order, each super-k-mer's from place 0
+        edge = np.diff(np.concatenate([[0], (again * (row + 1)), [0]]))
+        start = np.flatnonzero(again & (edge[:-1] != 0))
+        stop = np.flatnonzero(again & (edge[1:] != 0))
+        r = row[start]
+        return _places(k1[r], k2[r], at[r] + off[start], at[r] + off[stop] + window)
     return run
 
 

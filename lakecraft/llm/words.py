@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _BASE = U64(0x9E3779B97F4A7C15 | 1)
 _BASE_INV = U64(pow(int(_BASE), -1, 1 << 64))
@@ -171,9 +171,3 @@ def window_hash(values: np.ndarray, width: int, base: int) -> np.ndarray:
     np.cumsum(values * powers(b, len(values)), out=c[1:])
     inv = powers(U64(pow(int(b), -1, 1 << 64)), n)
     return mix64((c[width:] - c[:-width]) * inv)
-
-
-def runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends (exclusive) of the runs of True."""
-    d = np.diff(np.concatenate([[0], mask.astype(np.int8), [0]]))
-    return np.flatnonzero(d == 1), np.flatnonzero(d == -1)
