@@ -137,9 +137,6 @@ class Plan:
         self.used = np.zeros(limit + 1, np.int64)
         self._exact()
         self._best_fit()
-        rows = sorted(self.rows)
-        self.key = np.array([length << 44 | rank for length, rank, *_ in rows], np.int64)
-        self.rank, self.sequence, self.offset = (np.array([r[i] for r in rows], np.int64) for i in (1, 2, 3))
 
     @classmethod
     def best(cls, counts: dict[int, int], limit: int) -> Plan:
@@ -233,9 +230,18 @@ class Plan:
                     add(gap - some * length, first + whole, 1)
                     add(gap, first + whole + 1, n - whole - 1)
 
-    def look_up(self, length: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.searchsorted(self.key, length << 44 | rank, side="right") - 1
-        return self.sequence[at] + rank - self.rank[at], self.offset[at]
+    def table(self) -> tuple[np.ndarray, ...]:
+        """Runs of ranks by length and first rank: key, first rank, first sequence, offset."""
+        rows = sorted(self.rows)
+        return (np.array([length << 44 | rank for length, rank, *_ in rows], np.int64),
+                *(np.array([r[i] for r in rows], np.int64) for i in (1, 2, 3)))
+
+
+def look_up(table, length: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sequence and offset of the pieces with these ranks within their lengths."""
+    key, first, sequence, offset = table
+    at = np.searchsorted(key, length << 44 | rank, side="right") - 1
+    return sequence[at] + rank - first[at], offset[at]
 
 
 def pack(made: DataFrame, limit: int = LIMIT) -> DataFrame:
@@ -245,7 +251,7 @@ def pack(made: DataFrame, limit: int = LIMIT) -> DataFrame:
     made = stored(made.withColumn("_task", F.spark_partition_id()), "pieces")
     counts = made.groupBy("_task", "length").agg(F.count("*").alias("n"))
     total = counts.groupBy("length").agg(F.sum("n").alias("n")).collect()        # at most ``limit`` rows
-    plan = spark.sparkContext.broadcast(Plan.best({r.length: r.n for r in total}, limit))
+    plan = spark.sparkContext.broadcast(Plan.best({r.length: r.n for r in total}, limit).table())
     before = F.sum("n").over(Window.partitionBy("length").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1))
     starts = counts.select("_task", "length", F.coalesce(before, F.lit(0)).alias("before"))
 
@@ -258,7 +264,7 @@ def pack(made: DataFrame, limit: int = LIMIT) -> DataFrame:
         first = np.searchsorted(length, length, side="left")
         base = np.zeros(limit + 1, np.int64)
         base[starts.column("length").to_numpy()] = starts.column("before").to_numpy()
-        sequence, offset = plan.value.look_up(length, base[length] + np.arange(len(length)) - first)
+        sequence, offset = look_up(plan.value, length, base[length] + np.arange(len(length)) - first)
         return (rows.drop_columns(["_task"]).append_column("sequence_id", pa.array(sequence, pa.int64()))
                 .append_column("offset", pa.array(offset, pa.int64())))
 

@@ -1,17 +1,19 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
 Confirmed toxic examples (P) and unlabelled text (U, a draw from the corpus as
-it is) train a linear classifier in numpy. With class prior ``pi`` and loss
-``l`` the risk is
+it is) train a linear classifier in numpy. With class prior ``pi`` and sigmoid
+loss ``l`` the risk is
 
     pi * E_P[l(f, +)] + max(0, E_U[l(f, -)] - pi * E_P[l(f, -)])
 
 and when the bracket turns negative a step goes against its gradient, so that
 the model doesn't fit the positives hidden in U as negatives.
 
-Features say whether a word, or a word beginning or ending of 4 to 6 bytes,
-occurs in the whole text (lower-cased). Those kept are over-represented in P;
-none of them depends on length, so one abusive word counts in a long text.
+Features say whether a word, a word beginning of 4 to 8 or a word ending of 4
+to 6 bytes occurs in the whole text (lower-cased), and whether it is dense
+there: at least ``DENSE_COUNT`` times and in ``DENSE_SHARE`` of the words.
+Those kept are over-represented in P. One abusive word counts in a long text;
+a stem that clean texts hold now and then counts where it is frequent.
 
 Training reads a bounded sample: expected ``max_positive`` confirmed and
 ``max_unlabelled`` unlabelled rows, taken by a hash of the id; the prior is
@@ -44,7 +46,8 @@ MAX_FEATURES = 1_024
 MIN_POSITIVE = 4          # positive sample rows that a feature needs
 MIN_LIFT = 4.0            # its rate in P over its rate in U (which 1 / prior bounds: less for a high prior)
 THRESHOLD = 0.7
-AFFIXES = (4, 5, 6)
+BEGINNINGS, ENDINGS = (4, 5, 6, 7, 8), (4, 5, 6)
+DENSE_COUNT, DENSE_SHARE = 2, 0.006
 
 _LETTER = np.zeros(256, bool)
 _LETTER[97:123] = True
@@ -52,16 +55,25 @@ _LETTER[128:] = True
 
 
 def _features(words: Words) -> tuple[np.ndarray, np.ndarray]:
-    """(row, feature hash) pairs: whole words, their beginnings and endings."""
+    """(row, feature hash) pairs: whole words, their beginnings and endings. The
+    lowest bit is 0; with 1 the hash names the dense form of the feature."""
     prefix = words._prefix()
     size = words.end - words.start
     rows, found = [words.row], [words.spans_hash(words.start, words.end, prefix)]
-    for n in AFFIXES:
+    for n in sorted({*BEGINNINGS, *ENDINGS}):
         ok = size > n
         s, e, r = words.start[ok], words.end[ok], words.row[ok]
-        rows += [r, r]
-        found += [mix64(words.spans_hash(s, s + n, prefix) + U64(1)), mix64(words.spans_hash(e - n, e, prefix) + U64(2))]
-    return np.concatenate(rows), np.concatenate(found)
+        if n in BEGINNINGS:
+            rows.append(r)
+            found.append(mix64(words.spans_hash(s, s + n, prefix) + U64(1)))
+        if n in ENDINGS:
+            rows.append(r)
+            found.append(mix64(words.spans_hash(e - n, e, prefix) + U64(2)))
+    return np.concatenate(rows), np.concatenate(found) & ~U64(1)
+
+
+def _dense(count: np.ndarray, n_words: np.ndarray) -> np.ndarray:
+    return (count >= DENSE_COUNT) & (count >= DENSE_SHARE * n_words)
 
 
 def _parts(col):
@@ -82,62 +94,70 @@ class Model:
     fitted: bool = False
 
     def __post_init__(self):
-        self.table = None
-
-    def find(self, hashes: np.ndarray) -> np.ndarray:
-        """Index of each hash among the keys, -1 for others."""
-        if self.table is None:
-            self.table = np.zeros(1 << 20, bool)
-            self.table[self.keys >> U64(44)] = True
-        out = np.full(len(hashes), -1, np.int64)
+        self.base = np.unique(self.keys & ~U64(1))
+        self.table = np.zeros(1 << 20, bool)
+        self.table[self.base >> U64(44)] = True
+
+    def found(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted (row, key index) pairs of the features that hold."""
+        rows, hashes = _features(words)
         maybe = np.flatnonzero(self.table[hashes >> U64(44)])
-        if len(maybe) and len(self.keys):
-            at = np.minimum(np.searchsorted(self.keys, hashes[maybe]), len(self.keys) - 1)
-            good = self.keys[at] == hashes[maybe]
-            out[maybe[good]] = at[good]
-        return out
+        maybe = maybe[np.isin(hashes[maybe], self.base)]
+        # equal features of a row meet by sorting; few are left by now
+        order = maybe[np.lexsort((hashes[maybe], rows[maybe]))]
+        r, h = rows[order], hashes[order]
+        first = np.flatnonzero(np.concatenate([[True], (r[1:] != r[:-1]) | (h[1:] != h[:-1])]) if len(r) else [])
+        count = np.diff(np.append(first, len(r)))
+        r, h = r[first], h[first]
+        dense = _dense(count, words.counts()[r])
+        r, h = np.concatenate([r, r[dense]]), np.concatenate([h, h[dense] | U64(1)])
+        at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
+        known = self.keys[at] == h
+        r, at = r[known], at[known]
+        order = np.lexsort((at, r))
+        return r[order], at[order]
 
     def scores(self, words: Words) -> np.ndarray:
         if not self.fitted:
             return np.zeros(words.n_rows)
-        rows, hashes = _features(words)
-        at = self.find(hashes)
-        hit = at >= 0
-        pairs = np.unique(rows[hit] * len(self.keys) + at[hit])
-        z = np.bincount(pairs // len(self.keys), weights=self.weights[pairs % len(self.keys)], minlength=words.n_rows)
+        row, at = self.found(words)
+        z = np.bincount(row, weights=self.weights[at], minlength=words.n_rows)
         return 1.0 / (1.0 + np.exp(-np.clip(z + self.bias, -30, 30)))
 
-    def __getstate__(self):
-        return {**self.__dict__, "table": None}
-
 
-def nnpu_fit(pos: list[np.ndarray], unl: list[np.ndarray], n_features: int, prior: float, steps: int = 400,
-             batch: int = 1024, rate: float = 0.05, decay: float = 1e-4, seed: int = 7) -> tuple[np.ndarray, float]:
+def nnpu_fit(pos: list[np.ndarray], unl: list[np.ndarray], n_features: int, prior: float, steps: int = 500,
+             batch: int = 3000, rate: float = 0.1, decay: float = 3e-5, seed: int = 7) -> tuple[np.ndarray, float]:
     """Weights and bias of a linear model under the non-negative PU risk
-    (logistic loss, Adam). ``pos`` and ``unl`` hold each row's feature indexes."""
+    (sigmoid loss, Adam). ``pos`` and ``unl`` hold each row's feature indexes."""
     rng = np.random.default_rng(seed)
 
-    def draw(rows):
-        x = np.zeros((min(batch, len(rows)), n_features + 1), np.float32)
-        for i, r in enumerate(rng.choice(len(rows), len(x), replace=False)):
-            x[i, rows[r]] = 1
+    def dense(rows):
+        x = np.zeros((len(rows), n_features + 1), np.uint8)
+        for i, r in enumerate(rows):
+            x[i, r] = 1
         x[:, -1] = 1
         return x
 
-    w = np.zeros(n_features + 1)
-    w[-1] = np.log(max(prior, 1e-4) / max(1 - prior, 1e-4))
+    def draw(x):
+        return (x if len(x) <= batch else x[rng.choice(len(x), batch, replace=False)]).astype(np.float32)
+
+    all_p, all_u = dense(pos), dense(unl)
+    w = np.zeros(n_features + 1, np.float32)
     m, v = np.zeros_like(w), np.zeros_like(w)
     sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -30, 30)))
     for t in range(1, steps + 1):
-        p, u = draw(pos), draw(unl)
+        p, u = draw(all_p), draw(all_u)
         fp, fu = p @ w, u @ w
-        rest = np.logaddexp(0, fu).mean() - prior * np.logaddexp(0, fp).mean()
-        grad_rest = u.T @ sigmoid(fu) / len(u) - prior * (p.T @ sigmoid(fp)) / len(p)
-        grad = -prior * (p.T @ sigmoid(-fp)) / len(p) + grad_rest if rest >= 0 else -grad_rest
-        grad = grad + decay * np.concatenate([w[:-1], [0]])
+        sp, su = sigmoid(fp), sigmoid(fu)                 # losses of calling the rows negative
+        dp, du = sp * (1 - sp), su * (1 - su)
+        rest = su.mean() - prior * sp.mean()
+        grad_rest = du @ u / len(u) - prior * (dp @ p) / len(p)
+        grad = -prior * (dp @ p) / len(p) + grad_rest if rest >= 0 else -grad_rest
+        grad = grad + decay * np.append(w[:-1], 0)
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
-        w -= rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
-    return w[:-1], float(w[-1])
+        step = rate * min(1.0, 2 * (1 - t / (steps + 1)))
+        w = (w - step * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)).astype(np.float32)
+    return w[:-1].astype(float), float(w[-1])
 
 
 def _share(col, share: float):
@@ -161,6 +181,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).where("_id IS NOT NULL")
     drawn = texts.join(F.broadcast(pos_ids), "_id", "left").withColumn("_u", _share(F.col("_id"), max_unlabelled / total)).where("_u OR _p = 1")
 
+    def lists(row, values, n_rows):
+        n = np.bincount(row, minlength=n_rows)
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array(values))
+
     def extract(batches):
         for b in batches:
             names = b.schema.names
@@ -169,12 +193,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 r, h = _features(words)
                 order = np.lexsort((h, r))
                 r, h = r[order], h[order]
-                new = np.ones(len(r), bool)
-                new[1:] = (r[1:] != r[:-1]) | (h[1:] != h[:-1])
-                r, h = r[new], h[new]
-                n = np.bincount(r, minlength=j - i)
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array(h.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([p.slice(i, j - i), u.slice(i, j - i), lists], ["p", "u", "f"])
+                first = np.flatnonzero(np.concatenate([[True], (r[1:] != r[:-1]) | (h[1:] != h[:-1])]) if len(r) else [])
+                count = np.diff(np.append(first, len(r)))
+                r, h = r[first], h[first]
+                dense = _dense(count, words.counts()[r])
+                r, h = np.concatenate([r, r[dense]]), np.concatenate([h, h[dense] | U64(1)])
+                order = np.argsort(r, kind="stable")
+                yield pa.RecordBatch.from_arrays([p.slice(i, j - i), u.slice(i, j - i), lists(r[order], h[order].view(np.int64), j - i)], ["p", "u", "f"])
 
     rows = stored(drawn.mapInArrow(extract, "p int, u boolean, f array<long>"), "toxicity-sample")
     counts = rows.select("p", "u", F.explode("f").alias("f")).groupBy("f").agg(
@@ -196,11 +221,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             f = b.column(2)
             flat = f.flatten().to_numpy(zero_copy_only=False).view(U64)
             own = np.repeat(np.arange(len(f)), f.value_lengths().to_numpy(zero_copy_only=False))
-            at = model.find(flat)
-            hit = at >= 0
-            n = np.bincount(own[hit], minlength=len(f))
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array(at[hit].astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), lists], ["p", "u", "f"])
+            at = np.minimum(np.searchsorted(keys, flat), len(keys) - 1)
+            hit = keys[at] == flat
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), lists(own[hit], at[hit].astype(np.int32), len(f))], ["p", "u", "f"])
 
     sample = rows.mapInArrow(reduce, "p int, u boolean, f array<int>").collect()
     order = sorted(((r.p == 1, bool(r.u), tuple(r.f)) for r in sample))     # independent of partition order

@@ -38,7 +38,14 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 IDENTITY = np.arange(256, dtype=np.uint8)
 
-_powers: dict[int, np.ndarray] = {}
+class _Cache(dict):
+    """A per-process cache; its contents stay behind when a function travels."""
+
+    def __reduce__(self):
+        return dict, ()
+
+
+_powers: dict[int, np.ndarray] = _Cache()
 
 
 def powers(base: U64, n: int) -> np.ndarray:

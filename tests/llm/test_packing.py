@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from lakecraft.llm.packing import LIMIT, Plan, op3_best_fit_packing, pack_documents, vocabulary
+from lakecraft.llm.packing import LIMIT, Plan, look_up, op3_best_fit_packing, pack_documents, vocabulary
 
 
 def check_layout(rows, limit=LIMIT):
@@ -69,9 +69,10 @@ def test_plan(seed):
     if seed % 3 == 0:
         counts = {n: c for n, c in counts.items() if n > limit // 3} or {limit: 3}
     plan = Plan.best(counts, limit)
+    table = plan.table()
     seen = defaultdict(list)
     for length, n in counts.items():
-        seq, off = plan.look_up(np.full(n, length), np.arange(n))
+        seq, off = look_up(table, np.full(n, length), np.arange(n))
         for s, o in zip(seq.tolist(), off.tolist()):
             seen[s].append((o, length))
     assert sum(map(len, seen.values())) == sum(counts.values()) and len(seen) == plan.sequences
