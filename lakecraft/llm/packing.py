@@ -19,10 +19,6 @@ offset they get. Pieces learn their rank from per-task counts: the stored
 pieces know the map task that made them, so no length, however common, meets
 in one task.
 
-Tokenising memoises words per worker in a bounded table: the vocabulary's
-pre-tokeniser never joins across ASCII white space, so the ids of a text are
-those of its white-space-separated parts in a row.
-
 Defined cases: null texts count as empty (they hold the end id alone);
 repeated rows are packed each; null ids stay null; an empty table gives no
 rows; columns named like a result are replaced.
@@ -30,7 +26,6 @@ rows; columns named like a result are replaced.
 
 from __future__ import annotations
 
-import os
 import zlib
 from bisect import bisect_left, insort
 
@@ -40,11 +35,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakecraft.llm.tools import documents, stored
+from lakecraft.llm.token_ids import TokenIds
 from lakecraft.llm.words import column_bytes, slices
 
 LIMIT = 4096
 END_ID = 1
-MEMO = 200_000
 
 
 def vocabulary(path: str | None = None) -> str:
@@ -55,38 +50,6 @@ def vocabulary(path: str | None = None) -> str:
     return path
 
 
-class WordIds:
-    """Token ids of texts as little-endian unsigned 32-bit bytes, word by word."""
-
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        self.encode = Tokenizer.from_file(path).encode_batch
-        self.memo: dict[bytes, bytes] = {}
-
-    def texts(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]         # bytes.split() cuts at ASCII white space only
-        out, i = [], 0
-        while i < len(split):                      # as many texts as the memo can hold new words for
-            new: set[bytes] = set()
-            j = i
-            while j < len(split) and (j == i or len(new) < MEMO // 2):
-                new.update(split[j])
-                j += 1
-            missing = [w for w in new if w not in self.memo]
-            if len(self.memo) + len(missing) > MEMO:
-                self.memo.clear()
-                missing = list(new)
-            for k in range(0, len(missing), 4096):
-                part = missing[k:k + 4096]
-                for w, e in zip(part, self.encode([x.decode("utf-8", "replace") for x in part], add_special_tokens=False)):
-                    self.memo[w] = np.array(e.ids, "<u4").tobytes()
-            get = self.memo.__getitem__
-            out += [b"".join(map(get, words)) for words in split[i:j]]
-            i = j
-        return out
-
-
 def pieces(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None, limit: int = LIMIT,
            end_id: int = END_ID, tokenizer: str | None = None, with_ids: bool = False) -> DataFrame:
     """Pieces of at most ``limit`` ids: ``keep`` columns, piece, start, length, ids_crc32 (and ids)."""
@@ -94,27 +57,28 @@ def pieces(docs: DataFrame, text_col: str = "text", keep: list[str] | None = Non
     made = ["piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
     cols = [c for c in (docs.columns if keep is None else keep) if c not in (*made, "sequence_id", "offset")]
     left = docs.select(*[F.col(f"`{c}`") for c in cols], F.col(text_col).alias("_text"))
-    end = np.array([end_id], "<u4").tobytes()
-    width = 4 * limit
 
     def run(batches):
-        words = WordIds(path)
+        tokens = TokenIds.of_worker(path)
         for b in batches:
             data, offsets = column_bytes(b.column(b.num_columns - 1))
-            raw = data.tobytes()
             for i, j in slices(offsets):
+                found, n = tokens.slice_ids(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+                stop = np.cumsum(n)
+                found = np.insert(found, stop, end_id).astype("<u4")
                 own, piece, start, length, crc, ids = [], [], [], [], [], []
-                for r, x in enumerate(words.texts([raw[offsets[k]:offsets[k + 1]] for k in range(i, j)]), i):
-                    x += end
-                    for p, at in enumerate(range(0, len(x), width)):
-                        part = x[at:at + width]
+                at = 0
+                for r, total in enumerate((n + 1).tolist(), i):
+                    for p, s in enumerate(range(0, total, limit)):
+                        part = found[at + s:at + min(s + limit, total)]
                         own.append(r)
                         piece.append(p)
-                        start.append(at // 4)
-                        length.append(len(part) // 4)
+                        start.append(s)
+                        length.append(len(part))
                         crc.append(zlib.crc32(part))
                         if with_ids:
-                            ids.append(np.frombuffer(part, "<u4").astype(np.int32))
+                            ids.append(part.astype(np.int32))
+                    at += total
                 own = pa.array(own, pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [c.take(own) for c in b.columns[:-1]]

@@ -38,20 +38,19 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 IDENTITY = np.arange(256, dtype=np.uint8)
 
-class _Cache(dict):
-    """A per-process cache; its contents stay behind when a function travels."""
-
-    def __reduce__(self):
-        return dict, ()
-
-
-_powers: dict[int, np.ndarray] = _Cache()
+def worker_state() -> dict:
+    """A dictionary that lives as long as this Python process. Functions travel
+    to workers by value, so module globals would start anew with each task."""
+    import sys
+    import types
+    return vars(sys.modules.setdefault("_lakecraft_worker", types.ModuleType("_lakecraft_worker")))
 
 
 def powers(base: U64, n: int) -> np.ndarray:
     """base^0 .. base^(n-1) modulo 2^64, cached up to a few million entries."""
     key = int(base)
-    p = _powers.get(key)
+    cache = worker_state()
+    p = cache.get(f"powers {key}")
     if p is None or len(p) < n:
         size = 1 << max(12, (max(n, 1) - 1).bit_length())
         p = np.ones(size, dtype=U64)
@@ -61,7 +60,7 @@ def powers(base: U64, n: int) -> np.ndarray:
             p[have:2 * have] = p[:have] * step
             have *= 2
         if size <= 1 << 23:
-            _powers[key] = p
+            cache[f"powers {key}"] = p
     return p[:n]
 
 
