@@ -1,6 +1,7 @@
 """Registered queries of this subpackage (``QUERIES``) and their DuckDB SQL (``ORACLE``)."""
 
 from lakecraft.llm.language import op1_language_id
+from lakecraft.llm.minhash import op6_minhash_near_dedup
 from lakecraft.llm.packing import op3_best_fit_packing
 from lakecraft.llm.substring import op9_substring_dedup
 from lakecraft.llm.toxicity import op4_toxicity
@@ -9,6 +10,7 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_toxicity": op4_toxicity,
+    "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op9_substring_dedup": op9_substring_dedup,
 }
 
