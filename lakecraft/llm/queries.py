@@ -1,5 +1,6 @@
 """Registered queries of this subpackage (``QUERIES``) and their DuckDB SQL (``ORACLE``)."""
 
+from lakecraft.llm.fingerprint import op7_document_fingerprints
 from lakecraft.llm.language import op1_language_id
 from lakecraft.llm.minhash import op6_minhash_near_dedup
 from lakecraft.llm.packing import op3_best_fit_packing
@@ -11,6 +12,7 @@ QUERIES = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_toxicity": op4_toxicity,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
+    "op7_document_fingerprints": op7_document_fingerprints,
     "op9_substring_dedup": op9_substring_dedup,
 }
 
