@@ -3,6 +3,7 @@
 from lakecraft.llm.fingerprint import op7_document_fingerprints
 from lakecraft.llm.language import op1_language_id
 from lakecraft.llm.minhash import op6_minhash_near_dedup
+from lakecraft.llm.nearest import op8_nearest_neighbours
 from lakecraft.llm.packing import op3_best_fit_packing
 from lakecraft.llm.substring import op9_substring_dedup
 from lakecraft.llm.toxicity import op4_toxicity
@@ -13,6 +14,7 @@ QUERIES = {
     "op4_toxicity": op4_toxicity,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_document_fingerprints": op7_document_fingerprints,
+    "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_substring_dedup": op9_substring_dedup,
 }
 
