@@ -3,15 +3,19 @@
 from lakecraft.llm.fingerprint import op7_document_fingerprints
 from lakecraft.llm.language import op1_language_id
 from lakecraft.llm.minhash import op6_minhash_near_dedup
+from lakecraft.llm.mixing import op2_source_mixing
 from lakecraft.llm.nearest import op8_nearest_neighbours
 from lakecraft.llm.packing import op3_best_fit_packing
+from lakecraft.llm.sharding import op5_sharding
 from lakecraft.llm.substring import op9_substring_dedup
 from lakecraft.llm.toxicity import op4_toxicity
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_source_mixing": op2_source_mixing,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_toxicity": op4_toxicity,
+    "op5_sharding": op5_sharding,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_document_fingerprints": op7_document_fingerprints,
     "op8_nearest_neighbours": op8_nearest_neighbours,
