@@ -116,17 +116,18 @@ def mix(rows: DataFrame, block: int = BLOCK, shard_blocks: int = SHARD_BLOCKS, s
 def mix_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", length_col: str | None = None,
               weights=(1, 2, 3), cap: int = 3, block: int = 1024, seed: int = 1) -> DataFrame:
     """The mix as rows of ``docs``: each taken part of a text is a row with the columns of its
-    text, holding the part's words joined by one space (and its length in ``length_col``)."""
+    text, holding the whole text as it is or the part's words joined by one space (and its length in
+    ``length_col``)."""
     rows = stored(placed(docs, id_col, text_col, source_col, weights, cap, keep_keys=True), "mix-rows")
     parts = mix(rows, block, seed=seed).groupBy("sid", "start").agg(F.collect_list(F.struct("skip", "words")).alias("_parts"))
     # a text's parts: at most ``cap`` times its own blocks; of equal rows each is taken as often as its place is
-    mine = rows.join(parts, ["sid", "start"]).groupBy("_k1", "_k2").agg(F.flatten(F.collect_list("_parts")).alias("_parts"))
+    mine = rows.where("size > 0").join(parts, ["sid", "start"]).groupBy("_k1", "_k2").agg(F.flatten(F.collect_list("_parts")).alias("_parts"))
     cols = docs.columns
     whole = (docs.withColumns({"_k1": F.xxhash64(F.lit(1), F.col(id_col)), "_k2": F.xxhash64(F.lit(2), F.col(text_col), F.col(id_col), F.col(source_col))})
              .join(mine, ["_k1", "_k2"]).dropDuplicates(["_k1", "_k2"]))
     cut = whole.withColumn("_words", F.regexp_extract_all(F.col(text_col), F.lit(f"({WORD})"), F.lit(1))).withColumn("_p", F.explode(F.sort_array("_parts")))
     text = F.array_join(F.slice("_words", (F.col("_p.skip") + 1).cast("int"), F.col("_p.words").cast("int")), " ")
-    cut = cut.withColumn("_text", text)
+    cut = cut.withColumn("_text", F.when(F.col("_p.words") == F.size("_words"), F.col(text_col)).otherwise(text))
     made = {text_col: F.col("_text")} | ({length_col: F.length("_text").cast("long")} if length_col else {})
     return cut.select(*[made[c].alias(c) if c in made else F.col(f"`{c}`") for c in cols])
 

@@ -2,6 +2,7 @@
 
 from lakecraft.llm.fingerprint import op7_document_fingerprints
 from lakecraft.llm.language import op1_language_id
+from lakecraft.llm.licenses import op10_license_scan
 from lakecraft.llm.minhash import op6_minhash_near_dedup
 from lakecraft.llm.mixing import op2_source_mixing
 from lakecraft.llm.nearest import op8_nearest_neighbours
@@ -20,6 +21,7 @@ QUERIES = {
     "op7_document_fingerprints": op7_document_fingerprints,
     "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_substring_dedup": op9_substring_dedup,
+    "op10_license_scan": op10_license_scan,
 }
 
 ORACLE: dict[str, str] = {}

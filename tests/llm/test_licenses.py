@@ -1,0 +1,70 @@
+import re
+
+import pytest
+
+from lakecraft.llm.licenses import BASE, op10_license_scan, prefilter, rules, scan
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def words(t):
+    return WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
+
+
+def brute(t):
+    w = words(t)
+    base = sorted((i, i + len(p.split()), lab) for p, lab in BASE.items() for i in range(len(w)) if w[i:i + len(p.split())] == p.split())
+    found = []
+    for first, _, pattern, label, priority, conf, is_base in rules():
+        if not is_base:
+            for i, x in enumerate(w):
+                if x == first:
+                    m = re.match(pattern, " ".join(w[i:i + 20]) + " ")
+                    if m:
+                        found.append((i, -(i + m[0].count(" ")), priority, label, conf))
+    kept, reach = [], -1
+    for d in sorted(found):
+        if -d[1] > reach:
+            kept.append(d)
+            reach = -d[1]
+    labels = sorted({b[2] for b in base} | {d[3] for d in kept})
+    score = max([0.6] * bool(base) + [d[4] for d in kept], default=0.0)
+    at = [b[0] for b in base]
+    return (len(w), len(base), min(at, default=None), max(at, default=None), ",".join(sorted({b[2] for b in base})), ",".join(labels), score)
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_query_equals_brute_force(spark, sf):
+    path = f"/root/testdata/{sf}"
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{path}/documents.parquet").collect()}
+    got = op10_license_scan(spark, path)
+    assert "Python" not in got._jdf.queryExecution().toString() and "Exchange" not in got._jdf.queryExecution().toString()
+    got = got.collect()
+    assert len(got) == len(docs) and any(r.n_base for r in got)
+    for r in got:
+        assert tuple(r)[1:] == brute(docs[r.doc_id]), r
+
+
+TEXTS = ["Licensed under the Apache License, Version 2.0", "GNU General Public License v3 or later; gnu gpl 2", "CC-BY-NC 4.0 and cc\nBY 3.0", "MIT license, mit License mit-license",
+         "SPDX-License-Identifier: MPL-2.0", "released under the terms of the BSD 3-Clause", "Open Software Licence 3.0", "All rights reserved", "licenses of the world", "the mit licensé",
+         "apache licenses", "xcc by", "distributed under a Creative Commons Attribution ShareAlike 4.0 International license", "", None, "license " * 30_000 + "mit license", "É " + "CC BY " * 300,
+         "mit", "general public license", "licensed under public domain"]
+
+
+def test_edges(spark):
+    docs = spark.createDataFrame([(i, t, "clash", None) for i, t in enumerate(TEXTS)] + [(None, TEXTS[0], None, 1), (0, TEXTS[0], "clash", 2)],
+                                 "doc_id long, text string, labels string, kept int")
+    got = scan(docs).collect()
+    assert len(got) == len(TEXTS) + 2
+    for r in got:
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels, r.labels, r.score) == brute(r.text), r.text and r.text[:80]
+        assert r.text is None or not r.n_base or re.search(prefilter(), r.text)
+    by = {r.text: r.labels for r in got if r.text}
+    assert by[TEXTS[0]] == "apache,apache-2.0" and by[TEXTS[2]] == "cc-by,cc-by-3.0,cc-by-nc-4.0" and by[TEXTS[4]] == "mpl-2.0"
+    assert by["licenses of the world"] == "" and by["general public license"] == "gpl"
+    assert scan(docs.limit(0)).count() == 0
+
+
+def test_hundreds_of_rules_all_behind_the_prefilter():
+    table = rules()
+    assert len(table) > 300 and len({r[3] for r in table}) > 60
