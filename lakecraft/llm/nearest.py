@@ -10,6 +10,9 @@ least number that gives ``target`` recall for sample queries against an
 exhaustive search of the sample. Visits go on while the leaves seen hold fewer
 vectors than asked for.
 
+A query's ``k``-th best score among the sample vectors in the leaves that it visits
+bounds its result from below; blocks return nothing under it.
+
 Leaves are searched in blocks of at most ``BLOCK`` vectors and ``QUERIES`` queries,
 so neither a leaf full of copies nor a leaf that all queries visit meets in one
 task. Each block returns its ``k`` best per query; ties go to the smaller id.
@@ -35,7 +38,7 @@ from lakecraft.llm.tools import documents, stored
 SAMPLE = 20_000
 BRANCH, LEAF = 8, 100
 BLOCK, QUERIES = 4096, 4096
-TARGET = 0.97
+TARGET = 0.95
 CALIBRATION = 300
 
 
@@ -153,7 +156,7 @@ def _search(k: int):
             order = np.argsort(ids, kind="stable")
             ids, x = ids[order], x[order]
             twice = bool((ids[1:] == ids[:-1]).any())     # then all are ranked before the k best distinct ids are taken
-            q_ids, q = queries.column("qid").to_numpy(), _matrix(queries.column("qv"))
+            q_ids, q, low = queries.column("qid").to_numpy(), _matrix(queries.column("qv")), queries.column("low").to_numpy()
             for i in range(0, len(q), 512):
                 rough = q[i:i + 512] @ x.T
                 for j, s in enumerate(rough, i):
@@ -163,7 +166,7 @@ def _search(k: int):
                         near = np.flatnonzero(s >= least - 1e-9 * (1 + abs(least)))
                     else:
                         near = np.arange(len(s))
-                    near = near[ids[near] != q_ids[j]]
+                    near = near[(ids[near] != q_ids[j]) & (s[near] >= low[j] - 1e-9 * (1 + abs(low[j])))] if low[j] > -np.inf else near[ids[near] != q_ids[j]]
                     score = (x[near] * q[j]).sum(axis=1)      # the same sum whatever the block
                     top = np.lexsort((ids[near], -score))
                     if twice:
@@ -189,15 +192,15 @@ def search(vectors: DataFrame, queries, k: int = 20, id_col: str = "vec_id", vec
     if not n:
         return spark.createDataFrame([], result)
     drawn = rows.where(F.pmod(F.xxhash64(F.lit(5), "id"), F.lit(1 << 30)) < int(min(1.0, sample / n) * (1 << 30))) if n > sample else rows
-    x = np.array([r.v for r in drawn.orderBy("id").collect()])          # expected ``sample`` rows
-    if not len(x):
-        x = np.array([r.v for r in rows.orderBy("id").limit(LEAF).collect()])
+    some = drawn.orderBy("id").collect() or rows.orderBy("id").limit(LEAF).collect()     # expected ``sample`` rows
+    x, x_ids = np.array([r.v for r in some]), np.array([r.id for r in some])
     tree = grow(x)
     least = calibrate(tree, x, k, target)
-    shape = spark.sparkContext.broadcast((tree.centres, tree.children))   # bounded by the sample
+    one = np.unique(x_ids, return_index=True)[1]
+    shape = spark.sparkContext.broadcast((tree.centres, tree.children, x[one], x_ids[one], assign(tree, x[one])))   # bounded by the sample
 
     def to_leaf(batches):
-        t = Tree(*shape.value)
+        t = Tree(*shape.value[:2])
         for b in batches:
             if b.num_rows:
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(assign(t, _matrix(b.column(1))).astype(np.int32))], ["id", "v", "leaf"])
@@ -208,33 +211,41 @@ def search(vectors: DataFrame, queries, k: int = 20, id_col: str = "vec_id", vec
         held[r.leaf] = r.n
 
     def to_visits(batches):
-        t = Tree(*shape.value)
-        for b in batches:
-            if not b.num_rows:
-                continue
-            scores = _matrix(b.column(1)) @ t.centres.T
-            own, leaf = [], []
-            for i, s in enumerate(scores):
-                seen = 0
-                for c, at in enumerate(visits(t, s)):
-                    if c >= least and seen > 2 * k:
-                        break
-                    seen += held[at]
-                    own.append(i)
+        t = Tree(*shape.value[:2])
+        xs, xs_ids, xs_leaf = shape.value[2:]
+        for batch in batches:
+            for cut in range(0, batch.num_rows, 256):
+                b = batch.slice(cut, 256)
+                q, q_ids = _matrix(b.column(1)), b.column(0).to_numpy()
+                scores, known = q @ t.centres.T, q @ xs.T
+                own, leaf, low = [], [], []
+                for i, s in enumerate(scores):
+                    seen, mine = 0, np.zeros(t.leaves, bool)
+                    for c, at in enumerate(visits(t, s)):
+                        if c >= least and seen > 2 * k:
+                            break
+                        seen += held[at]
+                        mine[at] = True
+                    at = np.flatnonzero(mine)
+                    near = known[i][mine[xs_leaf] & (xs_ids != q_ids[i])]
+                    bound = np.partition(near, len(near) - k)[len(near) - k] if len(near) >= k else -np.inf
+                    own.append(np.full(len(at), i))
                     leaf.append(at)
-            own = pa.array(own)
-            yield pa.RecordBatch.from_arrays([b.column(0).take(own), b.column(1).take(own), pa.array(leaf, pa.int32())], ["qid", "qv", "leaf"])
+                    low.append(np.full(len(at), bound))
+                own = pa.array(np.concatenate(own))
+                yield pa.RecordBatch.from_arrays([b.column(0).take(own), b.column(1).take(own), pa.array(np.concatenate(leaf), pa.int32()),
+                                                  pa.array(np.concatenate(low))], ["qid", "qv", "leaf", "low"])
 
     wanted = asked.where("_asked").select(F.col(id_col).alias("id"), F.col("_asked").alias("_q")).distinct()
     first = indexed.join(wanted.select("id"), "id", "left_semi").groupBy("id").agg(F.min("v").alias("v"))
-    stops = stored(first.mapInArrow(to_visits, "qid long, qv array<double>, leaf int"), "ann-visits")
+    stops = stored(first.mapInArrow(to_visits, "qid long, qv array<double>, leaf int, low double"), "ann-visits")
     load = {r.leaf: r.n for r in stops.groupBy("leaf").agg(F.count("*").alias("n")).collect()}
     blocks = [(i, int(-(-max(h, 1) // BLOCK)), int(-(-load.get(i, 1) // QUERIES))) for i, h in enumerate(held.tolist())]
     grid = F.broadcast(spark.createDataFrame(blocks, "leaf int, mb int, qb int"))        # one row per leaf
     members = indexed.join(grid, "leaf").select("leaf", F.pmod(F.xxhash64("id", F.lit(3)), F.col("mb")).cast("int").alias("i"),
                                                 F.explode(F.sequence(F.lit(0), F.col("qb") - 1)).alias("j"), "id", "v")
     asks = stops.join(grid, "leaf").select(F.col("leaf").alias("ql"), F.explode(F.sequence(F.lit(0), F.col("mb") - 1)).alias("qi"),
-                                           F.pmod(F.xxhash64("qid", F.lit(4)), F.col("qb")).cast("int").alias("qj"), "qid", "qv")
+                                           F.pmod(F.xxhash64("qid", F.lit(4)), F.col("qb")).cast("int").alias("qj"), "qid", "qv", "low")
     near = (members.groupBy("leaf", "i", "j").cogroup(asks.groupBy("ql", "qi", "qj"))
             .applyInArrow(_search(k), "query_id long, vec_id long, score double"))
     best = near.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
