@@ -110,7 +110,8 @@ def mix(rows: DataFrame, block: int = BLOCK, shard_blocks: int = SHARD_BLOCKS, s
     blocks = full.select("sid", "start", "size", b.alias("block"))
     low, high = F.greatest("start", F.col("block") * block), F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block)
     blocks = blocks.select("sid", "block", "start", (low - F.col("start")).alias("skip"), (high - low).alias("words"))
-    return slots(sources, block, shard_blocks, seed).join(blocks, ["sid", "block"])
+    # both sides grow with the words; the plan's estimate for the slots, made from few rows, is far too low to broadcast by
+    return slots(sources, block, shard_blocks, seed).hint("merge").join(blocks.hint("merge"), ["sid", "block"])
 
 
 def mix_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", length_col: str | None = None,
