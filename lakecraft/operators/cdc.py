@@ -65,7 +65,7 @@ def history(changes: DataFrame, key: str, attrs: Sequence[str],
     # a redelivered change has the same content but a new offset: collapse by content
     keyed = latest_per_key(keyed, [key, order[0], "op", *attrs], list(order[1:])) if len(order) > 1 \
         else keyed.dropDuplicates([key, order[0], "op", *attrs])
-    nxt = lead_in_group(keyed, [key], [F.col(c) for c in order], {"_next_ts": order[0]})
+    nxt = lead_in_group(keyed, [key], list(order), {"_next_ts": order[0]})
     return nxt.where(F.col("op") != "d").select(
         key, *attrs, from_epoch_millis("ts_ms").alias("valid_from"),
         from_epoch_millis("_next_ts").alias("valid_to"))

@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakecraft.functions.scalars import money
-from lakecraft.operators.windows import range_segments
+from lakecraft.operators.windows import (earlier_segments, inside_segment, range_segments, segment_edges,
+                                         with_segment_edges)
 
 
 def _window_cols(w: str = "window") -> list[Column]:
@@ -32,54 +33,28 @@ def windowed_counts(events: DataFrame, size: str, slide: str | None = None,
 
 def session_counts_native(events: DataFrame, gap: str, key: str = "user_id", ts: str = "ts",
                           tiebreak: str = "event_id") -> DataFrame:
-    """Spark's own ``session_window``, run per range segment and stitched.
-
-    Grouping by ``key`` alone would give a key's whole history to one task. Here
-    rows are range-partitioned on (key, ts, tiebreak) first and the native
-    session operator runs per (key, partition). Only a partition's first key
-    can continue a session of the previous partition (and only its last key
-    into the next), so the stitching is decided on a table with one row per
-    partition: the first session of a partition joins the previous partition's
-    last session when it starts no later than that session's end; chains
-    through partitions holding a single session follow by a running window
-    over that small table. Local sessions then merge in one aggregate.
+    """Spark's own ``session_window``, run within range segments of (key, ts,
+    tiebreak), so a key with a large share of all events is not one task's work.
+
+    Only the first and the last session of a key in a segment can go on in a
+    neighbouring segment, and only for keys that span segments: at most four
+    rows a segment, merged by a window over that small table.
     """
-    seg = range_segments(events.select(key, ts, tiebreak), [F.col(ts), F.col(tiebreak)], group=[key])
-    g = F.col(key)
-    edges = seg.groupBy("_pid").agg(F.min_by(g, F.col("_idx")).alias("_gf"), F.max_by(g, F.col("_idx")).alias("_gl"))
+    seg = range_segments(events.select(key, ts, tiebreak), [ts, tiebreak], [key])
     local = (seg.groupBy(key, "_pid", F.session_window(ts, gap).alias("w"))
-             .agg(F.count(F.lit(1)).alias("_n"))
-             .select(key, "_pid", F.col("w.start").alias("_s"), F.col("w.end").alias("_e"), "_n")
-             .join(F.broadcast(edges), "_pid"))
-    is_f, is_l = g.eqNullSafe(F.col("_gf")), g.eqNullSafe(F.col("_gl"))
-    tab = local.groupBy("_pid", "_gf", "_gl").agg(
-        F.min(F.when(is_f, F.col("_s"))).alias("_fs"), F.max(F.when(is_l, F.col("_s"))).alias("_ls"),
-        F.max(F.when(is_l, F.col("_e"))).alias("_le"), F.count_if(is_f).alias("_nf"))
-    w = Window.orderBy("_pid")                                   # one row per range partition
-    upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    single = F.col("_gf").eqNullSafe(F.col("_gl")) & (F.col("_nf") == 1)
-    link = F.coalesce(F.lag("_gl").over(w).eqNullSafe(F.col("_gf")) & (F.col("_fs") <= F.lag("_le").over(w)),
-                      F.lit(False))
-    tab = tab.select("*", link.alias("_link"), single.alias("_single"))
-    brk = ~(F.col("_link") & F.coalesce(F.lag("_single").over(w), F.lit(False)))
-    tab = tab.select("*", F.last(F.when(brk, F.col("_pid")), ignorenulls=True).over(upto).alias("_q"),
-                     F.last(F.when(brk, F.col("_link")), ignorenulls=True).over(upto).alias("_qlink"))
-    id_f = F.when(F.col("_qlink"), F.struct((F.col("_q") - 1).alias("p"), F.lit(1).alias("t"))) \
-        .otherwise(F.struct(F.col("_q").alias("p"), F.lit(0).alias("t")))
-    ids = tab.select("_pid", "_fs", "_ls", id_f.alias("_idf"),
-                     F.when(F.col("_single"), id_f).otherwise(
-                         F.struct(F.col("_pid").alias("p"), F.lit(1).alias("t"))).alias("_idl"))
-    own = F.struct(F.col("_pid").alias("p"), F.lit(2).alias("t"))
-    tagged = local.drop("_gf", "_gl").join(F.broadcast(ids.join(F.broadcast(edges), "_pid")), "_pid")
-    sid = (F.when(is_f & (F.col("_s") == F.col("_fs")), F.struct(F.col("_idf.p"), F.col("_idf.t"), F.lit(None).cast(
-        "timestamp_ntz").alias("s")))
-           .when(is_l & (F.col("_s") == F.col("_ls")), F.struct(F.col("_idl.p"), F.col("_idl.t"),
-                                                                F.lit(None).cast("timestamp_ntz").alias("s")))
-           .otherwise(F.struct(own.p, own.t, F.col("_s").cast("timestamp_ntz").alias("s"))))
-    merged = tagged.groupBy(key, sid.alias("_sid")).agg(F.min("_s").alias("_lo"), F.max("_e").alias("_hi"),
-                                                        F.sum("_n").alias("n_events"))
-    return merged.select(key, F.col("_lo").cast("timestamp_ntz").alias("window_start"),
-                         F.col("_hi").cast("timestamp_ntz").alias("window_end"), "n_events")
+             .agg(F.count(F.lit(1)).alias("n_events"), F.max("_spans").alias("_spans"))
+             .select(key, "_pid", "_spans", F.col("w.start").alias("_lo"), F.col("w.end").alias("_hi"), "n_events"))
+    part = Window.partitionBy(key, "_pid")
+    edge = F.col("_spans") & ((F.col("_lo") == F.min("_lo").over(part)) | (F.col("_lo") == F.max("_lo").over(part)))
+    local = local.withColumn("_edge", edge)
+    inner = local.where(~F.col("_edge")).select(key, "_lo", "_hi", "n_events")
+    of_key = Window.partitionBy(key).orderBy("_lo", "_hi", "_pid")
+    reach = F.max("_hi").over(of_key.rowsBetween(Window.unboundedPreceding, -1))
+    ends = local.where("_edge").withColumn("_new", F.when(reach.isNull() | (F.col("_lo") > reach), 1).otherwise(0))
+    ends = ends.withColumn("_no", F.sum("_new").over(of_key.rowsBetween(Window.unboundedPreceding, 0)))
+    merged = ends.groupBy(key, "_no").agg(F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"), F.sum("n_events").alias("n_events"))
+    return inner.unionByName(merged.drop("_no")).select(
+        key, F.col("_lo").cast("timestamp_ntz").alias("window_start"), F.col("_hi").cast("timestamp_ntz").alias("window_end"), "n_events")
 
 
 def session_counts_by_key(events: DataFrame, gap: str, key: str = "user_id", ts: str = "ts") -> DataFrame:
@@ -95,40 +70,27 @@ def sessionize(events: DataFrame, gap_seconds: int, key: str = "user_id", ts: st
     """Gap-based sessions per key for batch data, parallel even for a key that
     holds a large share of all events.
 
-    Rows are range-partitioned on (key, ts, tiebreak), so one key's events may
-    span several range partitions. Within a partition the previous event comes
-    from ``lag``; only a partition's first key can continue from the previous
-    partition, so the carried values (last timestamp, session count) form a
-    table with one row per partition, which is broadcast. A
-    session starts where the gap to the previous event exceeds ``gap_seconds``
-    (an event exactly one gap later stays in the session, as with
-    ``session_window``); session numbers are running counts of starts, computed the
-    same segmented way. Sessions are then a partially aggregated group-by.
-    Output matches ``session_window``: [first event, last event + gap).
+    A session starts where the gap to the previous event exceeds
+    ``gap_seconds`` (an event exactly one gap later stays in the session, as
+    with ``session_window``); its number is a running count of starts. Both are
+    computed within range segments of (key, ts, tiebreak); a key that spans
+    segments carries its last timestamp and its count from the earlier ones in
+    a table of at most two rows a segment. Sessions are then a partially
+    aggregated group-by. Output matches ``session_window``: [first event, last
+    event + gap).
     """
-    seg = range_segments(events.select(key, ts, tiebreak), [F.col(ts), F.col(tiebreak)], group=[key])
-    g = F.col(key)
-    w = Window.orderBy("_pid")                       # over one row per range partition
-    in_seg = Window.partitionBy("_pid", key).orderBy("_idx")
-    tab = seg.groupBy("_pid").agg(F.min_by(g, F.col("_idx")).alias("_gf"), F.max_by(g, F.col("_idx")).alias("_gl"),
-                                  F.max_by(F.col(ts), F.col("_idx")).alias("_lts"))
-    cont = F.lag("_gl").over(w).eqNullSafe(F.col("_gf"))
-    prev_tab = tab.select("_pid", "_gf", "_gl", F.when(cont, F.lag("_lts").over(w)).alias("_pl"))
-    rows = seg.join(F.broadcast(prev_tab), "_pid", "left").select(
-        "*", F.coalesce(F.lag(ts).over(in_seg), F.when(g.eqNullSafe(F.col("_gf")), F.col("_pl"))).alias("_prev"))
     gap = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(gap_seconds))
-    rows = rows.withColumn("_start", F.when(F.col("_prev").isNull() | (F.col(ts) > F.col("_prev") + gap), 1)
-                           .otherwise(0))
-    # session numbers: within-partition running count of starts plus the starts
-    # the key had in earlier range partitions (carried only into a partition's first key)
-    last_starts = rows.where(g.eqNullSafe(F.col("_gl"))).groupBy("_pid").agg(F.sum("_start").alias("_s"))
-    run = Window.partitionBy("_gl").orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0)
-    cum = prev_tab.join(F.broadcast(last_starts), "_pid", "left").select("_pid", "_gf", "_gl", F.sum("_s").over(run).alias("_c"))
-    offs = cum.select("_pid", F.when(F.lag("_gl").over(w).eqNullSafe(F.col("_gf")), F.lag("_c").over(w)).alias("_off"))
-    numbered = (rows.select("*", F.sum("_start").over(in_seg.rowsBetween(Window.unboundedPreceding, 0)).alias("_in"))
-                .join(F.broadcast(offs), "_pid", "left")
-                .withColumn("session_no", F.when(g.eqNullSafe(F.col("_gf")), F.coalesce("_off", F.lit(0)))
-                            .otherwise(0) + F.col("_in")))
+    seg = range_segments(events.select(key, ts, tiebreak), [ts, tiebreak], [key])
+    inside = inside_segment([key], [ts, tiebreak])
+    last = segment_edges(seg, [key], {"_last": F.max(ts)})
+    last = last.select("_pid", key, F.max("_last").over(earlier_segments([key])).alias("_prior"))
+    rows = with_segment_edges(seg, last, [key], ["_prior"])
+    previous = F.coalesce(F.lag(ts).over(inside), F.col("_prior"))
+    rows = rows.withColumn("_start", F.when(previous.isNull() | (F.col(ts) > previous + gap), 1).otherwise(0)).drop("_prior")
+    starts = segment_edges(rows, [key], {"_n": F.sum("_start")})
+    starts = starts.select("_pid", key, F.sum("_n").over(earlier_segments([key])).alias("_before"))
+    numbered = with_segment_edges(rows, starts, [key], ["_before"]).withColumn(
+        "session_no", F.coalesce("_before", F.lit(0)) + F.sum("_start").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
     sessions = numbered.groupBy(key, "session_no").agg(
         F.min(ts).alias("_lo"), F.max(ts).alias("_hi"), F.count(F.lit(1)).alias("n_events"))
     return sessions.select(key, F.col("_lo").cast("timestamp_ntz").alias("window_start"),

@@ -65,9 +65,10 @@ def as_of_join(requests: DataFrame, features: DataFrame, key: str, request_ts: s
                         F.lit(None).cast(requests.select(F.struct(*req_cols).alias("r")).schema["r"].dataType)
                         .alias("_req"), feat.alias("_feat"))
     # feature rows sort before requests at the same instant (<= is inclusive);
-    # the request struct breaks remaining ties deterministically
-    swept = carry_forward(r.unionByName(f), ["_k"], [F.col("_t"), F.col("_side"), F.col("_feat._fts")],
-                          "_feat", "_hit")
+    # a hash of the request breaks remaining ties
+    # of equal rows it doesn't matter which comes first: both carry the same value
+    both = r.unionByName(f).withColumn("_tie", F.xxhash64(F.to_json("_req")))
+    swept = carry_forward(both, ["_k"], ["_t", "_side", "_tie"], "_feat", "_hit")
     out = swept.where(F.col("_side") == 1)
     ttl_s = _ttl_seconds(ttl)
     fresh = F.col("_hit").isNotNull()

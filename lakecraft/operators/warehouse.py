@@ -64,7 +64,7 @@ def with_surrogate_key(df: DataFrame, order: Sequence[str], out: str,
     Parallel global row number (range partitions + per-partition offsets);
     ``start`` is the current ``max(sk)`` of the target for incremental loads.
     """
-    numbered = global_row_number(df, [F.col(c) for c in order], "_sk")
+    numbered = global_row_number(df, list(order), "_sk")
     return numbered.select((F.col("_sk") + start).cast("long").alias(out), *df.columns)
 
 

@@ -3,148 +3,157 @@
 A plain ``row_number() OVER (ORDER BY ...)`` or running ``SUM`` without a
 ``PARTITION BY`` is executed by Spark in a single task, and a window partitioned
 by a low-cardinality or skewed key puts a whole group into one task. The
-operators here give the same results with range partitioning on the full
-(unique) ordering key:
-
-1. ``repartitionByRange`` on (group, order) keys - a hot group is spread over
-   many partitions because the composite key is unique;
-2. each range partition is sorted and tagged with its partition id and local
-   row index, then written as a Parquet table in the shared checkpoint folder
-   so the tags are stable if an executor is lost and a stage is recomputed;
-3. per (partition, group) totals - a table with at most
-   ``#partitions + #groups`` rows - give the offset of each segment;
-4. the answer is ``segment offset + within-segment value``.
-
-Nothing passes through the driver; the only broadcast tables hold one row per
-range partition.
+operators here give the same results on range segments of the full (unique)
+ordering key:
+
+1. cut points come from a sample of the (group, order) keys, one key for each
+   of a fixed number of hash buckets: a partially aggregated job that writes
+   nothing and returns a few keys for each segment;
+2. a row's segment is found by binary search among the cuts, which are
+   literals of the plan: a pure function of the row, the same in every branch
+   of a plan and after every retry;
+3. only groups that hold a cut span segments. Their totals per segment - at
+   most two rows a segment - give the offset of each segment, and are
+   broadcast;
+4. the answer is ``segment offset + within-segment value``: one shuffle of the
+   rows, on (segment, group). No copy of the rows is stored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakecraft.session import materialize
+#: Sampled keys for each segment.
+SAMPLE_PER_SEGMENT = 16
 
-_LOCAL_MASK = (1 << 33) - 1   # monotonically_increasing_id: partition << 33 | row
 
+@dataclass(frozen=True)
+class Desc:
+    """A numeric sort column in descending order, nulls last."""
+    col: str
 
-def _cols(cs) -> list[Column]:
-    return [F.col(c) if isinstance(c, str) else c for c in cs]
 
+def _sort(o) -> Column:
+    return F.col(o.col).desc_nulls_last() if isinstance(o, Desc) else F.col(o).asc_nulls_first()
 
-def _num_partitions(df: DataFrame, n: int | None) -> int:
-    """Range-partition count: explicit, else ``spark.sql.shuffle.partitions``
-    (sized by the deployment for its data volume). An explicit count is not
-    coalesced by AQE, which keeps the within-segment windows parallel."""
-    if n:
-        return n
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
+def _ascending(o) -> Column:
+    """A value whose natural order is the sort order."""
+    return F.struct(F.col(o.col).isNull(), -F.col(o.col)) if isinstance(o, Desc) else F.col(o)
 
-def range_segments(df: DataFrame, order: Sequence, group: Sequence = (),
-                   num_partitions: int | None = None, stable: bool = True) -> DataFrame:
-    """Range-partition ``df`` on ``group + order``, sort each partition and add
-    ``_pid`` (range partition) and ``_idx`` (0-based row index in it).
 
-    ``order`` must make rows unique within ``group`` (add the primary key as
-    the last sort column). With ``stable`` the tagged frame is written to the
-    shared checkpoint folder and read back (lineage cut, ids fixed).
-    """
-    keys = _cols(list(group)) + _cols(list(order))
-    n = _num_partitions(df, num_partitions)
-    tagged = (df.repartitionByRange(n, *keys)
-              .sortWithinPartitions(*keys)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_idx", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOCAL_MASK))))
-    if stable:
-        tagged = materialize(tagged, "segments")
-    return tagged
-
-
-def global_row_number(df: DataFrame, order: Sequence, out: str = "rn",
-                      num_partitions: int | None = None) -> DataFrame:
-    """``ROW_NUMBER() OVER (ORDER BY order)`` computed in parallel.
-
-    ``order`` is a list of sort columns (``F.col('x').desc()`` etc.) that is
-    unique over ``df``.
+def _num_segments(df: DataFrame, n: int | None) -> int:
+    """Explicit, else ``spark.sql.shuffle.partitions`` (sized by the deployment for its data volume)."""
+    return n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def range_segments(df: DataFrame, order: Sequence, group: Sequence[str] = (),
+                   num_segments: int | None = None) -> DataFrame:
+    """``df`` plus ``_pid`` (number of the row's range segment of group + order)
+    and ``_spans`` (whether the row's group may hold a cut next to the segment,
+    that is, go on in a neighbouring one).
+
+    ``order`` (column names or :class:`Desc`) must make rows unique within
+    ``group`` (add the primary key as the last sort column).
     """
-    seg = range_segments(df, order, num_partitions=num_partitions)
-    counts = seg.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select(
-        "_pid", (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).alias("_off"))
-    # one row per range partition: bounded by num_partitions, safe to broadcast
-    return (seg.join(F.broadcast(offsets), "_pid")
-            .withColumn(out, (F.col("_off") + F.col("_idx") + 1).cast("long"))
-            .drop("_pid", "_idx", "_off"))
+    n = _num_segments(df, num_segments)
+    if n <= 1:
+        return df.withColumns({"_pid": F.lit(0), "_spans": F.lit(False)})
+    names = list(dict.fromkeys(list(group) + [o.col if isinstance(o, Desc) else o for o in order]))
+    cuts = _cut_points(df, names, [F.col(c).asc_nulls_first() for c in group] + [_sort(o) for o in order], n)
+    if not cuts:
+        return df.withColumns({"_pid": F.lit(0), "_spans": F.lit(False)})
+
+    def key(at) -> Column:
+        g = F.struct(*[at[c] for c in group]) if group else F.struct(F.lit(0))
+        o = F.struct(*[F.struct(at[x.col].isNull(), -at[x.col]) if isinstance(x, Desc) else at[x] for x in order])
+        return F.struct(g.alias("g"), o.alias("o"))
+
+    kinds = {f.name: f.dataType for f in df.select(*names).schema.fields}
+    table = F.array(*[key({c: F.lit(v).cast(kinds[c]) for c, v in zip(names, cut)}) for cut in cuts])
+    own = key({c: F.col(c) for c in names})
+
+    def halve(acc, _):        # the number of cuts at or below the key lies between lo and hi
+        mid = F.floor((acc["lo"] + acc["hi"] + 1) / 2).cast("int")
+        below = (acc["lo"] < acc["hi"]) & (F.element_at(table, F.greatest(mid, F.lit(1))) <= acc["key"])
+        lo, hi = F.when(below, mid).otherwise(acc["lo"]), F.when(below, acc["hi"]).otherwise(F.greatest(acc["lo"], mid - 1))
+        return F.struct(lo.alias("lo"), hi.alias("hi"), acc["key"].alias("key"))
+
+    start = F.struct(F.lit(0).alias("lo"), F.lit(len(cuts)).alias("hi"), own.alias("key"))
+    steps = F.sequence(F.lit(1), F.lit(len(cuts).bit_length() + 1))
+    rows = df.withColumn("_pid", F.aggregate(steps, start, halve, lambda acc: acc["lo"]))
+    mine = own["g"]
+    here = lambda i: F.coalesce(F.get(table, i)["g"].eqNullSafe(mine), F.lit(False))
+    return rows.withColumn("_spans", here(F.col("_pid") - 1) | here(F.col("_pid")))
+
+
+def _cut_points(df: DataFrame, names: Sequence[str], sort: Sequence[Column], n: int) -> list[tuple]:
+    """At most ``n - 1`` keys (as text) that cut ``df`` into segments of about equal size: quantiles of
+    the rows with the least hash in each of ``SAMPLE_PER_SEGMENT * n`` hash buckets."""
+    h = F.xxhash64(F.lit(17), *names)
+    bucket = F.pmod(h, F.lit(SAMPLE_PER_SEGMENT * n))
+    sample = df.groupBy(bucket.alias("_b")).agg(F.min(F.struct(h.alias("_h"), *names)).alias("_r")).select("_r.*")
+    rows = sample.orderBy(*sort).select(*[F.col(c).cast("string") for c in names]).collect()
+    picked = [tuple(rows[len(rows) * i // n]) for i in range(1, n)] if rows else []
+    return list(dict.fromkeys(picked))
 
 
-def _gkey(group: Sequence[str]) -> Column:
-    """The group as one comparable value (a constant for a global window)."""
-    return F.struct(*[F.col(c) for c in group]) if group else F.lit(0)
+def segment_edges(seg: DataFrame, group: Sequence[str], aggs: dict[str, Column]) -> DataFrame:
+    """One row per (segment, spanning group): at most two a segment."""
+    return seg.where("_spans").groupBy("_pid", *group).agg(*[e.alias(c) for c, e in aggs.items()])
 
 
-def _prev_segment(tab: DataFrame, cols: Sequence[str]) -> list[Column]:
-    """For each segment (one row per range partition): the given columns of the
-    previous segment, but only when that segment ends with the group this one
-    starts with (only then does the group continue across the boundary)."""
-    w = Window.orderBy("_pid")
-    same = F.lag("_gl").over(w).eqNullSafe(F.col("_gf"))
-    return [F.when(same, F.lag(c).over(w)).alias(f"_prev{c}") for c in cols]
+def earlier_segments(group: Sequence[str]) -> Window:
+    """Over :func:`segment_edges`: a group's earlier segments."""
+    return Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+
+
+def with_segment_edges(seg: DataFrame, edges: DataFrame, group: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """Rows plus the columns of their (segment, group) edge row, null for groups that don't span."""
+    small = edges.select(F.col("_pid").alias("_ep"), *[F.col(c).alias(f"_e{i}") for i, c in enumerate(group)], *cols)
+    cond = seg["_pid"] == small["_ep"]
+    for i, c in enumerate(group):
+        cond = cond & seg[c].eqNullSafe(small[f"_e{i}"])
+    return seg.join(F.broadcast(small), cond, "left").drop("_ep", *[f"_e{i}" for i in range(len(group))])
+
+
+def inside_segment(group: Sequence[str], order: Sequence):
+    return Window.partitionBy("_pid", *group).orderBy(*[_sort(o) for o in order])
 
 
 def prefix_sums(df: DataFrame, values: dict[str, Column], order: Sequence,
-                group: Sequence[str] = (), num_partitions: int | None = None) -> DataFrame:
+                group: Sequence[str] = (), num_segments: int | None = None) -> DataFrame:
     """Running sums ``SUM(v) OVER (PARTITION BY group ORDER BY order ROWS
     UNBOUNDED PRECEDING)`` for each ``out -> value expression`` in ``values``.
 
-    ``order`` must be unique within ``group``; a hot group is split over several
-    range partitions, so no group is bound to one task. Since rows are sorted
-    on (group, order), only the first group of a range partition can continue
-    from earlier partitions: the carried offsets form a table with one row per
-    partition, which is broadcast.
+    ``order`` must be unique within ``group``; a hot group is spread over
+    several segments, so no group is bound to one task.
     """
     group = list(group)
-    staged = df
-    tmp = {}
-    for i, (out, expr) in enumerate(values.items()):
-        tmp[out] = f"_v{i}"
-        staged = staged.withColumn(f"_v{i}", expr)
-    seg = range_segments(staged, order, group=group, num_partitions=num_partitions)
-    g = _gkey(group)
-    edges = seg.groupBy("_pid").agg(F.min_by(g, F.col("_idx")).alias("_gf"),
-                                    F.max_by(g, F.col("_idx")).alias("_gl"))
-    # totals of each partition's last group (the only one that can continue)
-    last_tot = (seg.join(F.broadcast(edges.select("_pid", "_gl")), "_pid").where(g.eqNullSafe(F.col("_gl")))
-                .groupBy("_pid").agg(*[F.sum(t).alias(f"{t}_t") for t in tmp.values()]))
-    run = Window.partitionBy("_gl").orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0)
-    tab = edges.join(F.broadcast(last_tot), "_pid", "left").select(
-        "_pid", "_gf", "_gl", *[F.sum(f"{t}_t").over(run).alias(f"{t}_c") for t in tmp.values()])
-    offsets = tab.select("_pid", "_gf", *_prev_segment(tab, [f"{t}_c" for t in tmp.values()]))
-    within = Window.partitionBy("_pid", *group).orderBy("_idx").rowsBetween(Window.unboundedPreceding, 0)
-    running = seg.select("*", *[F.sum(t).over(within).alias(f"{t}_in") for t in tmp.values()])
-    joined = running.join(F.broadcast(offsets), "_pid", "left")   # one row per range partition
-    for out, t in tmp.items():
-        # SQL SUM is null only while no non-null value has been seen
-        off = F.when(g.eqNullSafe(F.col("_gf")), F.col(f"_prev{t}_c"))
-        inner = F.col(f"{t}_in")
-        joined = joined.withColumn(out, F.coalesce(off + inner, inner, off))
-    drop = ["_pid", "_idx", "_gf"] + [c for t in tmp.values() for c in (t, f"_prev{t}_c", f"{t}_in")]
-    return joined.drop(*drop)
-
-
-def row_number_in_group(df: DataFrame, group: Sequence[str], order: Sequence,
-                        out: str = "rn", num_partitions: int | None = None) -> DataFrame:
-    """``ROW_NUMBER() OVER (PARTITION BY group ORDER BY order)`` without putting a
-    group in one task (running count via :func:`prefix_sums`)."""
-    return prefix_sums(df, {out: F.lit(1).cast("long")}, order, group, num_partitions)
+    tmp = {out: f"_v{i}" for i, out in enumerate(values)}
+    seg = range_segments(df.withColumns({tmp[o]: e for o, e in values.items()}), order, group, num_segments)
+    edges = segment_edges(seg, group, {f"{t}_t": F.sum(t) for t in tmp.values()})
+    run = earlier_segments(group)
+    edges = edges.select("_pid", *group, *[F.sum(f"{t}_t").over(run).alias(f"{t}_c") for t in tmp.values()])
+    within = inside_segment(group, order).rowsBetween(Window.unboundedPreceding, 0)
+    rows = with_segment_edges(seg, edges, group, [f"{t}_c" for t in tmp.values()])
+    rows = rows.select("*", *[F.sum(t).over(within).alias(f"{t}_in") for t in tmp.values()])
+    # SQL SUM is null only while no non-null value has been seen
+    done = [F.coalesce(F.col(f"{t}_c") + F.col(f"{t}_in"), F.col(f"{t}_in"), F.col(f"{t}_c")).alias(out) for out, t in tmp.items()]
+    return rows.select(*[c for c in df.columns if c not in values], *done)
+
+
+def global_row_number(df: DataFrame, order: Sequence, out: str = "rn", num_segments: int | None = None) -> DataFrame:
+    """``ROW_NUMBER() OVER (ORDER BY order)`` computed in parallel; ``order`` is unique over ``df``."""
+    return prefix_sums(df, {out: F.lit(1).cast("long")}, order, (), num_segments)
 
 
 def rank_in_group(df: DataFrame, group: Sequence[str], rank_by: Sequence[str], descending: bool,
-                  out: str = "rank", dense: bool = False,
-                  num_partitions: int | None = None) -> DataFrame:
+                  out: str = "rank", dense: bool = False, num_segments: int | None = None) -> DataFrame:
     """``RANK()`` / ``DENSE_RANK()`` ``OVER (PARTITION BY group ORDER BY rank_by)``.
 
     Rows are first counted per peer value ``group + rank_by`` (a partially
@@ -153,13 +162,10 @@ def rank_in_group(df: DataFrame, group: Sequence[str], rank_by: Sequence[str], d
     value + 1 and DENSE_RANK = distinct values up to it; the result is joined
     back on the peer value.
     """
-    def sort(c):
-        return F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_first()
-
     peers = list(group) + list(rank_by)
     counted = df.groupBy(*peers).agg(F.count(F.lit(1)).alias("_c"))
     running = prefix_sums(counted, {"_cum": F.col("_c"), "_dense": F.lit(1).cast("long")},
-                          [sort(c) for c in rank_by], group, num_partitions)
+                          [Desc(c) if descending else c for c in rank_by], group, num_segments)
     value = F.col("_dense") if dense else F.col("_cum") - F.col("_c") + 1
     ranks = running.select(*peers, value.cast("long").alias(out))
     return _join_on_peers(df, ranks, peers, out)
@@ -185,7 +191,7 @@ def top_n_per_group(df: DataFrame, group: Sequence[str], order: Sequence, n: int
     """``ROW_NUMBER() ... <= n`` per group. Spark plans a partial
     ``WindowGroupLimit`` before the shuffle, so each map task sends at most
     ``n`` rows per group - a hot group never reaches one task whole."""
-    w = Window.partitionBy(*group).orderBy(*_cols(order))
+    w = Window.partitionBy(*group).orderBy(*order)
     return df.withColumn(out, F.row_number().over(w).cast("long")).where(F.col(out) <= n)
 
 
@@ -205,54 +211,35 @@ def latest_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> D
 
 
 def lead_in_group(df: DataFrame, group: Sequence[str], order: Sequence, values: dict[str, str],
-                  num_partitions: int | None = None) -> DataFrame:
+                  num_segments: int | None = None) -> DataFrame:
     """``LEAD(col) OVER (PARTITION BY group ORDER BY order)`` for each
-    ``out -> col`` in ``values``, parallel for hot groups.
-
-    Within a range partition the next row is ``lead``; the last row of a
-    partition's last group takes the next partition's first row when that
-    partition starts with the same group (a table with one row per partition,
-    broadcast).
-    """
+    ``out -> col`` in ``values``, parallel for hot groups: ``lead`` within a
+    segment, and for the last row of a segment's part of a group the first row
+    of the group's next part."""
     group = list(group)
-    seg = range_segments(df, order, group=group, num_partitions=num_partitions)
-    g = _gkey(group)
+    seg = range_segments(df, order, group, num_segments)
+    place = F.struct(*[_ascending(o).alias(f"o{i}") for i, o in enumerate(order)])
     packed = F.struct(*[F.col(c).alias(c) for c in values.values()])
-    tab = seg.groupBy("_pid").agg(F.min_by(g, F.col("_idx")).alias("_gf"), F.max_by(g, F.col("_idx")).alias("_gl"),
-                                  F.min_by(packed, F.col("_idx")).alias("_first"))
-    w = Window.orderBy("_pid")
-    nxt = tab.select("_pid", "_gl", F.when(F.lead("_gf").over(w).eqNullSafe(F.col("_gl")),
-                                           F.lead("_first").over(w)).alias("_next"))
-    in_seg = Window.partitionBy("_pid", *group).orderBy("_idx")
-    rows = seg.join(F.broadcast(nxt), "_pid", "left")
-    is_last = F.lead("_idx").over(in_seg).isNull()
-    for out, c in values.items():
-        cont = F.when(g.eqNullSafe(F.col("_gl")), F.col(f"_next.{c}"))
-        rows = rows.withColumn(out, F.when(is_last, cont).otherwise(F.lead(c).over(in_seg)))
-    return rows.drop("_pid", "_idx", "_gl", "_next")
+    edges = segment_edges(seg, group, {"_first": F.min_by(packed, place)})
+    nxt = edges.select("_pid", *group, F.lead("_first").over(Window.partitionBy(*group).orderBy("_pid")).alias("_next"))
+    rows = with_segment_edges(seg, nxt, group, ["_next"])
+    inside = inside_segment(group, order)
+    is_last = F.lead(F.lit(1)).over(inside).isNull()
+    return rows.select(*[c for c in df.columns if c not in values],
+                       *[F.when(is_last, F.col(f"_next.{c}")).otherwise(F.lead(c).over(inside)).alias(out) for out, c in values.items()])
 
 
 def carry_forward(df: DataFrame, group: Sequence[str], order: Sequence, carried: str, out: str,
-                  num_partitions: int | None = None) -> DataFrame:
+                  num_segments: int | None = None) -> DataFrame:
     """``LAST(carried, ignorenulls) OVER (PARTITION BY group ORDER BY order ROWS
     UNBOUNDED PRECEDING)``: the latest non-null value at or before each row,
-    parallel for hot groups (segment-local last value, else the last non-null
-    value the group had in earlier range partitions - a table with one row per
-    partition, broadcast)."""
+    parallel for hot groups."""
     group = list(group)
-    seg = range_segments(df, order, group=group, num_partitions=num_partitions)
-    g = _gkey(group)
-    edges = seg.groupBy("_pid").agg(F.min_by(g, F.col("_idx")).alias("_gf"),
-                                    F.max_by(g, F.col("_idx")).alias("_gl"))
-    last_val = (seg.join(F.broadcast(edges.select("_pid", "_gl")), "_pid").where(g.eqNullSafe(F.col("_gl")))
-                .groupBy("_pid").agg(F.max_by(F.col(carried), F.when(F.col(carried).isNotNull(), F.col("_idx")))
-                                     .alias("_lv")))
-    run = Window.partitionBy("_gl").orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0)
-    tab = edges.join(F.broadcast(last_val), "_pid", "left").select(
-        "_pid", "_gf", "_gl", F.last("_lv", ignorenulls=True).over(run).alias("_lc"))
-    prior = tab.select("_pid", "_gf", *_prev_segment(tab, ["_lc"]))
-    upto = Window.partitionBy("_pid", *group).orderBy("_idx").rowsBetween(Window.unboundedPreceding, 0)
-    rows = seg.join(F.broadcast(prior), "_pid", "left")
-    before = F.when(g.eqNullSafe(F.col("_gf")), F.col("_prev_lc"))
-    return rows.withColumn(out, F.coalesce(F.last(carried, ignorenulls=True).over(upto), before)) \
-        .drop("_pid", "_idx", "_gf", "_prev_lc")
+    seg = range_segments(df, order, group, num_segments)
+    place = F.struct(*[_ascending(o).alias(f"o{i}") for i, o in enumerate(order)])
+    edges = segment_edges(seg, group, {"_lv": F.max_by(F.col(carried), F.when(F.col(carried).isNotNull(), place))})
+    prior = edges.select("_pid", *group, F.last("_lv", ignorenulls=True).over(earlier_segments(group)).alias("_prior"))
+    rows = with_segment_edges(seg, prior, group, ["_prior"])
+    upto = inside_segment(group, order).rowsBetween(Window.unboundedPreceding, 0)
+    return rows.select(*[c for c in df.columns if c != out],
+                       F.coalesce(F.last(carried, ignorenulls=True).over(upto), F.col("_prior")).alias(out))

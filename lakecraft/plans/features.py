@@ -37,7 +37,7 @@ def build_customer_features(spark, d):
     sum per customer - a very active customer does not end up in one task."""
     daily = (T.orders(spark, d).groupBy("customer_id", "order_date")
              .agg(F.sum(money("total_amount")).alias("amt"), F.count(F.lit(1)).alias("cnt")))
-    run = prefix_sums(daily, {"total": F.col("amt"), "count": F.col("cnt")}, [F.col("order_date")],
+    run = prefix_sums(daily, {"total": F.col("amt"), "count": F.col("cnt")}, ["order_date"],
                       ["customer_id"])
     return run.select("customer_id",
                       F.date_add("order_date", 1).cast("timestamp_ntz").alias("event_timestamp"),

@@ -27,7 +27,7 @@ def w_dense_rank(spark, d):
     "FROM app_orders"))
 def w_lead(spark, d):
     o = T.orders(spark, d).select("order_id", "customer_id", "order_date")
-    return W.lead_in_group(o, ["customer_id"], [F.col("order_date"), F.col("order_id")],
+    return W.lead_in_group(o, ["customer_id"], ["order_date", "order_id"],
                            {"next_order_date": "order_date"})
 
 
@@ -40,7 +40,7 @@ def w_running_avg(spark, d):
     """Running average = running exact sum / running count (one segmented pass)."""
     o = T.orders(spark, d).select("order_id", "customer_id", "order_date", "total_amount")
     r = W.prefix_sums(o, {"_s": money("total_amount"), "_n": F.lit(1).cast("long")},
-                      [F.col("order_date"), F.col("order_id")], ["customer_id"])
+                      ["order_date", "order_id"], ["customer_id"])
     return r.select("order_id", "customer_id", "order_date", "total_amount",
                     (F.col("_s").cast("double") / F.col("_n").cast("double")).alias("running_avg"))
 

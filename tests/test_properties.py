@@ -26,14 +26,14 @@ def frames(draw):
 def test_prefix_sums_and_row_number(spark, case):
     pdf, parts = case
     df = spark.createDataFrame(pdf)
-    got = W.prefix_sums(df, {"run": F.col("v"), "rn": F.lit(1).cast("long")}, [F.col("t"), F.col("id")], ["k"],
-                        num_partitions=parts).toPandas().set_index("id").sort_index()
+    got = W.prefix_sums(df, {"run": F.col("v"), "rn": F.lit(1).cast("long")}, ["t", "id"], ["k"],
+                        num_segments=parts).toPandas().set_index("id").sort_index()
     exp = pdf.sort_values(["k", "t", "id"]).copy()
     exp["run"] = exp.groupby("k")["v"].cumsum()
     exp["rn"] = exp.groupby("k").cumcount() + 1
     exp = exp.set_index("id").sort_index()
     assert got["run"].tolist() == exp["run"].tolist() and got["rn"].tolist() == exp["rn"].tolist()
-    g = W.global_row_number(df, [F.col("t").desc(), F.col("id")], "rn", num_partitions=parts).toPandas()
+    g = W.global_row_number(df, [W.Desc("t"), "id"], "rn", num_segments=parts).toPandas()
     e = pdf.sort_values(["t", "id"], ascending=[False, True])["id"].tolist()
     assert g.sort_values("rn")["id"].tolist() == e
 
@@ -43,12 +43,12 @@ def test_prefix_sums_and_row_number(spark, case):
 def test_lead_and_rank(spark, case):
     pdf, parts = case
     df = spark.createDataFrame(pdf)
-    got = W.lead_in_group(df, ["k"], [F.col("t"), F.col("id")], {"nt": "t"}, num_partitions=parts).toPandas()
+    got = W.lead_in_group(df, ["k"], ["t", "id"], {"nt": "t"}, num_segments=parts).toPandas()
     exp = pdf.sort_values(["k", "t", "id"]).copy()
     exp["nt"] = exp.groupby("k")["t"].shift(-1)
     assert got.set_index("id")["nt"].astype(float).sort_index().equals(
         exp.set_index("id")["nt"].astype(float).sort_index())
-    r = W.rank_in_group(df, ["k"], ["t"], descending=False, out="r", num_partitions=parts).toPandas()
+    r = W.rank_in_group(df, ["k"], ["t"], descending=False, out="r", num_segments=parts).toPandas()
     er = pdf.groupby("k")["t"].rank(method="min").astype(int)
     assert r.set_index("id")["r"].sort_index().tolist() == er.set_axis(pdf["id"]).sort_index().tolist()
 
@@ -70,7 +70,7 @@ def clicks(draw):
 def test_sessions_stitched_equal_brute_force(spark, monkeypatch, case):
     from lakecraft.operators import events as E
     pdf, parts = case
-    monkeypatch.setattr(W, "_num_partitions", lambda df, n: parts)
+    monkeypatch.setattr(W, "_num_segments", lambda df, n: parts)
     df = spark.createDataFrame(pdf).selectExpr("event_id", "user_id", "CAST(ts AS TIMESTAMP_NTZ) AS ts")
     p = pdf.sort_values(["user_id", "ts", "event_id"])
     gap = p.groupby("user_id")["ts"].diff()

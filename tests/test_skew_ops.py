@@ -22,7 +22,7 @@ def clicks():
 
 
 def test_sessionize_matches_brute_force(spark, clicks, monkeypatch):
-    monkeypatch.setattr(W, "_num_partitions", lambda df, n: 6)
+    monkeypatch.setattr(W, "_num_segments", lambda df, n: 6)
     df = spark.createDataFrame(clicks).selectExpr("event_id", "user_id", "CAST(ts AS TIMESTAMP) AS ts")
     got = E.sessionize(df, 1800).toPandas()
     p = clicks.sort_values(["user_id", "ts", "event_id"])
@@ -41,7 +41,7 @@ def test_sessionize_matches_brute_force(spark, clicks, monkeypatch):
 
 
 def test_as_of_join_hot_entity(spark, clicks, monkeypatch):
-    monkeypatch.setattr(W, "_num_partitions", lambda df, n: 5)
+    monkeypatch.setattr(W, "_num_segments", lambda df, n: 5)
     feats = clicks.drop_duplicates(["user_id", "ts"]).iloc[::3].rename(columns={"ts": "fts"})
     feats = feats.assign(val=feats["event_id"] * 10)[["user_id", "fts", "val"]]
     reqs = clicks.iloc[1::2].rename(columns={"ts": "rts"})[["event_id", "user_id", "rts"]]

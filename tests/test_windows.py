@@ -23,7 +23,7 @@ def skewed(spark):
 
 def test_global_row_number(spark, skewed):
     pdf, df = skewed
-    out = W.global_row_number(df, [F.col("t").desc(), F.col("id")], "rn", num_partitions=7).toPandas()
+    out = W.global_row_number(df, [W.Desc("t"), "id"], "rn", num_segments=7).toPandas()
     exp = pdf.sort_values(["t", "id"], ascending=[False, True]).reset_index(drop=True)
     exp["rn"] = np.arange(1, len(exp) + 1)
     got = out.set_index("id")["rn"]
@@ -32,7 +32,7 @@ def test_global_row_number(spark, skewed):
 
 def test_prefix_sums_grouped_hot_key(spark, skewed):
     pdf, df = skewed
-    out = W.prefix_sums(df, {"run": F.col("v")}, [F.col("t"), F.col("id")], ["k"], num_partitions=6).toPandas()
+    out = W.prefix_sums(df, {"run": F.col("v")}, ["t", "id"], ["k"], num_segments=6).toPandas()
     exp = pdf.sort_values(["k", "t", "id"]).copy()
     exp["run"] = exp["v"].fillna(0).groupby(exp["k"]).cumsum()   # SQL SUM skips nulls
     got = out.set_index("id")["run"].astype(float)
@@ -46,7 +46,7 @@ def test_prefix_sums_grouped_hot_key(spark, skewed):
 @pytest.mark.parametrize("dense", [False, True])
 def test_rank_in_group(spark, skewed, dense):
     pdf, df = skewed
-    out = W.rank_in_group(df, ["k"], ["t"], descending=True, out="r", dense=dense, num_partitions=5).toPandas()
+    out = W.rank_in_group(df, ["k"], ["t"], descending=True, out="r", dense=dense, num_segments=5).toPandas()
     exp = pdf.copy()
     exp["r"] = exp.groupby("k")["t"].rank(method="dense" if dense else "min", ascending=False).astype(int)
     assert out.set_index("id")["r"].sort_index().tolist() == exp.set_index("id")["r"].sort_index().tolist()
@@ -54,7 +54,7 @@ def test_rank_in_group(spark, skewed, dense):
 
 def test_lead_in_group(spark, skewed):
     pdf, df = skewed
-    out = W.lead_in_group(df, ["k"], [F.col("t"), F.col("id")], {"nt": "t"}, num_partitions=6).toPandas()
+    out = W.lead_in_group(df, ["k"], ["t", "id"], {"nt": "t"}, num_segments=6).toPandas()
     exp = pdf.sort_values(["k", "t", "id"]).copy()
     exp["nt"] = exp.groupby("k")["t"].shift(-1)
     got = out.set_index("id")["nt"].astype(float).sort_index()
@@ -63,7 +63,7 @@ def test_lead_in_group(spark, skewed):
 
 def test_carry_forward(spark, skewed):
     pdf, df = skewed
-    out = W.carry_forward(df, ["k"], [F.col("t"), F.col("id")], "v", "last_v", num_partitions=6).toPandas()
+    out = W.carry_forward(df, ["k"], ["t", "id"], "v", "last_v", num_segments=6).toPandas()
     exp = pdf.sort_values(["k", "t", "id"]).copy()
     exp["last_v"] = exp.groupby("k")["v"].ffill()
     got = out.set_index("id")["last_v"].astype(float).sort_index()
