@@ -1,19 +1,22 @@
 """Composite jobs: each is one Spark application step built from the library's
 readers, operators and writers. Row counts are taken with ``observe`` inside
-the write job itself, so no step scans its input twice just to count.
+the write job itself, so no step scans its input twice just to count; steps are
+reconciled against each other.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import time
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakecraft.operators import cleaning as CL
-from lakecraft.operators.versioned import VersionedTable
+from lakecraft.operators import warehouse as WH
 from lakecraft.sources import files as IO
 from lakecraft.sources import sinks as SK
 
@@ -26,6 +29,11 @@ class Metrics:
     def ok(self) -> bool:
         return not self.failures
 
+    def reconcile(self, name: str, expected: int, found: int) -> None:
+        """Record a failure where two steps disagree about a number of rows."""
+        if expected != found:
+            self.failures[name] = f"expected {expected} rows, found {found}"
+
 
 def _write_observed(df: DataFrame, name: str, write) -> int:
     obs = Observation(name)
@@ -34,7 +42,8 @@ def _write_observed(df: DataFrame, name: str, write) -> int:
 
 
 def run_products(spark: SparkSession, src_csv: str, bronze: str, silver: str, ingest_ts=None) -> Metrics:
-    """CSV -> bronze (raw + lineage) -> cleaned products -> silver Parquet."""
+    """CSV -> bronze (raw + lineage, appended) -> cleaned products of every
+    batch landed so far -> silver Parquet. ``ingest_ts`` only stamps the batch."""
     m = Metrics()
     raw = IO.read_csv_required(spark, src_csv, ["product_name", "category", "price"])
     m.steps["landed"] = _write_observed(
@@ -42,43 +51,49 @@ def run_products(spark: SparkSession, src_csv: str, bronze: str, silver: str, in
         .withColumn("_ingest_ts", F.lit(ingest_ts).cast("timestamp") if ingest_ts else F.current_timestamp())
         .withColumn("ingest_date", F.to_date("_ingest_ts")),
         "landed", lambda d: d.write.mode("append").partitionBy("ingest_date").parquet(bronze))
-    landed = spark.read.parquet(bronze)
-    if ingest_ts is not None:
-        ts = F.lit(ingest_ts).cast("timestamp")
-        # the partition column prunes other days' files; the timestamp picks this batch
-        landed = landed.where((F.col("ingest_date") == F.to_date(ts)) & (F.col("_ingest_ts") == ts))
-    cleaned = CL.clean_products(landed.select("product_name", "category", "price"))
+    landed = spark.read.parquet(bronze).select("product_name", "category", "price")
+    cleaned = CL.clean_products(landed)
     m.steps["cleaned"] = _write_observed(cleaned, "cleaned", lambda d: d.write.mode("overwrite").parquet(silver))
+    m.reconcile("silver", m.steps["cleaned"], spark.read.parquet(silver).count())
     return m
 
 
 def validate_load(spark: SparkSession, path: str, expected_rows: int | None = None,
-                  required: tuple = ()) -> dict:
-    """Output exists, is non-empty, optionally has the expected row count and
-    columns."""
+                  required: tuple = (), where=None) -> dict:
+    """Output exists and has rows (or just the expected number of them) and the
+    required columns; ``where`` restricts the check to one run's part."""
     try:
         df = spark.read.parquet(path)
-    except Exception as e:
+    except AnalysisException as e:
         return {"ok": False, "reason": f"missing output: {e}"}
     missing = sorted(set(required) - set(df.columns))
-    n = df.count()
-    ok = n > 0 and not missing and (expected_rows is None or n == expected_rows)
+    n = (df if where is None else df.where(where)).count()
+    ok = not missing and (n > 0 if expected_rows is None else n == expected_rows)
     return {"ok": ok, "rows": n, "missing_columns": missing}
 
 
 def run_orders(spark: SparkSession, orders: DataFrame, out: str, as_of: dt.date, days: int = 30) -> Metrics:
     """Ingest the last ``days`` days of orders -> drop rows missing ids ->
-    Parquet by order date (re-runs replace only those days) -> validate."""
+    Parquet by order date (re-runs replace only those days) -> check that the
+    run's days hold just the rows of this run. A window without rows is a run
+    that loads nothing."""
     m = Metrics()
+    first = as_of - dt.timedelta(days=days)
+    recent = orders.where(F.col("order_date") >= F.lit(first))
+    if recent.isEmpty():
+        m.steps.update(extracted=0, rejected=0, loaded=0)
+        return m
     obs_in = Observation("orders_in")
-    recent = orders.where(F.col("order_date") >= F.date_sub(F.lit(as_of), days)) \
-        .observe(obs_in, F.count(F.lit(1)).alias("rows"))
-    cleaned = CL.clean_orders(recent, dedup=True).withColumn("order_date", F.to_date("order_date"))
-    m.steps["loaded"] = _write_observed(cleaned, "orders_out", lambda d: d.write.mode("overwrite")
-                                        .option("partitionOverwriteMode", "dynamic")
-                                        .partitionBy("order_date").parquet(out))
-    m.steps["extracted"] = int(obs_in.get["rows"])
-    v = validate_load(spark, out)
+    whole = CL.clean_orders(recent).select(F.lit(1))
+    counted = recent.observe(obs_in, F.count(F.lit(1)).alias("rows"))
+    cleaned = CL.clean_orders(counted, dedup=True).withColumn("order_date", F.to_date("order_date"))
+    loaded = _write_observed(cleaned, "orders_out", lambda d: d.write.mode("overwrite")
+                             .option("partitionOverwriteMode", "dynamic")
+                             .partitionBy("order_date").parquet(out))
+    extracted = int(obs_in.get["rows"])
+    valid = whole.count()
+    m.steps.update(extracted=extracted, rejected=extracted - valid, repeated=valid - loaded, loaded=loaded)
+    v = validate_load(spark, out, expected_rows=loaded, where=F.col("order_date") >= F.lit(first))
     if not v["ok"]:
         m.failures["validate"] = v
     return m
@@ -97,41 +112,116 @@ def run_medallion(spark: SparkSession, bronze_csv: str, silver: str, gold: str,
     return m
 
 
-def refresh_summary(spark: SparkSession, path: str, rows: DataFrame, partition_by=()) -> int:
-    """Full refresh of a summary table: a new version replaces the content
-    (readers of the previous version are unaffected until it is expired)."""
-    return VersionedTable(spark, path, partition_by=partition_by).overwrite(rows)
-
+def latest(spark: SparkSession, path: str) -> tuple[int, DataFrame | None]:
+    """Number and content of the newest load under ``path`` (``load=<n>`` folders); 0 and None before the first."""
+    try:
+        df = spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return 0, None
+    n = int(df.agg(F.max("load")).first()[0] or 0)
+    return n, df.where(F.col("load") == n).drop("load")
+
+
+def publish(spark: SparkSession, df: DataFrame, path: str, name: str) -> int:
+    """Write a table's next load as a folder of its own: readers of the one before are not
+    disturbed, and a failed write leaves it the newest. Returns the number of rows."""
+    n, _ = latest(spark, path)
+    return _write_observed(df, name, lambda d: d.write.mode("overwrite").parquet(f"{path}/load={n + 1}"))
+
+
+def refresh_summary_incremental(rows_for_touched: DataFrame, path: str, partition_by) -> None:
+    """Incremental refresh of a partitioned summary: ``rows_for_touched`` holds the recomputed
+    rows of the touched partitions; the other partitions' files stay."""
+    SK.write_parquet(rows_for_touched, path, partition_by=partition_by)
+
+
+def load_dimension(spark: SparkSession, rows: DataFrame, path: str, key: str, attrs: list[str], sk: str, as_of: dt.date) -> int:
+    """First load, or the changes of ``rows`` applied to the stored versions (SCD2)."""
+    _, stored = latest(spark, path)
+    if stored is None:
+        new = WH.with_surrogate_key(WH.scd2_initial(rows, key, attrs, as_of), [key, "valid_from"], sk)
+    else:
+        new = WH.scd2_apply(stored, rows, key, attrs, as_of, sk)
+    return publish(spark, new, path, sk)
+
+
+def load_facts(spark: SparkSession, items: DataFrame, orders: DataFrame, customers: DataFrame, products: DataFrame, path: str) -> int:
+    """Append the facts of items that no earlier load holds; returns their number."""
+    key = ["order_id", "line_number", "product_id", "created_at", "quantity", "amount"]
+    named = items.withColumnRenamed("subtotal", "amount")
+    n, stored = latest(spark, path)
+    fresh = named if stored is None else WH.insert_ignore(spark.read.parquet(path), named, key)
+    fact = WH.fact_sales(fresh.withColumnRenamed("amount", "subtotal"), orders, customers, products,
+                         ["order_id", "line_number", "product_id", "created_at", "quantity", "subtotal"])
+    if stored is not None and fact.isEmpty():
+        return 0
+    return _write_observed(fact, "fact", lambda d: d.write.mode("overwrite").parquet(f"{path}/load={n + 1}"))
+
+
+def _run_step(m: Metrics, policy: dict, name: str, work: Callable) -> bool:
+    """Run a step; False when it failed and was required."""
+    try:
+        work()
+    except Exception as e:                 # the step's policy decides whether the run goes on
+        m.failures[name] = f"{type(e).__name__}: {e}"
+        return policy.get(name) != "required"
+    return True
+
+
+def run_mart(spark: SparkSession, sf_dir: str, out: str, as_of: dt.date, products_csv: str | None = None,
+             steps: dict | None = None) -> Metrics:
+    """Product CSV (if given) -> source tables -> mart (SCD2 dimensions, date
+    dimension, facts) -> dashboard summaries. Each run applies what changed
+    since the last one: dimension versions accumulate, only new items become
+    facts. A failed ``required`` step ends the run, an ``optional`` one is
+    recorded."""
+    from lakecraft.plans import dashboards as DB
+    from lakecraft.plans.mart import CUSTOMER_ATTRS, PRODUCT_ATTRS
+    from lakecraft.sources import tables as T
+    m = Metrics()
+    policy = {"products_csv": "required", "mart": "required", "summaries": "optional", **(steps or {})}
+    mart = f"{out}/mart"
+
+    def csv():
+        got = run_products(spark, products_csv, f"{out}/bronze/products", f"{out}/silver/products")
+        m.steps.update({f"products_{k}": v for k, v in got.steps.items()})
+        if not got.ok():
+            raise ValueError(str(got.failures))
+
+    def tables():
+        orders = T.orders(spark, sf_dir)
+        m.steps["dim_date"] = publish(spark, WH.dim_date(orders, "order_date", as_of), f"{mart}/dim_date", "dim_date")
+        m.steps["dim_customer"] = load_dimension(spark, T.customers(spark, sf_dir), f"{mart}/dim_customer", "customer_id",
+                                                 CUSTOMER_ATTRS, "customer_sk", as_of)
+        m.steps["dim_product"] = load_dimension(spark, T.products(spark, sf_dir), f"{mart}/dim_product", "product_id",
+                                                PRODUCT_ATTRS, "product_sk", as_of)
+        m.steps["fact"] = load_facts(spark, T.order_items(spark, sf_dir), orders, latest(spark, f"{mart}/dim_customer")[1],
+                                     latest(spark, f"{mart}/dim_product")[1], f"{mart}/fact")
+        whole = T.order_items(spark, sf_dir).distinct().join(orders.select("order_id"), "order_id", "left_semi").count()
+        m.reconcile("fact_rows", whole, spark.read.parquet(f"{mart}/fact").count())
+
+    def summaries():
+        for name in ("mv_daily_revenue", "mv_top_customers", "mv_revenue_by_category"):
+            m.steps[name] = publish(spark, getattr(DB, name)(spark, sf_dir), f"{out}/summaries/{name}", name)
 
-def refresh_summary_incremental(spark: SparkSession, path: str, rows_for_touched: DataFrame,
-                                partition_by) -> int:
-    """Incremental refresh: ``rows_for_touched`` holds the recomputed rows of
-    the touched partitions only; the other partitions' files stay."""
-    return VersionedTable(spark, path, partition_by=partition_by).replace_partitions(rows_for_touched)
+    for name, work in (("products_csv", csv if products_csv else None), ("mart", tables), ("summaries", summaries)):
+        if work and not _run_step(m, policy, name, work):
+            break
+    return m
 
 
-def run_mart(spark: SparkSession, sf_dir: str, out: str, steps: dict | None = None) -> Metrics:
-    """Source tables -> mart (dims, fact) -> dashboard summaries. Step policy:
-    ``required`` failures stop the run, ``optional`` ones are recorded."""
-    from lakecraft.plans import dashboards as DB
-    from lakecraft.plans.mart import build_mart
+def run_incremental_items(spark: SparkSession, sf_dir: str, out: str) -> Metrics:
+    """Items of the orders placed after the last day loaded before (the bookmark is the highest
+    ``order_date`` in ``out``); each run appends one load."""
+    from lakecraft.plans.mart import items_after
     m = Metrics()
-    policy = {"mart": "required", "summaries": "optional", **(steps or {})}
-    try:
-        mart = build_mart(spark, sf_dir)
-        for name in ("dim_date", "dim_customer", "dim_product", "fact"):
-            m.steps[name] = _write_observed(getattr(mart, name), name,
-                                            lambda d, n=name: d.write.mode("overwrite").parquet(f"{out}/mart/{n}"))
-    except Exception as e:
-        m.failures["mart"] = str(e)
-        if policy["mart"] == "required":
-            return m
-    try:
-        for name in ("mv_daily_revenue", "mv_top_customers", "mv_revenue_by_category"):
-            fn = getattr(DB, name)
-            m.steps[name] = refresh_summary(spark, f"{out}/summaries/{name}", fn(spark, sf_dir))
-    except Exception as e:
-        m.failures["summaries"] = str(e)
+    n, stored = latest(spark, out)
+    last = None if stored is None else spark.read.parquet(out).agg(F.max(F.to_date("order_date"))).first()[0]
+    fresh = items_after(spark, sf_dir, last)
+    m.steps["loaded"] = 0 if fresh.isEmpty() else _write_observed(
+        fresh, "items", lambda d: d.write.mode("overwrite").parquet(f"{out}/load={n + 1}"))
     return m
 
 

@@ -49,9 +49,7 @@ def current_state(changes: DataFrame, key: str, order: Sequence[str] = ("ts_ms",
     a hot key costs one row per task); keys whose latest change is a delete
     are removed. Returns the ``after`` image columns plus ``ts_ms``.
     Duplicate and out-of-order deliveries do not change the result."""
-    keyed = changes.withColumn("_key", row_key(key))
-    latest = latest_per_key(keyed.select("_key", *order, "op", "after"), ["_key"], list(order))
-    return latest.where(F.col("op") != "d").select("after.*", "ts_ms")
+    return live_rows(merge_changes(None, changes, key, order))
 
 
 def history(changes: DataFrame, key: str, attrs: Sequence[str],
@@ -71,15 +69,21 @@ def history(changes: DataFrame, key: str, attrs: Sequence[str],
         from_epoch_millis("_next_ts").alias("valid_to"))
 
 
-def apply_changes(target: DataFrame, changes: DataFrame, key: str,
+def merge_changes(state: DataFrame | None, changes: DataFrame, key: str,
                   order: Sequence[str] = ("ts_ms", "seq")) -> DataFrame:
-    """Silver sync: target rows whose key changed are replaced by the latest
-    change's image (or removed when it is a delete)."""
-    keyed = changes.withColumn("_key", row_key(key))
-    latest = latest_per_key(keyed.select("_key", *order, "op", "after"), ["_key"], list(order))
-    keep = target.join(latest.select(F.col("_key").alias(key)), key, "left_anti")
-    upserts = latest.where(F.col("op") != "d").select("after.*")
-    return keep.unionByName(upserts.select(*target.columns))
+    """Newest change per key of ``state`` (an earlier result) and ``changes``:
+    ``_key``, the order columns, ``op`` and ``after``. Deletes stay as
+    tombstones and order columns stay with each row, so batches may be merged
+    late, out of order or twice."""
+    cols = ["_key", *order, "op", "after"]
+    fresh = changes.withColumn("_key", row_key(key)).select(*cols)
+    both = fresh if state is None else state.select(*cols).unionByName(fresh)
+    return latest_per_key(both, ["_key"], list(order))
+
+
+def live_rows(state: DataFrame) -> DataFrame:
+    """Rows of a merged state without the deleted keys."""
+    return state.where(F.col("op") != "d").select("after.*", "ts_ms")
 
 
 def diff_snapshots(old: DataFrame, new: DataFrame, key: str, attrs: Sequence[str]) -> DataFrame:

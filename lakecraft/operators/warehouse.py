@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakecraft.functions.scalars import OPEN_END_DATE, date_key, iso_dow, year_month_key
@@ -68,67 +68,57 @@ def with_surrogate_key(df: DataFrame, order: Sequence[str], out: str,
     return numbered.select((F.col("_sk") + start).cast("long").alias(out), *df.columns)
 
 
-def _changed(a: DataFrame, b: DataFrame, attrs: Sequence[str]) -> Column:
-    """True when any tracked attribute differs; null<->value is a change,
-    null<->null is not."""
-    cond = F.lit(False)
-    for c in attrs:
-        cond = cond | ~a[c].eqNullSafe(b[c])
-    return cond
-
-
 def scd2_apply(dim: DataFrame, incoming: DataFrame, key: str, tracked: Sequence[str],
                effective: dt.date, sk: str | None = None) -> DataFrame:
     """Apply one batch of source rows to an SCD2 dimension; returns the new
     dimension content.
 
-    * key absent from the batch, or attributes unchanged: row kept;
-    * attributes changed: the open version is closed at ``effective`` and a
-      new open version starts there (if the open version already started on
-      ``effective`` it is replaced in place: no zero-length versions);
-    * key new: an open version is added.
-    Re-applying the same batch is a no-op. New versions get surrogate keys
-    after the current maximum.
+    A key's versions and its incoming row stand in one ordered window:
+
+    * attributes equal to those of the version valid on ``effective``: no change;
+    * else a version starts on ``effective``. The one valid until then is closed
+      there, and the new one ends where the next later version starts, or stays
+      open: a back-dated batch lands between its neighbours;
+    * a version that starts on ``effective`` is replaced in place (it keeps its
+      surrogate key: no zero-length versions);
+    * keys absent from the batch stay as they are.
+
+    Re-applying a batch is a no-op. New versions get surrogate keys after the
+    current maximum. Versions never overlap; one with a null ``is_current``
+    counts by its dates.
     """
-    eff = F.lit(effective)
-    inc = latest_per_key(incoming.select(key, *tracked), [key], list(tracked)).alias("i")
-    cur = dim.where(F.col("is_current")).alias("c")
-    hist = dim.where(~F.col("is_current"))
-    j = cur.join(inc, F.col(f"c.{key}") == F.col(f"i.{key}"), "full_outer")
-    has_cur, has_inc = F.col(f"c.{key}").isNotNull(), F.col(f"i.{key}").isNotNull()
-    changed = has_cur & has_inc & _changed(cur, inc, tracked)
-    cols = [c for c in dim.columns]
-
-    def from_cur(valid_to=None, is_current=None):
-        return [
-            (valid_to.alias(c) if c == "valid_to" and valid_to is not None else
-             is_current.alias(c) if c == "is_current" and is_current is not None else
-             F.col(f"c.{c}").alias(c))
-            for c in cols]
-
-    kept = j.where(has_cur & ~changed).select(*from_cur())
-    closed = j.where(changed & (F.col("c.valid_from") < eff)).select(
-        *from_cur(valid_to=eff, is_current=F.lit(False)))
-    same_day = changed & (F.col("c.valid_from") >= eff)
-
-    def open_rows(cond, keep_sk):
-        return j.where(cond).select(
-            F.col(f"i.{key}").alias(key), *[F.col(f"i.{c}").alias(c) for c in tracked],
-            *[F.col(f"c.{c}").alias(c) for c in cols if c not in (key, *tracked, "valid_from",
-                                                                    "valid_to", "is_current")
-              and (keep_sk or c != sk)],
-            eff.alias("valid_from"), F.lit(OPEN_END_DATE).alias("valid_to"), F.lit(True).alias("is_current"))
-
-    # a second change on the same effective date replaces the open version in place (keeps its key)
-    replaced = open_rows(same_day, keep_sk=True)
-    opened_src = open_rows((changed & ~same_day) | (has_inc & ~has_cur), keep_sk=False)
-    if sk:
-        start = dim.select(F.coalesce(F.max(sk), F.lit(0))).scalar()   # scalar subquery
-        opened = with_surrogate_key(opened_src, [key], sk, start=start)
-    else:
-        opened = opened_src
-    return (hist.unionByName(kept).unionByName(closed).unionByName(replaced.select(*cols))
-            .unionByName(opened.select(*cols)))
+    cols = dim.columns
+    inc = latest_per_key(incoming.select(key, *tracked), [key], list(tracked))
+    inc = inc.select(key, *tracked, F.lit(effective).alias("valid_from"), F.lit(OPEN_END_DATE).alias("valid_to"),
+                     F.lit(True).alias("is_current"), F.lit(1).alias("_new"))
+    rows = dim.withColumn("_new", F.lit(0)).unionByName(inc, allowMissingColumns=True)
+    in_order = Window.partitionBy(key).orderBy("valid_from", "_new")
+    before = F.lag(F.struct(*cols)).over(in_order)
+    rows = rows.withColumn("_before", F.when(F.col("_new") == 1, before)).withColumn(
+        "_replaced", (F.col("_new") == 0) & F.coalesce((F.lead("_new").over(in_order) == 1)
+                                                       & (F.lead("valid_from").over(in_order) == F.col("valid_from")), F.lit(False)))
+    same = F.lit(True)
+    for c in tracked:
+        same = same & F.col(c).eqNullSafe(F.col(f"_before.{c}"))
+    covered = F.col("_before.valid_to") > F.col("valid_from")
+    rows = rows.withColumn("_same", F.coalesce((F.col("_new") == 1) & covered & same, F.lit(False)))
+    rows = rows.withColumn("_noop", F.coalesce(F.lead("_same").over(in_order), F.lit(False)))
+    rows = rows.where(~F.col("_same") & (~F.col("_replaced") | F.col("_noop")))
+    in_place = (F.col("_new") == 1) & (F.col("_before.valid_from") == F.col("valid_from"))
+    for c in cols:
+        if c == sk:
+            rows = rows.withColumn(c, F.when(in_place, F.col(f"_before.{c}")).otherwise(F.col(c)))
+        elif c not in (key, *tracked, "valid_from", "valid_to", "is_current"):
+            rows = rows.withColumn(c, F.when(F.col("_new") == 1, F.col(f"_before.{c}")).otherwise(F.col(c)))
+    later = F.lead("valid_from").over(Window.partitionBy(key).orderBy("valid_from"))
+    rows = rows.withColumn("valid_to", F.least("valid_to", later)).withColumn("is_current", F.col("valid_to") == F.lit(OPEN_END_DATE))
+    rows = rows.select(*cols, "_new")
+    if not sk:
+        return rows.select(*cols)
+    fresh = (F.col("_new") == 1) & F.col(sk).isNull()
+    start = dim.select(F.coalesce(F.max(sk), F.lit(0))).scalar()       # scalar subquery
+    opened = with_surrogate_key(rows.where(fresh).drop(sk), [key], sk, start=start)
+    return rows.where(~fresh).select(*cols).unionByName(opened.select(*cols))
 
 
 def scd1_apply(dim: DataFrame, incoming: DataFrame, key: str, attrs: Sequence[str]) -> DataFrame:
@@ -180,21 +170,18 @@ def upsert(target: DataFrame, incoming: DataFrame, key: Sequence[str],
 
 
 def fact_sales(items: DataFrame, orders: DataFrame, dim_customer: DataFrame,
-               dim_product: DataFrame, item_key: Sequence[str] = ("order_id", "line_number"),
-               dedup_order: Sequence[str] = ("created_at",)) -> DataFrame:
+               dim_product: DataFrame, item_key: Sequence[str]) -> DataFrame:
     """Fact rows at order-item grain with surrogate keys of the *current*
-    dimension versions (the conflict rule on the item key keeps the newest
-    staged row). Facts of keys without a current version are dropped, as an
-    inner join in the reference load does."""
-    key = list(item_key)
-    rest = [c for c in items.columns if c not in key and c not in dedup_order]
-    staged = latest_per_key(items, key, list(dedup_order) + rest)
+    dimension versions. ``item_key`` names the columns that tell items apart;
+    only rows equal in all of them are one item. Facts of keys without a
+    current version are dropped."""
+    staged = items.dropDuplicates(list(item_key))
     dc = dim_customer.where("is_current").select("customer_id", "customer_sk")
     dp = dim_product.where("is_current").select("product_id", "product_sk")
     return (staged.join(orders.select("order_id", "customer_id", "order_date"), "order_id")
             .join(dc, "customer_id").join(dp, "product_id")
-            .select(*key, date_key("order_date").alias("date_key"), "customer_sk", "product_sk",
-                    "quantity", F.col("subtotal").alias("amount"), "order_date"))
+            .select("order_id", "line_number", date_key("order_date").alias("date_key"), "customer_sk", "product_sk",
+                    "product_id", "quantity", F.col("subtotal").alias("amount"), "created_at", "order_date"))
 
 
 def validity_lookup(facts: DataFrame, dim: DataFrame, key: str, fact_date: str,

@@ -130,3 +130,27 @@ def cdc_feed(spark, d):
     return f.select("op", "ts_ms", "seq", C.row_key("order_id").alias("order_id"),
                     F.col("after.customer_id").alias("customer_id"), F.col("after.status").alias("status"),
                     F.col("after.total_amount").alias("total_amount"))
+
+
+@register("cdc_apply", with_retail(_state_sql(), FEED_CTES))
+def cdc_apply(spark, d):
+    """The state after two batches that arrive in the wrong order: updates and
+    deletes first, then the creates that precede them."""
+    feed = order_change_feed(spark, d)
+    first = C.merge_changes(None, feed.where("op <> 'c'"), "order_id")
+    return C.live_rows(C.merge_changes(first, feed.where("op = 'c'"), "order_id"))
+
+
+@register("cdc_decode", with_retail(
+    "SELECT op, ts_ms, order_id, customer_id, status, total_amount FROM feed", FEED_CTES))
+def cdc_decode(spark, d):
+    """Envelopes as a topic carries them: the feed serialised to JSON text, every other
+    message wrapped in ``payload``, decoded again."""
+    f = order_change_feed(spark, d)
+    text = F.to_json(F.struct("before", "after", "op", "ts_ms"))
+    wrapped = F.concat(F.lit('{"payload":'), text, F.lit("}"))
+    odd = F.pmod(F.xxhash64("ts_ms", C.row_key("order_id")), F.lit(2)) == 1
+    messages = f.select(F.when(odd, wrapped).otherwise(text).alias("value"))
+    decoded = C.decode_envelope(messages, f.schema["after"].dataType)
+    return decoded.select("op", "ts_ms", C.row_key("order_id").alias("order_id"), F.col("after.customer_id").alias("customer_id"),
+                          F.col("after.status").alias("status"), F.col("after.total_amount").alias("total_amount"))

@@ -8,12 +8,13 @@ by the natural key), computed with the parallel global row number.
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import cached_property
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from lakecraft.functions.scalars import days_before, money, money_sum
+from lakecraft.functions.scalars import money, money_sum
 from lakecraft.operators import warehouse as WH
 from lakecraft.operators.windows import latest_per_key
 from lakecraft.plans.params import AS_OF, AS_OF_SQL
@@ -26,94 +27,96 @@ CUSTOMER_ATTRS = ["full_name", "segment", "nation_id"]
 PRODUCT_ATTRS = ["product_name", "category", "price"]
 
 
+#: What tells one order item from another: an order may list a line number more than once.
+ITEM_KEY = ["order_id", "line_number", "product_id", "created_at", "quantity", "subtotal"]
+
+
 class Mart:
-    """The star schema derived from the base tables.
+    """The star schema derived from the base tables, as of a date.
 
-    Like the reference's stored mart tables, the dimensions and the fact table
-    are materialized once (Parquet tables in the shared checkpoint folder)
-    and then read by every mart query of the session; :meth:`refresh` rebuilds
-    them after the sources change. Parts are built on first use only.
+    The dimensions and the fact table are stored once (Parquet tables in the
+    shared checkpoint folder) and then read by every mart query of the session;
+    :func:`refresh_mart` rebuilds them after the sources change. Parts are built
+    on first use only.
     """
 
-    def __init__(self, spark, d):
+    def __init__(self, spark, d, as_of):
         self.customers, self.products = T.customers(spark, d), T.products(spark, d)
         self.orders, self.items = T.orders(spark, d), T.order_items(spark, d)
+        self.as_of = as_of
+
+    def _dimension(self, rows, key, attrs, sk):
+        return materialize(WH.with_surrogate_key(WH.scd2_initial(rows, key, attrs, self.as_of), [key, "valid_from"], sk), "dim")
 
     @cached_property
     def dim_customer(self):
-        dim = WH.with_surrogate_key(
-            WH.scd2_initial(self.customers, "customer_id", CUSTOMER_ATTRS, AS_OF),
-            ["customer_id", "valid_from"], "customer_sk")
-        return materialize(dim, "dim")
+        return self._dimension(self.customers, "customer_id", CUSTOMER_ATTRS, "customer_sk")
 
     @cached_property
     def dim_product(self):
-        dim = WH.with_surrogate_key(
-            WH.scd2_initial(self.products, "product_id", PRODUCT_ATTRS, AS_OF),
-            ["product_id", "valid_from"], "product_sk")
-        return materialize(dim, "dim")
+        return self._dimension(self.products, "product_id", PRODUCT_ATTRS, "product_sk")
 
     @cached_property
     def dim_date(self):
-        return WH.dim_date(self.orders, "order_date", AS_OF)
+        return WH.dim_date(self.orders, "order_date", self.as_of)
 
     @cached_property
     def fact(self):
-        fact = WH.fact_sales(self.items, self.orders, self.dim_customer, self.dim_product)
-        return materialize(fact, "fact_sales")
+        return materialize(WH.fact_sales(self.items, self.orders, self.dim_customer, self.dim_product, ITEM_KEY), "fact_sales")
 
     @cached_property
     def fact_with_id(self):
-        return WH.with_surrogate_key(self.fact, ["order_id", "line_number"], "fact_sales_id")
+        order = ["order_id", "line_number", "product_id", "created_at", "quantity", "amount"]
+        return WH.with_surrogate_key(self.fact, order, "fact_sales_id")
 
 
 _MARTS: dict = {}
 
 
-def build_mart(spark, d) -> Mart:
+def _mart_key(spark, d, as_of):
+    return spark.sparkContext.applicationId, d.rstrip("/"), as_of
+
+
+def build_mart(spark, d, as_of=AS_OF) -> Mart:
     """The session's mart over the tables in ``d`` (built on first use)."""
     checkpoint_dir(spark)
-    key = (spark.sparkContext.applicationId, d.rstrip("/"))
+    key = _mart_key(spark, d, as_of)
     if key not in _MARTS:
-        _MARTS[key] = Mart(spark, d)
+        _MARTS[key] = Mart(spark, d, as_of)
     return _MARTS[key]
 
 
-def refresh_mart(spark, d) -> Mart:
-    """Drop the materialized mart of ``d`` so the next use rebuilds it."""
-    _MARTS.pop((spark.sparkContext.applicationId, d.rstrip("/")), None)
-    return build_mart(spark, d)
+def refresh_mart(spark, d, as_of=AS_OF) -> Mart:
+    """Forget the stored mart of ``d``: the sources may have changed."""
+    _MARTS.pop(_mart_key(spark, d, as_of), None)
+    return build_mart(spark, d, as_of)
 
 
+# The mart in SQL. Each dimension has one open version per key, numbered by key.
 MART_CTES = f"""
-dim_date AS (
-  SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, CAST(d AS TIMESTAMP) AS date_actual,
-         CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month,
-         CAST(isodow(d) AS INTEGER) AS day_of_week, CAST(day(d) AS INTEGER) AS day_of_month,
-         CAST(quarter(d) AS INTEGER) AS quarter, CAST(strftime(d, '%Y%m') AS INTEGER) AS year_month
-  FROM (SELECT unnest(generate_series(
-          CAST(COALESCE((SELECT MIN(order_date) FROM app_orders), {AS_OF_SQL}) - INTERVAL 1 YEAR AS TIMESTAMP),
-          CAST(COALESCE((SELECT MAX(order_date) FROM app_orders), {AS_OF_SQL}) + INTERVAL 1 YEAR AS TIMESTAMP),
-          INTERVAL 1 DAY)) AS d)),
-dim_customer AS (
-  SELECT row_number() OVER (ORDER BY customer_id, valid_from) AS customer_sk, *
-  FROM (SELECT customer_id, full_name, segment, nation_id, {AS_OF_SQL} AS valid_from,
-               DATE '9999-12-31' AS valid_to, TRUE AS is_current FROM app_customers)),
-dim_product AS (
-  SELECT row_number() OVER (ORDER BY product_id, valid_from) AS product_sk, *
-  FROM (SELECT product_id, product_name, category, price, {AS_OF_SQL} AS valid_from,
-               DATE '9999-12-31' AS valid_to, TRUE AS is_current FROM app_products)),
-items_dedup AS (
-  SELECT order_id, line_number, product_id, quantity, subtotal, created_at FROM (
-    SELECT *, row_number() OVER (PARTITION BY order_id, line_number
-                                 ORDER BY created_at DESC, product_id DESC, quantity DESC, subtotal DESC) AS rn
-    FROM app_items) WHERE rn = 1),
-fact_sales AS (
-  SELECT i.order_id, i.line_number, CAST(strftime(o.order_date, '%Y%m%d') AS INTEGER) AS date_key,
-         dc.customer_sk, dp.product_sk, i.quantity, i.subtotal AS amount, o.order_date
-  FROM items_dedup i JOIN app_orders o ON o.order_id = i.order_id
-  JOIN dim_customer dc ON dc.customer_id = o.customer_id AND dc.is_current
-  JOIN dim_product dp ON dp.product_id = i.product_id AND dp.is_current)
+calendar(d) AS (
+  SELECT unnest(range(
+    (SELECT COALESCE(MIN(CAST(order_date AS DATE)), {AS_OF_SQL}) FROM app_orders) - INTERVAL 12 MONTH,
+    (SELECT COALESCE(MAX(CAST(order_date AS DATE)), {AS_OF_SQL}) FROM app_orders) + INTERVAL 12 MONTH + INTERVAL 1 DAY,
+    INTERVAL 1 DAY))),
+days AS (
+  SELECT year(d)::INTEGER * 10000 + month(d)::INTEGER * 100 + day(d)::INTEGER AS date_key, d::TIMESTAMP AS date_actual,
+         year(d)::INTEGER AS year, month(d)::INTEGER AS month, isodow(d)::INTEGER AS day_of_week,
+         day(d)::INTEGER AS day_of_month, quarter(d)::INTEGER AS quarter,
+         year(d)::INTEGER * 100 + month(d)::INTEGER AS year_month
+  FROM calendar),
+buyers AS (
+  SELECT rank() OVER (ORDER BY customer_id) AS customer_sk, customer_id, full_name, segment, nation_id
+  FROM app_customers),
+goods AS (
+  SELECT rank() OVER (ORDER BY product_id) AS product_sk, product_id, product_name, category, price
+  FROM app_products),
+sales AS (
+  SELECT item.order_id, item.line_number, year(ord.order_date)::INTEGER * 10000 + month(ord.order_date)::INTEGER * 100
+           + day(ord.order_date)::INTEGER AS date_key, buyers.customer_sk, goods.product_sk, item.product_id, item.quantity,
+         item.subtotal AS amount, item.created_at, ord.order_date
+  FROM (SELECT DISTINCT * FROM app_items) item, app_orders ord, buyers, goods
+  WHERE item.order_id = ord.order_id AND ord.customer_id = buyers.customer_id AND item.product_id = goods.product_id)
 """
 
 
@@ -130,23 +133,27 @@ def _money_sql(c: str) -> str:
 
 # ---------------------------------------------------------------- the mart itself
 
-@register("dim_date", mart_sql("SELECT * FROM dim_date"))
+VERSION_SQL = f"{AS_OF_SQL} AS valid_from, DATE '9999-12-31' AS valid_to, TRUE AS is_current"
+SALES_SUM = "SUM(amount::DECIMAL(12,2))"
+
+
+@register("dim_date", mart_sql("FROM days"))
 def q_dim_date(spark, d):
     return WH.dim_date(T.orders(spark, d), "order_date", AS_OF)
 
 
-@register("dim_customer", mart_sql("SELECT * FROM dim_customer"))
+@register("dim_customer", mart_sql(f"SELECT *, {VERSION_SQL} FROM buyers"))
 def q_dim_customer(spark, d):
     return build_mart(spark, d).dim_customer
 
 
-@register("dim_product", mart_sql("SELECT * FROM dim_product"))
+@register("dim_product", mart_sql(f"SELECT *, {VERSION_SQL} FROM goods"))
 def q_dim_product(spark, d):
     return build_mart(spark, d).dim_product
 
 
 @register("fact_sales", mart_sql(
-    "SELECT row_number() OVER (ORDER BY order_id, line_number) AS fact_sales_id, * FROM fact_sales"))
+    "SELECT row_number() OVER (ORDER BY order_id, line_number, product_id, created_at, quantity, amount) AS fact_sales_id, * FROM sales"))
 def q_fact_sales(spark, d):
     return build_mart(spark, d).fact_with_id
 
@@ -154,11 +161,10 @@ def q_fact_sales(spark, d):
 # ---------------------------------------------------------------- business cases
 
 @register("b01_top3_customers", mart_sql(
-    "SELECT full_name, CAST(revenue AS DOUBLE) AS revenue, rn FROM ranked WHERE rn <= 3",
-    "customer_revenue AS (SELECT customer_sk, SUM(CAST(amount AS DECIMAL(12,2))) AS revenue "
-    "FROM fact_sales GROUP BY customer_sk),\n"
-    "ranked AS (SELECT c.full_name, cr.revenue, RANK() OVER (ORDER BY cr.revenue DESC) AS rn "
-    "FROM dim_customer c JOIN customer_revenue cr ON cr.customer_sk = c.customer_sk WHERE c.is_current)"))
+    "SELECT buyers.full_name, spent.total::DOUBLE AS revenue, "
+    "1 + (SELECT COUNT(*) FROM spent more WHERE more.total > spent.total) AS rn "
+    "FROM spent JOIN buyers USING (customer_sk) WHERE (SELECT COUNT(*) FROM spent more WHERE more.total > spent.total) < 3",
+    f"spent AS (SELECT customer_sk, {SALES_SUM} AS total FROM sales GROUP BY ALL)"))
 def b01_top3_customers(spark, d):
     m = build_mart(spark, d)
     rev = m.fact.groupBy("customer_sk").agg(F.sum(money("amount")).alias("revenue"))
@@ -170,9 +176,9 @@ def b01_top3_customers(spark, d):
 
 
 @register("b02_daily_running", mart_sql(
-    "SELECT order_date, CAST(SUM(CAST(amount AS DECIMAL(12,2))) AS DOUBLE) AS daily_revenue, "
-    "CAST(SUM(SUM(CAST(amount AS DECIMAL(12,2)))) OVER (ORDER BY order_date) AS DOUBLE) AS running_total "
-    "FROM fact_sales GROUP BY order_date"))
+    "SELECT x.order_date, x.r::DOUBLE AS daily_revenue, SUM(y.r)::DOUBLE AS running_total "
+    "FROM per_day x JOIN per_day y ON y.order_date <= x.order_date GROUP BY x.order_date, x.r",
+    f"per_day AS (SELECT order_date, {SALES_SUM} AS r FROM sales GROUP BY ALL)"))
 def b02_daily_running(spark, d):
     daily = build_mart(spark, d).fact.groupBy("order_date").agg(F.sum(money("amount")).alias("rev"))
     # one row per calendar day: the ordered window runs on a table bounded by the date span
@@ -182,13 +188,9 @@ def b02_daily_running(spark, d):
 
 
 @register("b03_category_share", mart_sql(
-    "SELECT cr.category, CAST(cr.revenue AS DOUBLE) AS revenue, "
-    "ROUND(100.0 * CAST(cr.revenue AS DOUBLE) / CAST(tr.total AS DOUBLE), 2) AS pct_of_total "
-    "FROM cat_revenue cr CROSS JOIN total_revenue tr",
-    "cat_revenue AS (SELECT p.category, SUM(CAST(f.amount AS DECIMAL(12,2))) AS revenue "
-    "FROM fact_sales f JOIN dim_product p ON p.product_sk = f.product_sk WHERE p.is_current "
-    "GROUP BY p.category),\n"
-    "total_revenue AS (SELECT SUM(revenue) AS total FROM cat_revenue)"))
+    "SELECT category, total::DOUBLE AS revenue, "
+    f"ROUND(100.0 * total::DOUBLE / (SELECT {SALES_SUM} FROM sales)::DOUBLE, 2) AS pct_of_total FROM by_category",
+    f"by_category AS (SELECT category, {SALES_SUM} AS total FROM sales JOIN goods USING (product_sk) GROUP BY ALL)"))
 def b03_category_share(spark, d):
     m = build_mart(spark, d)
     cat = (m.fact.join(m.dim_product.where("is_current"), "product_sk")
@@ -201,11 +203,10 @@ def b03_category_share(spark, d):
 
 
 @register("b04_month_over_month", mart_sql(
-    "SELECT year, month, CAST(revenue AS DOUBLE) AS revenue, "
-    "CAST(LAG(revenue) OVER (ORDER BY year, month) AS DOUBLE) AS prev_month_revenue, "
-    "CAST(revenue - LAG(revenue) OVER (ORDER BY year, month) AS DOUBLE) AS diff_vs_prev FROM monthly",
-    "monthly AS (SELECT d.year, d.month, SUM(CAST(f.amount AS DECIMAL(12,2))) AS revenue "
-    "FROM fact_sales f JOIN dim_date d ON d.date_key = f.date_key GROUP BY d.year, d.month)"))
+    "SELECT y AS year, m AS month, now.r::DOUBLE AS revenue, prior.r::DOUBLE AS prev_month_revenue, "
+    "(now.r - prior.r)::DOUBLE AS diff_vs_prev FROM numbered now LEFT JOIN (SELECT n + 1 AS n, r FROM numbered) prior USING (n)",
+    "by_month AS (SELECT year(order_date)::INTEGER AS y, month(order_date)::INTEGER AS m, "
+    f"{SALES_SUM} AS r FROM sales GROUP BY ALL), numbered AS (SELECT *, rank() OVER (ORDER BY y, m) AS n FROM by_month)"))
 def b04_month_over_month(spark, d):
     m = build_mart(spark, d)
     monthly = (m.fact.join(m.dim_date, "date_key").groupBy("year", "month")
@@ -218,60 +219,60 @@ def b04_month_over_month(spark, d):
 
 
 @register("b05_returning_gap", with_retail(
-    "SELECT c.customer_id, c.full_name FROM app_customers c "
-    "WHERE EXISTS (SELECT 1 FROM app_orders o WHERE o.customer_id = c.customer_id "
-    f"AND o.order_date > {AS_OF_SQL} - INTERVAL 10 DAY AND o.order_date <= {AS_OF_SQL}) "
-    "AND NOT EXISTS (SELECT 1 FROM app_orders o WHERE o.customer_id = c.customer_id "
-    f"AND o.order_date > {AS_OF_SQL} - INTERVAL 20 DAY AND o.order_date <= {AS_OF_SQL} - INTERVAL 10 DAY)"))
+    "SELECT customer_id, full_name FROM app_customers WHERE customer_id IN (SELECT customer_id FROM age WHERE days BETWEEN 0 AND 9) "
+    "AND customer_id NOT IN (SELECT customer_id FROM age WHERE days BETWEEN 10 AND 19)",
+    f"age AS (SELECT customer_id, date_diff('day', CAST(order_date AS DATE), {AS_OF_SQL}) AS days FROM app_orders)"))
 def b05_returning_gap(spark, d):
-    o = T.orders(spark, d).select("customer_id", "order_date")
-    recent = o.where((F.col("order_date") > days_before(AS_OF, 10)) & (F.col("order_date") <= F.lit(AS_OF)))
-    gap = o.where((F.col("order_date") > days_before(AS_OF, 20))
-                  & (F.col("order_date") <= days_before(AS_OF, 10)))
+    day = dt.timedelta(days=1)
+    recent = T.orders(spark, d, since=AS_OF - 9 * day, until=AS_OF)
+    gap = T.orders(spark, d, since=AS_OF - 19 * day, until=AS_OF - 10 * day)
     return (T.customers(spark, d).select("customer_id", "full_name")
             .join(recent.select("customer_id").distinct(), "customer_id", "left_semi")
             .join(gap.select("customer_id").distinct(), "customer_id", "left_anti"))
 
 
-@register("b06_dedup_latest", mart_sql("SELECT * FROM items_dedup"))
+@register("b06_dedup_latest", with_retail(
+    "SELECT order_id, line_number, best.product_id, best.quantity, best.subtotal, best.created_at FROM ("
+    "SELECT order_id, line_number, max({'created_at': created_at, 'product_id': product_id, 'quantity': quantity, "
+    "'subtotal': subtotal}) AS best FROM app_items GROUP BY ALL)"))
 def b06_dedup_latest(spark, d):
     items = T.order_items(spark, d)
     return latest_per_key(items, ["order_id", "line_number"], ["created_at", "product_id", "quantity", "subtotal"])
 
 
+def items_after(spark, d, last_day):
+    """Items of the orders placed after ``last_day`` (the highest day a caller has loaded)."""
+    o = T.orders(spark, d, since=None if last_day is None else last_day + dt.timedelta(days=1))
+    return (T.order_items(spark, d).join(o.select("order_id", "order_date"), "order_id")
+            .select("order_id", "line_number", "order_date", "product_id", "quantity", "subtotal"))
+
+
 @register("b07_incremental", with_retail(
-    "SELECT oi.order_id, oi.line_number, o.order_date, oi.product_id, oi.quantity, oi.subtotal "
-    "FROM app_items oi JOIN app_orders o ON o.order_id = oi.order_id "
-    f"WHERE o.order_date > {AS_OF_SQL} - INTERVAL 7 DAY ORDER BY o.order_date, oi.order_id, oi.line_number"))
+    "SELECT order_id, line_number, order_date, product_id, quantity, subtotal FROM app_items "
+    f"NATURAL JOIN (SELECT order_id, order_date FROM app_orders WHERE date_diff('day', CAST(order_date AS DATE), {AS_OF_SQL}) < 7) "
+    "ORDER BY order_date, order_id, line_number"))
 def b07_incremental(spark, d):
-    o = T.orders(spark, d).where(F.col("order_date") > days_before(AS_OF, 7))
-    return (T.order_items(spark, d).join(o.select("order_id", "order_date"), "order_id")
-            .select("order_id", "line_number", "order_date", "product_id", "quantity", "subtotal")
-            .orderBy("order_date", "order_id", "line_number"))
+    return items_after(spark, d, AS_OF - dt.timedelta(days=7)).orderBy("order_date", "order_id", "line_number")
 
 
 # ---------------------------------------------------------------- mart reports
 
 @register("monthly_revenue", mart_sql(
-    "SELECT d.year, d.month, " + _money_sql("f.amount") + " AS revenue "
-    "FROM fact_sales f JOIN dim_date d ON d.date_key = f.date_key GROUP BY d.year, d.month"))
+    f"SELECT days.year, days.month, {SALES_SUM}::DOUBLE AS revenue FROM sales JOIN days USING (date_key) GROUP BY ALL"))
 def monthly_revenue(spark, d):
     m = build_mart(spark, d)
     return m.fact.join(m.dim_date, "date_key").groupBy("year", "month").agg(money_sum("amount").alias("revenue"))
 
 
 @register("revenue_by_quarter", mart_sql(
-    "SELECT d.year, d.quarter, " + _money_sql("f.amount") + " AS revenue "
-    "FROM fact_sales f JOIN dim_date d ON d.date_key = f.date_key GROUP BY d.year, d.quarter"))
+    f"SELECT days.year, days.quarter, {SALES_SUM}::DOUBLE AS revenue FROM sales JOIN days USING (date_key) GROUP BY ALL"))
 def revenue_by_quarter(spark, d):
     m = build_mart(spark, d)
     return m.fact.join(m.dim_date, "date_key").groupBy("year", "quarter").agg(money_sum("amount").alias("revenue"))
 
 
 @register("mart_customer_revenue", mart_sql(
-    "SELECT c.customer_id, c.full_name, " + _money_sql("f.amount") + " AS revenue "
-    "FROM fact_sales f JOIN dim_customer c ON c.customer_sk = f.customer_sk "
-    "GROUP BY c.customer_id, c.full_name"))
+    f"SELECT customer_id, full_name, {SALES_SUM}::DOUBLE AS revenue FROM buyers JOIN sales USING (customer_sk) GROUP BY ALL"))
 def mart_customer_revenue(spark, d):
     m = build_mart(spark, d)
     rev = m.fact.groupBy("customer_sk").agg(F.sum(money("amount")).alias("r"))
@@ -280,10 +281,8 @@ def mart_customer_revenue(spark, d):
 
 
 @register("mart_product_revenue", mart_sql(
-    "SELECT p.product_id, p.product_name, " + _money_sql("f.amount") + " AS revenue, "
-    "CAST(SUM(f.quantity) AS BIGINT) AS quantity "
-    "FROM fact_sales f JOIN dim_product p ON p.product_sk = f.product_sk "
-    "GROUP BY p.product_id, p.product_name"))
+    f"SELECT goods.product_id, product_name, {SALES_SUM}::DOUBLE AS revenue, SUM(quantity)::BIGINT AS quantity "
+    "FROM goods JOIN sales USING (product_sk) GROUP BY ALL"))
 def mart_product_revenue(spark, d):
     m = build_mart(spark, d)
     rev = m.fact.groupBy("product_sk").agg(F.sum(money("amount")).alias("r"), F.sum("quantity").alias("q"))
@@ -292,10 +291,8 @@ def mart_product_revenue(spark, d):
 
 
 @register("top5_products", mart_sql(
-    "SELECT p.product_sk, p.product_name, " + _money_sql("f.amount") + " AS revenue "
-    "FROM fact_sales f JOIN dim_product p ON p.product_sk = f.product_sk "
-    "GROUP BY p.product_sk, p.product_name "
-    "ORDER BY SUM(CAST(f.amount AS DECIMAL(12,2))) DESC, p.product_sk LIMIT 5"))
+    "SELECT product_sk, product_name, total::DOUBLE AS revenue FROM (SELECT product_sk, product_name, "
+    f"{SALES_SUM} AS total FROM goods JOIN sales USING (product_sk) GROUP BY ALL) ORDER BY total DESC, product_sk LIMIT 5"))
 def top5_products(spark, d):
     m = build_mart(spark, d)
     rev = m.fact.groupBy("product_sk").agg(F.sum(money("amount")).alias("r"))
@@ -304,11 +301,9 @@ def top5_products(spark, d):
             .select("product_sk", "product_name", F.col("r").cast("double").alias("revenue")))
 
 
-@register("mart_row_counts", mart_sql(
-    "SELECT 'dim_date' AS tbl, COUNT(*) AS n FROM dim_date "
-    "UNION ALL SELECT 'dim_customer', COUNT(*) FROM dim_customer "
-    "UNION ALL SELECT 'dim_product', COUNT(*) FROM dim_product "
-    "UNION ALL SELECT 'fact_sales', COUNT(*) FROM fact_sales"))
+@register("mart_row_counts", mart_sql(" UNION ALL ".join(
+    f"SELECT '{name}' AS tbl, COUNT(*) AS n FROM {cte}"
+    for name, cte in (("fact_sales", "sales"), ("dim_date", "days"), ("dim_customer", "buyers"), ("dim_product", "goods")))))
 def mart_row_counts(spark, d):
     m = build_mart(spark, d)
     parts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("tbl"), "n")
@@ -321,11 +316,9 @@ def mart_row_counts(spark, d):
 
 
 @register("mart_integrity", mart_sql(
-    "SELECT COUNT(*) AS fact_rows, COUNT(d.date_key) AS with_date, COUNT(c.customer_sk) AS with_customer, "
-    "COUNT(p.product_sk) AS with_product FROM fact_sales f "
-    "LEFT JOIN dim_date d ON d.date_key = f.date_key "
-    "LEFT JOIN dim_customer c ON c.customer_sk = f.customer_sk "
-    "LEFT JOIN dim_product p ON p.product_sk = f.product_sk"))
+    "SELECT (SELECT COUNT(*) FROM sales) AS fact_rows, (SELECT COUNT(*) FROM sales SEMI JOIN days USING (date_key)) AS with_date, "
+    "(SELECT COUNT(*) FROM sales SEMI JOIN buyers USING (customer_sk)) AS with_customer, "
+    "(SELECT COUNT(*) FROM sales SEMI JOIN goods USING (product_sk)) AS with_product"))
 def mart_integrity(spark, d):
     m = build_mart(spark, d)
     f = (m.fact.join(m.dim_date.select("date_key", F.lit(1).alias("_d")), "date_key", "left")
@@ -333,3 +326,18 @@ def mart_integrity(spark, d):
          .join(m.dim_product.select("product_sk", F.lit(1).alias("_p")), "product_sk", "left"))
     return f.agg(F.count(F.lit(1)).alias("fact_rows"), F.count("_d").alias("with_date"),
                  F.count("_c").alias("with_customer"), F.count("_p").alias("with_product"))
+
+
+@register("mart_reconciles", with_retail(
+    "SELECT COUNT(*) AS items, COUNT(*) AS fact_rows, SUM(subtotal::DECIMAL(12,2))::DOUBLE AS item_revenue, "
+    "SUM(subtotal::DECIMAL(12,2))::DOUBLE AS fact_revenue, TRUE AS equal "
+    "FROM (SELECT DISTINCT * FROM app_items) WHERE order_id IN (SELECT order_id FROM app_orders)"))
+def mart_reconciles(spark, d):
+    """The mart holds every item: its rows and revenue against those of the items with an order."""
+    items = T.order_items(spark, d).join(T.orders(spark, d).select("order_id"), "order_id", "left_semi").distinct()
+    left = items.agg(F.count(F.lit(1)).alias("items"), money_sum("subtotal").alias("item_revenue"))
+    right = build_mart(spark, d).fact.agg(F.count(F.lit(1)).alias("fact_rows"), money_sum("amount").alias("fact_revenue"))
+    cols = ["items", "fact_rows", "item_revenue", "fact_revenue"]
+    both = left.unionByName(right, allowMissingColumns=True).agg(*[F.max(c).alias(c) for c in cols])     # of two rows
+    same = (F.col("items") == F.col("fact_rows")) & F.col("item_revenue").eqNullSafe(F.col("fact_revenue"))
+    return both.select(*cols, same.alias("equal"))

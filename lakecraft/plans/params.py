@@ -12,4 +12,3 @@ CATEGORY = "ECONOMY"            # category filter of challenge 2 / dashboards
 BIG_ORDER = 400000              # challenge 3 threshold
 BIG_SPENDER = 3000000           # challenge 12 HAVING threshold
 REVENUE_MIN = 2500000           # challenge 14 threshold
-VALID_TO = "9999-12-31"         # SCD2 open end

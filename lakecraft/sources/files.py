@@ -52,7 +52,10 @@ def extract_jdbc(spark: SparkSession, url: str, table: str, predicate: str | Non
     """Parallel JDBC extract. ``predicate`` is a Spark filter that is pushed to
     the database; with a numeric ``partition_column`` the read is split into
     ``num_partitions`` range queries. ``limit`` gives a bounded preview
-    extract (pushed down as a LIMIT)."""
+    extract (pushed down as a LIMIT). A read that is neither split nor limited
+    would be one task's work and is refused."""
+    if not partition_column and not limit:
+        raise ValueError("give partition_column with bounds, or a limit: one task would read the whole table")
     r = spark.read.format("jdbc").option("url", url).option("dbtable", table)
     for k, v in (properties or {}).items():
         r = r.option(k, v)

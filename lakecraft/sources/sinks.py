@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakecraft.functions.scalars import partition_expr
@@ -41,10 +41,11 @@ def with_partition_transform(df: DataFrame, spec: Sequence[tuple[str, str, str]]
 def write_transformed(df: DataFrame, path: str, spec: Sequence[tuple[str, str, str]],
                       mode: str = "append") -> None:
     """Partition by transforms (month/day/hour/year/bucket/truncate/identity);
-    rows of one partition are clustered first so each task writes few files."""
+    rows of one partition value are brought together first, so each task writes
+    few files, and AQE splits values that hold too much for one task."""
     cols = [out for out, _, _ in spec]
     staged = with_partition_transform(df, spec)
-    staged.repartition(*cols).write.mode(mode).partitionBy(*cols).parquet(path)
+    staged.hint("rebalance", *cols).write.mode(mode).partitionBy(*cols).parquet(path)
 
 
 def clustered_write(df: DataFrame, path: str, sort_by: Sequence[str], num_files: int | None = None,
@@ -80,18 +81,36 @@ def create_zones(spark: SparkSession, base: str, zones: Sequence[str] = ZONES) -
     return made
 
 
-def load_jdbc(df: DataFrame, url: str, table: str, staging: str | None = None,
-              properties: dict | None = None) -> int:
-    """Append ``df`` to a database table and return the row count.
-
-    Spark commits each partition separately; for an all-or-nothing load give
-    ``staging``: rows are written to the staging table first and published
-    with one INSERT ... SELECT by the caller's database (see docs)."""
-    props = dict(properties or {})
-    target = staging or table
+def compact(spark: SparkSession, src: str, dst: str, target_bytes: int = 128 << 20, partition_by: Sequence[str] = ()) -> int:
+    """Rewrite a Parquet folder so that every partition value has
+    ``ceil(bytes / target_bytes)`` files; returns their number. ``dst`` is
+    another folder: readers of ``src`` are not disturbed."""
+    from lakecraft.sources.files import file_inventory
+    data = spark.read.parquet(src)
+    folder = F.regexp_replace("file_path", "/[^/]*$", "")
+    bins = (file_inventory(data).groupBy(folder.alias("folder"))
+            .agg(F.ceil(F.sum("file_size_in_bytes") / target_bytes).cast("int").alias("n"))
+            .withColumn("first", F.sum("n").over(Window.orderBy("folder")) - F.col("n")))      # one row per partition value
+    total = bins.agg(F.sum("n")).first()[0] or 0
+    if not total:
+        return 0
+    cols = data.columns
+    rows = data.withColumn("_folder", F.regexp_replace("_metadata.file_path", "/[^/]*$", ""))
+    rows = rows.join(bins.withColumnRenamed("folder", "_folder"), "_folder")
+    place = F.col("first") + F.pmod(F.xxhash64(*cols), F.col("n"))
+    placed = rows.withColumn("_file", place.cast("int")).repartitionById(int(total), "_file").select(*cols)
+    w = placed.write.mode("overwrite")
+    (w.partitionBy(*partition_by) if partition_by else w).parquet(dst)
+    return int(total)
+
+
+def load_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = None) -> int:
+    """Append ``df`` to a database table and return the row count. Spark commits
+    each partition separately: for an all-or-nothing load write to a staging
+    table of the database and publish it there in one transaction."""
     obs = Observation("jdbc_load")          # counted inside the write job: no second scan
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    observed.write.format("jdbc").option("url", url).option("dbtable", target).options(**props) \
+    observed.write.format("jdbc").option("url", url).option("dbtable", table).options(**(properties or {})) \
         .mode("append").save()
     return int(obs.get["rows"])
 

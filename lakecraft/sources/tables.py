@@ -1,17 +1,21 @@
 """Base-table readers and the retail views over them.
 
 The analytical queries are written against the retail data model (customers,
-products, orders, order items). Order dates keep the source type, a zone-less
-midnight timestamp, so every engine and client renders them identically. On the shipped test data those are views over
-the TPC-H-like tables; each view is a pure projection, so Catalyst prunes the
+products, orders, order items). Order dates are days, kept as zone-less
+midnight timestamps, so every engine and client renders them identically. On
+the shipped test data those are views over the TPC-H-like tables; each view is a pure projection, so Catalyst prunes the
 scan to the columns a query touches and pushes filters into the Parquet reader.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakecraft.functions.scalars import ntz
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -41,11 +45,19 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").select(
+def orders(spark: SparkSession, sf_dir: str, since=None, until=None) -> DataFrame:
+    """Orders by day: ``order_date`` is midnight of the source's date or timestamp.
+    ``since`` and ``until`` (dates, both included) bound the source column itself,
+    so they reach the scan."""
+    raw = table(spark, sf_dir, "orders")
+    if since is not None:
+        raw = raw.where(F.col("o_orderdate") >= ntz(since))
+    if until is not None:
+        raw = raw.where(F.col("o_orderdate") < ntz(until + dt.timedelta(days=1)))
+    return raw.select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
-        F.col("o_orderdate").alias("order_date"),          # midnight, zone-less (source type)
+        F.to_date("o_orderdate").cast("timestamp_ntz").alias("order_date"),      # a day, zone-less
         F.col("o_totalprice").alias("total_amount"),
         F.col("o_orderstatus").alias("status"),
         F.col("o_orderdate").alias("created_at"),
@@ -81,7 +93,8 @@ app_products AS (
          p_brand AS brand, p_retailprice AS price
   FROM part),
 app_orders AS (
-  SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderdate AS order_date,
+  SELECT o_orderkey AS order_id, o_custkey AS customer_id,
+         CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS order_date,
          o_totalprice AS total_amount, o_orderstatus AS status, o_orderdate AS created_at
   FROM orders),
 app_items AS (

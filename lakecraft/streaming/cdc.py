@@ -1,17 +1,21 @@
 """Change-data streaming: raw change messages to bronze, and applying change
-batches to a silver table exactly once.
-
-The silver table is Parquet partitioned by a hash bucket of the key. Each
-micro-batch reduces its changes to the latest change per key, writes a new
-version of only the buckets it touches and then records it in a commit log;
-readers take each bucket's latest committed version. A micro-batch already in
-the log is skipped, so replays after a failure apply nothing twice.
+batches to a silver table.
+
+The silver table is plain Parquet, one folder per micro-batch
+(``batch=<id>``), holding the newest change of each key in that batch with its
+order columns - deletes included. Readers take the newest change of each key
+over all batches and leave deletes out, so batches may arrive late, out of
+order or more than once: a replayed micro-batch rewrites its own folder, an
+older change never wins over a newer one, and a create that arrives after the
+delete it precedes stays deleted. :func:`compact` rewrites the state as one
+base batch of a new table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,90 +36,62 @@ def raw_to_bronze(raw: DataFrame, path: str, checkpoint: str, trigger: dict | No
             .partitionBy("ingest_date").trigger(**(trigger or {"availableNow": True})).start())
 
 
-def bucket_col(key: str, buckets: int):
-    return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
+def _silver_schema(row: T.StructType, order: Sequence[str]) -> T.StructType:
+    key = [T.StructField("_key", T.StringType()), T.StructField("op", T.StringType()), T.StructField("after", row)]
+    return T.StructType(key + [T.StructField(c, T.LongType()) for c in order] + [T.StructField("batch", T.LongType())])
 
 
-def _commits(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(f"{path}/_commits")
-    except Exception:   # nothing committed yet
-        return None
+def _newest(changes: DataFrame, order: Sequence[str]) -> DataFrame:
+    return latest_per_key(changes.select("_key", *order, "op", "after"), ["_key"], list(order))
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Current silver rows: per bucket, the files of its latest committed
-    version (one row per bucket in the version table, so it is broadcast)."""
-    commits = _commits(spark, path)
-    if commits is None:
-        return spark.createDataFrame([], schema)
-    latest = commits.groupBy("_bucket").agg(F.max("v").alias("v"))
-    full = T.StructType(list(schema.fields) + [T.StructField("_bucket", T.IntegerType()),
-                                               T.StructField("v", T.LongType())])
+def read_changes(spark: SparkSession, path: str, row: T.StructType, order: Sequence[str] = ("ts_ms", "_offset")) -> DataFrame:
+    """The stored changes of all micro-batches (no rows before the first)."""
+    schema = _silver_schema(row, order)
     try:
-        data = spark.read.schema(full).parquet(f"{path}/data")
-    except Exception:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":         # anything else is not an empty table
+            raise
         return spark.createDataFrame([], schema)
-    return data.join(F.broadcast(latest), ["_bucket", "v"], "left_semi").select(*schema.fieldNames())
+
+
+def read_table(spark: SparkSession, path: str, row: T.StructType, order: Sequence[str] = ("ts_ms", "_offset")) -> DataFrame:
+    """Current silver rows: per key the newest change (combined map-side), deletes left out."""
+    return _newest(read_changes(spark, path, row, order), order).where(F.col("op") != "d").select("after.*")
 
 
 def apply_batch(changes: DataFrame, batch_id: int, path: str, key: str, row: T.StructType,
-                buckets: int = 64, order: Sequence[str] = ("ts_ms", "_offset"),
-                source: str = "default") -> None:
-    """Apply one micro-batch of decoded changes (``op, ts_ms, before, after``
-    plus ``_offset``) to the silver table at ``path``.
-
-    Touched buckets are rewritten as a new version ``v`` (new directories:
-    the job never overwrites files it reads), then ``(bucket, v, source,
-    batch_id)`` rows are appended to the commit log, which readers use to pick
-    each bucket's latest version. A bucket left empty by deletes is a
-    committed version without files. A ``(source, batch_id)`` already in the
-    log is skipped, so a replayed micro-batch is applied once."""
-    spark = changes.sparkSession
-    commits = _commits(spark, path)
-    v = 1
-    if commits is not None:
-        done = commits.where((F.col("source") == source) & (F.col("batch_id") == batch_id))
-        if done.limit(1).count() > 0:
-            return                                 # already applied: replay is a no-op
-        v = (commits.agg(F.max("v")).first()[0] or 0) + 1     # one scalar from the commit log
-    keyed = changes.where(F.col("op").isNotNull()).withColumn("_key", row_key(key))
-    latest = latest_per_key(keyed.select("_key", *order, "op", "after"), ["_key"], list(order))
-    latest = latest.withColumn("_bucket", bucket_col("_key", buckets))
-    current = read_table(spark, path, row).withColumn("_bucket", bucket_col(key, buckets))
-    touched = latest.select("_bucket").distinct()
-    keep = (current.join(touched, "_bucket", "left_semi")
-            .join(latest.select(F.col("_key").alias(key)), key, "left_anti"))
-    upserts = latest.where(F.col("op") != "d").select("after.*", "_bucket")
-    staged = keep.unionByName(upserts.select(*keep.columns)).withColumn("v", F.lit(v).cast("long"))
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("_bucket", "v").parquet(f"{path}/data"))
-    touched.select("_bucket", F.lit(v).cast("long").alias("v"), F.lit(source).alias("source"),
-                   F.lit(batch_id).cast("long").alias("batch_id")).coalesce(1) \
-        .write.mode("append").parquet(f"{path}/_commits")
+                order: Sequence[str] = ("ts_ms", "_offset")) -> None:
+    """Store one micro-batch of decoded changes (``op, before, after`` and the
+    ``order`` columns): its newest change per key. The batch is reduced before
+    the write, and nothing stored earlier is read. Undecodable messages (null
+    ``op``) are not changes; see :func:`rejects`."""
+    keyed = changes.where(F.col("op").isNotNull()).withColumn("_key", row_key(key).cast("string"))
+    _newest(keyed, order).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+
+def rejects(decoded: DataFrame) -> DataFrame:
+    """Messages that are no change envelopes."""
+    return decoded.where(F.col("op").isNull())
 
 
 def apply_query(raw: DataFrame, path: str, key: str, row: T.StructType, checkpoint: str,
-                buckets: int = 64, trigger: dict | None = None):
-    """Stream: decode change messages and apply each micro-batch to ``path``."""
+                reject_path: str | None = None, trigger: dict | None = None):
+    """Stream: decode change messages and apply each micro-batch to ``path``;
+    undecodable ones go to ``reject_path`` (per batch, so a replay repeats none)."""
     decoded = decode_envelope(raw, row).withColumnRenamed("offset", "_offset")
 
     def each(batch: DataFrame, batch_id: int):
-        apply_batch(batch, batch_id, path, key, row, buckets, source=checkpoint)
+        apply_batch(batch, batch_id, path, key, row)
+        if reject_path:
+            rejects(batch).select("value", "_offset").write.mode("overwrite").json(f"{reject_path}/batch={batch_id}")
 
     return (decoded.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
-def vacuum(spark: SparkSession, path: str) -> int:
-    """Delete bucket versions that a later committed version superseded (the
-    commit log keeps its rows, so replay detection is unaffected). Returns the
-    number of directories removed."""
-    from lakecraft.operators.versioned import _fs_delete
-    commits = _commits(spark, path)
-    if commits is None:
-        return 0
-    latest = commits.groupBy("_bucket").agg(F.max("v").alias("_latest"))
-    old = commits.join(latest, "_bucket").where(F.col("v") < F.col("_latest")).select("_bucket", "v").distinct()
-    dirs = [f"{path}/data/_bucket={r._bucket}/v={r.v}" for r in old.collect()]   # one row per superseded version
-    return _fs_delete(dirs)
+def compact(spark: SparkSession, path: str, out: str, row: T.StructType, order: Sequence[str] = ("ts_ms", "_offset")) -> None:
+    """Write the newest change of every key (deletes included: a late older change must still lose)
+    as the base batch of a new table. Later batches go on in ``out``."""
+    _newest(read_changes(spark, path, row, order), order).write.mode("overwrite").parquet(f"{out}/batch=-1")

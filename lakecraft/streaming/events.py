@@ -129,12 +129,34 @@ def console(df: DataFrame, checkpoint: str | None = None):
     return w.start()
 
 
+def parsed(raw: DataFrame, schema: T.StructType = EVENT_SCHEMA) -> DataFrame:
+    """Messages with their typed form ``r``."""
+    return raw.withColumn("r", F.from_json(F.col("value").cast("string"), schema))
+
+
+def malformed(schema: T.StructType = EVENT_SCHEMA):
+    """Of :func:`parsed` messages: nothing of the schema could be read."""
+    bad = F.lit(True)
+    for f in schema.fields:
+        bad = bad & F.col(f"r.{f.name}").isNull()
+    return F.col("r").isNull() | bad
+
+
+def rejects_query(raw: DataFrame, path: str, checkpoint: str, schema: T.StructType = EVENT_SCHEMA,
+                  trigger: dict | None = None):
+    """The messages that :func:`copy_query` leaves out, as they came, with partition and offset."""
+    bad = parsed(raw, schema).where(F.col("value").isNotNull() & malformed(schema)).select("value", "partition", "offset")
+    return (bad.writeStream.format("json").option("path", path).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True})).start())
+
+
 def copy_query(raw: DataFrame, path: str, checkpoint: str, schema: T.StructType = EVENT_SCHEMA,
                where: str | None = None, trigger: dict | None = None):
     """Typed JSON sink table fed by ``INSERT INTO sink SELECT * FROM source``:
     parse messages with a declared schema, optional stateless filter, write
-    typed JSON files (exactly once through the file-sink log)."""
-    rows = raw.select(F.from_json(F.col("value").cast("string"), schema).alias("r")).select("r.*")
+    typed JSON files (exactly once through the file-sink log). Messages that
+    are no JSON object of the schema are left to :func:`rejects_query`."""
+    rows = parsed(raw, schema).where(~malformed(schema)).select("r.*")
     if where:
         rows = rows.where(where)
     return (rows.writeStream.format("json").option("path", path).option("checkpointLocation", checkpoint)

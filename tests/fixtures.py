@@ -1,4 +1,4 @@
-"""Fixture rows from the reference's seed data and samples (FIXTURES.md)."""
+"""Fixture rows: seed data and samples (FIXTURES.md)."""
 
 import datetime as dt
 
@@ -7,6 +7,8 @@ TS = dt.datetime
 
 AS_OF = D(2025, 1, 31)
 
+# The seed rows and the dirty product file whose results the tests know.
+
 CUSTOMERS = [(1, "Nguyen Van A", "a@example.com"), (2, "Tran Thi B", "b@example.com"),
              (3, "Le Van C", "c@example.com"), (4, "Pham Thi D", "d@example.com"),
              (5, "Hoang Van E", "e@example.com")]

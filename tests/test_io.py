@@ -66,6 +66,11 @@ def test_messages_and_copy_query(spark, tmp):
         for i, e in enumerate(["click", "view", "click"]):
             f.write(json.dumps({"value": json.dumps({"event": e, "page": "/", "user_id": i}), "partition": 0,
                                 "offset": i}) + "\n")
+        f.write(json.dumps({"value": "{broken", "partition": 0, "offset": 3}) + "\n")
+    SE.copy_query(SE.file_source(spark, src), f"{tmp}/all", f"{tmp}/ck0").awaitTermination()
+    assert spark.read.json(f"{tmp}/all").count() == 3                       # no all-null row
+    SE.rejects_query(SE.file_source(spark, src), f"{tmp}/bad", f"{tmp}/ck1").awaitTermination()
+    assert [(r.value, r.offset) for r in spark.read.json(f"{tmp}/bad").collect()] == [("{broken", 3)]
     SE.copy_query(SE.file_source(spark, src), f"{tmp}/sink", f"{tmp}/ck", where="event = 'click'").awaitTermination()
     assert spark.read.json(f"{tmp}/sink").count() == 2
 
@@ -75,3 +80,40 @@ def test_synthetic_rows(spark):
     r = df.agg(F.min("category_id"), F.max("category_id"), F.min("price"), F.max("price")).first()
     assert r[0] >= 0 and r[1] <= 9 and r[2] >= 10000 and r[3] < 1010000
     assert df.where(F.col("name") == "product_7").count() == 1
+
+
+def test_compact_file_count(spark, tmp):
+    df = spark.range(60_000).selectExpr("id", "IF(id < 50000, 'a:b c', 'x') AS p", "sha2(CAST(id AS STRING), 256) AS v")
+    df.repartition(23).write.partitionBy("p").parquet(f"{tmp}/many")
+    sizes = {}
+    for r in IO.list_files(spark, f"{tmp}/many").collect():
+        folder = r.path.rsplit("/", 1)[0].rsplit("/", 1)[1]
+        sizes[folder] = sizes.get(folder, 0) + r.size
+    target = max(sizes.values()) // 3 + 1
+    want = {k: -(-v // target) for k, v in sizes.items()}
+    assert sorted(want.values()) == [1, 3]
+    assert SK.compact(spark, f"{tmp}/many", f"{tmp}/few", target, ["p"]) == sum(want.values())
+    found = {}
+    for r in IO.list_files(spark, f"{tmp}/few").collect():
+        folder = r.path.rsplit("/", 1)[0].rsplit("/", 1)[1]
+        found[folder] = found.get(folder, 0) + 1
+    assert found == want
+    assert sorted(map(tuple, spark.read.parquet(f"{tmp}/few").select("id", "p", "v").collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_unsplit_jdbc_read_is_refused(spark):
+    import pytest
+    with pytest.raises(ValueError):
+        IO.extract_jdbc(spark, "jdbc:none", "t")
+
+
+def test_order_dates_are_days(spark, tmp):
+    o = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    hours = o.withColumn("o_orderdate", F.col("o_orderdate") + F.expr("make_dt_interval(0, cast(pmod(o_orderkey, 24) as int))"))
+    hours.write.parquet(f"{tmp}/orders.parquet")
+    from lakecraft.plans.dashboards import mv_daily_revenue
+    assert sorted(map(tuple, mv_daily_revenue(spark, tmp).collect())) == sorted(map(tuple, mv_daily_revenue(spark, SF_SMALL).collect()))
+    day = dt.date(2000, 5, 5)
+    assert T.orders(spark, tmp, since=day, until=day).count() == T.orders(spark, SF_SMALL).where(F.to_date("order_date") == F.lit(day)).count()
+    plan = T.orders(spark, SF_SMALL, since=day)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(o_orderdate" in plan

@@ -93,3 +93,52 @@ def test_scd2_same_day_change_replaces_in_place(spark):
     sk_open = [r.sk for r in d1.where("id = 1 AND is_current").collect()][0]
     assert got == sorted([(1, "a@x", D(2024, 1, 1), D(2024, 2, 1), False),
                           (sk_open, "a3@x", D(2024, 2, 1), D(9999, 12, 31), True)])
+
+
+def _versions(df, key=1):
+    return rows(df.where(f"id = {key}"), "email", "valid_from", "valid_to", "is_current")
+
+
+def test_scd2_back_dated_batch(spark):
+    end = D(9999, 12, 31)
+    one = lambda email: spark.createDataFrame([(1, email)], "id long, email string")
+    dim = WH.scd2_apply(_dim(spark), one("march@x"), "id", ["email"], D(2024, 3, 1), sk="sk")
+    late = WH.scd2_apply(dim, one("feb@x"), "id", ["email"], D(2024, 2, 1), sk="sk")
+    assert _versions(late) == sorted([("a@x", D(2024, 1, 1), D(2024, 2, 1), False), ("feb@x", D(2024, 2, 1), D(2024, 3, 1), False),
+                                      ("march@x", D(2024, 3, 1), end, True)])
+    assert sorted(r.sk for r in late.collect()) == [1, 2, 3, 4]
+    assert rows(WH.scd2_apply(late, one("feb@x"), "id", ["email"], D(2024, 2, 1), sk="sk"), *late.columns) == rows(late, *late.columns)
+    # before the first version, inside one with equal attributes, and a replaced closed version
+    first = WH.scd2_apply(late, one("old@x"), "id", ["email"], D(2023, 1, 1), sk="sk")
+    assert _versions(first)[-1] == ("old@x", D(2023, 1, 1), D(2024, 1, 1), False)
+    assert WH.scd2_apply(late, one("feb@x"), "id", ["email"], D(2024, 2, 15), sk="sk").count() == late.count()
+    swapped = WH.scd2_apply(late, one("feb2@x"), "id", ["email"], D(2024, 2, 1), sk="sk")
+    assert _versions(swapped) == sorted([("a@x", D(2024, 1, 1), D(2024, 2, 1), False), ("feb2@x", D(2024, 2, 1), D(2024, 3, 1), False),
+                                         ("march@x", D(2024, 3, 1), end, True)])
+
+
+def test_scd2_random_batches_never_overlap(spark):
+    import random
+    rng = random.Random(4)
+    dim, want = _dim(spark), {1: {D(2024, 1, 1): "a@x"}, 2: {D(2024, 1, 1): "b@x"}}
+    for _ in range(6):
+        day = D(2024, rng.randint(1, 6), 1)
+        inc = [(k, f"v{rng.randint(0, 2)}") for k in (1, 2, 3) if rng.random() < .8]
+        dim = WH.scd2_apply(dim, spark.createDataFrame(inc or [(1, "v0")], "id long, email string"), "id", ["email"], day, sk="sk").cache()
+        for k, v in inc or [(1, "v0")]:
+            before = [d for d in want.setdefault(k, {}) if d <= day]
+            if not before or want[k][max(before)] != v:
+                want[k][day] = v
+    got = dim.collect()
+    assert len({r.sk for r in got}) == len(got)
+    for k, v in want.items():
+        mine = sorted((r.valid_from, r.email, r.valid_to, r.is_current) for r in got if r.id == k)
+        days = sorted(v)
+        ends = days[1:] + [D(9999, 12, 31)]
+        assert mine == [(d, v[d], e, e == D(9999, 12, 31)) for d, e in zip(days, ends)]
+
+
+def test_scd2_null_is_current_counts_by_dates(spark):
+    dim = _dim(spark).withColumn("is_current", F.lit(None).cast("boolean"))
+    out = WH.scd2_apply(dim, spark.createDataFrame([(1, "n@x")], "id long, email string"), "id", ["email"], D(2024, 5, 1), sk="sk")
+    assert out.count() == 3 and out.where("is_current").count() == 2
