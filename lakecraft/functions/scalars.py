@@ -70,12 +70,6 @@ def iso_dow(d) -> Column:
     return (F.weekday(_c(d)) + 1).cast("int")
 
 
-def days_before(as_of, n: int) -> Column:
-    """``as_of - INTERVAL n days`` as a date literal/column."""
-    base = F.lit(as_of) if isinstance(as_of, (dt.date, str)) else as_of
-    return F.date_sub(base.cast("date"), n)
-
-
 def strip_ws(c) -> Column:
     """Strip every kind of leading/trailing whitespace (``str.strip``), not only
     spaces as ``trim`` does."""

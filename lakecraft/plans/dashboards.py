@@ -7,7 +7,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from lakecraft.functions.scalars import days_before, money, money_avg, money_sum, ntz
+from lakecraft.functions.scalars import money, money_sum, ntz
 from lakecraft.operators import quality as Q
 from lakecraft.plans.params import AS_OF, AS_OF_SQL, CATEGORY
 from lakecraft.plans.registry import register
@@ -20,9 +20,9 @@ M = "CAST(SUM(CAST({} AS DECIMAL(12,2))) AS DOUBLE)".format
 # ---------------------------------------------------------------- materialized views
 
 @register("mv_daily_revenue", with_retail(
-    "SELECT order_date AS report_date, COUNT(DISTINCT order_id) AS num_orders, COUNT(*) AS num_items, "
-    f"{M('total_amount')} AS revenue FROM app_orders WHERE total_amount IS NOT NULL "
-    "GROUP BY order_date ORDER BY order_date DESC"))
+    "SELECT report_date, COUNT(*) AS num_orders, SUM(n)::BIGINT AS num_items, SUM(s)::DOUBLE AS revenue FROM ("
+    "SELECT order_date AS report_date, order_id, COUNT(*) AS n, SUM(total_amount::DECIMAL(12,2)) AS s FROM app_orders "
+    "WHERE isfinite(total_amount) GROUP BY ALL) GROUP BY ALL ORDER BY 1 DESC"))
 def mv_daily_revenue(spark, d):
     # num_items counts order rows (the view reads orders only); value kept as defined
     return (T.orders(spark, d).where(F.col("total_amount").isNotNull())
@@ -33,10 +33,9 @@ def mv_daily_revenue(spark, d):
 
 
 @register("mv_top_customers", with_retail(
-    "SELECT c.customer_id, c.full_name, c.segment, COUNT(o.order_id) AS order_count, "
-    f"{M('o.total_amount')} AS total_spent FROM app_customers c "
-    "LEFT JOIN app_orders o ON o.customer_id = c.customer_id AND o.total_amount IS NOT NULL "
-    "GROUP BY c.customer_id, c.full_name, c.segment ORDER BY total_spent DESC NULLS LAST"))
+    "SELECT customer_id, full_name, segment, COALESCE(n, 0) AS order_count, s::DOUBLE AS total_spent FROM app_customers LEFT JOIN ("
+    "SELECT customer_id, COUNT(order_id) AS n, SUM(total_amount::DECIMAL(12,2)) AS s FROM app_orders GROUP BY ALL) USING (customer_id) "
+    "ORDER BY s DESC NULLS LAST"))
 def mv_top_customers(spark, d):
     # right-side condition applied before the outer join keeps customers without orders
     per = (T.orders(spark, d).where(F.col("total_amount").isNotNull()).groupBy("customer_id")
@@ -49,10 +48,9 @@ def mv_top_customers(spark, d):
 
 
 @register("mv_revenue_by_category", with_retail(
-    "SELECT p.category, COUNT(DISTINCT oi.order_id) AS order_count, "
-    "CAST(SUM(oi.quantity) AS BIGINT) AS quantity_sold, "
-    f"{M('oi.subtotal')} AS revenue FROM app_items oi JOIN app_products p ON p.product_id = oi.product_id "
-    "WHERE oi.subtotal IS NOT NULL GROUP BY p.category ORDER BY revenue DESC"))
+    "SELECT category, COUNT(*) AS order_count, SUM(q)::BIGINT AS quantity_sold, SUM(s)::DOUBLE AS revenue FROM ("
+    "SELECT category, order_id, SUM(quantity) AS q, SUM(subtotal::DECIMAL(12,2)) AS s FROM app_items JOIN app_products USING (product_id) "
+    "WHERE subtotal IS NOT NULL GROUP BY ALL) GROUP BY ALL ORDER BY revenue DESC"))
 def mv_revenue_by_category(spark, d):
     items = T.order_items(spark, d).where(F.col("subtotal").isNotNull())
     return (items.join(T.products(spark, d).select("product_id", "category"), "product_id")
@@ -68,7 +66,7 @@ def mv_revenue_by_category(spark, d):
 @register("orders_last_30d", with_retail(
     f"SELECT * FROM app_orders WHERE order_date >= {AS_OF_SQL} - INTERVAL 30 DAY"))
 def orders_last_30d(spark, d):
-    return T.orders(spark, d).where(F.col("order_date") >= days_before(AS_OF, 30))
+    return T.orders(spark, d, since=AS_OF - dt.timedelta(days=30))
 
 
 @register("orders_recent", with_retail(
@@ -97,12 +95,9 @@ DASH_FROM, DASH_TO, DASH_SEGMENT = dt.date(2000, 1, 1), dt.date(2000, 12, 31), "
 
 def dashboard_revenue(spark, d, date_from=None, date_to=None, category=None, segment=None):
     """Saved dashboard query with optional filters; each given parameter adds a
-    predicate that Catalyst pushes to the matching scan."""
-    o = T.orders(spark, d).select("order_id", "customer_id", "order_date")
-    if date_from is not None:
-        o = o.where(F.col("order_date") >= F.lit(date_from))
-    if date_to is not None:
-        o = o.where(F.col("order_date") <= F.lit(date_to))
+    predicate that reaches the matching scan. Orders meet their filtered
+    customers first, so the items join what is left of them."""
+    o = T.orders(spark, d, since=date_from, until=date_to).select("order_id", "customer_id", "order_date")
     items = T.order_items(spark, d).select("order_id", "product_id", "quantity", "subtotal")
     p = T.products(spark, d).select("product_id", "category")
     if category is not None:
@@ -110,7 +105,8 @@ def dashboard_revenue(spark, d, date_from=None, date_to=None, category=None, seg
     c = T.customers(spark, d).select("customer_id", "segment")
     if segment is not None:
         c = c.where(F.col("segment") == segment)
-    return (items.join(p, "product_id").join(o, "order_id").join(c, "customer_id")
+    of_customers = o.join(c.select("customer_id"), "customer_id").select("order_id", "order_date")
+    return (items.join(of_customers, "order_id").join(p, "product_id")
             .groupBy("order_date", "category")
             .agg(F.countDistinct("order_id").alias("orders"), F.sum("quantity").cast("long").alias("quantity"),
                  money_sum("subtotal").alias("revenue")))
@@ -138,12 +134,18 @@ def gold_daily_metrics(spark, d):
 
 
 def gold_metrics(orders):
-    """Gold daily metrics from silver orders: revenue, orders, customers, AOV."""
-    return (orders.groupBy("order_date")
-            .agg(money_sum("total_amount").alias("daily_revenue"),
-                 F.countDistinct("order_id").alias("total_orders"),
-                 F.countDistinct("customer_id").alias("unique_customers"),
-                 money_avg("total_amount").alias("avg_order_value")))
+    """Gold daily metrics from silver orders: revenue, orders, customers, AOV.
+    Orders collapse to (day, customer, order) and (day, customer) first, so the
+    distinct counts are counts of rows and no row is expanded."""
+    per_order = orders.groupBy("order_date", "customer_id", "order_id").agg(
+        F.sum(money("total_amount")).alias("s"), F.count("total_amount").alias("n"))
+    per_customer = per_order.groupBy("order_date", "customer_id").agg(
+        F.sum("s").alias("s"), F.sum("n").alias("n"), F.count("order_id").alias("o"))
+    total, n = F.sum("s"), F.sum("n")
+    return per_customer.groupBy("order_date").agg(
+        total.cast("double").alias("daily_revenue"), F.sum("o").cast("long").alias("total_orders"),
+        F.count("customer_id").alias("unique_customers"),
+        F.when(n > 0, total.cast("double") / n.cast("double")).alias("avg_order_value"))
 
 
 @register("medallion_gold", with_retail(

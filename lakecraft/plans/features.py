@@ -21,7 +21,7 @@ NOW = dt.datetime(2001, 8, 2)
 
 CUSTOMER_FEATURES = FS.FeatureView(
     name="customer_features", entity="customer_id", timestamp_field="event_timestamp",
-    ttl=dt.timedelta(days=1), features={"total_amount": "double", "order_count": "bigint"})
+    ttl=TRAINING_TTL, features={"total_amount": "double", "order_count": "bigint"})
 
 
 def customer_features(spark, d):
@@ -69,7 +69,7 @@ def q_customer_features(spark, d):
 def feature_asof(spark, d):
     requests = T.orders(spark, d).select("order_id", "customer_id", F.col("created_at").alias("request_ts"))
     return FS.as_of_join(requests, customer_features(spark, d), "customer_id", "request_ts", "event_timestamp",
-                         ["total_amount", "order_count"], TRAINING_TTL)
+                         list(CUSTOMER_FEATURES.features), CUSTOMER_FEATURES.ttl)
 
 
 @register("feature_latest", with_retail(
