@@ -14,7 +14,9 @@ places: a passage copied into a third of all documents reaches its bucket once
 per flush, not once per document. Runs of words found to be frequent in a
 sample rank last as minimisers, so windows that only touch a common passage go
 to buckets of their own rare words; the sample steers this dealing alone and
-never the result, which is exact over all windows.
+never the result, which is exact over all windows. Texts without a repeated
+window are finished where they are read (a bitmap of fixed size tells them,
+erring on the safe side); only the others are shuffled to their ranges.
 
 Defined cases: null, empty and shorter texts have no window and keep all their
 words; repeated rows are occurrences like any other; extra columns pass
@@ -31,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakecraft.llm.tools import documents, row_keys
+from lakecraft.llm.tools import bitmap_test, documents, hash_bitmap, row_keys, stored
 from lakecraft.llm.words import U64, Words, column_bytes, mix64, slices, sliding_min, window_hash
 
 WINDOW = 35
@@ -281,6 +283,21 @@ def _cut(text_col: str, digest: bool):
     return run
 
 
+def _marked(bits: bytes, wanted: bool, then=None):
+    """Batches with the rows whose second key is in the bitmap (or the others), handed to ``then`` without their keys."""
+    def run(batches):
+        test = bitmap_test(bits)
+
+        def parts():
+            for batch in batches:
+                names = batch.schema.names
+                part = batch.filter(pa.array(test(batch.column(names.index("_k2")).to_numpy()) == wanted))
+                if part.num_rows:
+                    yield part if then is None else part.drop_columns(["_k1", "_k2"])
+        yield from parts() if then is None else then(parts())
+    return run
+
+
 def _list_offsets(col: pa.ListArray) -> np.ndarray:
     lens = col.value_lengths().to_numpy(zero_copy_only=False)
     return np.concatenate([[0], np.cumsum(np.nan_to_num(lens).astype(np.int64))])
@@ -295,16 +312,19 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     kept_text (kept words joined by one space; with ``digest`` kept_sha256).
     """
     result = ["n_words", "n_removed", "kept_sha256" if digest else "kept_text"]
-    ranges = repeated_ranges(docs, id_col, text_col, window, mer, bucket_bytes)
+    ranges = stored(repeated_ranges(docs, id_col, text_col, window, mer, bucket_bytes), "repeated-ranges")
     spans = ranges.groupBy("_k1", "_k2").agg(F.collect_list(F.struct("start", "stop")).alias("_spans"))
     cols = [c for c in (keep or docs.columns) if c not in result]
     left = row_keys(docs, id_col, text_col).select(*[F.col(f"`{c}`") for c in cols], F.col(text_col).alias("_text"), "_k1", "_k2")
-    none = F.array().cast("array<struct<start:bigint,stop:bigint>>")
-    both = (left.join(spans, ["_k1", "_k2"], "left").drop("_k1", "_k2")
-            .withColumn("_spans", F.coalesce("_spans", none)))
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     schema = ", ".join([f"`{c}` {kinds[c]}" for c in cols] + ["n_words long", "n_removed long", f"{result[2]} string"])
-    return both.mapInArrow(_cut(text_col, digest), schema)
+    # texts without a range stay where they are read; only the others move to their ranges
+    bits = hash_bitmap(ranges.select("_k2"))
+    none = F.array().cast("array<struct<start:bigint,stop:bigint>>")
+    whole = left.withColumn("_spans", none).mapInArrow(_marked(bits, False, _cut(text_col, digest)), schema)
+    moved = left.mapInArrow(_marked(bits, True), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in left.schema.fields))
+    both = moved.join(spans, ["_k1", "_k2"], "left").drop("_k1", "_k2").withColumn("_spans", F.coalesce("_spans", none))
+    return whole.unionByName(both.mapInArrow(_cut(text_col, digest), schema))
 
 
 def op9_substring_dedup(spark, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +26,28 @@ def row_keys(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
                            "_k2": F.xxhash64(F.lit(2), F.col(text_col), F.col(id_col))})
 
 
+BITMAP_BITS = 23
+
+
+def hash_bitmap(hashes: DataFrame) -> bytes:
+    """A bitmap of fixed size (1 MB) with the bits of the values of the one long column ``hashes``:
+    a filter that passes all of them, and others at random. At most 2^BITMAP_BITS / 64 rows reach the driver."""
+    name = hashes.columns[0]
+    at = f"pmod(`{name}`, {1 << BITMAP_BITS})"
+    rows = hashes.groupBy(F.expr(f"cast(shiftright({at}, 6) as int)").alias("w")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, cast(pmod({at}, 64) as int))")).alias("b")).collect()
+    out = np.zeros(1 << (BITMAP_BITS - 6), np.int64)
+    for r in rows:
+        out[r.w] = r.b
+    return out.tobytes()
+
+
+def bitmap_test(bits: bytes):
+    """The bitmap as a function from hashes to booleans."""
+    table = np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little").astype(bool)
+    return lambda hashes: table[np.asarray(hashes) & ((1 << BITMAP_BITS) - 1)]
+
+
 def partitions(spark) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
