@@ -38,13 +38,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakecraft.llm.components import components
-from lakecraft.llm.tools import documents, row_keys, stored
+from lakecraft.llm.tools import bitmap_test, documents, hash_bitmap, partitions, row_keys, stored
 from lakecraft.llm.words import LOWER, U64, Words, column_bytes, mix64, slices, window_hash
 
 SIDE, HALF = 10, 3
 PERCENT = 80
 BLOCK = 512
-BITMAP_BITS = 23
+CLASSES_PER_TASK = 4096
 
 
 def shingles(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -139,27 +139,15 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, width: int, side: in
     return left.mapInArrow(run, f"id {kind}, _k1 long, _k2 long, n long, c1 long, c2 long, bands array<long>")
 
 
-def _bitmap(ids: DataFrame) -> np.ndarray:
-    """Bits at the hashes of ``id``; at most 2^BITMAP_BITS / 64 rows reach the driver."""
-    h = F.pmod(F.xxhash64("id"), F.lit(1 << BITMAP_BITS))
-    rows = ids.groupBy(F.shiftright(h, 6).cast("int").alias("w")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(pmod(xxhash64(id), {1 << BITMAP_BITS}), 64) as int))")).alias("b")).collect()
-    out = np.zeros(1 << (BITMAP_BITS - 6), np.int64)
-    for r in rows:
-        out[r.w] = r.b
-    return np.unpackbits(out.view(np.uint8), bitorder="little")
-
-
 def _sets(docs: DataFrame, reps: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
     """c1, c2, n and the full set of each class in ``reps`` (id, c1, c2)."""
-    bits = np.packbits(_bitmap(reps))
-    size = 1 << BITMAP_BITS
-    left = docs.select(F.pmod(F.xxhash64(F.col(id_col)), F.lit(size)).alias("h"), F.col(text_col).alias("text"))
+    bits = hash_bitmap(reps.select(F.xxhash64("id")))
+    left = docs.select(F.xxhash64(F.col(id_col)).alias("h"), F.col(text_col).alias("text"))
 
     def run(batches):
-        wanted = np.unpackbits(bits).astype(bool)
+        wanted = bitmap_test(bits)
         for batch in batches:
-            part = batch.filter(pa.array(wanted[batch.column(0).to_numpy()]))
+            part = batch.filter(pa.array(wanted(batch.column(0).to_numpy())))
             if part.num_rows:
                 for i, j, h, first in _each_slice(part.column(1), width):
                     c1, c2 = _set_hash(h, first)
@@ -232,7 +220,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sig = stored(signatures(docs, id_col, text_col, width, side, half), "signatures")
     classes = stored(sig.where("n > 0").groupBy("c1", "c2").agg(F.min("id").alias("id"), F.first("bands").alias("bands")), "classes")
     table_keys = F.flatten(F.transform(F.slice("bands", 1, side), lambda a: F.transform(F.slice("bands", side + 1, side), lambda b: F.xxhash64(a, b))))
-    keyed = classes.select(F.col("c1").alias("node"), F.explode(table_keys).alias("key"))
+    # a class becomes side^2 rows: deal the few bytes of the classes to enough tasks first
+    tasks = max(partitions(docs.sparkSession), classes.count() // CLASSES_PER_TASK)
+    keyed = classes.repartition(tasks, "c1").select(F.col("c1").alias("node"), F.explode(table_keys).alias("key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     hits = stored(keyed.join(shared, "key"), "hits")
     popular = hits.groupBy("node").agg(F.sum("n").alias("p"))
