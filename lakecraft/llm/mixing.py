@@ -34,7 +34,8 @@ from lakecraft.llm.tools import documents, partitions, stored
 WORD = r"[^\x20\x09-\x0D]+"
 BLOCK = 32
 SHARD_BLOCKS = 4096
-CHUNK_ROWS = 8192
+#: Rows in a chunk of a source, on average.
+CHUNK_ROWS = 512
 ROUNDS = 14
 
 
@@ -58,7 +59,7 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = 3
     t = t.withColumn("level", F.col("left") / F.sum("weight").over(rising.rowsBetween(0, Window.unboundedFollowing)))
     t = t.withColumn("water", F.min(F.when(F.col("level") <= F.col("bound"), F.struct("bound", "sid", "level"))).over(everything)["level"])
     full = F.col("water").isNull() | (F.col("bound") < F.col("water"))
-    return t.select("source", "source_size", "sid", F.when(full, F.col("most").cast("double")).otherwise(F.col("weight") * F.col("water")).alias("target"))
+    return t.select("source", "source_size", *[c for c in sizes.columns if c not in ("source", "source_size")], "sid", F.when(full, F.col("most").cast("double")).otherwise(F.col("weight") * F.col("water")).alias("target"))
 
 
 def placed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=(1, 2, 3), cap: int = 3,
@@ -69,10 +70,10 @@ def placed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sour
                        F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)).cast("long"), F.lit(0).cast("long")).alias("size"),
                        F.xxhash64(F.lit(2), F.col(text_col), F.col(id_col), F.col(source_col)).alias("_k2"), F.xxhash64(F.lit(1), F.col(id_col)).alias("_k1"))
     rows = stored(rows, "mix-sizes")
-    sources = stored(targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, cap), "mix-sources")
-    chunks = max(1, rows.count() // CHUNK_ROWS)
+    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.ceil(F.count("*") / CHUNK_ROWS).alias("chunks"))
+    sources = stored(targets(sizes, weights, cap), "mix-sources")
     rows = (rows.join(sources.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))).drop("of", "source")
-            .withColumn("chunk", F.pmod(F.xxhash64(F.lit(9), "_k2"), F.lit(chunks))))
+            .withColumn("chunk", F.pmod(F.xxhash64(F.lit(9), "_k2"), F.col("chunks"))))
     total = rows.groupBy("sid", "chunk").agg(F.sum("size").alias("n"))
     earlier = F.sum("n").over(Window.partitionBy("sid").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1))
     base = total.select(F.col("sid").alias("s"), F.col("chunk").alias("c"), F.coalesce(earlier, F.lit(0)).alias("base"))
