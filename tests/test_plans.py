@@ -49,3 +49,26 @@ def test_no_single_partition_window_over_rows(spark, name):
 def test_dedup_is_an_aggregate(spark):
     p = plan(spark, "b06_dedup_latest")
     assert "Window" not in p and "Aggregate" in p
+
+
+SEGMENTED = ["c17_order_rownum", "c18_price_rank", "c19_running_total", "w_dense_rank", "w_lead", "w_running_avg",
+             "ev_session", "ev_session_window"]
+
+
+@pytest.mark.parametrize("name", SEGMENTED)
+def test_building_a_segmented_query_writes_nothing(spark, name):
+    import os
+    from urllib.parse import urlparse
+    from lakecraft.session import checkpoint_dir
+    base = urlparse(checkpoint_dir(spark)).path
+    before = sorted(os.listdir(base))
+    df = QUERIES[name](spark, SF_SMALL)
+    df.count()
+    assert sorted(os.listdir(base)) == before
+
+
+def test_rows_of_a_segmented_query_are_shuffled_once(spark):
+    p = plan(spark, "c17_order_rownum")
+    rows = [m for m in re.finditer(r"Exchange hashpartitioning\(([^)]*)\)", p) if "_pid" in m.group(1) and "order" not in m.group(1)]
+    assert "rangepartitioning" not in p and len(rows) >= 1
+    assert len(re.findall(r"Exchange hashpartitioning\(_pid#\d+, ", p)) <= 2     # the rows, and the edge table's few

@@ -5,7 +5,7 @@
 With ``--scale`` automatic broadcast joins are disabled, approximating the
 plans at production size where dimension tables exceed any broadcast
 threshold (explicit broadcasts of bounded tables remain). Materializations
-done while building a query (range segments, mart tables) are listed
+done while building a query (mart tables, change feed) are listed
 separately: they run before the final plan.
 """
 
@@ -32,10 +32,10 @@ PATTERNS = {
 
 
 def report(spark, sf_dir):
-    from __spark_entry__ import queries
+    from lakecraft.plans import QUERIES
     import lakecraft.session as S
     out = {}
-    for name, fn in queries().items():
+    for name, fn in QUERIES.items():
         before = len(S._SHARED)
         calls = []
         orig = S.materialize
@@ -44,13 +44,12 @@ def report(spark, sf_dir):
             calls.append(name_)
             return _orig(df, name_)
         S.materialize = spy
-        import lakecraft.operators.windows as W
         import lakecraft.plans.mart as PM
-        W.materialize, PM.materialize = spy, spy
+        PM.materialize = spy
         try:
             plan = fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         finally:
-            S.materialize = W.materialize = PM.materialize = orig
+            S.materialize = PM.materialize = orig
         rec = {k: len(re.findall(p, plan)) for k, p in PATTERNS.items()}
         rec["materialized"] = calls
         out[name] = rec
