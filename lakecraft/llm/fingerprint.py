@@ -30,11 +30,14 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from lakecraft.llm.tools import documents, partitions
 from lakecraft.llm.words import SLICE_BYTES, U64, Words, column_bytes, mix64, powers, slices
 
 LEAVES = 64
+#: Segments of consecutive ids at most: what the driver holds and broadcasts of them is bounded by it.
+SEGMENTS = 1 << 16
 _CODE = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_", np.uint8)
 _VALUE = np.zeros(256, np.uint32)
 _VALUE[_CODE] = np.arange(64)
@@ -198,7 +201,7 @@ def _join(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 def fingerprints(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``keep`` (default: all columns) plus fingerprint."""
     cols = [c for c in (docs.columns if keep is None else keep) if c != "fingerprint"]
-    left = docs.select(*[F.col(f"`{c}`") for c in cols], F.col(text_col).alias("_text"))
+    left = docs.select(*[F.col(f"`{c}`") for c in cols], F.col(text_col).alias("_llm_text"))
 
     def run(batches):
         for b in batches:
@@ -213,7 +216,7 @@ def fingerprints(docs: DataFrame, text_col: str = "text", keep: list[str] | None
 
 def tree(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per paragraph: id column, root, section, section_hash, paragraph, paragraph_hash, start, stop (bytes)."""
-    left = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    left = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_llm_text"))
 
     def run(batches):
         for b in batches:
@@ -254,7 +257,7 @@ def with_next(docs: DataFrame, id_col: str, text_col: str, bytes_each: int = 16
     spark = docs.sparkSession
     base = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     total = base.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("b")).first()
-    want = max(1, -(-(total.b or 0) // bytes_each))
+    want = min(SEGMENTS, max(1, -(-(total.b or 0) // bytes_each)))
     if want > 1:
         share = min(1.0, 40.0 * want / total.n)
         sample = sorted(r.id for r in base.select("id").where("id IS NOT NULL").sample(share, seed=3).collect())
@@ -325,7 +328,7 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 ["id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
 
     name = docs.schema[id_col].dataType.simpleString()
-    kind = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[name]
+    kind = to_arrow_type(docs.schema[id_col].dataType)
     return with_next(docs, id_col, text_col).mapInArrow(
         run, f"id {name}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
     ).withColumnRenamed("id", id_col)

@@ -135,7 +135,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: list[st
     language's share of the length-tempered likelihood."""
     cols = [c for c in (keep or docs.columns) if c not in ("lang_pred", "score")]
     shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.words, model.by_order))      # bounded by max_words and max_grams
-    left = docs.select(*[F.col(f"`{c}`") for c in cols], F.col(text_col).alias("_text"))
+    left = docs.select(*[F.col(f"`{c}`") for c in cols], F.col(text_col).alias("_llm_text"))
 
     def run(batches):
         memo = _Memo(Model(*shared.value))

@@ -163,30 +163,30 @@ def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
     first = sorted({r[0] for r in table})
     by_word = F.map_from_arrays(F.array(*map(F.lit, first)), F.array(*[_literal([r for r in table if r[0] == w]) for w in first]))
     made = ("n_words", "found", "kept", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
-    df = without(docs, *made).withColumn("_t", F.coalesce(F.col(text_col), F.lit("")))
-    df = df.withColumn("n_words", F.regexp_count("_t", F.lit(_WORD)).cast("long"))
-    folded = F.translate("_t", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    words = F.when(F.col("_t").rlike(prefilter()), F.regexp_extract_all(folded, F.lit(f"({_WORD})"), F.lit(1)))
-    df = df.withColumn("_w", F.coalesce(words, F.array().cast("array<string>"))).drop("_t")
+    df = without(docs, *made).withColumn("_llm_t", F.coalesce(F.col(text_col), F.lit("")))
+    df = df.withColumn("n_words", F.regexp_count("_llm_t", F.lit(_WORD)).cast("long"))
+    folded = F.translate("_llm_t", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    words = F.when(F.col("_llm_t").rlike(prefilter()), F.regexp_extract_all(folded, F.lit(f"({_WORD})"), F.lit(1)))
+    df = df.withColumn("_llm_w", F.coalesce(words, F.array().cast("array<string>"))).drop("_llm_t")
     known = F.array(*map(F.lit, first))
-    at = F.filter(F.transform("_w", lambda w, i: F.when(F.array_contains(known, w), i)), lambda i: i.isNotNull())
-    near = lambda i: F.concat(F.array_join(F.slice("_w", i + 1, SPAN), " "), F.lit(" "))
-    df = df.withColumn("_at", F.transform(at, lambda i: F.struct(i.alias("i"), F.element_at("_w", i + 1).alias("w"), near(i).alias("c"))))
+    at = F.filter(F.transform("_llm_w", lambda w, i: F.when(F.array_contains(known, w), i)), lambda i: i.isNotNull())
+    near = lambda i: F.concat(F.array_join(F.slice("_llm_w", i + 1, SPAN), " "), F.lit(" "))
+    df = df.withColumn("_llm_at", F.transform(at, lambda i: F.struct(i.alias("i"), F.element_at("_llm_w", i + 1).alias("w"), near(i).alias("c"))))
 
     def tried(a, r):
         span = F.size(F.split(F.call_function("regexp_extract", a["c"], r["pattern"], F.lit(0)), " ")) - 1
         return F.struct(a["i"].alias("start"), F.when(F.contains(a["c"], r["key"]), -a["i"] - span).otherwise(-a["i"]).alias("back"),
                         r["priority"].alias("priority"), r["label"].alias("label"), r["confidence"].alias("confidence"), r["base"].alias("base"))
 
-    hits = F.flatten(F.transform("_at", lambda a: F.filter(F.transform(by_word[a["w"]], lambda r: tried(a, r)), lambda d: -d["back"] > d["start"])))
-    df = df.withColumn("_d", F.array_sort(hits)).drop("_at", "_w")
+    hits = F.flatten(F.transform("_llm_at", lambda a: F.filter(F.transform(by_word[a["w"]], lambda r: tried(a, r)), lambda d: -d["back"] > d["start"])))
+    df = df.withColumn("_llm_d", F.array_sort(hits)).drop("_llm_at", "_llm_w")
     shown = lambda d: F.struct(d["start"].cast("long").alias("start"), (-d["back"]).cast("long").alias("stop"), d["label"].alias("label"), d["confidence"].alias("confidence"))
     kind = "struct<start:bigint,stop:bigint,label:string,confidence:double>"
-    df = df.withColumn("found", F.transform(F.filter("_d", lambda d: d["base"]), shown))
+    df = df.withColumn("found", F.transform(F.filter("_llm_d", lambda d: d["base"]), shown))
     start = F.struct(F.lit(-1).cast("long").alias("reach"), F.array().cast(f"array<{kind}>").alias("kept"))
     step = lambda acc, d: F.when(d["stop"] > acc["reach"], F.struct(d["stop"].alias("reach"), F.array_append(acc["kept"], d).alias("kept"))).otherwise(acc)
-    rest = F.transform(F.filter("_d", lambda d: ~d["base"]), shown)
-    df = df.withColumn("kept", F.aggregate(rest, start, step, lambda acc: acc["kept"])).drop("_d")
+    rest = F.transform(F.filter("_llm_d", lambda d: ~d["base"]), shown)
+    df = df.withColumn("kept", F.aggregate(rest, start, step, lambda acc: acc["kept"])).drop("_llm_d")
     joined = lambda *a: F.array_join(F.array_sort(F.array_distinct(F.concat(*a))), ",")
     return (df.withColumn("n_base", F.size("found").cast("long"))
             .withColumns({"first_word": F.array_min("found.start"), "last_word": F.array_max("found.start"),

@@ -122,8 +122,8 @@ def _long(x: np.ndarray) -> pa.Array:
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, width: int, side: int, half: int) -> DataFrame:
-    """Per row: id, _k1, _k2, n, c1, c2 (hash of the set), bands."""
-    left = row_keys(docs, id_col, text_col).select(F.col(id_col).alias("id"), "_k1", "_k2", F.col(text_col).alias("text"))
+    """Per row: id, _llm_k1, _llm_k2, n, c1, c2 (hash of the set), bands."""
+    left = row_keys(docs, id_col, text_col).select(F.col(id_col).alias("id"), "_llm_k1", "_llm_k2", F.col(text_col).alias("text"))
 
     def run(batches):
         for batch in batches:
@@ -133,10 +133,10 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, width: int, side: in
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(k).slice(i, j - i) for k in range(3)]
                     + [pa.array(np.diff(first)), _long(c1), _long(c2), _lists(b.ravel(), np.arange(j - i + 1) * 2 * side)],
-                    ["id", "_k1", "_k2", "n", "c1", "c2", "bands"])
+                    ["id", "_llm_k1", "_llm_k2", "n", "c1", "c2", "bands"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return left.mapInArrow(run, f"id {kind}, _k1 long, _k2 long, n long, c1 long, c2 long, bands array<long>")
+    return left.mapInArrow(run, f"id {kind}, _llm_k1 long, _llm_k2 long, n long, c1 long, c2 long, bands array<long>")
 
 
 def _sets(docs: DataFrame, reps: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
@@ -215,7 +215,7 @@ def _rest(pairs: DataFrame, sets: DataFrame, links: DataFrame, percent: int) ->
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = PERCENT,
                     side: int = SIDE, half: int = HALF) -> DataFrame:
-    """One row per row of ``docs``: id column, _k1, _k2, n_shingles, component_id (least id of the
+    """One row per row of ``docs``: id column, _llm_k1, _llm_k2, n_shingles, component_id (least id of the
     linked rows), kept. Rows link where 100 * intersection >= percent * union."""
     sig = stored(signatures(docs, id_col, text_col, width, side, half), "signatures")
     classes = stored(sig.where("n > 0").groupBy("c1", "c2").agg(F.min("id").alias("id"), F.first("bands").alias("bands")), "classes")
@@ -241,20 +241,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least = linked.groupBy("component").agg(F.min("id").alias("least"))
     named = linked.join(least, "component").select("c1", "c2", "least")
     owner = classes.select("c1", "c2", "id").join(named, ["c1", "c2"], "left").select("c1", "c2", F.coalesce("least", "id").alias("component_id"))
-    out = sig.select("id", "_k1", "_k2", "n", "c1", "c2").join(owner, ["c1", "c2"], "left")
+    out = sig.select("id", "_llm_k1", "_llm_k2", "n", "c1", "c2").join(owner, ["c1", "c2"], "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
-    return out.select(F.col("id").alias(id_col), "_k1", "_k2", F.col("n").alias("n_shingles"), component.alias("component_id"),
+    return out.select(F.col("id").alias(id_col), "_llm_k1", "_llm_k2", F.col("n").alias("n_shingles"), component.alias("component_id"),
                       F.col("id").eqNullSafe(component).alias("kept"))
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with one row of each group of near duplicates (of equal rows, one)."""
-    kept = near_duplicates(docs, id_col, text_col, **options).where("kept").select("_k1", "_k2").distinct()
+    kept = near_duplicates(docs, id_col, text_col, **options).where("kept").select("_llm_k1", "_llm_k2").distinct()
     cols = docs.columns
-    return (row_keys(docs, id_col, text_col).join(kept, ["_k1", "_k2"], "left_semi").dropDuplicates(["_k1", "_k2"])
+    return (row_keys(docs, id_col, text_col).join(kept, ["_llm_k1", "_llm_k2"], "left_semi").dropDuplicates(["_llm_k1", "_llm_k2"])
             .select(*[F.col(f"`{c}`") for c in cols]))
 
 
 def op6_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:
     """Contract op6: shingles of two words, similarity of 0.8 or more, whole ``documents``."""
-    return near_duplicates(documents(spark, sf_dir), width=2).drop("_k1", "_k2")
+    return near_duplicates(documents(spark, sf_dir), width=2).drop("_llm_k1", "_llm_k2")

@@ -68,18 +68,18 @@ def placed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sour
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"),
                        F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)).cast("long"), F.lit(0).cast("long")).alias("size"),
-                       F.xxhash64(F.lit(2), F.col(text_col), F.col(id_col), F.col(source_col)).alias("_k2"), F.xxhash64(F.lit(1), F.col(id_col)).alias("_k1"))
+                       F.xxhash64(F.lit(2), F.col(text_col), F.col(id_col), F.col(source_col)).alias("_llm_k2"), F.xxhash64(F.lit(1), F.col(id_col)).alias("_llm_k1"))
     rows = stored(rows, "mix-sizes")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.ceil(F.count("*") / CHUNK_ROWS).alias("chunks"))
     sources = stored(targets(sizes, weights, cap), "mix-sources")
     rows = (rows.join(sources.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))).drop("of", "source")
-            .withColumn("chunk", F.pmod(F.xxhash64(F.lit(9), "_k2"), F.col("chunks"))))
+            .withColumn("chunk", F.pmod(F.xxhash64(F.lit(9), "_llm_k2"), F.col("chunks"))))
     total = rows.groupBy("sid", "chunk").agg(F.sum("size").alias("n"))
     earlier = F.sum("n").over(Window.partitionBy("sid").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1))
     base = total.select(F.col("sid").alias("s"), F.col("chunk").alias("c"), F.coalesce(earlier, F.lit(0)).alias("base"))
-    inside = F.sum("size").over(Window.partitionBy("sid", "chunk").orderBy("_k2", "_k1", "size").rowsBetween(Window.unboundedPreceding, -1))
+    inside = F.sum("size").over(Window.partitionBy("sid", "chunk").orderBy("_llm_k2", "_llm_k1", "size").rowsBetween(Window.unboundedPreceding, -1))
     rows = rows.withColumn("inside", F.coalesce(inside, F.lit(0))).join(base, (F.col("sid") == F.col("s")) & (F.col("chunk") == F.col("c")))
-    out = ["id", "size", "sid", "source_size", "target"] + ["_k1", "_k2"] * keep_keys
+    out = ["id", "size", "sid", "source_size", "target"] + ["_llm_k1", "_llm_k2"] * keep_keys
     return rows.select(*out, (F.col("base") + F.col("inside")).alias("start"))
 
 
@@ -121,16 +121,16 @@ def mix_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     text, holding the whole text as it is or the part's words joined by one space (and its length in
     ``length_col``)."""
     rows = stored(placed(docs, id_col, text_col, source_col, weights, cap, keep_keys=True), "mix-rows")
-    parts = mix(rows, block, seed=seed).groupBy("sid", "start").agg(F.collect_list(F.struct("skip", "words")).alias("_parts"))
+    parts = mix(rows, block, seed=seed).groupBy("sid", "start").agg(F.collect_list(F.struct("skip", "words")).alias("_llm_parts"))
     # a text's parts: at most ``cap`` times its own blocks; of equal rows each is taken as often as its place is
-    mine = rows.where("size > 0").join(parts, ["sid", "start"]).groupBy("_k1", "_k2").agg(F.flatten(F.collect_list("_parts")).alias("_parts"))
+    mine = rows.where("size > 0").join(parts, ["sid", "start"]).groupBy("_llm_k1", "_llm_k2").agg(F.flatten(F.collect_list("_llm_parts")).alias("_llm_parts"))
     cols = docs.columns
-    whole = (docs.withColumns({"_k1": F.xxhash64(F.lit(1), F.col(id_col)), "_k2": F.xxhash64(F.lit(2), F.col(text_col), F.col(id_col), F.col(source_col))})
-             .join(mine, ["_k1", "_k2"]).dropDuplicates(["_k1", "_k2"]))
-    cut = whole.withColumn("_words", F.regexp_extract_all(F.col(text_col), F.lit(f"({WORD})"), F.lit(1))).withColumn("_p", F.explode(F.sort_array("_parts")))
-    text = F.array_join(F.slice("_words", (F.col("_p.skip") + 1).cast("int"), F.col("_p.words").cast("int")), " ")
-    cut = cut.withColumn("_text", F.when(F.col("_p.words") == F.size("_words"), F.col(text_col)).otherwise(text))
-    made = {text_col: F.col("_text")} | ({length_col: F.length("_text").cast("long")} if length_col else {})
+    whole = (docs.withColumns({"_llm_k1": F.xxhash64(F.lit(1), F.col(id_col)), "_llm_k2": F.xxhash64(F.lit(2), F.col(text_col), F.col(id_col), F.col(source_col))})
+             .join(mine, ["_llm_k1", "_llm_k2"]).dropDuplicates(["_llm_k1", "_llm_k2"]))
+    cut = whole.withColumn("_llm_words", F.regexp_extract_all(F.col(text_col), F.lit(f"({WORD})"), F.lit(1))).withColumn("_llm_p", F.explode(F.sort_array("_llm_parts")))
+    text = F.array_join(F.slice("_llm_words", (F.col("_llm_p.skip") + 1).cast("int"), F.col("_llm_p.words").cast("int")), " ")
+    cut = cut.withColumn("_llm_text", F.when(F.col("_llm_p.words") == F.size("_llm_words"), F.col(text_col)).otherwise(text))
+    made = {text_col: F.col("_llm_text")} | ({length_col: F.length("_llm_text").cast("long")} if length_col else {})
     return cut.select(*[made[c].alias(c) if c in made else F.col(f"`{c}`") for c in cols])
 
 

@@ -47,7 +47,7 @@ def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     v = F.col(vec_col)
     fine = (F.col(id_col).isNotNull() & v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
             & F.exists(v, lambda x: x != 0))
-    rows = vectors.where(fine).select(F.col(id_col).alias("id"), v.cast("array<double>").alias("v"))
+    rows = vectors.where(fine).select(F.col(id_col).cast("long").alias("id"), v.cast("array<double>").alias("v"))
     size = rows.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").first()
     return rows.where(F.size("v") == (size.d if size else 0))
 
@@ -236,7 +236,7 @@ def search(vectors: DataFrame, queries, k: int = 20, id_col: str = "vec_id", vec
                 yield pa.RecordBatch.from_arrays([b.column(0).take(own), b.column(1).take(own), pa.array(np.concatenate(leaf), pa.int32()),
                                                   pa.array(np.concatenate(low))], ["qid", "qv", "leaf", "low"])
 
-    wanted = asked.where("_asked").select(F.col(id_col).alias("id"), F.col("_asked").alias("_q")).distinct()
+    wanted = asked.where("_asked").select(F.col(id_col).cast("long").alias("id"), F.col("_asked").alias("_q")).distinct()
     first = indexed.join(wanted.select("id"), "id", "left_semi").groupBy("id").agg(F.min("v").alias("v"))
     first = first.repartition(partitions(spark), "id")             # few bytes, much work for each
     stops = stored(first.mapInArrow(to_visits, "qid long, qv array<double>, leaf int, low double"), "ann-visits")

@@ -56,7 +56,7 @@ def pieces(docs: DataFrame, text_col: str = "text", keep: list[str] | None = Non
     path = vocabulary(tokenizer)
     made = ["piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
     cols = [c for c in (docs.columns if keep is None else keep) if c not in (*made, "sequence_id", "offset")]
-    left = docs.select(*[F.col(f"`{c}`") for c in cols], F.col(text_col).alias("_text"))
+    left = docs.select(*[F.col(f"`{c}`") for c in cols], F.col(text_col).alias("_llm_text"))
 
     def run(batches):
         tokens = TokenIds.of_worker(path)
@@ -217,7 +217,8 @@ def pack(made: DataFrame, limit: int = LIMIT) -> DataFrame:
     total = counts.groupBy("length").agg(F.sum("n").alias("n")).collect()        # at most ``limit`` rows
     plan = spark.sparkContext.broadcast(Plan.best({r.length: r.n for r in total}, limit).table())
     before = F.sum("n").over(Window.partitionBy("length").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1))
-    starts = counts.select("_task", "length", F.coalesce(before, F.lit(0)).alias("before"))
+    # names of its own: both sides come from one table, and columns must not be taken for each other
+    starts = counts.select(F.col("_task").alias("_of"), F.col("length").alias("of_length"), F.coalesce(before, F.lit(0)).alias("before"))
 
     def place(rows: pa.Table, starts: pa.Table) -> pa.Table:
         if not rows.num_rows:
@@ -227,14 +228,14 @@ def pack(made: DataFrame, limit: int = LIMIT) -> DataFrame:
         length = rows.column("length").to_numpy()
         first = np.searchsorted(length, length, side="left")
         base = np.zeros(limit + 1, np.int64)
-        base[starts.column("length").to_numpy()] = starts.column("before").to_numpy()
+        base[starts.column("of_length").to_numpy()] = starts.column("before").to_numpy()
         sequence, offset = look_up(plan.value, length, base[length] + np.arange(len(length)) - first)
         return (rows.drop_columns(["_task"]).append_column("sequence_id", pa.array(sequence, pa.int64()))
                 .append_column("offset", pa.array(offset, pa.int64())))
 
     kinds = {f.name: f.dataType.simpleString() for f in made.schema.fields}
     schema = ", ".join([f"`{c}` {kinds[c]}" for c in cols] + ["sequence_id long", "offset long"])
-    return made.groupBy("_task").cogroup(starts.groupBy("_task")).applyInArrow(place, schema)
+    return made.groupBy("_task").cogroup(starts.groupBy("_of")).applyInArrow(place, schema)
 
 
 def pack_documents(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None, limit: int = LIMIT,

@@ -67,7 +67,7 @@ def place(df: DataFrame, keys: list[str], names: list[str], size: int = SIZE, we
     """``df`` plus slot and shard (index into ``names``) of each row's key."""
     table = F.broadcast(lookup(df.sparkSession, fill(names, size, weights)))      # ``size`` rows
     slot = F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(size)).cast("int")
-    return without(df.withColumn("_slot", slot), "slot", "shard").join(table, F.col("_slot") == F.col("slot")).drop("_slot")
+    return without(df.withColumn("_llm_slot", slot), "slot", "shard").join(table, F.col("_llm_slot") == F.col("slot")).drop("_llm_slot")
 
 
 def op5_sharding(spark, sf_dir: str) -> DataFrame:

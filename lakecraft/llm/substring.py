@@ -214,7 +214,7 @@ def _count(window: int):
 
 def _places(k1, k2, start, stop) -> pa.Table:
     return pa.table([pa.array(np.ascontiguousarray(x), pa.int64()) for x in (k1, k2, start, stop)],
-                    ["_k1", "_k2", "start", "stop"])
+                    ["_llm_k1", "_llm_k2", "start", "stop"])
 
 
 def _common_mers(docs: DataFrame, mer: int, rows: int) -> np.ndarray:
@@ -237,16 +237,16 @@ def _common_mers(docs: DataFrame, mer: int, rows: int) -> np.ndarray:
 
 def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
                     mer: int = MER, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """Word ranges covered by repeated windows: row keys ``_k1, _k2`` (see
+    """Word ranges covered by repeated windows: row keys ``_llm_k1, _llm_k2`` (see
     ``tools.row_keys``), start, stop. Ranges of a row may overlap."""
     if not 2 <= mer <= window:
         raise ValueError("2 <= mer <= window is needed")
-    keyed = row_keys(docs, id_col, text_col).select(F.col(text_col).alias("text"), "_k1", "_k2")
+    keyed = row_keys(docs, id_col, text_col).select(F.col(text_col).alias("text"), "_llm_k1", "_llm_k2")
     total = keyed.agg(F.sum(F.octet_length("text")).alias("bytes"), F.count("*").alias("n")).first()
     buckets = max(1, (total.bytes or 0) // bucket_bytes)
     common = _common_mers(keyed.select("text"), mer, total.n)
     dealt = keyed.mapInArrow(_extract(window, mer, buckets, common), "bucket long, blob binary")
-    return dealt.groupBy("bucket").applyInArrow(_count(window), "_k1 long, _k2 long, start long, stop long")
+    return dealt.groupBy("bucket").applyInArrow(_count(window), "_llm_k1 long, _llm_k2 long, start long, stop long")
 
 
 def _cut(text_col: str, digest: bool):
@@ -254,10 +254,10 @@ def _cut(text_col: str, digest: bool):
     def run(batches):
         for batch in batches:
             names = batch.schema.names
-            at = names.index("_text")
+            at = names.index("_llm_text")
             data, offsets = column_bytes(batch.column(at))
-            spans = batch.column(names.index("_spans"))
-            rest = [i for i, x in enumerate(names) if x not in ("_text", "_spans")]
+            spans = batch.column(names.index("_llm_spans"))
+            rest = [i for i, x in enumerate(names) if x not in ("_llm_text", "_llm_spans")]
             for i, j in slices(offsets):
                 words = Words(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
                 first, n = words.first(), words.counts()
@@ -291,9 +291,9 @@ def _marked(bits: bytes, wanted: bool, then=None):
         def parts():
             for batch in batches:
                 names = batch.schema.names
-                part = batch.filter(pa.array(test(batch.column(names.index("_k2")).to_numpy()) == wanted))
+                part = batch.filter(pa.array(test(batch.column(names.index("_llm_k2")).to_numpy()) == wanted))
                 if part.num_rows:
-                    yield part if then is None else part.drop_columns(["_k1", "_k2"])
+                    yield part if then is None else part.drop_columns(["_llm_k1", "_llm_k2"])
         yield from parts() if then is None else then(parts())
     return run
 
@@ -313,17 +313,17 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     result = ["n_words", "n_removed", "kept_sha256" if digest else "kept_text"]
     ranges = stored(repeated_ranges(docs, id_col, text_col, window, mer, bucket_bytes), "repeated-ranges")
-    spans = ranges.groupBy("_k1", "_k2").agg(F.collect_list(F.struct("start", "stop")).alias("_spans"))
+    spans = ranges.groupBy("_llm_k1", "_llm_k2").agg(F.collect_list(F.struct("start", "stop")).alias("_llm_spans"))
     cols = [c for c in (keep or docs.columns) if c not in result]
-    left = row_keys(docs, id_col, text_col).select(*[F.col(f"`{c}`") for c in cols], F.col(text_col).alias("_text"), "_k1", "_k2")
+    left = row_keys(docs, id_col, text_col).select(*[F.col(f"`{c}`") for c in cols], F.col(text_col).alias("_llm_text"), "_llm_k1", "_llm_k2")
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     schema = ", ".join([f"`{c}` {kinds[c]}" for c in cols] + ["n_words long", "n_removed long", f"{result[2]} string"])
     # texts without a range stay where they are read; only the others move to their ranges
-    bits = hash_bitmap(ranges.select("_k2"))
+    bits = hash_bitmap(ranges.select("_llm_k2"))
     none = F.array().cast("array<struct<start:bigint,stop:bigint>>")
-    whole = left.withColumn("_spans", none).mapInArrow(_marked(bits, False, _cut(text_col, digest)), schema)
+    whole = left.withColumn("_llm_spans", none).mapInArrow(_marked(bits, False, _cut(text_col, digest)), schema)
     moved = left.mapInArrow(_marked(bits, True), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in left.schema.fields))
-    both = moved.join(spans, ["_k1", "_k2"], "left").drop("_k1", "_k2").withColumn("_spans", F.coalesce("_spans", none))
+    both = moved.join(spans, ["_llm_k1", "_llm_k2"], "left").drop("_llm_k1", "_llm_k2").withColumn("_llm_spans", F.coalesce("_llm_spans", none))
     return whole.unionByName(both.mapInArrow(_cut(text_col, digest), schema))
 
 

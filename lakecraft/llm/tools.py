@@ -22,8 +22,8 @@ def documents(spark, sf_dir: str, name: str = "documents") -> DataFrame:
 def row_keys(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Two 64-bit hashes that identify a row by its id and text. Rows equal in
     both share them, which every user of these keys wants."""
-    return df.withColumns({"_k1": F.xxhash64(F.lit(1), F.col(id_col)),
-                           "_k2": F.xxhash64(F.lit(2), F.col(text_col), F.col(id_col))})
+    return df.withColumns({"_llm_k1": F.xxhash64(F.lit(1), F.col(id_col)),
+                           "_llm_k2": F.xxhash64(F.lit(2), F.col(text_col), F.col(id_col))})
 
 
 BITMAP_BITS = 23

@@ -178,7 +178,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     prior = min(0.95, seen.pos / seen.n)
     # ids of the bounded sample: the expected size is a parameter, so broadcasting it is safe
     pos_ids = marked.where("_y = 1").where(_share(F.col("_id"), max_positive / seen.pos)).select("_id", F.lit(1).alias("_p"))
-    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).where("_id IS NOT NULL")
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_llm_text")).where("_id IS NOT NULL")
     drawn = texts.join(F.broadcast(pos_ids), "_id", "left").withColumn("_u", _share(F.col("_id"), max_unlabelled / total)).where("_u OR _p = 1")
 
     def lists(row, values, n_rows):
@@ -189,7 +189,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         for b in batches:
             names = b.schema.names
             p, u = (b.column(names.index(c)) for c in ("_p", "_u"))
-            for i, j, words in _parts(b.column(names.index("_text"))):
+            for i, j, words in _parts(b.column(names.index("_llm_text"))):
                 r, h = _features(words)
                 order = np.lexsort((h, r))
                 r, h = r[order], h[order]
@@ -237,7 +237,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", threshold: floa
           keep: list[str] | None = None) -> DataFrame:
     """``keep`` (default: all columns) plus score (0 to 1) and predicted (1 at ``threshold`` or above)."""
     cols = [c for c in (keep or docs.columns) if c not in ("score", "predicted")]
-    left = docs.select(*[F.col(f"`{c}`") for c in cols], F.col(text_col).alias("_text"))
+    left = docs.select(*[F.col(f"`{c}`") for c in cols], F.col(text_col).alias("_llm_text"))
 
     def run(batches):
         for b in batches:
