@@ -19,6 +19,7 @@ from lakecraft.operators import cleaning as CL
 from lakecraft.operators import warehouse as WH
 from lakecraft.sources import files as IO
 from lakecraft.sources import sinks as SK
+from lakecraft.sources.loads import latest, publish, write_observed
 
 
 @dataclass
@@ -35,25 +36,19 @@ class Metrics:
             self.failures[name] = f"expected {expected} rows, found {found}"
 
 
-def _write_observed(df: DataFrame, name: str, write) -> int:
-    obs = Observation(name)
-    write(df.observe(obs, F.count(F.lit(1)).alias("rows")))
-    return int(obs.get["rows"])
-
-
 def run_products(spark: SparkSession, src_csv: str, bronze: str, silver: str, ingest_ts=None) -> Metrics:
     """CSV -> bronze (raw + lineage, appended) -> cleaned products of every
     batch landed so far -> silver Parquet. ``ingest_ts`` only stamps the batch."""
     m = Metrics()
     raw = IO.read_csv_required(spark, src_csv, ["product_name", "category", "price"])
-    m.steps["landed"] = _write_observed(
+    m.steps["landed"] = write_observed(
         raw.withColumn("_source_file", F.col("_metadata.file_path"))
         .withColumn("_ingest_ts", F.lit(ingest_ts).cast("timestamp") if ingest_ts else F.current_timestamp())
         .withColumn("ingest_date", F.to_date("_ingest_ts")),
         "landed", lambda d: d.write.mode("append").partitionBy("ingest_date").parquet(bronze))
     landed = spark.read.parquet(bronze).select("product_name", "category", "price")
     cleaned = CL.clean_products(landed)
-    m.steps["cleaned"] = _write_observed(cleaned, "cleaned", lambda d: d.write.mode("overwrite").parquet(silver))
+    m.steps["cleaned"] = write_observed(cleaned, "cleaned", lambda d: d.write.mode("overwrite").parquet(silver))
     m.reconcile("silver", m.steps["cleaned"], spark.read.parquet(silver).count())
     return m
 
@@ -87,7 +82,7 @@ def run_orders(spark: SparkSession, orders: DataFrame, out: str, as_of: dt.date,
     whole = CL.clean_orders(recent).select(F.lit(1))
     counted = recent.observe(obs_in, F.count(F.lit(1)).alias("rows"))
     cleaned = CL.clean_orders(counted, dedup=True).withColumn("order_date", F.to_date("order_date"))
-    loaded = _write_observed(cleaned, "orders_out", lambda d: d.write.mode("overwrite")
+    loaded = write_observed(cleaned, "orders_out", lambda d: d.write.mode("overwrite")
                              .option("partitionOverwriteMode", "dynamic")
                              .partitionBy("order_date").parquet(out))
     extracted = int(obs_in.get["rows"])
@@ -106,31 +101,12 @@ def run_medallion(spark: SparkSession, bronze_csv: str, silver: str, gold: str,
     m = Metrics()
     df = IO.read_csv_inferred(spark, bronze_csv)
     clean = CL.clean_silver(df).withColumn(date_col, F.to_date(date_col))
-    m.steps["silver"] = _write_observed(clean, "silver", lambda d: SK.write_parquet(d, silver, partition_by=[date_col]))
+    m.steps["silver"] = write_observed(clean, "silver", lambda d: SK.write_parquet(d, silver, partition_by=[date_col]))
     g = gold_metrics(spark.read.parquet(silver))
-    m.steps["gold"] = _write_observed(g, "gold", lambda d: d.write.mode("overwrite").parquet(gold))
+    m.steps["gold"] = write_observed(g, "gold", lambda d: d.write.mode("overwrite").parquet(gold))
     return m
 
 
-def latest(spark: SparkSession, path: str) -> tuple[int, DataFrame | None]:
-    """Number and content of the newest load under ``path`` (``load=<n>`` folders); 0 and None before the first."""
-    try:
-        df = spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        return 0, None
-    n = int(df.agg(F.max("load")).first()[0] or 0)
-    return n, df.where(F.col("load") == n).drop("load")
-
-
-def publish(spark: SparkSession, df: DataFrame, path: str, name: str) -> int:
-    """Write a table's next load as a folder of its own: readers of the one before are not
-    disturbed, and a failed write leaves it the newest. Returns the number of rows."""
-    n, _ = latest(spark, path)
-    return _write_observed(df, name, lambda d: d.write.mode("overwrite").parquet(f"{path}/load={n + 1}"))
-
-
 def refresh_summary_incremental(rows_for_touched: DataFrame, path: str, partition_by) -> None:
     """Incremental refresh of a partitioned summary: ``rows_for_touched`` holds the recomputed
     rows of the touched partitions; the other partitions' files stay."""
@@ -157,7 +133,7 @@ def load_facts(spark: SparkSession, items: DataFrame, orders: DataFrame, custome
                          ["order_id", "line_number", "product_id", "created_at", "quantity", "subtotal"])
     if stored is not None and fact.isEmpty():
         return 0
-    return _write_observed(fact, "fact", lambda d: d.write.mode("overwrite").parquet(f"{path}/load={n + 1}"))
+    return write_observed(fact, "fact", lambda d: d.write.mode("overwrite").parquet(f"{path}/load={n + 1}"))
 
 
 def _run_step(m: Metrics, policy: dict, name: str, work: Callable) -> bool:
@@ -220,7 +196,7 @@ def run_incremental_items(spark: SparkSession, sf_dir: str, out: str) -> Metrics
     n, stored = latest(spark, out)
     last = None if stored is None else spark.read.parquet(out).agg(F.max(F.to_date("order_date"))).first()[0]
     fresh = items_after(spark, sf_dir, last)
-    m.steps["loaded"] = 0 if fresh.isEmpty() else _write_observed(
+    m.steps["loaded"] = 0 if fresh.isEmpty() else write_observed(
         fresh, "items", lambda d: d.write.mode("overwrite").parquet(f"{out}/load={n + 1}"))
     return m
 

@@ -117,3 +117,20 @@ def test_order_dates_are_days(spark, tmp):
     assert T.orders(spark, tmp, since=day, until=day).count() == T.orders(spark, SF_SMALL).where(F.to_date("order_date") == F.lit(day)).count()
     plan = T.orders(spark, SF_SMALL, since=day)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(o_orderdate" in plan
+
+
+def test_loads_history_time_travel_rollback(spark, tmp):
+    import pytest
+    from lakecraft.sources import loads as L
+    path = f"{tmp}/t"
+    assert L.history(spark, path).count() == 0
+    L.publish(spark, spark.range(3), path)
+    L.publish(spark, spark.range(7), path)
+    assert [(r.load, r.n_rows) for r in L.history(spark, path).collect()] == [(2, 7), (1, 3)]
+    first = L.history(spark, path).where("load = 1").first().written_at
+    assert L.read_load(spark, path, 1).count() == 3 and L.read_load(spark, path, as_of=first).count() == 3
+    assert L.read_load(spark, path, as_of=dt.datetime(2100, 1, 1)).count() == 7
+    assert L.rollback(spark, path, 1) == 3 and L.latest(spark, path)[0] == 3 and L.latest(spark, path)[1].count() == 3
+    for bad in ({"load": 9}, {"as_of": dt.datetime(2000, 1, 1)}, {}):
+        with pytest.raises(ValueError):
+            L.read_load(spark, path, **bad)
