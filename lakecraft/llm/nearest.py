@@ -238,7 +238,7 @@ def search(vectors: DataFrame, queries, k: int = 20, id_col: str = "vec_id", vec
 
     wanted = asked.where("_asked").select(F.col(id_col).cast("long").alias("id"), F.col("_asked").alias("_q")).distinct()
     first = indexed.join(wanted.select("id"), "id", "left_semi").groupBy("id").agg(F.min("v").alias("v"))
-    first = first.repartition(partitions(spark), "id")             # few bytes, much work for each
+    first = first.repartition(partitions(spark), F.xxhash64("id"))      # few bytes, much work for each
     stops = stored(first.mapInArrow(to_visits, "qid long, qv array<double>, leaf int, low double"), "ann-visits")
     load = {r.leaf: r.n for r in stops.groupBy("leaf").agg(F.count("*").alias("n")).collect()}
     blocks = [(i, int(-(-max(h, 1) // BLOCK)), int(-(-load.get(i, 1) // QUERIES))) for i, h in enumerate(held.tolist())]
