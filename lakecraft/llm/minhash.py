@@ -177,8 +177,8 @@ def _block_links(percent: int):
             for i in range(len(q_names)):
                 own = flat[ends[i]:ends[i + 1]]
                 at = np.searchsorted(token, own)
-                at = at[(at < len(token))]
-                at = at[np.isin(token[at], own)]
+                at[at == len(token)] = 0
+                at = at[token[at] == own]
                 if not len(at):
                     continue
                 hits = np.bincount(np.concatenate([owner[start[t]:start[t + 1]] for t in at]), minlength=len(size))

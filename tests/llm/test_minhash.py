@@ -77,6 +77,24 @@ def test_chain_around_a_hub(spark):
     assert got == brute(rows, 2)
 
 
+def test_near_misses_of_a_hub(spark, monkeypatch):
+    """Texts just below the threshold to the hub and to each other stay apart, over many small blocks."""
+    import random
+    from lakecraft.llm import minhash
+    monkeypatch.setattr(minhash, "BLOCK", 16)
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(120)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 200):
+        w = list(base)
+        for k in rng.sample(range(len(w)), rng.choice([2, 5, 6, 7, 8, 9])):
+            w[k] = f"x{i}_{k}" if rng.random() < .7 else f"y{k}"
+        rows.append((i, " ".join(w)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(tuple, near_duplicates(docs, width=2).select("doc_id", "n_shingles", "component_id", "kept").collect()), key=str)
+    assert got == brute(rows, 2)
+
+
 def test_edges(spark):
     long = " ".join(f"w{i}" for i in range(30_000))
     rows = [(1, None), (2, ""), (3, "One"), (4, "one"), (5, "a b"), (6, "A  b\n"), (7, "a b a b a b"), (None, "a b"), (8, long), (9, long + " tail"),
