@@ -81,11 +81,11 @@ def test_near_misses_of_a_hub(spark, monkeypatch):
     """Texts just below the threshold to the hub and to each other stay apart, over many small blocks."""
     import random
     from lakecraft.llm import minhash
-    monkeypatch.setattr(minhash, "BLOCK", 16)
+    monkeypatch.setattr(minhash, "BLOCK", 24)
     rng = random.Random(8)
     base = [f"w{i}" for i in range(120)]
     rows = [(0, " ".join(base))]
-    for i in range(1, 200):
+    for i in range(1, 70):
         w = list(base)
         for k in rng.sample(range(len(w)), rng.choice([2, 5, 6, 7, 8, 9])):
             w[k] = f"x{i}_{k}" if rng.random() < .7 else f"y{k}"
