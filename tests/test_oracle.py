@@ -5,9 +5,8 @@ import pytest
 
 from tests.conftest import SF_SMALL
 from tools.oracle_check import canon, duck, duck_rows, spark_rows
-from __spark_entry__ import oracle_sql, queries
-
-QS, SQL = queries(), oracle_sql()
+from lakecraft.plans import ORACLE as SQL
+from lakecraft.plans import QUERIES as QS
 
 
 @pytest.fixture(scope="module")
