@@ -6,12 +6,16 @@ boundaries); where none is known, to 3, 2 and 1 characters. A text's score is
 the sum over its words.
 
 The model is fitted on a bounded sample: expected ``max_rows`` labelled texts
-(by a hash of the id), at most ``max_words`` words and ``max_grams`` n-grams,
-each by total count. Prediction is one pass without a shuffle over whole
-texts; workers memoise words in a bounded cache.
+(by a hash of id and text), shared evenly among the languages; those with fewer
+are taken whole, and each may have ``MIN_ROWS`` however many languages there
+are. At most ``max_words`` words and ``max_grams`` n-grams are kept, by the best
+rank that a key has among a language's keys of its order, so that no language's
+most frequent keys give way to another's rare ones. Prediction is one pass
+without a shuffle over whole texts; workers memoise words in a bounded cache.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0;
-rows with null lang, text or id don't train; without any training row all
+rows with null lang, text or id don't train, and rows equal in id, text and
+lang train once; without any training row all
 texts are ``und``; equal scores take the first language by code point; columns
 named like a result are replaced.
 """
@@ -23,13 +27,14 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakecraft.llm.tools import documents, stored
-from lakecraft.llm.toxicity import _share, fold
+from lakecraft.llm.toxicity import fold
 
 MAX_ROWS = 20_000
+MIN_ROWS = 50             # texts that every language may have
 MAX_WORDS = 150_000
 MAX_GRAMS = 100_000
 ORDERS = (4, 3, 2, 1)
@@ -82,15 +87,30 @@ class _Memo(dict):
         return out
 
 
+def level(sizes: list[int], total: int) -> float:
+    """The bound on each size with which the sizes sum to ``total`` (or to all there is)."""
+    left, bound = float(total), 0.0
+    for i, n in enumerate(sorted(sizes)):
+        bound = left / (len(sizes) - i)
+        if n > bound:
+            break
+        left -= n
+        bound = float(n)
+    return bound
+
+
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_rows: int = MAX_ROWS,
         max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS) -> Model:
     """Learn from texts with a language, at most about ``max_rows`` of them."""
     known = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("t"), F.col(lang_col).alias("l")).where(
         "_id IS NOT NULL AND t IS NOT NULL AND l IS NOT NULL")
-    total = known.select("_id").count()
-    if not total:
+    mark = F.xxhash64(F.lit(11), "_id", "t")
+    sizes = {r.l: r.n for r in known.groupBy("l").agg(F.count_distinct(mark).alias("n")).collect()}      # one row per language
+    if not sizes:
         return Model([], {}, {})
-    drawn = known.where(_share(F.col("_id"), max_rows / total)).select("t", "l")
+    bound = max(MIN_ROWS, level(list(sizes.values()), max_rows))
+    parts = docs.sparkSession.createDataFrame([(x, int(min(1.0, bound / n) * (1 << 30))) for x, n in sizes.items()], "l string, part long")
+    drawn = known.join(F.broadcast(parts), "l").where(F.pmod(mark, F.lit(1 << 30)) < F.col("part")).select("_id", "t", "l").distinct().select("t", "l")
 
     def count(batches):
         for b in batches:
@@ -111,17 +131,25 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
     counts = stored(drawn.mapInArrow(count, "l string, n int, k string, c long").groupBy("l", "n", "k")
                     .agg(F.sum("c").alias("c")), "language-counts")
-    # one row per key, most frequent keys first; bounded by the two parameters
-    keyed = counts.groupBy("n", "k").agg(F.sum("c").alias("all"), F.map_from_entries(F.collect_list(F.struct("l", "c"))).alias("by"))
+    # a key's rank in its language and order: the keys with a higher count, and a hashed place among those with its own;
+    # a table of the distinct counts, which are fewer than the square root of twice the sample's words
+    ties = counts.groupBy("l", "n", "c").agg(F.count("*").alias("same"))
+    higher = F.sum("same").over(Window.partitionBy("l", "n").orderBy(F.desc("c")).rowsBetween(Window.unboundedPreceding, -1))
+    ties = ties.withColumn("higher", F.coalesce(higher, F.lit(0)))
+    ranked = counts.join(F.broadcast(ties), ["l", "n", "c"]).withColumn("rank", F.col("higher") + F.pmod(F.xxhash64("k"), F.col("same")))
+    # one row per key, best ranks first; bounded by the two parameters
+    keyed = ranked.groupBy("n", "k").agg(F.sum("c").alias("all"), F.min("rank").alias("rank"), F.map_from_entries(F.collect_list(F.struct("l", "c"))).alias("by"))
     keyed = keyed.where("all > 1")
     totals = counts.groupBy("l", "n").agg(F.sum("c").alias("c")).collect()
-    words = keyed.where("n = 0").orderBy(F.desc("all"), "k").limit(max_words).collect()
-    parts = keyed.where("n > 0").orderBy(F.desc("all"), "k").limit(max_grams).collect()
+    words = keyed.where("n = 0").orderBy("rank", F.desc("all"), "k").limit(max_words).collect()
+    parts = keyed.where("n > 0").orderBy("rank", F.desc("all"), "n", "k").limit(max_grams).collect()
     langs = sorted({r.l for r in totals})
     sums = {(r.l, r.n): r.c for r in totals}
+    # what an unseen key counts: the same for all languages, else one learned from few texts would win by what it hasn't seen
+    unseen = {n: 0.5 / max(c for (_, m), c in sums.items() if m == n) for n in {m for _, m in sums}}
 
     def vector(r):
-        v = np.array([np.log((r["by"].get(x, 0) + 0.5) / (sums.get((x, r.n), 0) + 1.0)) for x in langs])
+        v = np.array([np.log(r["by"].get(x, 0) / sums.get((x, r.n), 1) + unseen[r.n]) for x in langs])
         return (v - v.max()).astype(np.float32)
 
     by_order: dict[int, dict] = {}

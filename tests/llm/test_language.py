@@ -1,6 +1,8 @@
 import zlib
 
-from lakecraft.llm.language import Model, fit, op1_language_id, predict
+from pyspark.sql import functions as F
+
+from lakecraft.llm.language import Model, fit, level, op1_language_id, predict
 
 
 def test_held_out_accuracy(spark):
@@ -38,3 +40,35 @@ def test_edges(spark):
     empty = fit(docs.limit(0))
     assert {r.lang_pred for r in predict(docs, empty).collect()} == {"und"}
     assert predict(docs.limit(0), model).count() == 0
+
+
+def test_level():
+    assert level([30, 100, 20_000], 330) == 200 and level([3, 4], 100) == 4 and level([10, 10, 10], 15) == 5
+
+
+def _many_and_few(spark, n=21_000, few=36):
+    """A common language, and one of a few dozen rows; each row holds six words of its language."""
+    word = lambda a, b: F.concat(F.lit(a), F.conv(F.pmod(F.xxhash64("id", "x"), F.lit(b)).cast("string"), 10, 20))
+    rows = spark.range(n + few).withColumn("x", F.explode(F.sequence(F.lit(1), F.lit(6))))
+    rows = rows.withColumn("w", F.when(F.col("id") < n, word("ab", 3_000)).otherwise(word("yz", 40)))
+    # words are of letters only
+    rows = rows.withColumn("w", F.translate("w", "0123456789", "klmnopqrst"))
+    return rows.groupBy("id").agg(F.concat_ws(" ", F.collect_list("w")).alias("text")).select(
+        F.col("id").alias("doc_id"), "text", F.when(F.col("id") < n, "common").otherwise("rare").alias("lang"))
+
+
+def test_rare_language_is_learned(spark):
+    docs = _many_and_few(spark).cache()
+    for sizes in (dict(max_rows=200), dict(max_words=100, max_grams=100), dict(max_rows=200, max_words=100, max_grams=100)):
+        model = fit(docs, **sizes)
+        assert model.langs == ["common", "rare"]
+        assert any(w.startswith("yz") for w in model.words), sizes
+        got = {(r.lang, r.lang_pred): r.n for r in predict(docs, model).groupBy("lang", "lang_pred").agg(F.count("*").alias("n")).collect()}
+        assert got == {("common", "common"): 21_000, ("rare", "rare"): 36}, sizes
+    docs.unpersist()
+
+
+def test_repeated_rows_train_once(spark):
+    docs = spark.createDataFrame([(1, "uno dos uno", "es")] * 500 + [(2, "one two one", "en"), (1, "tres tres", "es")], "doc_id long, text string, lang string")
+    once, many = fit(docs.distinct()), fit(docs)
+    assert {w: list(v) for w, v in once.words.items()} == {w: list(v) for w, v in many.words.items()}
