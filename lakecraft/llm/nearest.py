@@ -188,11 +188,13 @@ def search(vectors: DataFrame, queries, k: int = 20, id_col: str = "vec_id", vec
     result = "query_id long, rank int, vec_id long, score double"
     asked = vectors.withColumn("_asked", F.coalesce(queries, F.lit(False)))
     rows = usable(vectors, id_col, vec_col)
-    n = rows.count()
+    mark = F.xxhash64(F.lit(5), "id", "v")
+    n = rows.select(mark).distinct().count()
     if not n:
         return spark.createDataFrame([], result)
-    drawn = rows.where(F.pmod(F.xxhash64(F.lit(5), "id"), F.lit(1 << 30)) < int(min(1.0, sample / n) * (1 << 30))) if n > sample else rows
-    some = drawn.orderBy("id").collect() or rows.orderBy("id").limit(LEAF).collect()     # expected ``sample`` rows
+    drawn = rows.where(F.pmod(mark, F.lit(1 << 30)) < int(min(1.0, sample / n) * (1 << 30))) if n > sample else rows
+    # expected ``sample`` rows, those equal in id and vector being one
+    some = drawn.distinct().orderBy("id", "v").collect() or rows.orderBy("id", "v").limit(LEAF).collect()
     x, x_ids = np.array([r.v for r in some]), np.array([r.id for r in some])
     tree = grow(x)
     least = calibrate(tree, x, k, target)

@@ -15,9 +15,10 @@ there: at least ``DENSE_COUNT`` times and in ``DENSE_SHARE`` of the words.
 Those kept are over-represented in P. One abusive word counts in a long text;
 a stem that clean texts hold now and then counts where it is frequent.
 
-Training reads a bounded sample: expected ``max_positive`` confirmed and
-``max_unlabelled`` unlabelled rows, taken by a hash of the id; the prior is
-counted over all labelled rows given. Feature counts are summed by Spark; the
+Training reads a bounded sample: expected ``max_positive`` confirmed ids with one
+text each, and ``max_unlabelled`` unlabelled rows, taken by a hash of id and
+text, rows equal in both being one; the prior is counted over all labelled rows
+given. Feature counts are summed by Spark; the
 driver receives at most ``max_features`` features and the sample's entries in
 them. Scoring is one pass without a shuffle.
 
@@ -161,7 +162,7 @@ def nnpu_fit(pos: list[np.ndarray], unl: list[np.ndarray], n_features: int, prio
 
 
 def _share(col, share: float):
-    """Whether a row's id hash falls into the lower ``share`` of its range."""
+    """Whether the hash of a column falls into the lower ``share`` of its range."""
     return F.pmod(F.xxhash64(F.lit(11), col), F.lit(1 << 30)) < F.lit(int(min(1.0, share) * (1 << 30)))
 
 
@@ -172,14 +173,18 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     marked = (labels.select(F.col(id_col).alias("_id"), F.col(label_col).alias("_y")).where("_id IS NOT NULL AND _y IS NOT NULL")
               .groupBy("_id").agg(F.max("_y").alias("_y")))
     seen = marked.agg(F.count("*").alias("n"), F.coalesce(F.sum((F.col("_y") == 1).cast("long")), F.lit(0)).alias("pos")).first()
-    total = docs.count()
-    if not seen.pos or not total:
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_llm_text")).where("_id IS NOT NULL")
+    mark = F.xxhash64(F.lit(12), "_id", "_llm_text")
+    total = texts.select(mark).distinct().count() if seen.pos else 0
+    if not total:
         return Model()
     prior = min(0.95, seen.pos / seen.n)
     # ids of the bounded sample: the expected size is a parameter, so broadcasting it is safe
     pos_ids = marked.where("_y = 1").where(_share(F.col("_id"), max_positive / seen.pos)).select("_id", F.lit(1).alias("_p"))
-    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_llm_text")).where("_id IS NOT NULL")
-    drawn = texts.join(F.broadcast(pos_ids), "_id", "left").withColumn("_u", _share(F.col("_id"), max_unlabelled / total)).where("_u OR _p = 1")
+    # one row per id, whatever it holds; rows equal in id and text are one
+    chosen = texts.join(F.broadcast(pos_ids), "_id").groupBy("_id").agg(F.min(mark).alias("_m"), F.first("_p").alias("_p"))
+    drawn = (texts.withColumn("_m", mark).join(F.broadcast(chosen), ["_id", "_m"], "left")
+             .withColumn("_u", _share(F.col("_m"), max_unlabelled / total)).where("_u OR _p = 1").distinct())
 
     def lists(row, values, n_rows):
         n = np.bincount(row, minlength=n_rows)

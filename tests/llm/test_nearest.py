@@ -68,3 +68,15 @@ def test_many_copies_of_one_vector(spark):
     want = brute(np.arange(len(x)), x, [5, 9500], 20)
     assert [v for v, _ in got[5]] == [v for v, _ in want[5]]
     assert len(got[9500]) == 20
+
+
+def test_sample_is_bounded_with_repeated_ids(spark, monkeypatch):
+    """An id with a third of all rows adds to the sample what its different vectors do."""
+    sizes = []
+    monkeypatch.setattr("lakecraft.llm.nearest.calibrate", lambda tree, x, k, target: sizes.append(len(x)) or calibrate(tree, x, k, target))
+    hot = spark.range(1, 10_000).where(F.pmod(F.xxhash64(F.lit(5), "id"), F.lit(1 << 30)) < (1 << 30) // 50).first().id     # drawn by its id alone
+    x = np.random.default_rng(3).normal(size=(2500, 6))
+    rows = [(i, v.tolist()) for i, v in enumerate(x[:2000], 20_000)] + [(hot, v.tolist()) for v in x[2000:]] + [(hot, x[2000].tolist())] * 500
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = lists(search(vectors, F.col("vec_id") == hot, k=3, sample=200))
+    assert 120 <= sizes[0] <= 280 and len(got[hot]) == 3

@@ -53,3 +53,16 @@ def test_edges(spark):
     assert [r.score for r in score(docs.limit(2), fit(docs, none)).collect()] == [0.0, 0.0]
     assert score(docs.limit(0), fit(docs.limit(0), labels)).count() == 0
     assert not Model().fitted
+
+
+def test_sample_is_bounded_with_repeated_ids(spark, monkeypatch):
+    """A toxic id with a third of all rows, equal and different ones, is drawn with one text."""
+    sizes = []
+    monkeypatch.setattr("lakecraft.llm.toxicity.nnpu_fit", lambda pos, unl, n, prior: sizes.append((len(pos), len(unl))) or nnpu_fit(pos, unl, n, prior, steps=2))
+    rows = ([(1, f"idiot moron word{i}") for i in range(400)] + [(1, "idiot moron")] * 400
+            + [(i, f"idiot moron fool{i}" if i % 2 else f"hello word{i}") for i in range(10, 1610)])
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in (1, *range(10, 90))], "doc_id long, toxic int")
+    assert fit(docs, labels, max_positive=50, max_unlabelled=100).fitted
+    (pos, unl), = sizes
+    assert 20 <= pos <= 80 and 50 <= unl <= 150
