@@ -303,6 +303,12 @@ def _list_offsets(col: pa.ListArray) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(np.nan_to_num(lens).astype(np.int64))])
 
 
+def _spans(ranges: DataFrame) -> DataFrame:
+    """Ranges per row key. Repeated rows have the same ranges under the same key: one of each is kept, before the shuffle."""
+    own = ranges.select("_llm_k1", "_llm_k2", "start", "stop").distinct()
+    return own.groupBy("_llm_k1", "_llm_k2").agg(F.collect_list(F.struct("start", "stop")).alias("_llm_spans"))
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
                    mer: int = MER, bucket_bytes: int = BUCKET_BYTES, digest: bool = False,
                    keep: list[str] | None = None) -> DataFrame:
@@ -313,7 +319,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     result = ["n_words", "n_removed", "kept_sha256" if digest else "kept_text"]
     ranges = stored(repeated_ranges(docs, id_col, text_col, window, mer, bucket_bytes), "repeated-ranges")
-    spans = ranges.groupBy("_llm_k1", "_llm_k2").agg(F.collect_list(F.struct("start", "stop")).alias("_llm_spans"))
+    spans = _spans(ranges)
     cols = [c for c in (keep or docs.columns) if c not in result]
     left = row_keys(docs, id_col, text_col).select(*[F.col(f"`{c}`") for c in cols], F.col(text_col).alias("_llm_text"), "_llm_k1", "_llm_k2")
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}

@@ -47,3 +47,15 @@ def test_edges(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert remove_repeats(docs).count() == 0
+
+
+def test_repeated_rows_give_their_ranges_once(spark, monkeypatch):
+    from lakecraft.llm import substring
+    made, spans = [], substring._spans
+    monkeypatch.setattr(substring, "_spans", lambda ranges: made.append((ranges, spans(ranges))) or made[0][1])
+    passage = " ".join(f"p{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, passage)] * 200 + [(i, f"other{i} text") for i in range(2, 300)], "doc_id long, text string")
+    assert {r.n_removed for r in remove_repeats(docs).where("doc_id = 1").collect()} == {60}
+    (ranges, got), = made
+    assert ranges.count() >= 200 > max(len(r["_llm_spans"]) for r in got.collect())
+    assert got.count() == 1 and all(len(r["_llm_spans"]) == len(set(map(tuple, r["_llm_spans"]))) for r in got.collect())
