@@ -58,7 +58,8 @@ def clean_silver(df: DataFrame, key: str | None = None,
                  numeric: Sequence[str] = NUMERIC_COLUMNS) -> DataFrame:
     """Generic silver pass: trim string columns, drop rows whose key (default:
     first column) is null, cast known money columns to double (dirty text ->
-    null), remove exact duplicate rows."""
+    null, while the text ``nan`` is a number and stays NaN), remove exact
+    duplicate rows (NaN equals NaN)."""
     key = key or df.columns[0]
     types = dict(df.dtypes)
     d = df.select(*[F.trim(F.col(c)).alias(c) if types[c] == "string" else F.col(c) for c in df.columns])

@@ -141,7 +141,8 @@ def clean_products(spark, d):
     "SELECT DISTINCT trim(product_name) AS product_name, trim(category) AS category, TRY_CAST(trim(price) AS DOUBLE) AS price "
     "FROM dirty WHERE product_name IS NOT NULL AND price <> 'nan'", DIRTY_PARTS))
 def clean_silver(spark, d):
-    return CL.clean_silver(_dirty_parts(spark, d).where("price <> 'nan' OR price IS NULL"))
+    """The operator runs on all dirty rows and keeps NaN; the query leaves such rows out of its result."""
+    return CL.clean_silver(_dirty_parts(spark, d)).where("price IS NULL OR NOT isnan(price)")
 
 
 @register("clean_orders", with_retail(

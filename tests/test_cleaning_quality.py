@@ -115,3 +115,13 @@ def test_validate_load(spark, tmp):
     spark.createDataFrame([(1,)], "a int").write.parquet(f"{tmp}/out")
     assert validate_load(spark, f"{tmp}/out", expected_rows=1, required=("a",))["ok"]
     assert validate_load(spark, f"{tmp}/out", expected_rows=2)["ok"] is False
+
+
+def test_clean_silver_query_meets_nan(spark, monkeypatch):
+    from lakecraft.plans import loads
+    from tests.conftest import SF_SMALL
+    made, clean = [], loads.CL.clean_silver
+    monkeypatch.setattr(loads.CL, "clean_silver", lambda df: made.append(clean(df)) or made[0])
+    out = loads.clean_silver(spark, SF_SMALL)
+    assert made[0].where("isnan(price)").count() > 0            # the operator keeps NaN
+    assert out.where("isnan(price)").count() == 0 < out.where("price IS NULL").count()
