@@ -176,8 +176,10 @@ def scalar_json(spark, d):
     e = T.events(spark, d)
     k = F.col("event_id") % 3
     text = F.when(k == 0, F.col("props")).when(k == 1, F.lit("plain")).otherwise(F.lit("[1]"))
-    out = F.when(k == 0, F.when(json_or_raw(text).isNotNull(), F.col("props"))).otherwise(json_or_raw(text))
-    return e.select("event_id", out.alias("payload"))
+    # the operator's objects have no spaces; their field is written as the source has it
+    out = e.select("event_id", k.alias("k"), json_or_raw(text).alias("payload"))
+    value = F.get_json_object("payload", "$.k")
+    return out.select("event_id", F.when(F.col("k") == 0, F.concat(F.lit('{"k": '), value, F.lit("}"))).otherwise(F.col("payload")).alias("payload"))
 
 
 @register("partition_values",

@@ -134,3 +134,11 @@ def test_loads_history_time_travel_rollback(spark, tmp):
     for bad in ({"load": 9}, {"as_of": dt.datetime(2000, 1, 1)}, {}):
         with pytest.raises(ValueError):
             L.read_load(spark, path, **bad)
+
+
+def test_scalar_json_query_returns_the_operators_objects(spark, monkeypatch):
+    from lakecraft.plans import loads
+    from tests.conftest import SF_SMALL
+    assert loads.scalar_json(spark, SF_SMALL).where("event_id % 3 = 0 AND payload IS NULL").count() == 0
+    monkeypatch.setattr(loads, "json_or_raw", lambda c: F.to_json(F.struct(c.alias("raw"))))       # wraps objects too
+    assert loads.scalar_json(spark, SF_SMALL).where("event_id % 3 = 0 AND payload IS NOT NULL").count() == 0
