@@ -19,7 +19,7 @@ from lakecraft.operators import cleaning as CL
 from lakecraft.operators import warehouse as WH
 from lakecraft.sources import files as IO
 from lakecraft.sources import sinks as SK
-from lakecraft.sources.loads import latest, publish, write_observed
+from lakecraft.sources.loads import append_part, latest, publish, read_parts, write_observed
 
 
 @dataclass
@@ -124,16 +124,14 @@ def load_dimension(spark: SparkSession, rows: DataFrame, path: str, key: str, at
 
 
 def load_facts(spark: SparkSession, items: DataFrame, orders: DataFrame, customers: DataFrame, products: DataFrame, path: str) -> int:
-    """Append the facts of items that no earlier load holds; returns their number."""
-    key = ["order_id", "line_number", "product_id", "created_at", "quantity", "amount"]
-    named = items.withColumnRenamed("subtotal", "amount")
-    n, stored = latest(spark, path)
-    fresh = named if stored is None else WH.insert_ignore(spark.read.parquet(path), named, key)
-    fact = WH.fact_sales(fresh.withColumnRenamed("amount", "subtotal"), orders, customers, products,
-                         ["order_id", "line_number", "product_id", "created_at", "quantity", "subtotal"])
-    if stored is not None and fact.isEmpty():
-        return 0
-    return write_observed(fact, "fact", lambda d: d.write.mode("overwrite").parquet(f"{path}/load={n + 1}"))
+    """Append the facts of items that no earlier load holds; returns their number. Equal items of
+    an order are told apart by ``occurrence``."""
+    from lakecraft.plans.mart import ITEM_KEY
+    numbered = WH.with_occurrence(items, ITEM_KEY)
+    stored = read_parts(spark, path)
+    if stored is not None:
+        numbered = numbered.join(stored.withColumnRenamed("amount", "subtotal").select(*ITEM_KEY, "occurrence"), [*ITEM_KEY, "occurrence"], "left_anti")
+    return append_part(spark, WH.fact_sales(numbered, orders, customers, products, keep=["occurrence"]), path, "fact")
 
 
 def _run_step(m: Metrics, policy: dict, name: str, work: Callable) -> bool:
@@ -175,8 +173,8 @@ def run_mart(spark: SparkSession, sf_dir: str, out: str, as_of: dt.date, product
                                                 PRODUCT_ATTRS, "product_sk", as_of)
         m.steps["fact"] = load_facts(spark, T.order_items(spark, sf_dir), orders, latest(spark, f"{mart}/dim_customer")[1],
                                      latest(spark, f"{mart}/dim_product")[1], f"{mart}/fact")
-        whole = T.order_items(spark, sf_dir).distinct().join(orders.select("order_id"), "order_id", "left_semi").count()
-        m.reconcile("fact_rows", whole, spark.read.parquet(f"{mart}/fact").count())
+        whole = T.order_items(spark, sf_dir).join(orders.select("order_id"), "order_id", "left_semi").count()
+        m.reconcile("fact_rows", whole, read_parts(spark, f"{mart}/fact").count())
 
     def summaries():
         for name in ("mv_daily_revenue", "mv_top_customers", "mv_revenue_by_category"):
@@ -188,16 +186,22 @@ def run_mart(spark: SparkSession, sf_dir: str, out: str, as_of: dt.date, product
     return m
 
 
-def run_incremental_items(spark: SparkSession, sf_dir: str, out: str) -> Metrics:
-    """Items of the orders placed after the last day loaded before (the bookmark is the highest
-    ``order_date`` in ``out``); each run appends one load."""
+def run_incremental_items(spark: SparkSession, sf_dir: str, out: str, overlap_days: int = 7) -> Metrics:
+    """Items of orders that no earlier run loaded. The bookmark is the highest ``order_date`` in
+    ``out``; a run reads the orders from ``overlap_days`` before it on (0: from that day on) and
+    leaves out the items stored for those days, so an order that arrives late, on the last loaded
+    day or up to ``overlap_days`` before, is loaded once. Each run appends one load."""
     from lakecraft.plans.mart import items_after
+    key = ["order_id", "line_number", "order_date", "product_id", "quantity", "subtotal"]
     m = Metrics()
-    n, stored = latest(spark, out)
-    last = None if stored is None else spark.read.parquet(out).agg(F.max(F.to_date("order_date"))).first()[0]
-    fresh = items_after(spark, sf_dir, last)
-    m.steps["loaded"] = 0 if fresh.isEmpty() else write_observed(
-        fresh, "items", lambda d: d.write.mode("overwrite").parquet(f"{out}/load={n + 1}"))
+    stored = read_parts(spark, out)
+    last = None if stored is None else stored.agg(F.max(F.to_date("order_date"))).first()[0]
+    since = None if last is None else last - dt.timedelta(days=overlap_days)
+    fresh = WH.with_occurrence(items_after(spark, sf_dir, None if since is None else since - dt.timedelta(days=1)), key)
+    if since is not None:
+        known = stored.where(F.col("order_date") >= F.lit(since)).select(*key, "occurrence")
+        fresh = fresh.join(known, [*key, "occurrence"], "left_anti")
+    m.steps["loaded"] = append_part(spark, fresh, out, "items")
     return m
 
 

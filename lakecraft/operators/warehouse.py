@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakecraft.functions.scalars import OPEN_END_DATE, date_key, iso_dow, year_month_key
-from lakecraft.operators.windows import global_row_number, latest_per_key
+from lakecraft.operators.windows import carry_forward, global_row_number, latest_per_key
+from lakecraft.session import materialize
 
 
 def dim_date(facts: DataFrame, date_col: str, as_of: dt.date, pad_months: int = 12) -> DataFrame:
@@ -86,6 +87,10 @@ def scd2_apply(dim: DataFrame, incoming: DataFrame, key: str, tracked: Sequence[
     Re-applying a batch is a no-op. New versions get surrogate keys after the
     current maximum. Versions never overlap; one with a null ``is_current``
     counts by its dates.
+
+    With ``sk`` the versions are stored once (in the shared checkpoint folder)
+    before new ones are numbered; else ``dim`` stands once in the plan. Either
+    way the plan of a chain of batches grows by a constant per batch.
     """
     cols = dim.columns
     inc = latest_per_key(incoming.select(key, *tracked), [key], list(tracked))
@@ -115,8 +120,9 @@ def scd2_apply(dim: DataFrame, incoming: DataFrame, key: str, tracked: Sequence[
     rows = rows.select(*cols, "_new")
     if not sk:
         return rows.select(*cols)
+    rows = materialize(rows, "scd2")
     fresh = (F.col("_new") == 1) & F.col(sk).isNull()
-    start = dim.select(F.coalesce(F.max(sk), F.lit(0))).scalar()       # scalar subquery
+    start = rows.select(F.coalesce(F.max(sk), F.lit(0))).scalar()      # scalar subquery; every key of dim is still there
     opened = with_surrogate_key(rows.where(fresh).drop(sk), [key], sk, start=start)
     return rows.where(~fresh).select(*cols).unionByName(opened.select(*cols))
 
@@ -144,8 +150,9 @@ def scd6_apply(dim: DataFrame, incoming: DataFrame, key: str, tracked: Sequence[
     columns that carry the latest value on every version of the key."""
     base = dim.drop(*[f"current_{c}" for c in current_cols])
     hist = scd2_apply(base, incoming, key, tracked, effective, sk)
-    cur = hist.where("is_current").select(key, *[F.col(c).alias(f"current_{c}") for c in current_cols])
-    return hist.join(cur, key, "left")
+    current = F.max(F.when(F.col("is_current"), F.struct(*current_cols))).over(Window.partitionBy(key))
+    hist = hist.withColumn("_current", current)
+    return hist.select(key, *[c for c in base.columns if c != key], *[F.col(f"_current.{c}").alias(f"current_{c}") for c in current_cols])
 
 
 def insert_ignore(target: DataFrame, incoming: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -169,30 +176,55 @@ def upsert(target: DataFrame, incoming: DataFrame, key: Sequence[str],
     return target.join(newest.select(*key), key, "left_anti").unionByName(newest.select(*target.columns))
 
 
+def with_occurrence(rows: DataFrame, key: Sequence[str], out: str = "occurrence") -> DataFrame:
+    """Rows equal in all of ``key`` numbered from 1, so that each of them is told apart
+    (the same numbers in every load that holds them all)."""
+    return rows.withColumn(out, F.row_number().over(Window.partitionBy(*key).orderBy(*key)))
+
+
 def fact_sales(items: DataFrame, orders: DataFrame, dim_customer: DataFrame,
-               dim_product: DataFrame, item_key: Sequence[str]) -> DataFrame:
+               dim_product: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Fact rows at order-item grain with surrogate keys of the *current*
-    dimension versions. ``item_key`` names the columns that tell items apart;
-    only rows equal in all of them are one item. Facts of keys without a
-    current version are dropped."""
-    staged = items.dropDuplicates(list(item_key))
+    dimension versions: one for every row of ``items``, equal ones included.
+    Facts of keys without a current version are dropped; ``keep`` names more
+    columns of ``items`` to carry on."""
     dc = dim_customer.where("is_current").select("customer_id", "customer_sk")
     dp = dim_product.where("is_current").select("product_id", "product_sk")
-    return (staged.join(orders.select("order_id", "customer_id", "order_date"), "order_id")
+    return (items.join(orders.select("order_id", "customer_id", "order_date"), "order_id")
             .join(dc, "customer_id").join(dp, "product_id")
             .select("order_id", "line_number", date_key("order_date").alias("date_key"), "customer_sk", "product_sk",
-                    "product_id", "quantity", F.col("subtotal").alias("amount"), "created_at", "order_date"))
+                    "product_id", "quantity", F.col("subtotal").alias("amount"), "created_at", "order_date", *keep))
 
 
 def validity_lookup(facts: DataFrame, dim: DataFrame, key: str, fact_date: str,
                     keep: Sequence[str]) -> DataFrame:
-    """Join each fact to the dimension version valid on its date:
-    ``key`` equal and ``valid_from <= date < valid_to`` (half open). The
-    equality makes it a hash/sort-merge join with a residual filter, never a
-    nested loop."""
-    v = dim.select(F.col(key).alias("_k"), "valid_from", "valid_to", *keep)
-    return facts.join(v, (facts[key] == v["_k"]) & (v["valid_from"] <= facts[fact_date])
-                      & (facts[fact_date] < v["valid_to"]), "left").drop("_k", "valid_from", "valid_to")
+    """The dimension version valid on each fact's date: ``key`` equal and
+    ``valid_from <= date < valid_to`` (half open); null ``keep`` columns where
+    there is none. Versions of a key don't overlap; of several that start on
+    one day the row that sorts last counts.
+
+    Versions and facts are swept once in (key, day) order, in range segments:
+    the newest version at or before a fact is carried to it and holds if it has
+    not ended. No pairs of a key's versions and facts are formed, so a hot key
+    with many versions costs its rows once, in many tasks. Facts with a null
+    key or date, and versions with a null key or start, meet nothing.
+    """
+    version = F.struct(*[F.col(c).alias(c) for c in dict.fromkeys([*keep, "valid_to"])])
+    kind = dim.select(version.alias("v")).schema["v"].dataType
+    fact = F.struct(*[F.col(f"`{c}`").alias(c) for c in facts.columns])
+    shape = facts.select(fact.alias("f")).schema["f"].dataType
+    day = lambda c: F.col(c).cast("timestamp_ntz")
+    versions = (dim.where(F.col(key).isNotNull() & F.col("valid_from").isNotNull())
+                .groupBy(F.col(key).alias("_k"), day("valid_from").alias("_t")).agg(F.max(version).alias("_version"))
+                .select("_k", "_t", F.lit(0).alias("_side"), F.lit(0).cast("long").alias("_tie"), F.lit(None).cast(shape).alias("_fact"), "_version"))
+    # equal facts may share a place: which of them comes first makes no difference
+    rows = facts.select(F.col(key).alias("_k"), day(fact_date).alias("_t"), F.lit(1).alias("_side"),
+                        F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns]).alias("_tie"), fact.alias("_fact"),
+                        F.lit(None).cast(kind).alias("_version"))
+    swept = carry_forward(versions.unionByName(rows), ["_k"], ["_t", "_side", "_tie"], "_version", "_hit").where("_side = 1")
+    holds = F.col("_k").isNotNull() & (F.col("_t") < day("_hit.valid_to"))
+    return swept.select(*[F.col(f"_fact.`{c}`").alias(c) for c in facts.columns],
+                        *[F.when(holds, F.col(f"_hit.{c}")).alias(c) for c in keep])
 
 
 def apply_defaults(df: DataFrame, defaults: dict) -> DataFrame:

@@ -9,9 +9,9 @@ ordering key:
 1. cut points come from a sample of the (group, order) keys, one key for each
    of a fixed number of hash buckets: a partially aggregated job that writes
    nothing and returns a few keys for each segment;
-2. a row's segment is found by binary search among the cuts, which are
-   literals of the plan: a pure function of the row, the same in every branch
-   of a plan and after every retry;
+2. a row's segment is found by binary search among the cuts: a balanced tree
+   of compiled comparisons with literals, a pure function of the row, the same
+   in every branch of a plan and after every retry;
 3. only groups that hold a cut span segments. Their totals per segment - at
    most two rows a segment - give the offset of each segment, and are
    broadcast;
@@ -54,8 +54,8 @@ def _num_segments(df: DataFrame, n: int | None) -> int:
 def range_segments(df: DataFrame, order: Sequence, group: Sequence[str] = (),
                    num_segments: int | None = None) -> DataFrame:
     """``df`` plus ``_pid`` (number of the row's range segment of group + order)
-    and ``_spans`` (whether the row's group may hold a cut next to the segment,
-    that is, go on in a neighbouring one).
+    and ``_spans`` (whether the row's group holds a cut, that is, may go on in
+    a neighbouring segment; a test on the group alone, so it reaches the scan).
 
     ``order`` (column names or :class:`Desc`) must make rows unique within
     ``group`` (add the primary key as the last sort column).
@@ -68,27 +68,52 @@ def range_segments(df: DataFrame, order: Sequence, group: Sequence[str] = (),
     if not cuts:
         return df.withColumns({"_pid": F.lit(0), "_spans": F.lit(False)})
 
-    def key(at) -> Column:
-        g = F.struct(*[at[c] for c in group]) if group else F.struct(F.lit(0))
-        o = F.struct(*[F.struct(at[x.col].isNull(), -at[x.col]) if isinstance(x, Desc) else at[x] for x in order])
-        return F.struct(g.alias("g"), o.alias("o"))
-
-    kinds = {f.name: f.dataType for f in df.select(*names).schema.fields}
-    table = F.array(*[key({c: F.lit(v).cast(kinds[c]) for c, v in zip(names, cut)}) for cut in cuts])
-    own = key({c: F.col(c) for c in names})
-
-    def halve(acc, _):        # the number of cuts at or below the key lies between lo and hi
-        mid = F.floor((acc["lo"] + acc["hi"] + 1) / 2).cast("int")
-        below = (acc["lo"] < acc["hi"]) & (F.element_at(table, F.greatest(mid, F.lit(1))) <= acc["key"])
-        lo, hi = F.when(below, mid).otherwise(acc["lo"]), F.when(below, acc["hi"]).otherwise(F.greatest(acc["lo"], mid - 1))
-        return F.struct(lo.alias("lo"), hi.alias("hi"), acc["key"].alias("key"))
-
-    start = F.struct(F.lit(0).alias("lo"), F.lit(len(cuts)).alias("hi"), own.alias("key"))
-    steps = F.sequence(F.lit(1), F.lit(len(cuts).bit_length() + 1))
-    rows = df.withColumn("_pid", F.aggregate(steps, start, halve, lambda acc: acc["lo"]))
-    mine = own["g"]
-    here = lambda i: F.coalesce(F.get(table, i)["g"].eqNullSafe(mine), F.lit(False))
-    return rows.withColumn("_spans", here(F.col("_pid") - 1) | here(F.col("_pid")))
+    kinds = {f.name: f.dataType.simpleString() for f in df.select(*names).schema.fields}
+    keys = [(c, False) for c in group] + [(o.col, True) if isinstance(o, Desc) else (o, False) for o in order]
+    at = {c: i for i, c in enumerate(names)}
+
+    def reached(cut) -> str:
+        """Whether the row sorts at or after ``cut``."""
+        found = "true"
+        for c, descending in reversed(keys):
+            name, value = _quoted(c), _literal(cut[at[c]], kinds[c])
+            if cut[at[c]] is None:
+                after = "false" if descending else f"{name} IS NOT NULL"
+            else:
+                after = f"coalesce({name} < {value}, true)" if descending else f"coalesce({name} > {value}, false)"
+            found = f"({after} OR ({name} <=> {value} AND {found}))"
+        return found
+
+    def search(lo: int, hi: int) -> str:      # the number of cuts at or below the row lies in lo..hi
+        if lo == hi:
+            return str(lo)
+        mid = (lo + hi + 1) // 2
+        return f"CASE WHEN {reached(cuts[mid - 1])} THEN {search(mid, hi)} ELSE {search(lo, mid - 1)} END"
+
+    groups = list(dict.fromkeys(tuple(cut[:len(group)]) for cut in cuts))
+    return df.withColumns({"_pid": F.expr(search(0, len(cuts))), "_spans": F.expr(_one_of(group, groups, kinds))})
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _literal(text: str | None, kind: str) -> str:
+    """A value given as text, as a foldable SQL expression of type ``kind`` (the text in hex, so nothing needs escapes)."""
+    return f"CAST(NULL AS {kind})" if text is None else f"CAST(CAST(X'{text.encode().hex()}' AS string) AS {kind})"
+
+
+def _one_of(group: Sequence[str], groups: list[tuple], kinds: dict) -> str:
+    """Whether the row's group is one of ``groups``: per column a look-up in a set, which is all for one column."""
+    tests = []
+    for i, c in enumerate(group):
+        known = [_literal(g[i], kinds[c]) for g in groups if g[i] is not None]
+        test = f"coalesce({_quoted(c)} IN ({', '.join(dict.fromkeys(known))}), false)" if known else "false"
+        tests.append(f"({test} OR {_quoted(c)} IS NULL)" if len(known) < len(groups) else test)
+    if len(group) > 1:
+        tests.append("(" + " OR ".join("(" + " AND ".join(f"{_quoted(c)} <=> {_literal(v, kinds[c])}" for c, v in zip(group, g)) + ")"
+                                       for g in groups) + ")")
+    return " AND ".join(tests) or "true"
 
 
 def _cut_points(df: DataFrame, names: Sequence[str], sort: Sequence[Column], n: int) -> list[tuple]:

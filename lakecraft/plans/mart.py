@@ -19,7 +19,7 @@ from lakecraft.operators import warehouse as WH
 from lakecraft.operators.windows import latest_per_key
 from lakecraft.plans.params import AS_OF, AS_OF_SQL
 from lakecraft.plans.registry import register
-from lakecraft.session import checkpoint_dir, materialize
+from lakecraft.session import checkpoint_dir, materialize, source_state
 from lakecraft.sources import tables as T
 from lakecraft.sources.tables import with_retail
 
@@ -27,7 +27,7 @@ CUSTOMER_ATTRS = ["full_name", "segment", "nation_id"]
 PRODUCT_ATTRS = ["product_name", "category", "price"]
 
 
-#: What tells one order item from another: an order may list a line number more than once.
+#: The columns of an order item; rows equal in all of them are items of their own, numbered by ``occurrence``.
 ITEM_KEY = ["order_id", "line_number", "product_id", "created_at", "quantity", "subtotal"]
 
 
@@ -35,9 +35,8 @@ class Mart:
     """The star schema derived from the base tables, as of a date.
 
     The dimensions and the fact table are stored once (Parquet tables in the
-    shared checkpoint folder) and then read by every mart query of the session;
-    :func:`refresh_mart` rebuilds them after the sources change. Parts are built
-    on first use only.
+    shared checkpoint folder) and then read by every mart query of the session,
+    until a source file changes. Parts are built on first use only.
     """
 
     def __init__(self, spark, d, as_of):
@@ -62,7 +61,7 @@ class Mart:
 
     @cached_property
     def fact(self):
-        return materialize(WH.fact_sales(self.items, self.orders, self.dim_customer, self.dim_product, ITEM_KEY), "fact_sales")
+        return materialize(WH.fact_sales(self.items, self.orders, self.dim_customer, self.dim_product), "fact_sales")
 
     @cached_property
     def fact_with_id(self):
@@ -74,11 +73,11 @@ _MARTS: dict = {}
 
 
 def _mart_key(spark, d, as_of):
-    return spark.sparkContext.applicationId, d.rstrip("/"), as_of
+    return spark.sparkContext.applicationId, d.rstrip("/"), as_of, source_state(spark, d)
 
 
 def build_mart(spark, d, as_of=AS_OF) -> Mart:
-    """The session's mart over the tables in ``d`` (built on first use)."""
+    """The session's mart over the tables in ``d`` (built on first use, again when a file of ``d`` changes)."""
     checkpoint_dir(spark)
     key = _mart_key(spark, d, as_of)
     if key not in _MARTS:
@@ -86,12 +85,6 @@ def build_mart(spark, d, as_of=AS_OF) -> Mart:
     return _MARTS[key]
 
 
-def refresh_mart(spark, d, as_of=AS_OF) -> Mart:
-    """Forget the stored mart of ``d``: the sources may have changed."""
-    _MARTS.pop(_mart_key(spark, d, as_of), None)
-    return build_mart(spark, d, as_of)
-
-
 # The mart in SQL. Each dimension has one open version per key, numbered by key.
 MART_CTES = f"""
 calendar(d) AS (
@@ -115,7 +108,7 @@ sales AS (
   SELECT item.order_id, item.line_number, year(ord.order_date)::INTEGER * 10000 + month(ord.order_date)::INTEGER * 100
            + day(ord.order_date)::INTEGER AS date_key, buyers.customer_sk, goods.product_sk, item.product_id, item.quantity,
          item.subtotal AS amount, item.created_at, ord.order_date
-  FROM (SELECT DISTINCT * FROM app_items) item, app_orders ord, buyers, goods
+  FROM app_items item, app_orders ord, buyers, goods
   WHERE item.order_id = ord.order_id AND ord.customer_id = buyers.customer_id AND item.product_id = goods.product_id)
 """
 

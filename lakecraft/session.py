@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -69,6 +71,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}"
 
 
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system that holds ``path``, and the path as it knows it (for listings and deletes)."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path.rstrip("/"))
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
 def materialize(df, name: str = "table"):
     """Cut lineage by writing ``df`` as a Parquet table in the shared checkpoint
     folder and reading it back.
@@ -84,19 +92,45 @@ def materialize(df, name: str = "table"):
     return spark.read.schema(df.schema).parquet(path)      # known schema: no footer-reading job
 
 
+def expire_scratch(spark: SparkSession, older_than: dt.datetime, prefix: str = "") -> list[str]:
+    """Remove tables of :func:`materialize` from the checkpoint folder that were written before
+    ``older_than`` and whose name starts with ``prefix``; returns their folders' names. Nothing
+    else in the folder is touched. Choose ``older_than`` before the start of every running
+    application: they may still read theirs."""
+    base = checkpoint_dir(spark)
+    fs, place = file_system(spark, base)
+    gone = []
+    for status in fs.listStatus(place):
+        name = status.getPath().getName()
+        stale = status.getModificationTime() < older_than.timestamp() * 1000
+        if stale and name.startswith(prefix) and re.fullmatch(r".*-[0-9a-f]{32}", name):
+            fs.delete(status.getPath(), True)
+            gone.append(name)
+    return sorted(gone)
+
+
 _SHARED: dict = {}
 
 
+def source_state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Names, sizes and times of the tables in a folder: differs when one of them changes."""
+    fs, place = file_system(spark, sf_dir)
+    if not fs.exists(place):
+        return ()
+    found = []
+    for s in fs.listStatus(place):
+        files = fs.listStatus(s.getPath()) if s.isDirectory() else [s]
+        found += [(f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files]
+    return tuple(sorted(found))
+
+
 def shared_table(spark: SparkSession, key: tuple, build):
     """Derived input tables (mart, change feed, feature table) built once per
-    application and source folder, stored with :func:`materialize`; later
-    queries of the session read the stored table."""
-    k = (spark.sparkContext.applicationId,) + tuple(key)
+    application and state of the source folder, stored with :func:`materialize`;
+    later queries of the session read the stored table until a source file changes.
+    ``key`` is (name, folder)."""
+    k = (spark.sparkContext.applicationId, *key, source_state(spark, key[1]))
     if k not in _SHARED:
         _SHARED[k] = materialize(build(), "_".join(str(x) for x in key[:1]))
     return _SHARED[k]
 
-
-def drop_shared(spark: SparkSession, key: tuple) -> None:
-    """Forget a shared table so the next use rebuilds it (sources changed)."""
-    _SHARED.pop((spark.sparkContext.applicationId,) + tuple(key), None)

@@ -72,3 +72,30 @@ def test_rows_of_a_segmented_query_are_shuffled_once(spark):
     rows = [m for m in re.finditer(r"Exchange hashpartitioning\(([^)]*)\)", p) if "_pid" in m.group(1) and "order" not in m.group(1)]
     assert "rangepartitioning" not in p and len(rows) >= 1
     assert len(re.findall(r"Exchange hashpartitioning\(_pid#\d+, ", p)) <= 2     # the rows, and the edge table's few
+
+
+@pytest.mark.parametrize("name", SEGMENTED)
+def test_segment_search_is_compiled(spark, name):
+    """The search is comparisons with literals, not an interpreted function over an array, and stands
+    once for the rows and once for each use of an edge table (sessions have two, one over the other)."""
+    p = plan(spark, name)
+    assert "aggregate(" not in p and "element_at(" not in p and "lambdafunction" not in p
+    assert len(re.findall(r"CASE WHEN [^\n]* AS _pid#", p)) <= (4 if name == "ev_session" else 2)
+
+
+def test_segment_search_orders_as_sorted(spark):
+    """Nulls, NaN, quotes, descending columns and groups of two columns: segments follow the sort order."""
+    from lakecraft.operators import windows as W
+    rows = [(None if i % 7 == 0 else f"a'{i % 3}\\`", None if i % 5 == 0 else i % 4, float("nan") if i % 11 == 0 else
+             None if i % 13 == 0 else i * 37 % 101 / 4, i) for i in range(400)]
+    df = spark.createDataFrame(rows, "g1 string, g2 int, x double, id long")
+    group, order = ["g1", "g2"], [W.Desc("x"), "id"]
+    seg = W.range_segments(df, order, group, 9)
+    got = seg.orderBy("g1", "g2", W._sort(W.Desc("x")), "id").collect()
+    pids = [r._pid for r in got]
+    assert pids == sorted(pids) and len(set(pids)) == 9
+    parts = {}
+    for r in got:
+        parts.setdefault((r.g1, r.g2), set()).add(r._pid)
+    assert all(r._spans for r in got if len(parts[r.g1, r.g2]) > 1)
+    assert seg.where("_spans").select("g1", "g2", "_pid").distinct().count() <= 2 * 9

@@ -142,3 +142,53 @@ def test_scd2_null_is_current_counts_by_dates(spark):
     dim = _dim(spark).withColumn("is_current", F.lit(None).cast("boolean"))
     out = WH.scd2_apply(dim, spark.createDataFrame([(1, "n@x")], "id long, email string"), "id", ["email"], D(2024, 5, 1), sk="sk")
     assert out.count() == 3 and out.where("is_current").count() == 2
+
+
+def test_scd2_plan_grows_by_a_constant(spark):
+    dim, sizes, plain = _dim(spark), [], []
+    for month in range(2, 6):
+        batch = spark.createDataFrame([(1, f"v{month}"), (month, "n")], "id long, email string")
+        dim = WH.scd2_apply(dim, batch, "id", ["email"], D(2024, month, 1), sk="sk")
+        sizes.append(len(dim._jdf.queryExecution().analyzed().toString().splitlines()))
+    assert max(sizes) <= sizes[0] + 5
+    dim = WH.scd2_initial(spark.createDataFrame([(1, "a")], "id long, email string"), "id", ["email"], D(2024, 1, 1))
+    for month in range(2, 6):
+        dim = WH.scd2_apply(dim, spark.createDataFrame([(1, f"v{month}")], "id long, email string"), "id", ["email"], D(2024, month, 1))
+        plain.append(len(dim._jdf.queryExecution().analyzed().toString().splitlines()))
+    steps = [b - a for a, b in zip(plain, plain[1:])]
+    assert max(steps) <= min(steps) + 5
+
+
+def test_validity_lookup_of_a_hot_key(spark):
+    """A third of all facts and 10,000 versions on one key: swept, never paired."""
+    day = F.expr("date_add(DATE '1990-01-01', CAST(id AS int))")
+    dim = spark.range(10_000).select(F.lit(7).cast("long").alias("k"), F.col("id").alias("v"), day.alias("valid_from"),
+                                     F.date_add(day, 1).alias("valid_to")).where("v % 10 <> 3")
+    dim = dim.unionByName(spark.range(40).where("id <> 7").selectExpr("id AS k", "-id AS v", "DATE '1990-01-01' AS valid_from", "DATE '9999-12-31' AS valid_to"))
+    facts = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 50).cast("long").alias("k"),
+                                       F.expr("date_add(DATE '1989-12-30', CAST(id % 10010 AS int))").alias("d"), F.col("id").alias("f"))
+    facts = facts.unionByName(facts.limit(3)).unionByName(spark.createDataFrame([(None, D(2000, 1, 1), -1), (7, None, -2)], facts.schema))
+    got = WH.validity_lookup(facts, dim, "k", "d", ["v"])
+    assert "SortMergeJoin" not in got._jdf.queryExecution().executedPlan().toString()
+    v, f = dim.toPandas(), facts.toPandas()
+    starts = {(int(a), b): int(c) for a, b, c in zip(v.k, v.valid_from, v.v)}
+    others = {int(a): int(c) for a, c in zip(v.k, v.v) if a != 7}
+
+    def want(k, d):
+        if k != k or d is None or k not in {7, *others} or d < D(1990, 1, 1):
+            return None
+        return starts.get((7, d)) if k == 7 else others[int(k)]
+
+    expect = sorted((int(i), want(k, d)) for k, d, i in zip(f.k, f.d, f.f))
+    assert sorted((r.f, r.v) for r in got.collect()) == expect
+
+
+def test_equal_items_are_facts_of_their_own(spark):
+    items = spark.createDataFrame([(1, 1, 5, "x", 2, 10.0)] * 2 + [(1, 2, 5, "x", 1, 5.0)],
+                                  "order_id long, line_number long, product_id long, created_at string, quantity long, subtotal double")
+    orders = spark.createDataFrame([(1, 9, D(2024, 1, 1))], "order_id long, customer_id long, order_date date")
+    dc = spark.createDataFrame([(9, 1, True)], "customer_id long, customer_sk long, is_current boolean")
+    dp = spark.createDataFrame([(5, 1, True)], "product_id long, product_sk long, is_current boolean")
+    assert WH.fact_sales(items, orders, dc, dp).count() == 3
+    numbered = WH.with_occurrence(items, items.columns)
+    assert rows(numbered, "line_number", "occurrence") == [(1, 1), (1, 2), (2, 1)]
