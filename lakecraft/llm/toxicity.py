@@ -23,9 +23,10 @@ driver receives at most ``max_features`` features and the sample's entries in
 them. Scoring is one pass without a shuffle.
 
 Defined cases: null and empty texts get the score of a text without features;
+a very long text is scored whole, in one slice;
 rows with null ids are scored and never train; several labels for one id count
 once, toxic winning; without any toxic example every score is 0; columns named
-like a result are replaced.
+like a result, in any case, are replaced.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakecraft.llm.tools import documents, stored
+from lakecraft.llm.tools import documents, stored, without
 from lakecraft.llm.words import U64, Words, column_bytes, mix64, slices
 
 MAX_POSITIVE = 4_000
@@ -47,6 +48,7 @@ MAX_FEATURES = 1_024
 MIN_POSITIVE = 4          # positive sample rows that a feature needs
 MIN_LIFT = 4.0            # its rate in P over its rate in U (which 1 / prior bounds: less for a high prior)
 THRESHOLD = 0.7
+SLICE = 1 << 19           # bytes of text whose features are held at once
 BEGINNINGS, ENDINGS = (4, 5, 6, 7, 8), (4, 5, 6)
 DENSE_COUNT, DENSE_SHARE = 2, 0.006
 
@@ -78,11 +80,11 @@ def _dense(count: np.ndarray, n_words: np.ndarray) -> np.ndarray:
 
 
 def _parts(col):
-    """Slices of a text column as lower-case letter runs."""
-    col = pc.utf8_lower(col)
-    data, offsets = column_bytes(col)
-    for i, j in slices(offsets):
-        yield i, j, Words(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], _LETTER)
+    """Slices of a text column as lower-case letter runs; letters are lowered slice by slice."""
+    _, offsets = column_bytes(col)
+    for i, j in slices(offsets, SLICE):
+        data, at = column_bytes(pc.utf8_lower(col.slice(i, j - i)))
+        yield i, j, Words(data, at, _LETTER)
 
 
 @dataclass
@@ -240,20 +242,19 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD,
           keep: list[str] | None = None) -> DataFrame:
-    """``keep`` (default: all columns) plus score (0 to 1) and predicted (1 at ``threshold`` or above)."""
-    cols = [c for c in (keep or docs.columns) if c not in ("score", "predicted")]
-    left = docs.select(*[F.col(f"`{c}`") for c in cols], F.col(text_col).alias("_llm_text"))
-
-    def run(batches):
-        for b in batches:
-            for i, j, words in _parts(b.column(b.num_columns - 1)):
-                s = model.scores(words)
-                yield pa.RecordBatch.from_arrays(
-                    [c.slice(i, j - i) for c in b.columns[:-1]] + [pa.array(s), pa.array((s >= threshold).astype(np.int32))],
-                    b.schema.names[:-1] + ["score", "predicted"])
-
-    kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
-    return left.mapInArrow(run, ", ".join([f"`{c}` {kinds[c]}" for c in cols] + ["score double", "predicted int"]))
+    """``keep`` (default: all columns) plus score (0 to 1) and predicted (1 at ``threshold`` or above).
+    Only the text goes to Python and only its score comes back."""
+    def values(col):
+        found = [model.scores(words) for _, _, words in _parts(col)]
+        return pa.array(np.concatenate(found) if found else np.zeros(0))
+
+    rows = without(docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").alias("_llm_scored")) if keep
+                   else docs.withColumn("_llm_scored", F.col(f"`{text_col}`")), "score", "predicted")
+    names = [c for c in rows.columns if c != "_llm_scored"]
+    # not deterministic for the optimiser: a filter on the score must not compute it again
+    scored = F.arrow_udf(values, "double").asNondeterministic()(F.col("_llm_scored")).alias("score")
+    out = rows.select(*[F.col(f"`{c}`") for c in names], scored)
+    return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
 def fold(id_col: str, parts: int):
