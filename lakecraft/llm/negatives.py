@@ -7,13 +7,15 @@ In a block stand one list of its rows per dimension, sorted by that component.
 
 For an anchor the lists are read from the end that its sign favours (highest
 components first where the anchor's is positive, lowest where it is negative;
-dimensions where it is zero are left out), ``t`` entries of each a round. A row met
-for the first time is scored exactly (random access). The *threshold*, the sum
-of the anchor's products with the last entries read, bounds the score of every row not
-yet met. The anchor is done as soon as the threshold falls strictly below the
-k-th best score within each of its windows, or below a window's lower end:
-rows not met can neither enter nor tie. Scores are integers, so nothing is
-rounded and ties are real ones; they go to the smaller id.
+dimensions where it is zero are left out). Rows met there are scored exactly
+(random access). The *threshold*, the sum of the anchor's products with the last
+entries read, bounds the score of every row not yet met. The anchor is done
+where the threshold falls strictly below the k-th best score within each of
+its windows, or below a window's lower end: rows not met can neither enter nor
+tie. Where reading that far would take more entries than the block has rows -
+with many dimensions of like weight the threshold falls late - the block's rows
+are all scored instead, for many anchors in one product. Scores are
+integers, so nothing is rounded and ties are real ones; they go to the smaller id.
 
 Two such passes: the best rows with the anchor's label are its positives, then
 each (anchor, positive) is a window of scores in which rows of other labels are
@@ -38,62 +40,103 @@ from pyspark.sql import functions as F
 
 from lakecraft.llm.tools import documents, stored
 
-BLOCK, CHUNK = 4096, 4096
-FIRST_ROUND = 64
+BLOCK, CHUNK = 8192, 8192
+TOGETHER = 64             # anchors whose scores with a whole block are held at once
 
 
 class Lists:
-    """A block's rows: ids, labels, integer vectors, and per dimension the rows in ascending order of the component."""
+    """A block's rows in order of their ids: labels, integer vectors, and per dimension the rows in ascending order of the component."""
 
     def __init__(self, ids: np.ndarray, labels: np.ndarray, x: np.ndarray):
         order = np.argsort(ids, kind="stable")
-        self.ids, self.labels, self.x = ids[order], labels[order], x[order]
-        self.ascending = np.argsort(self.x, axis=0, kind="stable").T
+        self.ids, self.labels, self.x = ids[order], labels[order], np.ascontiguousarray(x[order])
+        ascending = np.argsort(self.x, axis=0, kind="stable")
+        self.values = np.take_along_axis(self.x, ascending, axis=0)
+        self.ascending = np.ascontiguousarray(ascending.T.astype(np.int32))
         self.top = int(np.abs(self.x).max(initial=0))
 
-    def search(self, a: np.ndarray, allowed: np.ndarray, windows: list[tuple[int, int, int]], count: list | None = None):
-        """For each window (lo, hi, k) the rows of ``allowed`` with the k best scores in lo..hi, best first, ties
-        by id: (row numbers, scores). ``count`` receives the number of rows scored."""
+    def _numbers(self, anchors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows and anchors as floats while every sum of products is exact in them (below 2^53), else as integers."""
+        if self.top * int(np.abs(anchors).max(initial=0)) * anchors.shape[1] < 1 << 53:
+            return self.x.astype(np.float64), anchors.astype(np.float64)
+        return self.x, anchors
+
+    def _thresholds(self, anchors: np.ndarray, depths: list[int]) -> np.ndarray:
+        """Per anchor and depth: what no row that stands deeper in all of the anchor's lists can exceed."""
+        n = len(self.ids)
+        up, down = np.maximum(anchors, 0), np.minimum(anchors, 0)
+        return np.stack([up @ self.values[n - t] + down @ self.values[t - 1] for t in depths], axis=1)
+
+    def _heads(self, a: np.ndarray, used: np.ndarray, depth: int) -> np.ndarray:
+        """Mask of the rows among the first ``depth`` entries of the anchor's lists, each read from the end its sign favours."""
+        met = np.zeros(len(self.ids), bool)
+        met[self.ascending[used[a[used] > 0], len(self.ids) - depth:].ravel()] = True
+        met[self.ascending[used[a[used] < 0], :depth].ravel()] = True
+        return met
+
+    def search(self, anchors: np.ndarray, allowed: list[np.ndarray], windows: list[list[tuple[int, int]]], k: int, met_of: list | None = None) -> list:
+        """For each anchor and each of its windows (lo, hi) the allowed rows with the ``k`` best scores in lo..hi, best first,
+        ties by id: (row numbers, scores). ``met_of`` receives how many rows were scored for each anchor.
+
+        An anchor's first rows give a lower bound of its windows' k-th scores, and with it the depth at which the threshold
+        will have fallen strictly below them. The lists are read to that depth when that is fewer entries than the block
+        has rows; else every row is met at once, and no threshold is needed."""
         n = len(self.ids)
-        used = np.flatnonzero(a)
-        lists = np.stack([self.ascending[d][::-1] if a[d] > 0 else self.ascending[d] for d in used]) if len(used) else np.zeros((0, n), int)
-        # products are exact in floats while sums stay below 2^53, else in integers
-        exact = self.top * int(np.abs(a).max(initial=0)) * len(a) < 1 << 53
-        x, v = (self.x.astype(np.float64), a.astype(np.float64)) if exact and n else (self.x, a)
-        met = np.zeros(n, bool)
-        score = np.zeros(n, np.int64)
-        depth = 0
-        if not len(used):
-            met[:] = True
-        while len(used) and depth < n:
-            upto = min(n, max(FIRST_ROUND, 2 * depth))
-            fresh = np.zeros(n, bool)
-            fresh[lists[:, depth:upto].ravel()] = True
-            fresh &= ~met
-            at = np.flatnonzero(fresh)
-            score[at] = (x[at] @ v).astype(np.int64)
-            met[at] = True
-            depth = upto
-            bound = sum(int(a[d]) * int(self.x[lists[i, depth - 1], d]) for i, d in enumerate(used))
-            own = score[met & allowed]
-            if all(self._settled(own, w, bound) for w in windows):
-                break
-        if count is not None:
-            count.append(int(met.sum()))
-        out = []
-        for lo, hi, k in windows:
-            at = np.flatnonzero(met & allowed & (score >= lo) & (score <= hi))
-            at = at[np.argsort(-score[at], kind="stable")][:k]              # rows are in order of their ids
-            out.append((at, score[at]))
+        x, a_numbers = self._numbers(anchors)
+        depths = sorted({min(n, 1 << e) for e in range(n.bit_length() + 1)})
+        thresholds = self._thresholds(anchors, depths)
+        out, dense = [None] * len(anchors), []
+        for i, a in enumerate(anchors):
+            used = np.flatnonzero(a)
+            depth = n // (8 * len(used)) if len(used) else 0
+            stop = None
+            if depth:
+                met = self._heads(a, used, depth)
+                at = np.flatnonzero(met)
+                score = (x[at] @ a_numbers[i]).astype(np.int64)
+                need = min((self._bound(score[allowed[i][at]], w, k) for w in windows[i]), default=1 << 62)
+                below = np.flatnonzero(thresholds[i] < need)
+                stop = max(depths[below[0]], depth) if len(below) else None
+            if stop is None or stop * len(used) >= n:
+                dense.append(i)
+                continue
+            if stop > depth:
+                fresh = np.flatnonzero(self._heads(a, used, stop) & ~met)
+                at, score = np.concatenate([at, fresh]), np.concatenate([score, (x[fresh] @ a_numbers[i]).astype(np.int64)])
+                order = np.argsort(at)
+                at, score = at[order], score[order]
+            out[i] = self._windows(at, score, allowed[i][at], windows[i], k)
+            if met_of is not None:
+                met_of.append(len(at))
+        every = np.arange(n)
+        for cut in range(0, len(dense), TOGETHER):
+            some = dense[cut:cut + TOGETHER]
+            scores = (a_numbers[some] @ x.T).astype(np.int64)
+            for i, score in zip(some, scores):
+                out[i] = self._windows(every, score, allowed[i], windows[i], k)
+                if met_of is not None:
+                    met_of.append(n)
         return out
 
     @staticmethod
-    def _settled(own: np.ndarray, window: tuple[int, int, int], bound: int) -> bool:
-        lo, hi, k = window
-        if bound < lo:
-            return True
+    def _bound(own: np.ndarray, window: tuple[int, int], k: int) -> int:
+        """Rows that score below this can neither enter the window's ``k`` best nor tie with them."""
+        lo, hi = window
         own = own[(own >= lo) & (own <= hi)]
-        return len(own) >= k and bound < int(np.partition(own, len(own) - k)[len(own) - k])
+        return lo if len(own) < k else int(np.partition(own, len(own) - k)[len(own) - k])
+
+    @staticmethod
+    def _windows(at: np.ndarray, score: np.ndarray, allowed: np.ndarray, windows: list[tuple[int, int]], k: int) -> list:
+        at, score = at[allowed], score[allowed]
+        found = []
+        for lo, hi in windows:
+            mine = np.flatnonzero((score >= lo) & (score <= hi))
+            if len(mine) > k:
+                own = score[mine]
+                mine = mine[own >= np.partition(own, len(own) - k)[len(own) - k]]
+            mine = mine[np.argsort(-score[mine], kind="stable")][:k]            # rows are in order of their ids
+            found.append((at[mine], score[mine]))
+        return found
 
 
 def usable(vectors: DataFrame, id_col: str, vec_col: str, label: Column, scale: int) -> DataFrame:
@@ -113,9 +156,9 @@ def _ints(col: pa.Array) -> np.ndarray:
     return flat.reshape(len(col), -1) if len(col) else np.zeros((0, 0), np.int64)
 
 
-def _pass(rows: DataFrame, asks: DataFrame, same_label: bool, k: int, scored: bool = False) -> DataFrame:
+def _pass(rows: DataFrame, asks: DataFrame, same_label: bool, k: int) -> DataFrame:
     """Blocks of ``rows`` against chunks of ``asks`` (id, label, v, d, windows: array of (pid, lo, hi)): anchor_id, pid, id, score
-    of the ``k`` best rows a window within each block; with ``scored`` the rows met by the search instead (anchor_id, met, held)."""
+    of the ``k`` best rows a window within each block."""
     n, m = (df.groupBy("d").agg(F.count(F.lit(1)).alias("n")) for df in (rows, asks))
     sizes = n.join(m.withColumnRenamed("n", "m"), "d").select(
         "d", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"), F.ceil(F.col("m") / CHUNK).cast("int").alias("chunks"))
@@ -125,30 +168,23 @@ def _pass(rows: DataFrame, asks: DataFrame, same_label: bool, k: int, scored: bo
     left = rows.join(sizes, "d").select("d", own("blocks", 21).alias("b"), every("chunks").alias("c"), "id", "label", "v")
     right = asks.join(sizes, "d").select(F.col("d").alias("ad"), every("blocks").alias("ab"), own("chunks", 22).alias("ac"),
                                          F.col("id").alias("aid"), F.col("label").alias("alabel"), F.col("v").alias("av"), "windows")
-    shape = "anchor_id long, met long, held long" if scored else "anchor_id long, pid long, id long, score long"
+    shape = "anchor_id long, pid long, id long, score long"
 
     def meet(block: pa.Table, chunk: pa.Table) -> pa.Table:
-        names = [f.split()[0] for f in shape.split(", ")]
-        out = [[] for _ in names]
+        out = [[], [], [], []]
         if block.num_rows and chunk.num_rows:
-            block, chunk = block.combine_chunks(), chunk.combine_chunks()
             take = lambda t, c: t.column(c).combine_chunks().to_numpy(zero_copy_only=False)
             lists = Lists(take(block, "id"), take(block, "label"), _ints(block.column("v").combine_chunks()))
-            anchors = _ints(chunk.column("av").combine_chunks())
-            windows = chunk.column("windows").combine_chunks().to_pylist()
-            for a, a_id, a_label, ws in zip(anchors, take(chunk, "aid").tolist(), take(chunk, "alabel").tolist(), windows):
-                allowed = (lists.labels == a_label) & (lists.ids != a_id) if same_label else lists.labels != a_label
-                if scored:
-                    met = []
-                    lists.search(a, allowed, [(w["lo"], w["hi"], k) for w in ws], met)
-                    values = [[a_id], met, [len(lists.ids)]]
-                    for o, v in zip(out, values):
-                        o.append(np.array(v, np.int64))
-                    continue
-                for w, (at, score) in zip(ws, lists.search(a, allowed, [(w["lo"], w["hi"], k) for w in ws])):
-                    for o, v in zip(out, (np.full(len(at), a_id), np.full(len(at), w["pid"]), lists.ids[at], score)):
+            anchors, a_ids, a_labels = _ints(chunk.column("av").combine_chunks()), take(chunk, "aid"), take(chunk, "alabel")
+            asked = chunk.column("windows").to_pylist()
+            of_label = {c: lists.labels == c if same_label else lists.labels != c for c in set(a_labels.tolist())}
+            allowed = [of_label[c] & (lists.ids != i) if same_label else of_label[c] for i, c in zip(a_ids, a_labels.tolist())]
+            found = lists.search(anchors, allowed, [[(w["lo"], w["hi"]) for w in ws] for ws in asked], k)
+            for i, ws, mine in zip(a_ids, asked, found):
+                for w, (at, score) in zip(ws, mine):
+                    for o, v in zip(out, (np.full(len(at), i), np.full(len(at), w["pid"]), lists.ids[at], score)):
                         o.append(v)
-        return pa.table([pa.array(np.concatenate(o) if o else np.zeros(0, np.int64), pa.int64()) for o in out], names)
+        return pa.table([pa.array(np.concatenate(o) if o else np.zeros(0, np.int64), pa.int64()) for o in out], ["anchor_id", "pid", "id", "score"])
 
     return left.groupBy("d", "b", "c").cogroup(right.groupBy("ad", "ab", "ac")).applyInArrow(meet, shape)
 

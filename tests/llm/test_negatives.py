@@ -34,28 +34,34 @@ def exhaustive(rows, every=50, shift=True):
 
 
 def test_search_stops_early_and_is_exact():
-    """Few dimensions: the threshold ends the search before all rows are met, ties included."""
+    """Few dimensions: the threshold ends the search before all rows are met, ties included; more dimensions: all are met."""
     rng = np.random.default_rng(5)
-    x = rng.integers(-9, 10, (5000, 3))
-    ids, labels = rng.permutation(5000) * 3, rng.integers(0, 4, 5000)
-    lists = N.Lists(ids, labels, x)
-    met = []
-    for t in range(60):
-        a = rng.integers(-9, 10, 3) if t else np.zeros(3, int)
-        allowed = lists.labels != t % 4
-        score = lists.x @ a
-        windows = [(-(1 << 62), 1 << 62, 5), (10, 60, 3), (50, 60, 3), (10 ** 6, 10 ** 7, 3), (5, 4, 3)]
-        for (lo, hi, k), (at, got) in zip(windows, lists.search(a, allowed, windows[:1 + t % 5], met)):
-            ok = np.flatnonzero(allowed & (score >= lo) & (score <= hi))
-            want = ok[np.lexsort((lists.ids[ok], -score[ok]))][:k]
-            assert at.tolist() == want.tolist() and got.tolist() == score[want].tolist()
-    assert min(met) < 1000
+    for dims in (1, 3, 40):
+        x = rng.integers(-9, 10, (5000, dims))
+        ids, labels = rng.permutation(5000) * 3, rng.integers(0, 4, 5000)
+        lists = N.Lists(ids, labels, x)
+        anchors = rng.integers(-9, 10, (60, dims))
+        anchors[0] = 0
+        allowed = [lists.labels != t % 4 for t in range(60)]
+        windows = [[(-(1 << 62), 1 << 62), (10, 60), (50, 60), (10 ** 6, 10 ** 7), (5, 4)][t % 3:3 + t % 3] for t in range(60)]
+        met = []
+        for a, ok, ws, found in zip(anchors, allowed, windows, lists.search(anchors, allowed, windows, 3, met)):
+            score = lists.x @ a
+            for (lo, hi), (at, got) in zip(ws, found):
+                fit = np.flatnonzero(ok & (score >= lo) & (score <= hi))
+                want = fit[np.lexsort((lists.ids[fit], -score[fit]))][:3]
+                assert at.tolist() == want.tolist() and got.tolist() == score[want].tolist()
+        assert len(met) == 60 and (min(met) == 5000) == (dims == 40)
 
 
 def test_search_with_large_integers():
     x = np.array([[1 << 30, -(1 << 30)], [(1 << 30) + 1, -(1 << 30)], [1 << 30, -(1 << 30) - 1]])
-    (at, score), = N.Lists(np.array([3, 2, 1]), np.zeros(3, int), x).search(x[0], np.ones(3, bool), [(-(1 << 62), 1 << 62, 3)])
+    lists = N.Lists(np.array([3, 2, 1]), np.zeros(3, int), x)
+    ((at, score),), = lists.search(x[:1], [np.ones(3, bool)], [[(-(1 << 62), 1 << 62)]], 3)
     assert score.tolist() == [(1 << 61) + (1 << 30), (1 << 61) + (1 << 30), 1 << 61] and at.tolist() == [0, 1, 2]
+    wide = np.tile(x, (100, 1))
+    (found,), = N.Lists(np.arange(300), np.zeros(300, int), wide).search(x[:1], [np.ones(300, bool)], [[(-(1 << 62), 1 << 62)]], 150)
+    assert found[0].tolist() == sorted(i for i in range(300) if i % 3)[:150]
 
 
 @pytest.mark.parametrize("sf", [SF_SMALL, SF_MID])
