@@ -10,6 +10,7 @@ with joins and aggregates over ``orders``/``lineitem``, so it grows with them.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -18,7 +19,8 @@ from lakecraft.operators import cdc as C
 from lakecraft.plans.registry import register
 from lakecraft.sources import tables as T
 from lakecraft.sources.tables import with_retail
-from lakecraft.session import shared_table
+from lakecraft.session import scratch_path, shared_table
+from lakecraft.sources.summaries import Summary, apply_changes, read_summary
 
 ROW_COLS = ["order_id", "customer_id", "status", "total_amount"]
 DIFF_AT = dt.datetime(2000, 1, 1)            # the "old" snapshot time of cdc_diff
@@ -154,3 +156,24 @@ def cdc_decode(spark, d):
     decoded = C.decode_envelope(messages, f.schema["after"].dataType)
     return decoded.select("op", "ts_ms", C.row_key("order_id").alias("order_id"), F.col("after.customer_id").alias("customer_id"),
                           F.col("after.status").alias("status"), F.col("after.total_amount").alias("total_amount"))
+
+
+SPEC = Summary(("region", "status"), "region", {"revenue": "total_amount"}, {"customers": "customer_id"})
+
+
+@register("mv_incremental", with_retail(
+    "SELECT customer_id % 16 AS region, status, COUNT(*) AS n_rows, SUM(total_amount::DECIMAL(12,2))::DOUBLE AS revenue, "
+    f"COUNT(DISTINCT customer_id) AS customers FROM ({_state_sql()}) GROUP BY ALL", FEED_CTES))
+def mv_incremental(spark, d):
+    """A summary kept by signed deltas over three batches of the change feed equals the one of the current state."""
+    def image(side):
+        cols = [F.col(f"{side}.{c}").alias(c) for c in ROW_COLS]
+        return F.when(F.col(side).isNotNull(), F.struct((F.col(f"{side}.customer_id") % 16).alias("region"), *cols)).alias(side)
+
+    feed = order_change_feed(spark, d).select("op", "ts_ms", image("before"), image("after"))
+    path = scratch_path(spark, f"summary-{uuid.uuid4().hex}")
+    late = DIFF_AT_MS + 200 * 86_400_000
+    cuts = [F.col("ts_ms") <= DIFF_AT_MS, (F.col("ts_ms") > DIFF_AT_MS) & (F.col("ts_ms") <= late), F.col("ts_ms") > late]
+    for batch, cut in enumerate(cuts):
+        apply_changes(spark, path, SPEC, feed.where(cut), batch)
+    return read_summary(spark, path, SPEC, feed.select("after.*"))
