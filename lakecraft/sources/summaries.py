@@ -12,7 +12,8 @@ the parts that its delta touches and writes their new content as a version of
 its own; an entry for each of them, written last, makes the version count. Readers
 take each part's newest version. A batch that failed leaves no entry and is
 simply run again; one that has entries is not applied twice. Deltas commute, so
-batches may come in any order as long as each row's images are right.
+batches may come in any order as long as each row's images are right: when all have come the summary is
+that of the rows that are left.
 
 Minimum and maximum can't be kept under deletes from numbers alone and are not
 offered; rebuild those.
@@ -110,9 +111,10 @@ def _stored(spark: SparkSession, path: str, table: str, schema, versions: dict)
         return spark.createDataFrame([], shape).drop("version")
 
 
-def apply_changes(spark: SparkSession, path: str, spec: Summary, changes: DataFrame, batch) -> int:
+def apply_changes(spark: SparkSession, path: str, spec: Summary, changes: DataFrame, batch, strict: bool = False) -> int:
     """Apply one batch of changes (``op``, ``before``, ``after``); returns the number of parts touched (0 for a
-    batch applied before). A batch that takes away rows which were never added is refused."""
+    batch applied before). An update may come before the create it follows: what is below zero until then is
+    stored and not shown. ``strict`` refuses a batch that takes away rows which were never added."""
     entries = _entries(spark, path)
     if any(e.batch == str(batch) for e in entries):
         return 0
@@ -131,8 +133,9 @@ def apply_changes(spark: SparkSession, path: str, spec: Summary, changes: DataFr
         merged = both.groupBy(*by).agg(*[F.sum(c).cast(delta.schema[c].dataType).alias(c) for c in numbers])
         obs = Observation(table)
         watched = merged.observe(obs, F.count_if(F.col("n") < 0).alias("below"))
-        watched.where("n <> 0").write.mode("overwrite").partitionBy("_part").parquet(f"{path}/{table}/version={version}")
-        if obs.get["below"]:
+        left = " OR ".join(f"`{c}` <> 0" for c in numbers)
+        watched.where(left).write.mode("overwrite").partitionBy("_part").parquet(f"{path}/{table}/version={version}")
+        if strict and obs.get["below"]:
             raise ValueError(f"batch {batch} takes away rows that {path} never had")
         written = spark.read.schema("n long, _part string").parquet(f"{path}/{table}/version={version}")
         counts[table] = {r[0]: r[1] for r in written.groupBy("_part").count().collect()}
@@ -151,8 +154,8 @@ def read_summary(spark: SparkSession, path: str, spec: Summary, like: DataFrame)
     shape = lambda df: type(df.schema)([f for f in df.schema.fields if f.name != "_part"])
     g = _stored(spark, path, "groups", shape(groups), versions)
     v = _stored(spark, path, "values", shape(values), versions)
-    counted = v.groupBy(*spec.keys).agg(*[F.count_if(F.col("_col") == i).alias(f"d{i}") for i in range(len(spec.distincts))], F.count(F.lit(1)).alias("_any"))
-    joined = g.drop("_part")
+    counted = v.where("n > 0").groupBy(*spec.keys).agg(*[F.count_if(F.col("_col") == i).alias(f"d{i}") for i in range(len(spec.distincts))], F.count(F.lit(1)).alias("_any"))
+    joined = g.where("n > 0").drop("_part")
     same = F.lit(True)
     for k in spec.keys:
         same = same & joined[k].eqNullSafe(counted[k])

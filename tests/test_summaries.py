@@ -83,7 +83,7 @@ def test_a_failed_batch_does_not_count(spark, tmp):
     path = f"{tmp}/s"
     S.apply_changes(spark, path, SPEC, _changes(spark, [("c", None, (1, "n", "x", 1.0, 1))]), 1)
     with pytest.raises(ValueError):
-        S.apply_changes(spark, path, SPEC, _changes(spark, [("d", (2, "n", "z", 1.0, 1), None)]), 2)
+        S.apply_changes(spark, path, SPEC, _changes(spark, [("d", (2, "n", "z", 1.0, 1), None)]), 2, strict=True)
     bad = _changes(spark, [("c", None, (5, "n", "x", 1.0, 1))]).withColumn(
         "op", F.expr("IF(after.id = 5, CAST(raise_error('stop') AS string), op)"))
     with pytest.raises(Exception, match="stop"):
@@ -93,6 +93,16 @@ def test_a_failed_batch_does_not_count(spark, tmp):
     assert _read(spark, path)[1] == [("n", "x", 3, 3.0, 1, 2)]
 
 
+def test_batches_out_of_order(spark, tmp):
+    """Deletes and updates that come before the creates they follow."""
+    path = f"{tmp}/s"
+    old, new = (1, "n", "x", 1.25, 1), (1, "n", "x", 2.5, 2)
+    steps = [[("u", old, new)], [("d", (2, "s", "x", 7.0, 3), None)], [("c", None, (2, "s", "x", 7.0, 3))], [("c", None, old)]]
+    for i, rows in enumerate(steps):
+        S.apply_changes(spark, path, SPEC, _changes(spark, rows), i)
+    assert _read(spark, path)[1] == [("n", "x", 1, 2.5, 1, 1)]
+
+
 def test_superseded_versions_go(spark, tmp):
     path = f"{tmp}/s"
     for i in range(3):
