@@ -107,7 +107,7 @@ def test_on_time_late_and_rejected_are_the_input(spark, tmp, size):
 def test_windows_of_on_time_and_late_rows(spark, tmp):
     """What Spark's watermark drops is late here too; on-time windows and their corrections are all windows."""
     files = [[_event(i, s) for i, s in enumerate(seconds, 100 * n)] for n, seconds in enumerate(
-        [[1, 30, 70], [400, 410, 5], [420, 290, 200, 1], [1000, 281], [2000, 900, 860, 840], [4000]])]
+        [[1, 30, 70], [400, 410, 5], [420, 290, 200, 1], [1000, 281], [2000, 900, 860, 840], [4000, 10]])]
     src, path = f"{tmp}/src", f"{tmp}/out"
     for i, rows in enumerate(files):
         _put(src, f"{i:02d}.json", rows)
