@@ -9,17 +9,21 @@ jobs meets rows that it keeps and rows that it drops.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
 from lakecraft.functions.scalars import json_or_raw, partition_expr, strip_ws, try_number
 from lakecraft.operators import cleaning as CL
 from lakecraft.operators import features as FS
+from lakecraft.operators import profiles as PR
 from lakecraft.operators import warehouse as WH
 from lakecraft.plans.features import CF_CTES, customer_features
 from lakecraft.plans.registry import register
+from lakecraft.session import scratch_path
 from lakecraft.sources import tables as T
 from lakecraft.sources.tables import with_retail
+from lakecraft.sources.versions import diff_loads, publish_bucketed
 
 FIRST, SECOND = dt.date(2001, 1, 1), dt.date(2001, 6, 1)
 
@@ -223,3 +227,33 @@ def load_reconciliation(spark, d):
     counts = dirty.agg(F.count(F.lit(1)).alias("extracted"), F.count_if(F.col("order_id").isNull()).alias("rejected"))
     both = counts.unionByName(loaded, allowMissingColumns=True).agg(*[F.max(c).alias(c) for c in ("extracted", "rejected", "loaded")])
     return both.withColumn("balanced", F.col("extracted") == F.col("rejected") + F.col("loaded"))
+
+
+@register("load_diff", with_retail(
+    "SELECT customer_id, CASE WHEN customer_id % 499 = 3 THEN 'u' WHEN customer_id % 499 = 4 THEN 'd' ELSE 'c' END AS op, "
+    "CASE WHEN customer_id % 499 <> 5 THEN segment END AS old_segment, "
+    "CASE customer_id % 499 WHEN 3 THEN segment || '*' WHEN 5 THEN segment END AS new_segment "
+    "FROM app_customers WHERE customer_id % 499 IN (3, 4, 5)"))
+def load_diff(spark, d):
+    """Two loads of the customers, some changed, gone or new in the second: the feed from buckets that differ."""
+    c = T.customers(spark, d).select("customer_id", "full_name", "segment")
+    k = F.col("customer_id") % 499
+    path = scratch_path(spark, f"versions-{uuid.uuid4().hex}")
+    old = publish_bucketed(spark, c.where(k != 5), path, "customer_id", 64)
+    changed = F.when(k == 3, F.concat("segment", F.lit("*"))).otherwise(F.col("segment"))
+    new = publish_bucketed(spark, c.where(k != 4).withColumn("segment", changed), path, "customer_id", 64)
+    feed = diff_loads(spark, path, old, new, "customer_id", ["full_name", "segment"])
+    return feed.select("customer_id", "op", F.col("before.segment").alias("old_segment"), F.col("after.segment").alias("new_segment"))
+
+
+@register("profile_merged",
+          "SELECT column_name AS \"column\", n_rows, n_null, lo, hi FROM ("
+          + " UNION ALL ".join(f"SELECT '{c}' AS column_name, COUNT(*) AS n_rows, COUNT(*) - COUNT({c}) AS n_null, MIN({c})::DOUBLE AS lo, "
+                               f"MAX({c})::DOUBLE AS hi FROM orders" for c in ("o_orderkey", "o_custkey", "o_totalprice")) + ")")
+def profile_merged(spark, d):
+    """The exact part of a profile merged from those of three loads (the sketches' estimates are tested by themselves)."""
+    o = T.table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    path = scratch_path(spark, f"profile-{uuid.uuid4().hex}")
+    for i in range(3):
+        PR.add_profile(spark, o.where(F.col("o_orderkey") % 3 == i), path)
+    return PR.stored_profile(spark, path).select("column", "n_rows", "n_null", "lo", "hi")

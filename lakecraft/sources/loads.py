@@ -17,6 +17,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import time
+from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
@@ -55,13 +56,13 @@ def latest(spark: SparkSession, path: str) -> tuple[int, DataFrame | None]:
     return (entries[-1].load, _read(spark, path, entries[-1])) if entries else (0, None)
 
 
-def _write(spark: SparkSession, df: DataFrame, path: str, name: str, kind: str) -> int:
+def _write(spark: SparkSession, df: DataFrame, path: str, name: str, kind: str, partition_by: Sequence[str] = ()) -> int:
     entries = _entries(spark, path)
     if any(e.kind != kind for e in entries):
         raise ValueError(f"{path} is kept as {entries[0].kind}s")
     n = entries[-1].load + 1 if entries else 1
     folder = f"{path}/load={n}"
-    rows = write_observed(df, name, lambda d: d.write.mode("overwrite").parquet(folder))
+    rows = write_observed(df, name, lambda d: d.write.mode("overwrite").partitionBy(*partition_by).parquet(folder))
     if kind == "part" and not rows and entries:
         return 0
     fs, place = file_system(spark, folder)
@@ -71,9 +72,9 @@ def _write(spark: SparkSession, df: DataFrame, path: str, name: str, kind: str)
     return rows
 
 
-def publish(spark: SparkSession, df: DataFrame, path: str, name: str = "load") -> int:
+def publish(spark: SparkSession, df: DataFrame, path: str, name: str = "load", partition_by: Sequence[str] = ()) -> int:
     """Write the next load, the table's whole content; returns its number of rows."""
-    return _write(spark, df, path, name, "whole")
+    return _write(spark, df, path, name, "whole", partition_by)
 
 
 def append_part(spark: SparkSession, df: DataFrame, path: str, name: str = "part") -> int:

@@ -61,6 +61,21 @@ def clustered_write(df: DataFrame, path: str, sort_by: Sequence[str], num_files:
     w.parquet(path)
 
 
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str | None = None, partition_by: Sequence[str] = ()) -> None:
+    """Bucketed and sorted table: one file per bucket (and partition value). Tables with the same number of buckets of the
+    join key are joined without a shuffle on either side (:func:`bucketed_lookup`)."""
+    w = df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    (w.option("path", path) if path else w).saveAsTable(table)
+
+
+def bucketed_lookup(spark: SparkSession, fact: str, dim: str, key: str, columns: Sequence[str], how: str = "inner") -> DataFrame:
+    """Facts with ``columns`` of the dimension table, both bucketed by ``key`` alike: a sort-merge join of their buckets
+    where they lie. (A dimension small enough is broadcast instead, as the session's threshold says.)"""
+    return spark.table(fact).join(spark.table(dim).select(key, *columns), key, how)
+
+
 def bronze_land(df: DataFrame, path: str, ingest_ts=None) -> DataFrame:
     """Land raw rows unchanged plus lineage columns (ingest time, source file)
     into the bronze zone, partitioned by ingest date; returns the landed frame."""
