@@ -239,9 +239,9 @@ def load_diff(spark, d):
     c = T.customers(spark, d).select("customer_id", "full_name", "segment")
     k = F.col("customer_id") % 499
     path = scratch_path(spark, f"versions-{uuid.uuid4().hex}")
-    old = publish_bucketed(spark, c.where(k != 5), path, "customer_id", 64)
+    old = publish_bucketed(spark, c.where(k != 5), path, "customer_id", 16)
     changed = F.when(k == 3, F.concat("segment", F.lit("*"))).otherwise(F.col("segment"))
-    new = publish_bucketed(spark, c.where(k != 4).withColumn("segment", changed), path, "customer_id", 64)
+    new = publish_bucketed(spark, c.where(k != 4).withColumn("segment", changed), path, "customer_id", 16)
     feed = diff_loads(spark, path, old, new, "customer_id", ["full_name", "segment"])
     return feed.select("customer_id", "op", F.col("before.segment").alias("old_segment"), F.col("after.segment").alias("new_segment"))
 

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from lakecraft.session import file_system, materialize
 
-ENTRY = "version long, batch string, part string, n_groups long, n_values long"
+ENTRY = "version long, batch string, part string"
 SUM_TYPE = "decimal(38,6)"
 
 
@@ -125,7 +125,6 @@ def apply_changes(spark: SparkSession, path: str, spec: Summary, changes: DataFr
     version = max((e.version for e in entries), default=0) + 1
     newest = _newest(entries)
     versions = {p: newest[p] for p in touched if p in newest}
-    counts = {}
     for table, delta, by in (("groups", groups, ["_part", *spec.keys]), ("values", values, ["_part", *spec.keys, "_col", "_value"])):
         numbers = [c for c in delta.columns if c not in by]
         kept = type(delta.schema)([f for f in delta.schema.fields if f.name != "_part"])
@@ -134,12 +133,10 @@ def apply_changes(spark: SparkSession, path: str, spec: Summary, changes: DataFr
         obs = Observation(table)
         watched = merged.observe(obs, F.count_if(F.col("n") < 0).alias("below"))
         left = " OR ".join(f"`{c}` <> 0" for c in numbers)
-        watched.where(left).write.mode("overwrite").partitionBy("_part").parquet(f"{path}/{table}/version={version}")
+        watched.where(left).hint("rebalance", "_part").write.mode("overwrite").partitionBy("_part").parquet(f"{path}/{table}/version={version}")
         if strict and obs.get["below"]:
             raise ValueError(f"batch {batch} takes away rows that {path} never had")
-        written = spark.read.schema("n long, _part string").parquet(f"{path}/{table}/version={version}")
-        counts[table] = {r[0]: r[1] for r in written.groupBy("_part").count().collect()}
-    rows = [(version, str(batch), p, counts["groups"].get(p, 0), counts["values"].get(p, 0)) for p in touched]
+    rows = [(version, str(batch), p) for p in touched]
     if rows:
         spark.createDataFrame(rows, ENTRY).coalesce(1).write.mode("overwrite").parquet(f"{path}/_entries/version={version}")
     return len(rows)

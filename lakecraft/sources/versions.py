@@ -21,9 +21,9 @@ SUMS = "bucket int, buckets int, n long, mix long, total decimal(38,0)"
 
 def publish_bucketed(spark: SparkSession, df: DataFrame, path: str, key: str, buckets: int = 256, name: str = "load") -> int:
     """Publish ``df`` as the next load, by buckets of ``key``, with their checksums; returns the load's number. The rows of
-    a bucket stand in a folder of their own."""
+    a bucket stand in a folder of their own, in few files (small buckets share a task, large ones are split)."""
     rows = df.withColumn("_bucket", F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int"))
-    publish(spark, rows.repartition("_bucket"), path, name, partition_by=["_bucket"])
+    publish(spark, rows.hint("rebalance", "_bucket"), path, name, partition_by=["_bucket"])
     n, stored = latest(spark, path)
     cols = [F.col(f"`{c}`") for c in df.columns]
     # the xor alone would not see a row that stands twice, the sum alone is weaker against chosen values
