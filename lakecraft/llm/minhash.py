@@ -255,6 +255,28 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
             .select(*[F.col(f"`{c}`") for c in cols]))
 
 
+#: Contract op6 in DuckDB: distinct shingle sets, shared shingles counted by a self-join, a recursive walk over the links.
+OP6_SQL = r"""
+WITH RECURSIVE txt AS (
+  SELECT doc_id, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 1 THEN w ELSE list_sort(list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) END AS s FROM txt),
+class AS (SELECT min(doc_id) AS c, s FROM sets GROUP BY s),
+part AS (SELECT c, len(s) AS n, unnest(s) AS x FROM class),
+common AS (
+  SELECT a.c AS a, b.c AS b, any_value(a.n) AS an, any_value(b.n) AS bn, COUNT(*) AS k FROM part a JOIN part b
+  ON a.x = b.x AND a.c < b.c AND 100 * LEAST(a.n, b.n) >= 80 * GREATEST(a.n, b.n) GROUP BY ALL),
+link AS (SELECT a, b FROM common WHERE 100 * k >= 80 * (an + bn - k)),
+both_ways AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+walk(a, b) AS (SELECT a, a FROM both_ways UNION SELECT walk.a, both_ways.b FROM walk JOIN both_ways ON walk.b = both_ways.a),
+root AS (SELECT a AS c, min(b) AS r FROM walk GROUP BY a),
+member AS (SELECT doc_id, len(sets.s) AS n, CASE WHEN len(sets.s) = 0 THEN doc_id ELSE COALESCE(r, class.c) END AS component
+           FROM sets JOIN class ON class.s = sets.s LEFT JOIN root ON root.c = class.c)
+SELECT doc_id, n::BIGINT AS n_shingles, component AS component_id, component = doc_id AS kept FROM member
+"""
+
+
 def op6_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:
     """Contract op6: shingles of two words, similarity of 0.8 or more, whole ``documents``."""
     return near_duplicates(documents(spark, sf_dir), width=2).drop("_llm_k1", "_llm_k2")

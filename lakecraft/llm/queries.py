@@ -4,13 +4,13 @@ from lakecraft.llm.fingerprint import op7_document_fingerprints
 from lakecraft.llm.infill import OP13_SQL, op13_infill
 from lakecraft.llm.language import op1_language_id
 from lakecraft.llm.licenses import op10_license_scan
-from lakecraft.llm.minhash import op6_minhash_near_dedup
+from lakecraft.llm.minhash import OP6_SQL, op6_minhash_near_dedup
 from lakecraft.llm.mixing import op2_source_mixing
 from lakecraft.llm.nearest import op8_nearest_neighbours
 from lakecraft.llm.negatives import OP11_SQL, op11_hard_negatives
 from lakecraft.llm.packing import op3_best_fit_packing
 from lakecraft.llm.sharding import op5_sharding
-from lakecraft.llm.substring import op9_substring_dedup
+from lakecraft.llm.substring import OP9_SQL, op9_substring_dedup
 from lakecraft.llm.toxicity import op4_toxicity
 from lakecraft.llm.urls import OP12_SQL, op12_url_filter
 
@@ -31,6 +31,8 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op6_minhash_near_dedup": OP6_SQL,
+    "op9_substring_dedup": OP9_SQL,
     "op11_hard_negatives": OP11_SQL,
     "op12_url_filter": OP12_SQL,
     "op13_infill": OP13_SQL,

@@ -333,6 +333,22 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return whole.unionByName(both.mapInArrow(_cut(text_col, digest), schema))
 
 
+#: Contract op9 in DuckDB: every window's hash, counted; a word goes if a repeated window begins at it or at one of the 34 before.
+OP9_SQL = r"""
+WITH txt AS (SELECT doc_id, regexp_extract_all(COALESCE(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+word AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS i FROM txt),
+win AS (SELECT doc_id, i, CASE WHEN COUNT(*) OVER p = 35 THEN sha256(string_agg(word, ' ') OVER p) END AS h FROM word
+        WINDOW p AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING)),
+often AS (SELECT h FROM win WHERE h IS NOT NULL GROUP BY h HAVING COUNT(*) > 1),
+marked AS (SELECT doc_id, i, h IN (SELECT h FROM often) AS hit FROM win),
+cover AS (SELECT doc_id, i, COALESCE(bool_or(hit) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW), FALSE) AS gone FROM marked),
+kept AS (SELECT doc_id, COUNT(*) AS n, COUNT(*) FILTER (WHERE gone) AS r, COALESCE(string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT gone), '') AS t
+         FROM cover JOIN word USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, COALESCE(n, 0)::BIGINT AS n_words, COALESCE(r, 0)::BIGINT AS n_removed, sha256(COALESCE(t, '')) AS kept_sha256
+FROM txt LEFT JOIN kept USING (doc_id)
+"""
+
+
 def op9_substring_dedup(spark, sf_dir: str) -> DataFrame:
     """Contract op9: windows of 35 words over every whole text of ``documents``."""
     return remove_repeats(documents(spark, sf_dir), digest=True, keep=["doc_id"])
