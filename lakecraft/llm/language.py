@@ -10,14 +10,16 @@ The model is fitted on a bounded sample: expected ``max_rows`` labelled texts
 are taken whole, and each may have ``MIN_ROWS`` however many languages there
 are. At most ``max_words`` words and ``max_grams`` n-grams are kept, by the best
 rank that a key has among a language's keys of its order, so that no language's
-most frequent keys give way to another's rare ones. Prediction is one pass
+most frequent keys give way to another's rare ones. Keys seen once in all are kept
+only for languages whose words (n-grams) are no more than their even share of that
+number; a rare language keeps all it has. Prediction is one pass
 without a shuffle over whole texts; workers memoise words in a bounded cache.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0;
 rows with null lang, text or id don't train, and rows equal in id, text and
 lang train once; without any training row all
 texts are ``und``; equal scores take the first language by code point; columns
-named like a result are replaced.
+named like a result, in any case, are replaced; a very long text is read whole, word by word.
 """
 
 from __future__ import annotations
@@ -38,6 +40,7 @@ MIN_ROWS = 50             # texts that every language may have
 MAX_WORDS = 150_000
 MAX_GRAMS = 100_000
 ORDERS = (4, 3, 2, 1)
+ALL = (1 << 31) - 1
 CACHE = 300_000
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -100,8 +103,10 @@ def level(sizes: list[int], total: int) -> float:
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_rows: int = MAX_ROWS,
-        max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS) -> Model:
-    """Learn from texts with a language, at most about ``max_rows`` of them."""
+        max_words: int | None = MAX_WORDS, max_grams: int | None = MAX_GRAMS) -> Model:
+    """Learn from texts with a language, at most about ``max_rows`` of them. Without ``max_words`` or
+    ``max_grams`` (None) every word or n-gram of these texts is kept."""
+    max_words, max_grams = (ALL if m is None else m for m in (max_words, max_grams))
     known = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("t"), F.col(lang_col).alias("l")).where(
         "_id IS NOT NULL AND t IS NOT NULL AND l IS NOT NULL")
     mark = F.xxhash64(F.lit(11), "_id", "t")
@@ -138,8 +143,13 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     ties = ties.withColumn("higher", F.coalesce(higher, F.lit(0)))
     ranked = counts.join(F.broadcast(ties), ["l", "n", "c"]).withColumn("rank", F.col("higher") + F.pmod(F.xxhash64("k"), F.col("same")))
     # one row per key, best ranks first; bounded by the two parameters
-    keyed = ranked.groupBy("n", "k").agg(F.sum("c").alias("all"), F.min("rank").alias("rank"), F.map_from_entries(F.collect_list(F.struct("l", "c"))).alias("by"))
-    keyed = keyed.where("all > 1")
+    word = F.col("n") == 0
+    held = counts.groupBy("l", word.alias("word")).agg(F.count(F.lit(1)).alias("keys")).collect()          # two rows per language
+    few = {w: [r.l for r in held if r.word == w and r["keys"] <= share / len(sizes)] for w, share in ((True, max_words), (False, max_grams))}
+    small = F.when(word, F.col("l").isin(few[True])).otherwise(F.col("l").isin(few[False]))
+    keyed = ranked.groupBy("n", "k").agg(F.sum("c").alias("all"), F.min("rank").alias("rank"), F.bool_or(small).alias("small"),
+                                         F.map_from_entries(F.collect_list(F.struct("l", "c"))).alias("by"))
+    keyed = keyed.where("all > 1 OR small")
     totals = counts.groupBy("l", "n").agg(F.sum("c").alias("c")).collect()
     words = keyed.where("n = 0").orderBy("rank", F.desc("all"), "k").limit(max_words).collect()
     parts = keyed.where("n > 0").orderBy("rank", F.desc("all"), "n", "k").limit(max_grams).collect()
@@ -161,7 +171,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``keep`` (default: all columns) plus lang_pred and score, the predicted
     language's share of the length-tempered likelihood."""
-    cols = [c for c in (keep or docs.columns) if c not in ("lang_pred", "score")]
+    cols = [c for c in (keep or docs.columns) if c.lower() not in ("lang_pred", "score")]
     shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.words, model.by_order))      # bounded by max_words and max_grams
     left = docs.select(*[F.col(f"`{c}`") for c in cols], F.col(text_col).alias("_llm_text"))
 

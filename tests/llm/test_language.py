@@ -1,7 +1,12 @@
+import math
+import re
 import zlib
+from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
+from lakecraft.llm import language as LG
 from lakecraft.llm.language import Model, fit, level, op1_language_id, predict
 
 
@@ -72,3 +77,60 @@ def test_repeated_rows_train_once(spark):
     docs = spark.createDataFrame([(1, "uno dos uno", "es")] * 500 + [(2, "one two one", "en"), (1, "tres tres", "es")], "doc_id long, text string, lang string")
     once, many = fit(docs.distinct()), fit(docs)
     assert {w: list(v) for w, v in once.words.items()} == {w: list(v) for w, v in many.words.items()}
+
+
+def test_rare_languages_keep_words_seen_once(spark):
+    """A language with few words keeps all of them, a large one only those seen again; without bounds all are kept."""
+    big = [(i, f"alpha beta w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}x", "big") for i in range(500)]
+    rare = [(900, "uno dos tres", "rare"), (901, "cuatro uno", "rare")]
+    df = spark.createDataFrame(big + rare, "doc_id long, text string, lang string")
+    model = LG.fit(df, max_words=200, max_grams=10_000)
+    assert {"uno", "dos", "tres", "cuatro"} <= set(model.words) and "waax" not in model.words and len(model.words) <= 200
+    every = LG.fit(df, max_words=None, max_grams=None)
+    assert set(every.words) == {w for _, t, _ in big + rare for w in t.split()}
+    assert sum(map(len, every.by_order.values())) == len({(n, g) for w in every.words for n in LG.ORDERS for g in LG.grams(w, n)})
+
+
+def test_whole_prediction_recomputed(spark):
+    """Counting, log frequencies, back-off and the choice in plain Python, for every document (nothing is cut at this size)."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang").collect()
+    counts, known = {}, {}
+    for d in docs:
+        if zlib.crc32(str(d.doc_id).encode()) % 4 != 2 and d.lang is not None and d.text is not None:
+            known[d.doc_id, d.text, d.lang] = re.findall(r"[^\W\d_]+", d.text.lower())
+    for (_, _, lang), words in known.items():
+        for w in words:
+            for n in range(5):
+                edge = f"^{w}$" if n > 1 else w
+                for key in [w] if n == 0 else [edge[i:i + n] for i in range(len(edge) - n + 1)]:
+                    counts.setdefault(n, {}).setdefault(lang, Counter())[key] += 1
+    langs = sorted({lang for _, _, lang in known})
+    sums = {(n, x): sum(c.values()) for n, by in counts.items() for x, c in by.items()}
+    unseen = {n: 0.5 / max(sums[n, x] for x in langs) for n in counts}
+    assert all(len(c) <= LG.MAX_WORDS / len(langs) for c in counts[0].values())
+
+    def logs(n, key):
+        v = [math.log(counts[n][x][key] / sums[n, x] + unseen[n]) for x in langs]
+        return [a - max(v) for a in v]
+
+    model = fit(spark.createDataFrame([(i, t, x) for i, t, x in known], "doc_id long, text string, lang string"), max_grams=None)
+    got = {r.doc_id: r for r in predict(spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text"), model).collect()}
+    for d in docs:
+        words = re.findall(r"[^\W\d_]+", (d.text or "").lower())
+        total = [0.0] * len(langs)
+        for w in words:
+            vectors = [logs(0, w)] if any(counts[0][x][w] for x in langs) else []
+            half = not vectors
+            for n in (4, 3, 2, 1) if half else ():
+                edge = f"^{w}$" if n > 1 else w
+                vectors = [logs(n, edge[i:i + n]) for i in range(len(edge) - n + 1) if any(counts[n][x][edge[i:i + n]] for x in langs)]
+                if vectors:
+                    break
+            total = [t + sum(v[j] for v in vectors) * (0.5 if half else 1) for j, t in enumerate(total)]
+        if not words:
+            assert got[d.doc_id].lang_pred == "und"
+            continue
+        best = max(total)
+        assert got[d.doc_id].lang_pred == langs[total.index(best)] or sorted(total)[-1] - sorted(total)[-2] < 1e-2
+        score = 1 / sum(math.exp((t - best) / math.sqrt(len(words))) for t in total)
+        assert got[d.doc_id].score == pytest.approx(score, abs=1e-3)
