@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from lakecraft.operators.cdc import decode_envelope, row_key
 from lakecraft.operators.windows import latest_per_key
+from lakecraft.session import file_system
 
 
 def raw_to_bronze(raw: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
@@ -71,18 +72,42 @@ def apply_batch(changes: DataFrame, batch_id: int, path: str, key: str, row: T.S
     _newest(keyed, order).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
 
+def fold(spark: SparkSession, path: str, row: T.StructType, upto: int, order: Sequence[str] = ("ts_ms", "_offset")) -> int:
+    """Replace the batches up to ``upto`` by one that holds the newest change of each of their keys (deletes included: an
+    older change that comes late must still lose); returns how many it replaced. Reads then cost the table's size and
+    the batches since, whatever the table's age. The new folder comes before the old ones go, and merging changes twice
+    gives the same rows, so an interrupted fold leaves the table right and the next one ends its work."""
+    fs, place = file_system(spark, path)
+    old = [s.getPath() for s in fs.listStatus(place) if s.getPath().getName().startswith("batch=")]
+    numbers = {int(p.getName()[6:]): p for p in old}
+    folded = {n: p for n, p in numbers.items() if n <= upto}
+    if len(folded) < 2:
+        return 0
+    state = _newest(read_changes(spark, path, row, order).where(F.col("batch") <= upto), order)
+    staging = f"{path}/_fold"
+    state.write.mode("overwrite").parquet(staging)
+    if not fs.rename(file_system(spark, staging)[1], file_system(spark, f"{path}/batch={min(min(numbers), 0) - 1}")[1]):
+        raise OSError(f"cannot move {staging}")
+    for p in folded.values():
+        fs.delete(p, True)
+    return len(folded)
+
+
 def rejects(decoded: DataFrame) -> DataFrame:
     """Messages that are no change envelopes."""
     return decoded.where(F.col("op").isNull())
 
 
 def apply_query(raw: DataFrame, path: str, key: str, row: T.StructType, checkpoint: str,
-                reject_path: str | None = None, trigger: dict | None = None):
+                reject_path: str | None = None, trigger: dict | None = None, fold_every: int | None = None):
     """Stream: decode change messages and apply each micro-batch to ``path``;
-    undecodable ones go to ``reject_path`` (per batch, so a replay repeats none)."""
+    undecodable ones go to ``reject_path`` (per batch, so a replay repeats none).
+    Before each ``fold_every``-th batch the ones before it are folded (:func:`fold`)."""
     decoded = decode_envelope(raw, row).withColumnRenamed("offset", "_offset")
 
     def each(batch: DataFrame, batch_id: int):
+        if fold_every and batch_id and batch_id % fold_every == 0:
+            fold(batch.sparkSession, path, row, batch_id - 1)
         apply_batch(batch, batch_id, path, key, row)
         if reject_path:
             rejects(batch).select("value", "_offset").write.mode("overwrite").json(f"{reject_path}/batch={batch_id}")
