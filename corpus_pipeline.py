@@ -3,6 +3,12 @@
 Each stage takes (spark, docs, sf_dir) and works on all that the one before
 kept. The first four return the columns of ``documents``; the last returns the
 packed sequences.
+
+Defined cases, for every stage: an empty table gives an empty table; further
+columns, whatever their names, are not carried on; very long texts are read
+whole; null texts count as empty and are never toxic, alike or cut; rows with
+null ids, languages or sources go through like others. What each stage does
+with ties and repeated rows is said there.
 """
 
 from __future__ import annotations
@@ -21,18 +27,21 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier doesn't call toxic (it learns from all labels)."""
+    """Documents that the classifier doesn't call toxic (it learns from all labels). Repeated rows are judged alike
+    and each of them stays or goes; a score equal to the threshold is toxic; without a toxic label all stay."""
     model = fit(docs, documents(spark, sf_dir, "labels"))
     return score(docs, model).where("predicted = 0").select(*COLUMNS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group with a similarity of 0.8 or more on shingles of five words."""
+    """One document of each group with a similarity of 0.8 or more on shingles of five words: the one with the least
+    id, also of equal texts; of rows equal in id and text one. Texts without words all stay."""
     return drop_near_duplicates(docs.select(*COLUMNS), width=5)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the passages that repeat anywhere; the text of others stays as it is."""
+    """Documents without the passages that repeat anywhere; the text of others stays as it is. Every place of a
+    repeated passage goes, none is favoured; a document that is all repeats stays with an empty text."""
     cut = remove_repeats(docs.select(*COLUMNS))
     text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
     return cut.select("doc_id", text.alias("text"), "lang", "source",
@@ -40,12 +49,14 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix to target weights; each taken part of a document is a row."""
+    """The mix to target weights; each taken part of a document is a row. A null source is a source of its own,
+    the last; documents without words are not taken; reruns agree."""
     return mix_texts(docs.select(*COLUMNS), length_col="n_chars")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 4096 tokens: per piece its row's document and source, span, sequence and offset."""
+    """Sequences of at most 4096 tokens: per piece its row's document and source, span, sequence and offset. An empty
+    text is a piece of its end token; rows of one document are packed one by one; equal lengths in any order."""
     return pack_documents(docs.select(*COLUMNS), keep=["doc_id", "source"])
 
 
