@@ -3,8 +3,9 @@
 Texts become words: ASCII upper case is lowered, and runs of ASCII letters,
 digits and any non-ASCII characters are words. A rule is a regex over the words
 from its first word on, with a label, a priority and a confidence. The rules
-come from a hand-written list of license families (names and versions) and of
-phrases that licenses are granted in: a few hundred regexes.
+come from hand-written lists of license families (names and versions), of
+phrases that licenses are granted in, and of wording from license texts
+themselves, which tell a license that is not named: a few hundred regexes.
 
 1. Prefilter: one regex over the text, made of the words that no rule can do
    without; other texts are only counted.
@@ -14,11 +15,13 @@ phrases that licenses are granted in: a few hundred regexes.
    earlier one of that order is suppressed (same span: the better priority stays).
 
 Everything is computed within the row by DataFrame functions: no shuffle, no
-join, no Python; the rules are a literal of fixed size.
+join, no Python; the rules are a literal of fixed size. Of one place the first
+detection suppresses the others, so each is compared with at most ``SPAN`` before
+it, and the work on a text grows with its length.
 
 Defined cases: null and empty texts have no words and score 0; repeated rows
-give equal results; overlapping detections none of which contains another all
-stay; columns named like a result are replaced.
+give equal results; very long texts are read whole; overlapping detections none of
+which contains another all stay; columns named like a result are replaced.
 """
 
 from __future__ import annotations
@@ -89,6 +92,37 @@ FAMILIES = [
 ]
 # The base phrases and their labels.
 BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
+# Wording of license texts as label, keyword and pattern (in words; of SPAN words at most). The keyword is
+# part of the wording; a text without any keyword or name is not searched.
+BODIES = [
+    ("mit", "hereby granted", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
+    ("mit", "permission notice shall", "above copyright notice and this permission notice (?:including the next paragraph )?shall be included in all copies or substantial portions"),
+    ("bsl-1.0", "hereby granted", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying"),
+    ("isc", "without fee", "permission to use copy modify (?:and |or |and or )distribute this software for any purpose with or without fee is hereby granted"),
+    ("postgresql", "without fee", "permission to use copy modify and distribute this software and its documentation for any purpose without fee and without"),
+    ("bsd", "binary forms", "redistribution and use in source and binary forms with or without modification are permitted"),
+    ("bsd-3-clause", "endorse or promote", "may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("bsd-4-clause", "following acknowledgement", "advertising materials mentioning features or use of this software must display the following acknowledgement"),
+    ("apache-2.0", "agreed to in writing", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on"),
+    ("apache-2.0", "irrevocable copyright", "each contributor hereby grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable copyright license"),
+    ("zlib", "plainly marked", "altered source versions must be plainly marked as such and must not be misrepresented as being the original software"),
+    ("zlib", "be misrepresented", "origin of this software must not be misrepresented you must not claim that you wrote the original software"),
+    ("gpl", "can redistribute", "free software you can redistribute it and or modify it under the terms of the gnu general public license"),
+    ("lgpl", "can redistribute", "free software you can redistribute it and or modify it under the terms of the gnu (?:lesser|library) general public license"),
+    ("agpl", "can redistribute", "free software you can redistribute it and or modify it under the terms of the gnu affero general public license"),
+    ("gfdl", "this document under", "permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license"),
+    ("mpl-2.0", "source code form", "source code form is subject to the terms of the mozilla public license v 2 0"),
+    ("unlicense", "and unencumbered", "free and unencumbered software released into the public domain"),
+    ("wtfpl", "just do what", "just do what the fuck you want to"),
+    ("ncsa", "deal with the software", "deal with the software without restriction"),
+    ("ofl", "the font software", "neither the font software nor any of its individual components in original or modified versions may be sold by itself"),
+    ("openssl", "openssl project", "product includes software developed by the openssl project"),
+    ("psf", "grants licensee", "psf hereby grants licensee a nonexclusive royalty free world wide license to reproduce"),
+    ("cc0", "irrevocably and unconditionally", "affirmer hereby overtly fully permanently irrevocably and unconditionally waives"),
+    ("cc", "licensed rights", "exercising the licensed rights (?:defined below )?you accept and agree to be bound by"),
+    ("busl", "non production use", "licensor hereby grants you the right to copy modify create derivative works redistribute and make non production use"),
+    ("elastic", "hosted or managed", "provide the software to third parties as a hosted or managed service"),
+]
 # Words that grant a license, and the words that may follow them.
 GRANTS = ("licensed", "released", "distributed", "available", "published", "provided")
 _UNDER = "under (?:the |a )?(?:terms of |conditions of )?(?:the |a )?"
@@ -99,6 +133,11 @@ def _words(text: str) -> str:
     return "".join(("licen[cs]e" if w == "license" else re.escape(w)) + " " for w in text.split())
 
 
+def _wording(text: str) -> str:
+    """A wording as a pattern over words that all end in a space; groups may hold several words."""
+    return "^" + re.sub(r"licen[cs]e(?= |$)", "licen[cs]e", text) + " "
+
+
 def _version(v: str) -> str:
     """A version behind a name, said in one of the usual ways."""
     a, _, b = v.partition(" ")
@@ -115,6 +154,7 @@ def rules() -> list[tuple]:
     out = []
     for phrase, label in BASE.items():
         out.append((phrase.split()[0], phrase.split()[1], "^" + "".join(w + " " for w in phrase.split()), label, 9, 0.6, True))
+    out += [(text.split()[0], key.split()[-1], _wording(text), label, 2, 0.95, False) for label, key, text in BODIES]
     for label, names, versions in FAMILIES:
         for name in names:
             first, key = name.split()[0], name.split()[-1][:5]
@@ -142,6 +182,7 @@ def prefilter() -> str:
         words = name.split()
         need.add("licen[cs]e" if "license" in words or "licence" in words else _GAP.join(map(re.escape, words)))
     need.add(f"spdx{_GAP}licen[cs]e")
+    need |= {_GAP.join(map(re.escape, key.split())) for _, key, _ in BODIES}
     # a name that contains another needs no branch of its own
     kept = [n for n in need if not any(o != n and re.search(re.escape(o), n) for o in need)]
     return "(?i)(?:" + "|".join(sorted(kept)) + ")"
@@ -178,15 +219,16 @@ def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
         return F.struct(a["i"].alias("start"), F.when(F.contains(a["c"], r["key"]), -a["i"] - span).otherwise(-a["i"]).alias("back"),
                         r["priority"].alias("priority"), r["label"].alias("label"), r["confidence"].alias("confidence"), r["base"].alias("base"))
 
-    hits = F.flatten(F.transform("_llm_at", lambda a: F.filter(F.transform(by_word[a["w"]], lambda r: tried(a, r)), lambda d: -d["back"] > d["start"])))
-    df = df.withColumn("_llm_d", F.array_sort(hits)).drop("_llm_at", "_llm_w")
+    here = F.transform("_llm_at", lambda a: F.array_sort(F.filter(F.transform(by_word[a["w"]], lambda r: tried(a, r)), lambda d: -d["back"] > d["start"])))
+    hits = F.flatten(F.transform(here, lambda ds: F.concat(F.filter(ds, lambda d: d["base"]), F.slice(F.filter(ds, lambda d: ~d["base"]), 1, 1))))
+    df = df.withColumn("_llm_d", hits).drop("_llm_at", "_llm_w")
     shown = lambda d: F.struct(d["start"].cast("long").alias("start"), (-d["back"]).cast("long").alias("stop"), d["label"].alias("label"), d["confidence"].alias("confidence"))
-    kind = "struct<start:bigint,stop:bigint,label:string,confidence:double>"
     df = df.withColumn("found", F.transform(F.filter("_llm_d", lambda d: d["base"]), shown))
-    start = F.struct(F.lit(-1).cast("long").alias("reach"), F.array().cast(f"array<{kind}>").alias("kept"))
-    step = lambda acc, d: F.when(d["stop"] > acc["reach"], F.struct(d["stop"].alias("reach"), F.array_append(acc["kept"], d).alias("kept"))).otherwise(acc)
     rest = F.transform(F.filter("_llm_d", lambda d: ~d["base"]), shown)
-    df = df.withColumn("kept", F.aggregate(rest, start, step, lambda acc: acc["kept"])).drop("_llm_d")
+    # at most one per start, and none is longer than SPAN: what contains a detection is among the SPAN before it
+    before = lambda ds, i: F.slice(ds, F.greatest(i - SPAN + 1, F.lit(1)), F.least(i, F.lit(SPAN)))
+    free = lambda ds: F.filter(ds, lambda d, i: ~F.exists(before(ds, i), lambda e: e["stop"] >= d["stop"]))
+    df = df.withColumn("kept", F.transform(F.array(rest), free)[0]).drop("_llm_d")
     joined = lambda *a: F.array_join(F.array_sort(F.array_distinct(F.concat(*a))), ",")
     return (df.withColumn("n_base", F.size("found").cast("long"))
             .withColumns({"first_word": F.array_min("found.start"), "last_word": F.array_max("found.start"),

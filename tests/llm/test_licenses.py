@@ -2,7 +2,7 @@ import re
 
 import pytest
 
-from lakecraft.llm.licenses import BASE, op10_license_scan, prefilter, rules, scan
+from lakecraft.llm.licenses import BASE, BODIES, SPAN, op10_license_scan, prefilter, rules, scan
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -68,3 +68,40 @@ def test_edges(spark):
 def test_hundreds_of_rules_all_behind_the_prefilter():
     table = rules()
     assert len(table) > 300 and len({r[3] for r in table}) > 60
+
+
+def plain(wording):
+    """A wording with its choices taken: the first of several words, no optional ones."""
+    s = re.sub(r"\(\?:([^)|]*?)\)\?", "", wording)
+    return re.sub(r"\(\?:([^)|]*)(?:\|[^)]*)?\)", r"\1", s)
+
+
+def test_license_texts_without_a_name(spark):
+    bodies = [(label, plain(text), text) for label, _, text in BODIES]
+    assert all(len(p.split()) <= SPAN for _, p, _ in bodies) and not any("(" in p for _, p, _ in bodies)
+    # upper case, commas and line breaks between words, other words around
+    texts = ["Some lines before. " + p.upper().replace(" ", ", \n * ") + ". And after." for _, p, _ in bodies]
+    # the wording cut before its last word is no license
+    texts += ["Some lines before. " + " ".join(p.split()[:-1]) + " elsewhere" for _, p, _ in bodies]
+    got = {r.i: r for r in scan(spark.createDataFrame(list(enumerate(texts)), "i int, text string")).collect()}
+    for i, (label, p, _) in enumerate(bodies):
+        assert label in got[i].labels.split(","), (label, got[i].labels)
+        assert got[i].score >= 0.95
+        assert label not in [d.label for d in got[len(bodies) + i].kept if d.confidence == 0.95], p
+    for i, t in enumerate(texts):
+        r = got[i]
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels, r.labels, r.score) == brute(t), t
+
+
+def test_wording_outranks_the_name_inside(spark):
+    t = ("This is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License "
+         "as published; redistribution and use in source and binary forms, with or without modification, are permitted")
+    r = scan(spark.createDataFrame([(t,)], "text string")).first()
+    assert [(d.label, d.confidence) for d in r.kept] == [("gpl", 0.95), ("bsd", 0.95)] and r.n_base == 1 and r.labels == "bsd,gpl"
+
+
+def test_many_detections_in_one_text(spark):
+    t = "licensed under the Apache License 2.0, GNU GPL 3 or later; MIT license " * 3000
+    r = scan(spark.createDataFrame([(t,)], "text string")).first()
+    assert len(r.kept) == 9000 and r.n_base == 6000
+    assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels, r.labels, r.score) == brute(t)
