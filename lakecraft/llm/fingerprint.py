@@ -38,6 +38,8 @@ from lakecraft.llm.words import SLICE_BYTES, U64, Words, column_bytes, mix64, po
 LEAVES = 64
 #: Segments of consecutive ids at most: what the driver holds and broadcasts of them is bounded by it.
 SEGMENTS = 1 << 16
+#: Rows that a segment is not made smaller than to busy more tasks.
+SEGMENT_ROWS = 64
 _CODE = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_", np.uint8)
 _VALUE = np.zeros(256, np.uint32)
 _VALUE[_CODE] = np.arange(64)
@@ -253,17 +255,20 @@ def differing(left: DataFrame, right: DataFrame, id_col: str = "doc_id") -> Data
 def with_next(docs: DataFrame, id_col: str, text_col: str, bytes_each: int = 16 << 20) -> DataFrame:
     """Rows (seg, extra, id, text) in segments of consecutive ids, each followed by the first row of
     the next segment (``extra`` = 1; after the last, of the first), so that every row meets its
-    successor inside one segment. Only ids are sampled and counted beforehand; texts move once."""
+    successor inside one segment. Segments are cut by sampled ids and sizes; texts move once."""
     spark = docs.sparkSession
     base = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     total = base.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("b")).first()
-    want = min(SEGMENTS, max(1, -(-(total.b or 0) // bytes_each)))
+    # segments of about bytes_each; smaller ones where there would be fewer than a few for every task
+    want = min(SEGMENTS, max(1, -(-(total.b or 0) // bytes_each), min(4 * partitions(spark), total.n // SEGMENT_ROWS)))
+    cuts = []
     if want > 1:
         share = min(1.0, 40.0 * want / total.n)
-        sample = sorted(r.id for r in base.select("id").where("id IS NOT NULL").sample(share, seed=3).collect())
-        cuts = sorted({sample[len(sample) * k // want] for k in range(1, want)}) if sample else []
-    else:
-        cuts = []
+        sample = base.where("id IS NOT NULL").sample(share, seed=3).select("id", (F.octet_length("text") + 1).alias("size")).collect()
+        sample.sort(key=lambda r: r.id)
+        reach = np.cumsum([r.size for r in sample])
+        if sample:      # cuts at equal shares of the sampled bytes
+            cuts = sorted({sample[at].id for at in np.searchsorted(reach, reach[-1] * np.arange(1, want) / want)})
     cuts = np.array(cuts)
 
     @F.pandas_udf("int")

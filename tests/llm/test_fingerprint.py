@@ -2,8 +2,9 @@ import hashlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from lakecraft.llm.fingerprint import differing, edited_fingerprints, fingerprints, likeness, op7_document_fingerprints, tree
+from lakecraft.llm.fingerprint import differing, edited_fingerprints, fingerprints, likeness, op7_document_fingerprints, tree, with_next
 
 
 def brute(rows):
@@ -84,3 +85,13 @@ def test_differing_branches_locate_edits(spark):
     right = tree(spark.createDataFrame([(1, "\n".join(new)), (2, "same")], "doc_id long, text string"))
     assert sorted((r.doc_id, r.paragraph) for r in differing(left, right).collect()) == [(1, 20), (1, 40)]
     assert sorted((r.doc_id, r.paragraph) for r in differing(right, left).collect()) == [(1, 20)]
+
+
+def test_segments_hold_like_bytes(spark):
+    rows = [(i, "word " * (2000 if i < 300 else 10)) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    got = with_next(docs, "doc_id", "text").where("extra = 0").groupBy("seg").agg(F.sum(F.length("text")).alias("n"), F.min("id").alias("a"), F.max("id").alias("z")).collect()
+    total = sum(5 * (2000 if i < 300 else 10) for i in range(3000))
+    assert len(got) > 8 and max(r.n for r in got) < 3 * total / len(got)
+    spans = sorted((r.a, r.z) for r in got)
+    assert all(z < a for (_, z), (a, _) in zip(spans, spans[1:]))       # consecutive ids
