@@ -135,8 +135,11 @@ def mix_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
 
 
 def op2_source_mixing(spark, sf_dir: str) -> DataFrame:
-    """Contract op2 over all ``documents``."""
+    """Contract op2 over all ``documents``, with first_shard and last_shard: the output shards that the draw
+    put a document's first and last parts in (null if none of it is taken)."""
     rows = stored(placed(documents(spark, sf_dir)), "mix-rows")
-    taken = mix(rows).groupBy("sid", "start").agg(F.sum("words").alias("taken")).withColumn("some", F.lit(True))
+    taken = mix(rows).groupBy("sid", "start").agg(
+        F.sum("words").alias("taken"), F.min("shard").alias("first_shard"), F.max("shard").alias("last_shard")).withColumn("some", F.lit(True))
     out = rows.withColumn("some", F.col("size") > 0).join(taken, ["sid", "start", "some"], "left")
-    return out.select(F.col("id").alias("doc_id"), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+    return out.select(F.col("id").alias("doc_id"), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
+                      "first_shard", "last_shard")

@@ -54,6 +54,19 @@ def test_query(spark, sf):
     assert sorted(map(tuple, rows)) == sorted(map(tuple, op2_source_mixing(spark, path).collect()))
 
 
+def test_query_shows_the_shards_drawn(spark):
+    path = "/root/testdata/sf0.001"
+    rows = stored(placed(spark.read.parquet(f"{path}/documents.parquet")), "t")
+    at = defaultdict(list)
+    for r in mix(rows).join(rows.where("size > 0").select("id", "sid", "start"), ["sid", "start"]).collect():
+        at[r.id].append(r.shard)
+    got = op2_source_mixing(spark, path).collect()
+    assert {r.doc_id for r in got if r.taken} == set(at)
+    assert all((r.first_shard, r.last_shard) == ((min(at[r.doc_id]), max(at[r.doc_id])) if r.taken else (None, None)) for r in got)
+    words = sum(r.taken for r in got)
+    assert {s for x in at.values() for s in x} == set(range(max(r.last_shard or 0 for r in got) + 1)) and words > 0
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 10, 257, 1000])
 def test_permutation(spark, n):
     got = spark.range(n).select(permuted(F.col("id"), F.lit(n), F.lit(5)).alias("p")).collect()
@@ -71,7 +84,7 @@ def test_edges(spark, tmp_path):
     df.limit(0).write.parquet(str(tmp_path / "e" / "documents.parquet"))
     assert op2_source_mixing(spark, str(tmp_path / "e")).count() == 0
     spark.createDataFrame([(1, None, None)], "doc_id long, text string, source string").write.parquet(str(tmp_path / "z" / "documents.parquet"))
-    assert [tuple(r) for r in op2_source_mixing(spark, str(tmp_path / "z")).collect()] == [(1, 0, 0, 0.0, 0)]
+    assert [tuple(r) for r in op2_source_mixing(spark, str(tmp_path / "z")).collect()] == [(1, 0, 0, 0.0, 0, None, None)]
 
 
 def test_shards_and_blocks(spark):
