@@ -18,7 +18,12 @@ table with probability (1 - (1 - 0.8^half)^side)^2: 0.998 for 10 and 3.
    the largest are compared with all others in blocks of ``BLOCK`` x ``BLOCK`` inside
    tasks, on full sets: no link between two texts that share a table is lost,
    and no pair is emitted that is none.
-4. Connected components of the links; nothing about them is collected.
+4. Connected components of the links; nothing about them is collected. Links of
+   step 3 are drawn between the components that the others leave.
+
+What one table key, centre, class or component shares (its count, its name) is
+stored before it is joined to the rows, so that both sides are plain shuffles
+and adaptive execution splits a key that holds a large share of all rows.
 
 Sets are rebuilt only for classes that take part in some pair, found by a
 bitmap of fixed size (a filter that may pass too much, never too little).
@@ -37,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakecraft.llm.components import components
+from lakecraft.llm.components import components, joined_components
 from lakecraft.llm.tools import bitmap_test, documents, hash_bitmap, partitions, row_keys, stored
 from lakecraft.llm.words import LOWER, U64, Words, column_bytes, mix64, slices, window_hash
 
@@ -192,16 +197,17 @@ def _block_links(percent: int):
     return run
 
 
-def _rest(pairs: DataFrame, sets: DataFrame, links: DataFrame, percent: int) -> DataFrame:
-    """Links between members of one centre that the first links leave in different components."""
-    comps = components(links)
+def _rest(pairs: DataFrame, sets: DataFrame, comps: DataFrame, percent: int) -> DataFrame | None:
+    """Links between members of one centre that the first links leave in different components (None: there are no such members)."""
     named = sets.select("c1", "node").join(comps, "node", "left").select("c1", "node", F.coalesce("component", "node").alias("comp"))
     group = pairs.select(F.col("a").alias("c"), F.col("b").alias("m")).unionByName(pairs.select(F.col("a").alias("c"), F.col("a").alias("m")).distinct())
     group = stored(group.join(named, group.m == named.c1).select("c", "node", "comp"), "groups")
     per = group.groupBy("c", "comp").agg(F.count("*").alias("n")).groupBy("c").agg(
         F.sum("n").alias("n"), F.count("*").alias("k"), F.max_by("comp", F.struct("n", "comp")).alias("big"), F.max("n").alias("top"))
-    mixed = per.where("k > 1").select(F.col("c").alias("g"), "big", F.ceil(F.col("n") / BLOCK).cast("int").alias("mb"),
-                                      F.ceil((F.col("n") - F.col("top")) / BLOCK).cast("int").alias("qb"))
+    mixed = stored(per.where("k > 1").select(F.col("c").alias("g"), "big", F.ceil(F.col("n") / BLOCK).cast("int").alias("mb"),
+                                             F.ceil((F.col("n") - F.col("top")) / BLOCK).cast("int").alias("qb")), "mixed")
+    if mixed.isEmpty():
+        return None
     rows = group.join(mixed, group.c == mixed.g).drop("g")
     own = F.xxhash64("node")
     members = rows.select("c", "node", "comp", F.pmod(own, F.col("mb")).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("qb") - 1)).alias("j"))
@@ -223,10 +229,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # a class becomes side^2 rows: deal the few bytes of the classes to enough tasks first
     tasks = max(partitions(docs.sparkSession), classes.count() // CLASSES_PER_TASK)
     keyed = classes.repartition(tasks, "c1").select(F.col("c1").alias("node"), F.explode(table_keys).alias("key"))
-    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    shared = stored(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "shared")
     hits = stored(keyed.join(shared, "key"), "hits")
     popular = hits.groupBy("node").agg(F.sum("n").alias("p"))
-    centres = hits.join(popular, "node").groupBy("key").agg(F.max(F.struct("p", "node")).alias("top")).select("key", F.col("top.node").alias("a"))
+    centres = stored(hits.join(popular, "node").groupBy("key").agg(F.max(F.struct("p", "node")).alias("top"))
+                     .select("key", F.col("top.node").alias("a")), "centres")
     pairs = stored(hits.join(centres, "key").where("node <> a").select("a", F.col("node").alias("b")).distinct(), "pairs")
     nodes = pairs.select(F.col("a").alias("c1")).unionByName(pairs.select(F.col("b").alias("c1"))).distinct()
     reps = stored(classes.select("c1", "c2", "id").join(nodes, "c1", "left_semi"), "reps")
@@ -236,11 +243,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     both = F.size(F.array_intersect("sa", "sb"))
     checked = pairs.join(two, "b").join(one, "a").select("u", "v", "na", "nb", both.alias("x"))
     links = stored(checked.where(F.col("x") * 100 >= (F.col("na") + F.col("nb") - F.col("x")) * percent).select("u", "v"), "links")
-    links = stored(links.unionByName(_rest(pairs, sets, links, percent)), "links")
-    linked = components(links).join(sets.select("node", "c1", "c2"), "node").join(reps, ["c1", "c2"])
-    least = linked.groupBy("component").agg(F.min("id").alias("least"))
+    comps = stored(components(links), "components")
+    rest = _rest(pairs, sets, comps, percent)
+    if rest is not None:
+        comps = joined_components(comps, rest)
+    linked = stored(comps.join(sets.select("node", "c1", "c2"), "node").join(reps, ["c1", "c2"]), "linked")
+    least = stored(linked.groupBy("component").agg(F.min("id").alias("least")), "least")
     named = linked.join(least, "component").select("c1", "c2", "least")
-    owner = classes.select("c1", "c2", "id").join(named, ["c1", "c2"], "left").select("c1", "c2", F.coalesce("least", "id").alias("component_id"))
+    owner = stored(classes.select("c1", "c2", "id").join(named, ["c1", "c2"], "left")
+                   .select("c1", "c2", F.coalesce("least", "id").alias("component_id")), "owners")
     out = sig.select("id", "_llm_k1", "_llm_k2", "n", "c1", "c2").join(owner, ["c1", "c2"], "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
     return out.select(F.col("id").alias(id_col), "_llm_k1", "_llm_k2", F.col("n").alias("n_shingles"), component.alias("component_id"),

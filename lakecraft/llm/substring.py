@@ -7,8 +7,9 @@ that they cover) to the bucket of that minimiser. Equal windows have equal
 minimisers, so each bucket alone decides which of its windows occur more than
 once: it sorts them and compares the words of equal neighbours.
 
-Scale. The number of buckets follows the corpus size, so that a bucket holds
-about ``bucket_bytes`` of text however large the input. Equal super-k-mers of
+Scale. The numbers of buckets and of the tasks that sort them follow the corpus
+size, so that a bucket holds about ``bucket_bytes`` of text and a task about
+``TASK_BUCKETS`` buckets however large the input. Equal super-k-mers of
 one map task travel once, marked as repeated, and the task itself flags their
 places: a passage copied into a third of all documents reaches its bucket once
 per flush, not once per document. Runs of words found to be frequent in a
@@ -40,6 +41,7 @@ WINDOW = 35
 MER = 3
 BUCKET_BYTES = 1 << 20
 FLUSH_BYTES = 20 << 20
+TASK_BUCKETS = 16
 #: Steering sample: at most about so many rows; runs this frequent in it rank last.
 SAMPLE_ROWS = 20_000
 COMMON = 24
@@ -246,7 +248,8 @@ def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     buckets = max(1, (total.bytes or 0) // bucket_bytes)
     common = _common_mers(keyed.select("text"), mer, total.n)
     dealt = keyed.mapInArrow(_extract(window, mer, buckets, common), "bucket long, blob binary")
-    return dealt.groupBy("bucket").applyInArrow(_count(window), "_llm_k1 long, _llm_k2 long, start long, stop long")
+    tasks = max(docs.sparkSession.sparkContext.defaultParallelism, buckets // TASK_BUCKETS)
+    return dealt.repartition(tasks, "bucket").groupBy("bucket").applyInArrow(_count(window), "_llm_k1 long, _llm_k2 long, start long, stop long")
 
 
 def _cut(text_col: str, digest: bool):

@@ -3,7 +3,7 @@ from collections import defaultdict
 
 import pytest
 
-from lakecraft.llm.components import components
+from lakecraft.llm.components import components, joined_components
 from lakecraft.llm.minhash import drop_near_duplicates, near_duplicates, op6_minhash_near_dedup
 
 SEP = re.compile(r"[^\x20\x09-\x0D]+")
@@ -114,3 +114,15 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 200), (200, 150), (7, 7), (None, 3)] + [(1000, k) for k in range(1001, 1050)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 150: 100, 200: 100, **{k: 1000 for k in range(1000, 1050)}}
+
+
+def test_joined_components(spark):
+    """New edges between, inside and beside known components give what all edges give at once."""
+    old = [(1, 2), (2, 3), (10, 11), (20, 21), (30, 31)] + [(40, k) for k in range(41, 60)]
+    new = [(3, 10), (11, 2), (21, 45), (70, 71), (71, 31), (1, 3), (80, 80)]
+    table = lambda rows: spark.createDataFrame(rows, "u long, v long")
+    as_dict = lambda df: {r.node: r.component for r in df.collect()}
+    got = as_dict(joined_components(components(table(old)), table(new)))
+    assert got.pop(80) == 80
+    assert got == as_dict(components(table(old + new)))
+    assert as_dict(joined_components(components(table(old)), table([]))) == as_dict(components(table(old)))
