@@ -24,11 +24,23 @@ from lakecraft.llm.tools import documents, stored
 from lakecraft.llm.toxicity import fit, score
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Texts that go to Python at once: a batch lies several times in an executor's memory beside the heap.
+BATCH_ROWS = 2_000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    """The columns of documents; the session's Arrow batches hold ``BATCH_ROWS`` rows unless it asks for fewer."""
+    conf = docs.sparkSession.conf
+    if not 0 < int(conf.get(_BATCH)) <= BATCH_ROWS:
+        conf.set(_BATCH, str(BATCH_ROWS))
+    return docs.select(*COLUMNS)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier doesn't call toxic (it learns from all labels). Repeated rows are judged alike
     and each of them stays or goes; a score equal to the threshold is toxic; without a toxic label all stay."""
+    docs = _texts(docs)
     model = fit(docs, documents(spark, sf_dir, "labels"))
     return score(docs, model).where("predicted = 0").select(*COLUMNS)
 
@@ -36,13 +48,13 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group with a similarity of 0.8 or more on shingles of five words: the one with the least
     id, also of equal texts; of rows equal in id and text one. Texts without words all stay."""
-    return drop_near_duplicates(docs.select(*COLUMNS), width=5)
+    return drop_near_duplicates(_texts(docs), width=5)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that repeat anywhere; the text of others stays as it is. Every place of a
     repeated passage goes, none is favoured; a document that is all repeats stays with an empty text."""
-    cut = remove_repeats(docs.select(*COLUMNS))
+    cut = remove_repeats(_texts(docs))
     text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
     return cut.select("doc_id", text.alias("text"), "lang", "source",
                       F.when(F.col("n_removed") > 0, F.length("kept_text").cast("long")).otherwise(F.col("n_chars")).alias("n_chars"))
@@ -57,7 +69,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 4096 tokens: per piece its row's document and source, span, sequence and offset. An empty
     text is a piece of its end token; rows of one document are packed one by one; equal lengths in any order."""
-    return pack_documents(docs.select(*COLUMNS), keep=["doc_id", "source"])
+    return pack_documents(_texts(docs), keep=["doc_id", "source"])
 
 
 STAGES = [
