@@ -25,15 +25,18 @@ from lakecraft.llm.toxicity import fit, score
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Texts that go to Python at once: a batch lies several times in an executor's memory beside the heap.
-BATCH_ROWS = 2_000
-_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS, BATCH_BYTES = 2_000, 4 << 20
+_BATCH, _BYTES = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def _texts(docs: DataFrame) -> DataFrame:
-    """The columns of documents; the session's Arrow batches hold ``BATCH_ROWS`` rows unless it asks for fewer."""
+    """The columns of documents; the session's Arrow batches hold ``BATCH_ROWS`` rows unless it asks for fewer, and
+    about ``BATCH_BYTES`` unless it says how many."""
     conf = docs.sparkSession.conf
     if not 0 < int(conf.get(_BATCH)) <= BATCH_ROWS:
         conf.set(_BATCH, str(BATCH_ROWS))
+    if conf.get(_BYTES, None) is None:
+        conf.set(_BYTES, str(BATCH_BYTES))
     return docs.select(*COLUMNS)
 
 

@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakecraft.llm.components import components, joined_components
-from lakecraft.llm.tools import bitmap_test, documents, hash_bitmap, partitions, row_keys, stored
+from lakecraft.llm.tools import bitmap_test, documents, hash_bitmap, partitions, row_keys, stored, tidy
 from lakecraft.llm.words import LOWER, U64, Words, column_bytes, mix64, slices, window_hash
 
 SIDE, HALF = 10, 3
@@ -141,7 +141,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, width: int, side: in
                     ["id", "_llm_k1", "_llm_k2", "n", "c1", "c2", "bands"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return left.mapInArrow(run, f"id {kind}, _llm_k1 long, _llm_k2 long, n long, c1 long, c2 long, bands array<long>")
+    return left.mapInArrow(tidy(run), f"id {kind}, _llm_k1 long, _llm_k2 long, n long, c1 long, c2 long, bands array<long>")
 
 
 def _sets(docs: DataFrame, reps: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
@@ -158,7 +158,7 @@ def _sets(docs: DataFrame, reps: DataFrame, id_col: str, text_col: str, width: i
                     c1, c2 = _set_hash(h, first)
                     yield pa.RecordBatch.from_arrays([_long(c1), _long(c2), pa.array(np.diff(first)), _lists(h, first)], ["c1", "c2", "n", "s"])
 
-    found = left.mapInArrow(run, "c1 long, c2 long, n long, s array<long>")
+    found = left.mapInArrow(tidy(run), "c1 long, c2 long, n long, s array<long>")
     return (found.join(reps.select("c1", "c2"), ["c1", "c2"], "left_semi").groupBy("c1", "c2").agg(F.first("n").alias("n"), F.first("s").alias("s"))
             .withColumn("node", F.concat(F.hex("c1"), F.lit("-"), F.hex("c2"))))
 

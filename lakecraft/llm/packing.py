@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakecraft.llm.tools import documents, stored
+from lakecraft.llm.tools import documents, stored, tidy
 from lakecraft.llm.token_ids import TokenIds
 from lakecraft.llm.words import column_bytes, slices
 
@@ -86,8 +86,8 @@ def pieces(docs: DataFrame, text_col: str = "text", keep: list[str] | None = Non
                     + ([pa.array(ids, pa.list_(pa.int32()))] if with_ids else []), cols + made)
 
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
-    return left.mapInArrow(run, ", ".join([f"`{c}` {kinds[c]}" for c in cols]
-                                          + ["piece int", "start long", "length long", "ids_crc32 long"] + ["ids array<int>"] * with_ids))
+    return left.mapInArrow(tidy(run), ", ".join([f"`{c}` {kinds[c]}" for c in cols]
+                                                + ["piece int", "start long", "length long", "ids_crc32 long"] + ["ids array<int>"] * with_ids))
 
 
 class Plan:

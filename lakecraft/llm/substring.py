@@ -34,7 +34,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakecraft.llm.tools import bitmap_test, documents, hash_bitmap, row_keys, stored
+from lakecraft.llm.tools import bitmap_test, documents, give_back, hash_bitmap, row_keys, stored, tidy
 from lakecraft.llm.words import U64, Words, column_bytes, mix64, slices, sliding_min, window_hash
 
 WINDOW = 35
@@ -42,6 +42,10 @@ MER = 3
 BUCKET_BYTES = 1 << 20
 FLUSH_BYTES = 20 << 20
 TASK_BUCKETS = 16
+#: Packed bytes of a bucket from which memory is given back.
+TIDY_BYTES = 1 << 18
+#: Text that is worked on at once: arrays over its bytes take some fifty times as much.
+SLICE_BYTES = 1 << 18
 #: Steering sample: at most about so many rows; runs this frequent in it rank last.
 SAMPLE_ROWS = 20_000
 COMMON = 24
@@ -149,12 +153,13 @@ def _extract(window: int, mer: int, buckets: int, common: np.ndarray):
         for batch in batches:
             data, offsets = column_bytes(batch.column(0))
             k1, k2 = (batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2))
-            for i, j in slices(offsets):
+            for i, j in slices(offsets, SLICE_BYTES):
                 part = offsets[i:j + 1] - offsets[i]
                 words = Words(data[offsets[i]:offsets[j]], part)
                 flush.add(words, k1[i:j], k2[i:j], *_super_kmers(words, window, mer, common))
                 if flush.size > FLUSH_BYTES:
                     yield from flush.take()
+                    give_back()
         yield from flush.take()
     return run
 
@@ -180,7 +185,7 @@ def _count(window: int):
         raw, ends = b"".join(text), np.concatenate([[0], np.cumsum(lens)])
         data = np.frombuffer(raw, np.uint8)
         parts = []                         # per window: two hashes, byte range, super-k-mer, place in it
-        for i, j in slices(ends):
+        for i, j in slices(ends, SLICE_BYTES):
             words = Words(data[ends[i]:ends[j]], ends[i:j + 1] - ends[i])
             n = len(words.row) - window + 1
             here = np.flatnonzero(words.row[:n] == words.row[window - 1:])
@@ -214,6 +219,19 @@ def _count(window: int):
     return run
 
 
+def _tidy_count(window: int):
+    """``_count``, giving its memory back after each bucket that held much."""
+    count = _count(window)
+
+    def run(table: pa.Table) -> pa.Table:
+        try:
+            return count(table)
+        finally:
+            if table.nbytes > TIDY_BYTES:
+                give_back()
+    return run
+
+
 def _places(k1, k2, start, stop) -> pa.Table:
     return pa.table([pa.array(np.ascontiguousarray(x), pa.int64()) for x in (k1, k2, start, stop)],
                     ["_llm_k1", "_llm_k2", "start", "stop"])
@@ -232,7 +250,7 @@ def _common_mers(docs: DataFrame, mer: int, rows: int) -> np.ndarray:
                 v, n = np.unique(_mers(words, mer), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(v.view(np.int64)), pa.array(n.astype(np.int64))], ["m", "n"])
 
-    found = (texts.mapInArrow(run, "m long, n long").where("n > 1").groupBy("m").agg(F.sum("n").alias("n"))
+    found = (texts.mapInArrow(tidy(run), "m long, n long").where("n > 1").groupBy("m").agg(F.sum("n").alias("n"))
              .where(F.col("n") >= COMMON).orderBy(F.desc("n"), "m").limit(MAX_COMMON).select("m").collect())
     return np.sort(np.array([r.m for r in found], np.int64).view(U64))
 
@@ -247,9 +265,9 @@ def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     total = keyed.agg(F.sum(F.octet_length("text")).alias("bytes"), F.count("*").alias("n")).first()
     buckets = max(1, (total.bytes or 0) // bucket_bytes)
     common = _common_mers(keyed.select("text"), mer, total.n)
-    dealt = keyed.mapInArrow(_extract(window, mer, buckets, common), "bucket long, blob binary")
+    dealt = keyed.mapInArrow(tidy(_extract(window, mer, buckets, common)), "bucket long, blob binary")
     tasks = max(docs.sparkSession.sparkContext.defaultParallelism, buckets // TASK_BUCKETS)
-    return dealt.repartition(tasks, "bucket").groupBy("bucket").applyInArrow(_count(window), "_llm_k1 long, _llm_k2 long, start long, stop long")
+    return dealt.repartition(tasks, "bucket").groupBy("bucket").applyInArrow(_tidy_count(window), "_llm_k1 long, _llm_k2 long, start long, stop long")
 
 
 def _cut(text_col: str, digest: bool):
@@ -261,7 +279,7 @@ def _cut(text_col: str, digest: bool):
             data, offsets = column_bytes(batch.column(at))
             spans = batch.column(names.index("_llm_spans"))
             rest = [i for i, x in enumerate(names) if x not in ("_llm_text", "_llm_spans")]
-            for i, j in slices(offsets):
+            for i, j in slices(offsets, SLICE_BYTES):
                 words = Words(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
                 first, n = words.first(), words.counts()
                 part = spans.slice(i, j - i)
@@ -330,10 +348,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # texts without a range stay where they are read; only the others move to their ranges
     bits = hash_bitmap(ranges.select("_llm_k2"))
     none = F.array().cast("array<struct<start:bigint,stop:bigint>>")
-    whole = left.withColumn("_llm_spans", none).mapInArrow(_marked(bits, False, _cut(text_col, digest)), schema)
-    moved = left.mapInArrow(_marked(bits, True), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in left.schema.fields))
+    whole = left.withColumn("_llm_spans", none).mapInArrow(tidy(_marked(bits, False, _cut(text_col, digest))), schema)
+    moved = left.mapInArrow(tidy(_marked(bits, True)), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in left.schema.fields))
     both = moved.join(spans, ["_llm_k1", "_llm_k2"], "left").drop("_llm_k1", "_llm_k2").withColumn("_llm_spans", F.coalesce("_llm_spans", none))
-    return whole.unionByName(both.mapInArrow(_cut(text_col, digest), schema))
+    return whole.unionByName(both.mapInArrow(tidy(_cut(text_col, digest)), schema))
 
 
 #: Contract op9 in DuckDB: every window's hash, counted; a word goes if a repeated window begins at it or at one of the 34 before.

@@ -1,8 +1,11 @@
-"""Small shared helpers: stored tables, column hygiene."""
+"""Small shared helpers: stored tables, column hygiene, memory of Python workers."""
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,6 +51,25 @@ def bitmap_test(bits: bytes):
     return lambda hashes: table[np.asarray(hashes) & ((1 << BITMAP_BITS) - 1)]
 
 
+def give_back() -> None:
+    """Hand the free memory of this Python process back to the system. Else a worker keeps, beside the
+    executor's heap, what its largest task took, also while it waits and in stages without Python."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # the GNU library has it
+    if trim is not None:
+        trim(0)
+
+
+def tidy(run):
+    """``run``, a function from batches to batches, giving its memory back when a task ends."""
+    def tidied(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+    return tidied
+
+
 def partitions(spark) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -1,5 +1,9 @@
 """Every pipeline stage on nulls, empty and long texts, repeated rows, clashing columns and empty tables."""
 
+import subprocess
+import sys
+
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -63,3 +67,34 @@ def test_queries_on_odd_rows(spark, tmp_path):
         if name not in ("op8_nearest_neighbours", "op11_hard_negatives", "op12_url_filter"):      # these read other tables
             n = q(spark, sf).count()
             assert n == len(ROWS) or name.startswith("op3_") and n >= len(ROWS), name
+
+
+def test_batches_are_bounded_by_bytes(spark):
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [b.nbytes]})
+
+    texts = spark.range(0, 400, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("a word "), 10_000).alias("text"),
+                                             F.lit("en").alias("lang"), F.lit("a").alias("source"), F.lit(70_000).cast("long").alias("n_chars"))
+    seen = [r.n for r in P._texts(texts).mapInArrow(sizes, "n long").collect()]
+    assert sum(seen) > 400 * 70_000 and max(seen) < P.BATCH_BYTES + 2 * 70_000
+
+
+def test_workers_give_memory_back():
+    """In a process of its own: pieces freed between kept ones stay with it unless they are given back."""
+    code = """
+import pyarrow as pa
+from lakecraft.llm.tools import tidy
+kept = []
+def run(batches):
+    for b in batches:
+        pieces = [bytearray(100_000) for _ in range(2_000)]
+        kept.append(pieces[-1])
+        yield b
+def resident():
+    return next(int(x.split()[1]) / 1024 for x in open('/proc/self/status') if x.startswith('VmRSS'))
+before = resident()
+assert len(list(tidy(run)([1, 2]))) == 2
+assert resident() < before + 60, (before, resident())
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=60)
